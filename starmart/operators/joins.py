@@ -54,7 +54,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str,
-                how: str = "inner", max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Many-to-one join against a lookup whose size is checked before broadcasting."""
+                how: str = "inner", max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                proven_rows: int | None = None) -> DataFrame:
+    """Many-to-one join against a lookup whose size is checked before broadcasting.
+
+    ``proven_rows`` is an upper bound on the lookup's row count that holds by
+    construction (for example one row per two-character code); when it is within
+    ``max_rows`` no counting job is needed. Otherwise the lookup is counted.
+    """
     keys = [on] if isinstance(on, str) else list(on)
+    if proven_rows is not None and proven_rows <= max_rows:
+        return big.join(F.broadcast(small), on=keys, how=how)
     return big.join(bounded_broadcast(small, max_rows), on=keys, how=how)

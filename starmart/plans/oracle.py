@@ -7,10 +7,14 @@ Spark implementation. Integer sums are cast back to BIGINT (DuckDB widens them).
 
 from __future__ import annotations
 
+from starmart.schemas import WAREHOUSE
+
 
 def _zfill(expr: str, width: int) -> str:
     text = f"CAST(CAST(trunc({expr}) AS BIGINT) AS VARCHAR)"
-    return f"(CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {width}, '0') END)"
+    return (f"(CASE WHEN length({text}) >= {width} THEN {text} "
+            f"WHEN {text} LIKE '-%' THEN '-' || lpad(substr({text}, 2), {width - 1}, '0') "
+            f"ELSE lpad({text}, {width}, '0') END)")
 
 
 def _nl(cols: str) -> str:
@@ -172,3 +176,180 @@ GROUP BY dd.date, dr.state, fc.state, fc.positive, fc.positiveincrease, fc.negat
          fc.deathincrease, fc.recovered, fc.hospitalized, fc.hospitalizedcurrently,
          fc.hospitalizedincrease"""),
 }
+
+
+def with_feeds(select: str) -> str:
+    return "WITH " + FEEDS.strip() + "\n" + select
+
+
+def _ncols(table: str) -> str:
+    return (f"(SELECT CAST(count(*) AS INTEGER) FROM information_schema.columns "
+            f"WHERE table_name = '{table}')")
+
+
+def _profile(pairs: list[tuple[str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{label}' AS table_name, {_ncols(src)} AS n_columns, count(*) AS n_rows FROM {src}"
+        for label, src in pairs)
+
+
+def _column_checks() -> str:
+    parts = []
+    for spec in WAREHOUSE:
+        for c in spec.columns:
+            n_null = (f"count(*) FILTER (WHERE \"{c.name}\" IS NULL)" if c.not_null
+                      else "count(*) FILTER (WHERE false)")
+            n_long = (f"count(*) FILTER (WHERE length(CAST(\"{c.name}\" AS VARCHAR)) > {c.max_len})"
+                      if c.max_len else "count(*) FILTER (WHERE false)")
+            parts.append(f"SELECT '{spec.name}' AS table_name, '{c.name}' AS column_name, "
+                         f"{n_null} AS n_null, {n_long} AS n_too_long FROM {spec.name}")
+    return "\nUNION ALL\n".join(parts)
+
+
+_SPLIT = "string_split(url, '/')"
+_FEED_FIPS5 = _zfill("fips", 5)
+
+# The column-list DDL each star table must have.
+_DDL = {
+    "fact_covid": "date INT, state_fips STRING, state STRING, positive DOUBLE, positiveincrease INT, "
+                  "negative DOUBLE, death DOUBLE, deathincrease INT, recovered DOUBLE, "
+                  "hospitalized DOUBLE, hospitalizedcurrently DOUBLE, hospitalizeddischarged DOUBLE, "
+                  "hospitalizedcumulative DOUBLE, hospitalizedincrease INT, region_sk INT, hosp_sk INT",
+    "dim_date": "date_id INT, date DATE, day_name STRING, day_of_week INT, day INT, day_of_year INT, "
+                "month INT, month_name STRING, week INT, quarter INT, year INT, year_half INT, "
+                "is_weekend BOOLEAN",
+    "dim_hospital": "hosp_sk INT, fips STRING, state_fips STRING, county_fips STRING, "
+                    "state_name STRING, county_name STRING, hospital_name STRING, hq_address STRING, "
+                    "hq_city STRING, hq_state STRING, hq_zip_code STRING, hospital_type STRING, "
+                    "latitude DOUBLE, longtitude DOUBLE",
+    "dim_region": "region_sk INT, fips STRING, state_fips STRING, county_fips STRING, state STRING, "
+                  "county STRING, country STRING, latitude DOUBLE, longitude DOUBLE",
+}
+
+SQL.update({
+    # sources
+    "scan_csv": "SELECT * FROM orders",
+    "scan_geojson": with_feeds("SELECT *, longtitude AS lon, latitude AS lat FROM hospital_feed"),
+    "register_tables": _profile([("src_region", "region"), ("src_nation", "nation"),
+                                 ("src_customer", "customer"), ("src_supplier", "supplier"),
+                                 ("src_orders", "orders"), ("src_lineitem", "lineitem")]),
+    "list_tables": _profile([("lst_customer", "customer"), ("lst_orders", "orders"),
+                             ("lst_part", "part"), ("lst_supplier", "supplier")]),
+    "table_scan": "SELECT * FROM lineitem",
+    "schema_evolve": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN NULL ELSE o_orderpriority END
+         AS o_orderpriority
+FROM orders""",
+    "landing_path": f"""
+SELECT page_id, url,
+       CASE WHEN len({_SPLIT}) > 5 THEN {_SPLIT}[4] || '/' || {_SPLIT}[-2] || '/'
+            ELSE {_SPLIT}[4] || '/' END AS folder,
+       {_SPLIT}[-1] AS file_name
+FROM pages""",
+    # projections
+    "project_cols": "SELECT c_nationkey, c_custkey, c_mktsegment FROM customer",
+    "drop_copy_col": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment, c_nationkey AS state_key "
+                     "FROM customer",
+    "rename_positional": "SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, "
+                         "c_acctbal AS balance, c_mktsegment AS segment FROM customer",
+    "preview_head": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
+    "promote_header": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, "
+                      "CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer",
+    # filters / nulls
+    "filter_null_safe_ne": with_feeds(
+        "SELECT * FROM feed WHERE province_state IS DISTINCT FROM 'MACHINERY'"),
+    "dropna_subset": with_feeds(
+        "SELECT * FROM feed WHERE fips IS NOT NULL AND province_state IS NOT NULL"),
+    "recode_state": with_feeds(f"""
+SELECT {_FEED_FIPS5} AS fips,
+       CASE WHEN left({_FEED_FIPS5}, 2) = '00' THEN '72' ELSE left({_FEED_FIPS5}, 2) END AS state_fips
+FROM feed WHERE fips IS NOT NULL"""),
+    "fill_zero": with_feeds("""
+SELECT coalesce(fips, 0) AS fips, coalesce(date, 0) AS date, state,
+       coalesce(positive, 0) AS positive, coalesce(negative, 0) AS negative,
+       coalesce(hospitalized, 0) AS hospitalized,
+       coalesce(hospitalizedcurrently, 0) AS hospitalizedcurrently,
+       coalesce(hospitalizeddischarged, 0) AS hospitalizeddischarged,
+       coalesce(hospitalizedcumulative, 0) AS hospitalizedcumulative,
+       coalesce(death, 0) AS death, coalesce(recovered, 0) AS recovered,
+       coalesce(deathincrease, 0) AS deathincrease,
+       coalesce(hospitalizedincrease, 0) AS hospitalizedincrease,
+       coalesce(positiveincrease, 0) AS positiveincrease
+FROM daily"""),
+    # scalar functions
+    "code_pad": f"""
+SELECT c_custkey, {_zfill('c_custkey', 5)} AS key5, {_zfill('c_nationkey', 2)} AS nation2,
+       {_zfill('c_acctbal', 6)} AS balance6
+FROM customer""",
+    "code_split": with_feeds(f"""
+SELECT {_FEED_FIPS5} AS fips, left({_FEED_FIPS5}, 2) AS state_fips,
+       right({_FEED_FIPS5}, 3) AS county_fips, left(province_state, 2) AS place_head,
+       right(province_state, 3) AS place_tail
+FROM feed WHERE fips IS NOT NULL"""),
+    # aggregation / joins / keys / sort
+    "distinct_rows": with_feeds("SELECT DISTINCT fips, county FROM county_feed"),
+    "join_m2m_dedup": """
+SELECT DISTINCT a.o_custkey, a.o_orderstatus, b.o_orderpriority
+FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey""",
+    "first_per_group": with_star("SELECT * FROM region_first"),
+    "surrogate_key": """
+SELECT CAST(row_number() OVER (ORDER BY c_nationkey NULLS LAST, c_mktsegment NULLS LAST,
+                                        c_acctbal NULLS LAST, c_custkey NULLS LAST) AS INTEGER)
+         AS customer_sk, *
+FROM customer""",
+    "surrogate_key_append": """
+WITH s AS (SELECT s_suppkey AS party_key, s_name AS name, s_nationkey AS nation FROM supplier),
+c AS (SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nation FROM customer),
+e AS (SELECT CAST(row_number() OVER (ORDER BY nation, name, party_key) AS INTEGER) AS party_sk, *
+      FROM s)
+SELECT party_sk, party_key, name, nation FROM e
+UNION ALL
+SELECT CAST((SELECT max(party_sk) FROM e) + row_number() OVER (ORDER BY nation, name, party_key)
+            AS INTEGER) AS party_sk, party_key, name, nation
+FROM c""",
+    "sort_multi": """
+SELECT CAST(row_number() OVER (ORDER BY o_orderdate DESC NULLS LAST, o_totalprice ASC NULLS LAST,
+                                        o_orderkey ASC NULLS LAST) AS INTEGER) AS pos, *
+FROM orders""",
+    # constraint reports
+    "check_pk": with_star("""
+SELECT 'dim_region_natural' AS check_name, state_fips || '|' || county_fips AS key_value,
+       count(*) AS n_rows
+FROM dim_region GROUP BY state_fips, county_fips HAVING count(*) > 1
+UNION ALL
+SELECT 'dim_region_pk', CAST(region_sk AS VARCHAR), count(*)
+FROM dim_region GROUP BY region_sk HAVING count(*) > 1
+UNION ALL
+SELECT 'fact_covid_pk', CAST(date AS VARCHAR) || '|' || state_fips, count(*)
+FROM fact_covid GROUP BY date, state_fips HAVING count(*) > 1"""),
+    "check_fk": with_star(f"""
+SELECT 'fact_covid' AS child_table, 'date' AS fk_column, 'dim_date' AS parent_table,
+       count(*) AS n_orphans
+FROM fact_covid f WHERE f.date IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_id = f.date)
+UNION ALL
+SELECT 'fact_covid', 'region_sk', 'dim_region', count(*)
+FROM fact_covid f WHERE f.region_sk IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM dim_region r WHERE r.region_sk = f.region_sk)
+UNION ALL
+SELECT 'fact_covid', 'hosp_sk', 'dim_hospital', count(*)
+FROM fact_covid f WHERE f.hosp_sk IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM dim_hospital h WHERE h.hosp_sk = f.hosp_sk)
+UNION ALL
+SELECT 'daily', 'state_fips', 'dim_region', count(*)
+FROM daily y WHERE y.fips IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM dim_region r WHERE r.state_fips = {_zfill('y.fips', 2)})"""),
+    "check_not_null_len": with_star(_column_checks()),
+    # sinks
+    "write_csv": with_star("SELECT * FROM fact_covid"),
+    "load_warehouse": with_star("SELECT * FROM dim_region"),
+    "write_sorted": with_star("SELECT * FROM fact_covid"),
+    "extract_csv": SQL["state_totals"],
+    "create_tables": with_star("\nUNION ALL\n".join(
+        f"SELECT '{spec.name}' AS table_name, {len(spec.columns)} AS n_columns, count(*) AS n_rows "
+        f"FROM {spec.name}" for spec in WAREHOUSE)),
+    "schema_ddl": with_star("\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, '{ddl}' AS ddl, count(*) AS n_rows FROM {name}"
+        for name, ddl in _DDL.items())),
+})

@@ -1,21 +1,353 @@
-"""Registry of the queries run against the driver's tables: name -> (spark, sf_dir) -> DataFrame."""
+"""Registry of the queries run against the driver's tables: name -> (spark, sf_dir) -> DataFrame.
+
+Every query reads whole driver tables (or data Spark derives from them). Queries for
+sources and sinks write below the shared scratch folder (``session.scratch_path``) and
+return what Spark reads back, so the round trip itself is what gets checked.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starmart.functions.codes import left_chars, recode, right_chars, zfill_code
+from starmart.operators import checks, clean
+from starmart.operators.joins import first_per_group, join_distinct
+from starmart.operators.keys import append_with_keys, dense_key
 from starmart.plans import analogue, covid, star
+from starmart.schemas import (DIM_DATE, DIM_HOSPITAL, DIM_REGION, FACT_COVID, HOSPITALS,
+                              STATE_TOTALS_COLS, WAREHOUSE)
+from starmart.session import scratch_path
+from starmart.sinks import writers
+from starmart.sources import catalog, files
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+_T = analogue.table
+
+# ---------------------------------------------------------------------------
+# Sources
+# ---------------------------------------------------------------------------
+
+
+def q_scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> gzip CSV and plain CSV -> typed reads, unioned (each row once per format)."""
+    orders = _T(spark, sf_dir, "orders")
+    base = scratch_path(spark, "scan_csv")
+    writers.write_csv(orders.where(F.col("o_orderstatus") != "F"), f"{base}/plain")
+    writers.write_csv(orders.where(F.col("o_orderstatus") == "F"), f"{base}/gzip", compression="gzip")
+    plain = files.read_csv(spark, f"{base}/plain", schema=orders.schema)
+    gz = files.read_csv(spark, f"{base}/gzip", schema=orders.schema,
+                        partitions=spark.sparkContext.defaultParallelism)
+    return plain.unionByName(gz)
+
+
+def q_scan_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hospital features -> line-delimited GeoJSON -> flattened properties and position."""
+    feed = analogue.hospital_feed(spark, sf_dir)
+    path = scratch_path(spark, "scan_geojson")
+    files.to_geojson_lines(feed, "longtitude", "latitude").write.mode("overwrite").text(path)
+    return files.read_geojson(spark, path, HOSPITALS)
+
+
+def _register_driver_tables(spark: SparkSession, sf_dir: str, names: list[str], prefix: str):
+    db = "starmart_raw"
+    catalog.create_database(spark, db, scratch_path(spark, "db"))
+    sources = {n: f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names}
+    return db, catalog.register_tables(spark, db, sources, prefix=prefix)
+
+
+def q_register_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue driver files as external tables (no copy), profile them from the catalog."""
+    names = ["region", "nation", "customer", "supplier", "orders", "lineitem"]
+    _, tables = _register_driver_tables(spark, sf_dir, names, prefix="src_")
+    return catalog.table_profile(spark, tables)
+
+
+def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List the catalogued tables matching a pattern, with column and row counts."""
+    db, _ = _register_driver_tables(spark, sf_dir, ["customer", "orders", "supplier", "part"],
+                                    prefix="lst_")
+    listed = catalog.list_tables(spark, db, "lst_*")
+    return catalog.table_profile(spark, [f"{db}.{t}" for t in listed])
+
+
+def q_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``SELECT *`` of a catalogued table, read through the catalog."""
+    _, tables = _register_driver_tables(spark, sf_dir, ["lineitem"], prefix="scan_")
+    return spark.table(tables[0])
+
+
+SCHEMA_CHANGE_DAY = "1998-01-01"
+
+
+def q_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Older batches lack ``o_orderpriority``; the merged read fills it with NULL."""
+    orders = _T(spark, sf_dir, "orders")
+    base = scratch_path(spark, "schema_evolve")
+    old = orders.where(F.col("o_orderdate") < F.lit(SCHEMA_CHANGE_DAY).cast("timestamp_ntz"))
+    new = orders.where(F.col("o_orderdate") >= F.lit(SCHEMA_CHANGE_DAY).cast("timestamp_ntz"))
+    old.drop("o_orderpriority").write.mode("overwrite").parquet(f"{base}/batch_1")
+    new.write.mode("overwrite").parquet(f"{base}/batch_2")
+    return catalog.read_evolving(spark, [f"{base}/batch_1", f"{base}/batch_2"])
+
+
+def q_landing_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _T(spark, sf_dir, "pages").select("page_id", "url")
+    folder, file_name = files.landing_path("url", deep_parts=5)
+    return pages.select("page_id", "url", folder.alias("folder"), file_name.alias("file_name"))
+
+
+# ---------------------------------------------------------------------------
+# Projections
+# ---------------------------------------------------------------------------
+
+
+def q_project_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.project(_T(spark, sf_dir, "customer"), ["c_nationkey", "c_custkey", "c_mktsegment"])
+
+
+def q_drop_copy_col(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _T(spark, sf_dir, "customer")
+    return clean.copy_column(c, "c_nationkey", "state_key", drop_src=True)
+
+
+def q_rename_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = clean.rename(_T(spark, sf_dir, "customer"), {"c_mktsegment": "segment"})
+    return clean.rename_positional(c, ["id", "name", "nation", "balance", "segment"])
+
+
+def q_preview_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.preview(_T(spark, sf_dir, "orders"), ["o_orderkey"], n=5)
+
+
+_HEADER = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+
+
+def q_promote_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A header catalogued as a data row: names live in one row of generic columns."""
+    c = _T(spark, sf_dir, "customer")
+    body = c.select(*[F.col(n).cast("string").alias(f"col{i}") for i, n in enumerate(_HEADER)])
+    head = spark.range(1).select(*[F.lit(n).alias(f"col{i}") for i, n in enumerate(_HEADER)])
+    return clean.promote_header(head.unionByName(body), _HEADER)
+
+
+# ---------------------------------------------------------------------------
+# Filters and null handling
+# ---------------------------------------------------------------------------
+
+
+def q_filter_null_safe_ne(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = analogue.case_feed(spark, sf_dir)
+    return clean.filter_not_equal_keep_null(feed, "province_state", analogue.ANALOGUE_EXCLUDED_PLACE)
+
+
+def q_dropna_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.drop_null_rows(analogue.case_feed(spark, sf_dir), ["fips", "province_state"])
+
+
+def q_recode_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = clean.drop_null_rows(analogue.case_feed(spark, sf_dir), ["fips"])
+    padded = zfill_code("fips", 5)
+    return feed.select(padded.alias("fips"),
+                       recode(left_chars(padded, 2), star.STATE_RECODE).alias("state_fips"))
+
+
+def q_fill_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.fill_numeric_zero(analogue.states_daily(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Scalar code functions
+# ---------------------------------------------------------------------------
+
+
+def q_code_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _T(spark, sf_dir, "customer")
+    return c.select("c_custkey",
+                    zfill_code("c_custkey", 5).alias("key5"),
+                    zfill_code("c_nationkey", 2).alias("nation2"),
+                    zfill_code("c_acctbal", 6).alias("balance6"))
+
+
+def q_code_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = clean.drop_null_rows(analogue.case_feed(spark, sf_dir), ["fips"])
+    padded = zfill_code("fips", 5)
+    return feed.select(padded.alias("fips"),
+                       left_chars(padded, 2).alias("state_fips"),
+                       right_chars(padded, 3).alias("county_fips"),
+                       left_chars("province_state", 2).alias("place_head"),
+                       right_chars("province_state", 3).alias("place_tail"))
+
+
+# ---------------------------------------------------------------------------
+# Aggregation, joins, keys, sorting
+# ---------------------------------------------------------------------------
+
+
+def q_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.distinct_rows(analogue.county_feed(spark, sf_dir))
+
+
+def q_join_m2m_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders self-join on the customer (many-to-many), de-duplicated."""
+    o = _T(spark, sf_dir, "orders")
+    return join_distinct(o.select("o_custkey", "o_orderstatus"),
+                         o.select("o_custkey", "o_orderpriority"), on=["o_custkey"])
+
+
+def q_first_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_per_group(covid.region_dim(spark, sf_dir), "state_fips", "region_sk")
+
+
+def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _T(spark, sf_dir, "customer")
+    return dense_key(c, ["c_nationkey", "c_mktsegment", "c_acctbal", "c_custkey"], "customer_sk")
+
+
+def q_surrogate_key_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers form the existing table; customers are appended with keys after its max."""
+    s = _T(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("party_key"), F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nation"))
+    c = _T(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("party_key"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nation"))
+    order = ["nation", "name", "party_key"]
+    existing = dense_key(s, order, "party_sk")
+    appended = append_with_keys(existing, c, "party_sk", order)
+    return existing.unionByName(appended)
+
+
+def q_sort_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position of every order under (date DESC, price ASC, key ASC)."""
+    o = _T(spark, sf_dir, "orders")
+    order = [F.col("o_orderdate").desc_nulls_last(), F.col("o_totalprice").asc_nulls_last(),
+             F.col("o_orderkey").asc_nulls_last()]
+    return dense_key(o, order, "pos")
+
+
+# ---------------------------------------------------------------------------
+# Constraint reports
+# ---------------------------------------------------------------------------
+
+
+def q_check_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Natural key (state_fips, county_fips) of dim_region is not unique (one row per
+    distinct place row); the surrogate key and the fact key are."""
+    s = covid.build_star(spark, sf_dir, with_calendar=False)
+    dup_natural = checks.duplicate_keys(s.dim_region, ["state_fips", "county_fips"])
+    dup_sk = checks.duplicate_keys(s.dim_region, ["region_sk"])
+    dup_fact = checks.duplicate_keys(s.fact_covid, list(FACT_COVID.primary_key))
+    part = lambda df, name, key: df.select(F.lit(name).alias("check_name"),
+                                           F.concat_ws("|", *[F.col(k).cast("string") for k in key])
+                                           .alias("key_value"), "n_rows")
+    return (part(dup_natural, "dim_region_natural", ["state_fips", "county_fips"])
+            .unionByName(part(dup_sk, "dim_region_pk", ["region_sk"]))
+            .unionByName(part(dup_fact, "fact_covid_pk", list(FACT_COVID.primary_key))))
+
+
+def q_check_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = covid.build_star(spark, sf_dir)
+    fact_report = checks.orphan_counts(s.fact_covid, "fact_covid", [
+        ("date", s.dim_date, "dim_date", "date_id"),
+        ("region_sk", s.dim_region, "dim_region", "region_sk"),
+        ("hosp_sk", s.dim_hospital, "dim_hospital", "hosp_sk"),
+    ])
+    daily = s.daily.withColumn("state_fips", zfill_code("fips", 2))
+    daily_report = checks.orphan_counts(daily, "daily", [
+        ("state_fips", s.dim_region, "dim_region", "state_fips")])
+    return fact_report.unionByName(daily_report)
+
+
+def q_check_not_null_len(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = covid.build_star(spark, sf_dir)
+    out = None
+    for spec, df in ((DIM_DATE, s.dim_date), (DIM_HOSPITAL, s.dim_hospital),
+                     (DIM_REGION, s.dim_region), (FACT_COVID, s.fact_covid)):
+        rep = checks.column_violations(df, spec)
+        out = rep if out is None else out.unionByName(rep)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Sinks
+# ---------------------------------------------------------------------------
+
+
+def q_write_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = covid.fact_covid(spark, sf_dir)
+    path = writers.write_csv(fact, scratch_path(spark, "fact_csv"))
+    return spark.read.option("header", True).schema(writers.spec_schema(FACT_COVID)).csv(path)
+
+
+def q_load_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_region -> CSV extract -> typed table loaded by position (idempotent overwrite)."""
+    dim = covid.region_dim(spark, sf_dir)
+    csv_path = writers.write_csv(dim, scratch_path(spark, "dim_region_csv"))
+    table = writers.create_table(spark, DIM_REGION, scratch_path(spark, "wh_dim_region"),
+                                 db=_warehouse_db(spark))
+    writers.load_positional(spark, table, csv_path, DIM_REGION)
+    return writers.load_positional(spark, table, csv_path, DIM_REGION)  # re-run: no duplicates
+
+
+def _warehouse_db(spark: SparkSession) -> str:
+    db = "starmart_dw"
+    catalog.create_database(spark, db, scratch_path(spark, "dw"))
+    return db
+
+
+def q_write_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = covid.fact_covid(spark, sf_dir)
+    path = writers.write_sorted(fact, scratch_path(spark, "fact_sorted"), list(FACT_COVID.sort_key))
+    return spark.read.parquet(path)
+
+
+def q_extract_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """state_totals ordered by state abbreviation into one quoted CSV file (bounded mart)."""
+    mart = covid.state_totals(spark, sf_dir)
+    path = writers.extract_csv(mart, scratch_path(spark, "state_totals_extract"), ["state_abv"],
+                               single_file=True)
+    schema = "state STRING, state_abv STRING, total_positive_cases DOUBLE, " \
+             "total_deaths DOUBLE, avg_hospitalized DOUBLE"
+    return spark.read.option("header", True).schema(schema).csv(path).toDF(*STATE_TOTALS_COLS)
+
+
+def q_create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create the four typed warehouse tables, load the star, profile the tables."""
+    s = covid.build_star(spark, sf_dir)
+    db = _warehouse_db(spark)
+    frames = {"dim_date": s.dim_date, "dim_hospital": s.dim_hospital,
+              "dim_region": s.dim_region, "fact_covid": s.fact_covid}
+    names = []
+    for spec in WAREHOUSE:
+        name = writers.create_table(spark, spec, scratch_path(spark, f"wh_{spec.name}"), db=db)
+        frames[spec.name].select(*spec.names).write.insertInto(name, overwrite=True)
+        names.append(name)
+    return catalog.table_profile(spark, names)
+
+
+def q_schema_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column-list DDL of each star table, with its row count."""
+    s = covid.build_star(spark, sf_dir)
+    out = None
+    for name, df in (("fact_covid", s.fact_covid), ("dim_date", s.dim_date),
+                     ("dim_hospital", s.dim_hospital), ("dim_region", s.dim_region)):
+        ddl = writers.schema_ddl(df, with_nullability=False)
+        part = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), F.lit(ddl).alias("ddl"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
 
 def _date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.date_bounds(analogue.states_daily(spark, sf_dir))
 
 
 REGISTRY: dict[str, QueryFn] = {
+    # star build and marts
     "dim_region": covid.region_dim,
     "dim_hospital": covid.hospital_dim,
     "dim_date": covid.date_dim,
@@ -24,4 +356,44 @@ REGISTRY: dict[str, QueryFn] = {
     "state_totals": covid.state_totals,
     "us_totals": covid.us_totals,
     "state_daily": covid.state_daily,
+    # sources
+    "scan_csv": q_scan_csv,
+    "scan_geojson": q_scan_geojson,
+    "register_tables": q_register_tables,
+    "list_tables": q_list_tables,
+    "table_scan": q_table_scan,
+    "schema_evolve": q_schema_evolve,
+    "landing_path": q_landing_path,
+    # projections
+    "project_cols": q_project_cols,
+    "drop_copy_col": q_drop_copy_col,
+    "rename_positional": q_rename_positional,
+    "preview_head": q_preview_head,
+    "promote_header": q_promote_header,
+    # filters / nulls
+    "filter_null_safe_ne": q_filter_null_safe_ne,
+    "dropna_subset": q_dropna_subset,
+    "recode_state": q_recode_state,
+    "fill_zero": q_fill_zero,
+    # scalar functions
+    "code_pad": q_code_pad,
+    "code_split": q_code_split,
+    # aggregation / joins / keys / sort
+    "distinct_rows": q_distinct_rows,
+    "join_m2m_dedup": q_join_m2m_dedup,
+    "first_per_group": q_first_per_group,
+    "surrogate_key": q_surrogate_key,
+    "surrogate_key_append": q_surrogate_key_append,
+    "sort_multi": q_sort_multi,
+    # constraint reports
+    "check_pk": q_check_pk,
+    "check_fk": q_check_fk,
+    "check_not_null_len": q_check_not_null_len,
+    # sinks
+    "write_csv": q_write_csv,
+    "load_warehouse": q_load_warehouse,
+    "write_sorted": q_write_sorted,
+    "extract_csv": q_extract_csv,
+    "create_tables": q_create_tables,
+    "schema_ddl": q_schema_ddl,
 }

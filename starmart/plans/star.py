@@ -37,7 +37,9 @@ from starmart.schemas import DIM_DATE, DIM_HOSPITAL, DIM_REGION, FACT_COVID
 EXCLUDED_PLACE = "Grand Princess"
 STATE_RECODE = {"00": "72"}
 
-# Upper bound on distinct two-character state codes (digits or a sign, 11 * 11).
+# Upper bound on distinct state codes: the first two characters of a zero-padded
+# integer are each a digit or a minus sign, so there are at most 11 * 11 of them.
+# A per-state lookup therefore has at most this many rows, whatever the data size.
 MAX_STATE_CODES = 121
 
 
@@ -142,6 +144,6 @@ def covid_fact(daily: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame)
     rows = rows.withColumn("state_fips", zfill_code("fips", 2)).drop("fips")
     region_first = first_per_group(dim_region, "state_fips", "region_sk")
     hosp_first = first_per_group(dim_hospital, "state_fips", "hosp_sk")
-    joined = lookup_join(rows, region_first, "state_fips", max_rows=MAX_STATE_CODES)
-    joined = lookup_join(joined, hosp_first, "state_fips", max_rows=MAX_STATE_CODES)
+    joined = lookup_join(rows, region_first, "state_fips", proven_rows=MAX_STATE_CODES)
+    joined = lookup_join(joined, hosp_first, "state_fips", proven_rows=MAX_STATE_CODES)
     return fill_numeric_zero(joined.select(*FACT_COVID.names))

@@ -1,0 +1 @@
+"""Readers: delimited text, GeoJSON, catalog registration, landing-path derivation."""
