@@ -8,12 +8,13 @@
    state holding a third of the rows is still split over many tasks),
 2. sorts inside each range and tags each row with ``monotonically_increasing_id``
    (partition index in the high bits, position inside the partition in the low bits),
-3. checkpoints that tagged result to the shared checkpoint folder, so the tags are
-   fixed and survive executor loss (a recomputation could otherwise sample different
-   range bounds),
-4. counts rows per range (one row per partition), turns the counts into start offsets
-   with a running sum over that tiny table, and broadcasts it: its size is bounded by
-   the number of partitions, not by the data.
+3. writes the tagged rows once as a Parquet table below the shared checkpoint folder.
+   That fixes the tags (a recomputation could sample different range bounds) and cuts
+   the lineage, so a lost executor re-reads files instead of re-running the sort,
+4. counts rows per range partition from the tag column alone and collects those counts:
+   one number per partition, bounded by the partition count, never by the data,
+5. turns the counts into start offsets and applies them as a literal array lookup, so
+   later plans over the keyed table are a plain scan + projection (no join, no window).
 
 The key of a row is ``start + offset(partition) + position``. Order by *all* columns
 that distinguish rows, NULLS LAST, or ties make the keys non-reproducible.
@@ -23,14 +24,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.session import ensure_checkpoint_dir
+from starmart.session import scratch_path
 
 _TAG = "__sm_tag"
-_PART = "__sm_part"
-_OFFSET = "__sm_offset"
 _LOW_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row position
 
 
@@ -40,33 +39,35 @@ def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
-              start: int | Column = 1, num_partitions: int | None = None) -> DataFrame:
-    """Add ``key_col`` = 1-based (or ``start``-based) row number under the given order.
+              start: int = 1, num_partitions: int | None = None,
+              key_type: str = "int") -> DataFrame:
+    """Add ``key_col`` = ``start``-based row number under the given order (``key_col`` first).
 
-    Returns the input columns with ``key_col`` first.
+    ``key_type`` defaults to the warehouse's 32-bit INTEGER; an overflowing key fails
+    (ANSI cast) instead of wrapping. Use ``bigint`` for tables beyond 2^31 rows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     order = sort_columns(order_cols)
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order))
-    tagged = (ranged.sortWithinPartitions(*order)
-              .withColumn(_TAG, F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    path = scratch_path(spark, f"dense-key-{key_col}")
+    (ranged.sortWithinPartitions(*order)
+           .withColumn(_TAG, F.monotonically_increasing_id())
+           .write.mode("overwrite").parquet(path))
+    tagged = spark.read.parquet(path)
 
     part = F.shiftright(F.col(_TAG), _LOW_BITS)
-    counts = tagged.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("__sm_n"))
-    # One row per range partition: a running sum over it is cheap and bounded.
-    running = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _PART, F.coalesce(F.sum("__sm_n").over(running), F.lit(0)).alias(_OFFSET))
-
+    counts = dict(tagged.groupBy(part.alias("p")).count().collect())  # <= #partitions rows
+    n_parts = (max(counts) + 1) if counts else 1
+    offsets, running = [], 0
+    for p in range(n_parts):
+        offsets.append(running)
+        running += counts.get(p, 0)
+    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]),
+                          (part + 1).cast("int"))
     position = F.col(_TAG).bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    key = (start_col + F.col(_OFFSET) + position).cast("int")
-    out = (tagged.withColumn(_PART, part)
-           .join(F.broadcast(offsets), on=_PART, how="inner")
-           .withColumn(key_col, key))
-    return out.select(key_col, *df.columns)
+    key = (F.lit(start) + offset + position).cast(key_type)
+    return tagged.select(key.alias(key_col), *df.columns)
 
 
 def append_with_keys(existing: DataFrame, new_rows: DataFrame, key_col: str,

@@ -21,14 +21,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import lookup_join
-
 ANALOGUE_EXCLUDED_PLACE = "MACHINERY"
-NATION_ROWS_MAX = 1000  # nation is a fixed-size lookup (25 rows in TPC-H)
+
+
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Driver table ``name``; the file listing and footer schema are resolved once per session
+    (the inputs are read-only, and a DataFrame is an immutable, lazy plan)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (str(id(spark)) + spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _fips_number(nation: str, key: str):
@@ -54,7 +61,9 @@ def county_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = (table(spark, sf_dir, "nation").where(F.col("n_nationkey") != 24)
          .select(F.col("n_nationkey").alias("c_nationkey"), "n_name"))
     rows = o.join(c, o["o_custkey"] == c["c_custkey"])
-    rows = lookup_join(rows, n, "c_nationkey", max_rows=NATION_ROWS_MAX)
+    # nation is a fixed-size lookup: the planner broadcasts it from its file-size
+    # statistics, and AQE re-checks the measured size at run time.
+    rows = rows.join(n, "c_nationkey")
     return rows.select(_fips_number("c_nationkey", "c_custkey").cast("double").alias("fips"),
                        F.col("n_name").alias("county"))
 

@@ -11,7 +11,7 @@ Plan shape (per builder):
   shuffle, then ``dense_key`` numbers the rows (range partitioned, no single task).
 * ``hospital_dimension``: narrow column work, then ``dense_key``.
 * ``calendar_dimension``: one bounds aggregate over the feed (partial per task, one row
-  out), then ``spark.range`` spreads the days over tasks.
+  out), then one row per day of the span (bounded by the span, not by the data).
 * ``covid_fact``: the two per-state lookups are partial aggregates over the dimensions
   (at most one row per state) and are broadcast after a size check; the large daily
   feed is never shuffled for them.
@@ -19,7 +19,6 @@ Plan shape (per builder):
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -117,16 +116,19 @@ def calendar(spark, first_date, n_days: int, num_partitions: int | None = None)
 
 
 def calendar_dimension(daily: DataFrame, date_col: str = "date") -> DataFrame:
-    """``dim_date`` spanning the feed's first to last reported day.
+    """``dim_date`` spanning the feed's first to last reported day, built lazily.
 
-    The bounds are one aggregate row (partial min/max per task); only those two
-    dates reach the driver.
+    The bounds are one aggregate row (partial min/max per task); the days are produced
+    by ``explode(sequence(first, last))``. Its size is the number of days in the span
+    (36,525 for a century), independent of the data volume, and because it stays inside
+    the consumer's plan Spark can reuse the feed's shuffle between the fact and the
+    calendar instead of running a separate bounds job.
     """
-    bounds = date_bounds(daily, date_col).first()
-    first, last = bounds["first_date"], bounds["last_date"]
-    if first is None:
-        return calendar(daily.sparkSession, datetime.date(1970, 1, 1), 0)
-    return calendar(daily.sparkSession, first, (last - first).days + 1)
+    days = date_bounds(daily, date_col).select(
+        F.explode(F.sequence("first_date", "last_date")).alias("date"))
+    parts = calendar_columns("date")
+    return days.select(date_id("date").alias("date_id"), "date",
+                       *[expr.alias(name) for name, expr in parts.items()]).select(*DIM_DATE.names)
 
 
 _FACT_MEASURES = ["positive", "negative", "hospitalized", "hospitalizedcurrently",

@@ -71,6 +71,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
-    ck = ensure_checkpoint_dir(spark)
-    root = ck.rstrip("/").rsplit("/", 1)[0]
-    return f"{root}/{_SCRATCH_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
+    ck = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{ck}/{_SCRATCH_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
