@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.plans import analogue, marts, star
+from starmart.plans import analogue, marts, star, warehouse
 
 
 @dataclass
@@ -32,13 +32,18 @@ def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.calendar_dimension(analogue.states_daily(spark, sf_dir))
 
 
+def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The analogue feeds under the names ``warehouse.build`` expects."""
+    return {"case": analogue.case_feed(spark, sf_dir), "county": analogue.county_feed(spark, sf_dir),
+            "daily": analogue.states_daily(spark, sf_dir),
+            "hospitals": analogue.hospital_feed(spark, sf_dir)}
+
+
 def build_star(spark: SparkSession, sf_dir: str, with_calendar: bool = True) -> Star:
-    daily = analogue.states_daily(spark, sf_dir)
-    dim_region = region_dim(spark, sf_dir)
-    dim_hospital = hospital_dim(spark, sf_dir)
-    fact = star.covid_fact(daily, dim_region, dim_hospital)
-    dim_date = star.calendar_dimension(daily) if with_calendar else None
-    return Star(dim_region, dim_hospital, dim_date, fact, daily)
+    f = feeds(spark, sf_dir)
+    t = warehouse.build(f, excluded_place=analogue.ANALOGUE_EXCLUDED_PLACE)
+    return Star(t["dim_region"], t["dim_hospital"], t["dim_date"] if with_calendar else None,
+                t["fact_covid"], f["daily"])
 
 
 def fact_covid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,7 +64,7 @@ def write_sorted(df: DataFrame, path: str, sort_cols: Sequence[str | Column],
 def extract_csv(df: DataFrame, path: str, order_cols: Sequence[str | Column],
                 single_file: bool = False) -> str:
     """Ordered, fully quoted CSV extract with a header; NULL is written as ''."""
-    ordered = df.orderBy(*sort_columns(order_cols))
+    ordered = df.orderBy(*sort_columns(order_cols)) if order_cols else df
     if single_file:
         ordered = ordered.coalesce(1)  # order survives coalesce(1): partitions are concatenated
     (ordered.write.mode("overwrite")
