@@ -345,6 +345,7 @@ FROM daily y WHERE y.fips IS NOT NULL
     "write_csv": with_star("SELECT * FROM fact_covid"),
     "load_warehouse": with_star("SELECT * FROM dim_region"),
     "write_sorted": with_star("SELECT * FROM fact_covid"),
+    "stream_load_fact": with_star("SELECT * FROM fact_covid"),
     "extract_csv": SQL["state_totals"],
     "create_tables": with_star("\nUNION ALL\n".join(
         f"SELECT '{spec.name}' AS table_name, {len(spec.columns)} AS n_columns, count(*) AS n_rows "

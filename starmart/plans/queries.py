@@ -342,6 +342,32 @@ def q_schema_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+# ---------------------------------------------------------------------------
+# Streaming
+# ---------------------------------------------------------------------------
+
+
+def q_stream_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily files land in date order and are loaded by the streaming merge, one file per
+    micro-batch; the same files are then delivered again under new names and re-loaded,
+    which must leave the table unchanged (the merge is keyed, not appended)."""
+    from starmart.streaming import daily_load
+
+    daily = analogue.states_daily(spark, sf_dir)
+    dim_region = covid.region_dim(spark, sf_dir)
+    dim_hospital = covid.hospital_dim(spark, sf_dir)
+    landing = scratch_path(spark, "landing")
+    target = scratch_path(spark, "fact_stream")
+    checkpoint = scratch_path(spark, "fact_stream_ck")
+    for delivery in ("first", "again"):
+        (daily.repartitionByRange(4, "date").write.mode("overwrite")
+              .option("header", True).csv(f"{landing}/{delivery}"))
+        q = daily_load.start(spark, f"{landing}/*", dim_region, dim_hospital, target, checkpoint,
+                             available_now=True, max_files_per_trigger=1)
+        q.awaitTermination()
+    return daily_load.read_fact(spark, target)
+
+
 def _date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.date_bounds(analogue.states_daily(spark, sf_dir))
 
@@ -396,4 +422,6 @@ REGISTRY: dict[str, QueryFn] = {
     "extract_csv": q_extract_csv,
     "create_tables": q_create_tables,
     "schema_ddl": q_schema_ddl,
+    # streaming
+    "stream_load_fact": q_stream_load_fact,
 }

@@ -1,0 +1 @@
+"""Structured Streaming: incremental, exactly-once load of landed daily files."""
