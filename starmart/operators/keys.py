@@ -40,14 +40,21 @@ def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
 
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
               start: int = 1, num_partitions: int | None = None,
-              key_type: str = "int") -> DataFrame:
+              key_type: str = "int", spread_ties: bool = True) -> DataFrame:
     """Add ``key_col`` = ``start``-based row number under the given order (``key_col`` first).
 
     ``key_type`` defaults to the warehouse's 32-bit INTEGER; an overflowing key fails
     (ANSI cast) instead of wrapping. Use ``bigint`` for tables beyond 2^31 rows.
+
+    ``spread_ties`` appends a random tie-breaker to the range key. Rows equal in every
+    ordered column are interchangeable (which of them gets which key cannot be told
+    apart), so the tie-breaker changes no result; it lets range partitioning split a
+    value repeated by a third of the rows instead of sending all of them to one task.
     """
     spark = df.sparkSession
     order = sort_columns(order_cols)
+    if spread_ties:
+        order = order + [F.rand(seed=7).asc()]
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order))
     path = scratch_path(spark, f"dense-key-{key_col}")

@@ -76,3 +76,15 @@ def test_append_with_keys_continues_after_max(spark):
     new = spark.createDataFrame([("d",), ("c",)], "n string")
     got = {r.n: r.sk for r in append_with_keys(existing, new, "sk", ["n"]).collect()}
     assert got == {"c": 3, "d": 4}
+
+
+def test_dense_key_spreads_identical_rows(spark):
+    # a third of the rows are identical in every ordered column
+    df = spark.range(3000).selectExpr("CASE WHEN id < 1000 THEN 'same' ELSE CAST(id AS STRING) END AS v")
+    got = dense_key(df, ["v"], "sk", num_partitions=8)
+    keys = sorted(r.sk for r in got.collect())
+    assert keys == list(range(1, 3001))
+    exp = _reference_keys(df, ["v"], "sk")
+    assert got.exceptAll(exp.select(*got.columns)).count() == 0
+    ranged = df.repartitionByRange(8, F.col("v").asc_nulls_last(), F.rand(seed=7).asc())
+    assert ranged.where("v = 'same'").select(F.spark_partition_id()).distinct().count() >= 2
