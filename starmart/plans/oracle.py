@@ -230,6 +230,7 @@ SQL.update({
     # sources
     "scan_csv": "SELECT * FROM orders",
     "scan_geojson": with_feeds("SELECT *, longtitude AS lon, latitude AS lat FROM hospital_feed"),
+    "mart_views": SQL["state_totals"],
     "register_tables": _profile([("src_region", "region"), ("src_nation", "nation"),
                                  ("src_customer", "customer"), ("src_supplier", "supplier"),
                                  ("src_orders", "orders"), ("src_lineitem", "lineitem")]),

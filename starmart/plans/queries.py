@@ -16,7 +16,7 @@ from starmart.functions.codes import left_chars, recode, right_chars, zfill_code
 from starmart.operators import checks, clean
 from starmart.operators.joins import first_per_group, join_distinct
 from starmart.operators.keys import append_with_keys, dense_key
-from starmart.plans import analogue, covid, star
+from starmart.plans import analogue, covid, star, warehouse
 from starmart.schemas import (DIM_DATE, DIM_HOSPITAL, DIM_REGION, FACT_COVID, HOSPITALS,
                               STATE_TOTALS_COLS, WAREHOUSE)
 from starmart.session import scratch_path
@@ -60,9 +60,19 @@ def _register_driver_tables(spark: SparkSession, sf_dir: str, names: list[str],
 
 
 def q_register_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue driver files as external tables (no copy), profile them from the catalog."""
-    names = ["region", "nation", "customer", "supplier", "orders", "lineitem"]
-    _, tables = _register_driver_tables(spark, sf_dir, names, prefix="src_")
+    """Catalogue driver files as external tables (no copy), profile them from the catalog.
+
+    One entry names a single path; the other lists several paths, registered as one
+    table per path, named after the file."""
+    db = "starmart_raw"
+    catalog.create_database(spark, db, scratch_path(spark, "db"))
+    base = sf_dir.rstrip("/")
+    tables = catalog.register_tables(
+        spark, db,
+        {"region": f"{base}/region.parquet",
+         "static": [f"{base}/{n}.parquet" for n in ("nation", "customer", "supplier",
+                                                    "orders", "lineitem")]},
+        prefix="src_")
     return catalog.table_profile(spark, tables)
 
 
@@ -315,6 +325,17 @@ def q_extract_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path).toDF(*STATE_TOTALS_COLS)
 
 
+def q_mart_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the star as typed tables written in sort-key order, define the mart views
+    over them and read ``state_totals`` back through its view."""
+    s = covid.build_star(spark, sf_dir)
+    tables = {"dim_date": s.dim_date, "dim_hospital": s.dim_hospital,
+              "dim_region": s.dim_region, "fact_covid": s.fact_covid}
+    warehouse.publish(spark, tables, scratch_path(spark, "published"), db="starmart_pub")
+    warehouse.create_mart_views(spark, db="starmart_pub")
+    return spark.table("state_totals")
+
+
 def q_create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create the four typed warehouse tables, load the star, profile the tables."""
     s = covid.build_star(spark, sf_dir)
@@ -421,6 +442,7 @@ REGISTRY: dict[str, QueryFn] = {
     "write_sorted": q_write_sorted,
     "extract_csv": q_extract_csv,
     "create_tables": q_create_tables,
+    "mart_views": q_mart_views,
     "schema_ddl": q_schema_ddl,
     # streaming
     "stream_load_fact": q_stream_load_fact,

@@ -20,33 +20,37 @@ def create_database(spark: SparkSession, db: str, location: str | None = None) -
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{loc}")
 
 
+def _table_name(path: str) -> str:
+    """Folder (or file stem) name as a table name: ``.../us_county/`` -> ``us_county``."""
+    leaf = path.rstrip("/").split("/")[-1]
+    leaf = leaf.split(".")[0] if "." in leaf else leaf
+    return "".join(ch if ch.isalnum() else "_" for ch in leaf).lower()
+
+
 def register_tables(spark: SparkSession, db: str, sources: Mapping[str, str | Sequence[str]],
                     fmt: str = "parquet", prefix: str = "",
                     options: Mapping[str, str] | None = None) -> list[str]:
-    """Register each source path (or list of paths) as ``db.prefix+name``.
+    """Register external tables in ``db``; returns the qualified names.
 
-    A list of paths becomes one table over all of them (schemas merged by name).
-    Returns the qualified table names.
+    ``sources`` maps a name to one path, which becomes ``db.prefix+name``, or to a list of
+    paths, each of which becomes its own table ``db.prefix+<folder name>`` (one table per
+    crawled folder). Tables point at the files where they are; nothing is copied, and the
+    schema comes from the files (Parquet footers, or CSV inference when asked for).
     """
-    names = []
     opts = dict(options or {})
+    targets: list[tuple[str, str]] = []
     for name, path in sources.items():
-        qualified = f"`{db}`.`{prefix}{name}`"
-        paths = [path] if isinstance(path, str) else list(path)
-        if len(paths) == 1:
-            opt_sql = "".join(f", '{k}' '{v}'" for k, v in opts.items())
-            spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-            spark.sql(f"CREATE TABLE {qualified} USING {fmt} "
-                      f"OPTIONS (path '{paths[0]}'{opt_sql})")
+        if isinstance(path, str):
+            targets.append((f"{prefix}{name}", path))
         else:
-            reader = spark.read.format(fmt).options(**opts)
-            if fmt == "parquet":
-                reader = reader.option("mergeSchema", "true")
-            df = reader.load(paths)
-            spark.sql(f"DROP VIEW IF EXISTS `{prefix}{name}`")
-            df.createOrReplaceTempView(f"{prefix}{name}")
-            qualified = f"`{prefix}{name}`"
-        names.append(qualified.replace("`", ""))
+            targets.extend((f"{prefix}{_table_name(p)}", p) for p in path)
+    names = []
+    for table, path in targets:
+        qualified = f"`{db}`.`{table}`"
+        opt_sql = "".join(f", '{k}' '{v}'" for k, v in opts.items())
+        spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+        spark.sql(f"CREATE TABLE {qualified} USING {fmt} OPTIONS (path '{path}'{opt_sql})")
+        names.append(f"{db}.{table}")
     return names
 
 

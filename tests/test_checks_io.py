@@ -99,6 +99,12 @@ def test_catalog_and_positional_load(spark):
     assert catalog.list_tables(spark, db, "raw_*") == ["raw_nums"]
     prof = catalog.table_profile(spark, names).first()
     assert (prof.table_name, prof.n_columns, prof.n_rows) == ("raw_nums", 2, 10)
+    # a list of folders: one table per folder, named after it
+    many = [scratch_path(spark, "t_list") + "/us_county", scratch_path(spark, "t_list") + "/us-states"]
+    for p in many:
+        spark.range(2).write.parquet(p)
+    listed = catalog.register_tables(spark, db, {"nytimes": many}, prefix="nyt_")
+    assert listed == [f"{db}.nyt_us_county", f"{db}.nyt_us_states"]
 
     a = scratch_path(spark, "t_b1")
     b = scratch_path(spark, "t_b2")
