@@ -6,10 +6,10 @@
   overwrites, so a re-run does not duplicate rows.
 * ``write_sorted``: range partitioned on the sort key and sorted inside each file, so
   Parquet row-group min/max statistics skip data for range predicates on the key.
-* ``extract_csv``: ordered extract with every value quoted and NULL as empty text. A
-  single file is produced only when asked for; that funnels the rows through one task
-  and is meant for marts whose size is bounded (one row per state). Otherwise the global
-  order is kept across the part files of a range partitioned write.
+* ``extract_csv``: ordered extract in unload format (plain header, every value quoted,
+  NULL as ``""``). A single file is produced only when asked for; that funnels the rows
+  through one task and is meant for marts whose size is bounded (one row per state).
+  Otherwise the global order is kept across the part files of a range partitioned write.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.operators.keys import sort_columns
@@ -61,16 +62,45 @@ def write_sorted(df: DataFrame, path: str, sort_cols: Sequence[str | Column],
     return path
 
 
-def extract_csv(df: DataFrame, path: str, order_cols: Sequence[str | Column],
+def _extract_text(c: Column, dtype: T.DataType) -> Column:
+    """A value as warehouse unload text: whole doubles without a fraction (``49``, not
+    ``49.0``), booleans as ``t`` / ``f``, everything else as its string form."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e15))
+        return F.when(whole, c.cast("bigint").cast("string")).otherwise(c.cast("string"))
+    if isinstance(dtype, T.BooleanType):
+        return F.when(c, F.lit("t")).when(~c, F.lit("f"))
+    return c.cast("string")
+
+
+def _quoted(text: Column) -> Column:
+    """Always quoted, inner quotes doubled, NULL as an empty quoted field."""
+    return F.concat(F.lit('"'), F.coalesce(F.replace(text, F.lit('"'), F.lit('""')), F.lit("")),
+                    F.lit('"'))
+
+
+def extract_csv(df: DataFrame, path: str, order_cols: Sequence[str],
                 single_file: bool = False) -> str:
-    """Ordered, fully quoted CSV extract with a header; NULL is written as ''."""
-    ordered = df.orderBy(*sort_columns(order_cols)) if order_cols else df
+    """Ordered CSV extract in unload format: plain header line, every value quoted,
+    NULL as ``""``.
+
+    The lines are rendered with built-in string functions and the header row is placed
+    first in the global order, so it is the first line of the first part file; the part
+    files concatenated in name order are the extract. ``single_file`` funnels the rows
+    through one task and is meant for marts of bounded size.
+    """
+    rank = "__sm_line"
+    keys = list(order_cols)
+    line = F.concat_ws(",", *[_quoted(_extract_text(F.col(f.name), f.dataType))
+                              for f in df.schema.fields])
+    body = df.select(F.lit(1).alias(rank), *keys, line.alias("value"))
+    header = df.sparkSession.range(1).select(
+        F.lit(0).alias(rank), *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys],
+        F.lit(",".join(df.columns)).alias("value"))
+    ordered = header.unionByName(body).orderBy(F.col(rank), *sort_columns(keys))
     if single_file:
         ordered = ordered.coalesce(1)  # order survives coalesce(1): partitions are concatenated
-    (ordered.write.mode("overwrite")
-        .option("header", True).option("quoteAll", True).option("escape", '"')
-        .option("nullValue", "").option("emptyValue", "")
-        .csv(path))
+    ordered.select("value").write.mode("overwrite").text(path)
     return path
 
 

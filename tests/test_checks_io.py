@@ -34,18 +34,34 @@ def test_column_violations(spark):
     assert rep["fips"] == (0, 0)
 
 
-def test_extract_csv_quotes_everything(spark):
-    df = spark.createDataFrame([("b", 'x, "y"', None), ("a", "plain", 1.5)], "k string, v string, n double")
+def test_extract_csv_unload_format(spark):
+    df = spark.createDataFrame([("b", 'x, "y"', None, 49.0), ("a", "plain", 1.5, 6158147.0)],
+                               "k string, v string, n double, total double")
     path = writers.extract_csv(df, scratch_path(spark, "t_extract"), ["k"], single_file=True)
-    parts = glob.glob(os.path.join(path.replace("file:", ""), "part-*.csv"))
+    parts = glob.glob(os.path.join(path.replace("file:", ""), "part-*"))
+    parts = [p for p in parts if not p.endswith(".crc")]
     assert len(parts) == 1
     with open(parts[0], newline="") as fh:
         lines = fh.read().splitlines()
-    assert lines[1] == '"a","plain","1.5"'
-    assert lines[2] == '"b","x, ""y""",""'
+    assert lines == ['k,v,n,total', '"a","plain","1.5","6158147"', '"b","x, ""y""","","49"']
     with open(parts[0], newline="") as fh:
         parsed = list(csv.reader(fh))
-    assert parsed[0] == ["k", "v", "n"] and parsed[2] == ["b", 'x, "y"', ""]
+    assert parsed[2] == ["b", 'x, "y"', "", "49"]
+
+
+def test_extract_keeps_order_across_files(spark):
+    df = spark.range(500).selectExpr("CAST(499 - id AS INT) AS k", "id * 0.5 AS x")
+    path = writers.extract_csv(df.repartition(7), scratch_path(spark, "t_extract_multi"), ["k"])
+    text = spark.read.text(path)
+    files = sorted(p for p in glob.glob(os.path.join(path.replace("file:", ""), "part-*"))
+                   if not p.endswith(".crc"))
+    lines = []
+    for f in files:
+        with open(f) as fh:
+            lines += fh.read().splitlines()
+    assert lines[0] == "k,x" and len(lines) == 501 == text.count()
+    keys = [int(line.split(",")[0].strip('"')) for line in lines[1:]]
+    assert keys == list(range(500))
 
 
 def test_geojson_both_layouts(spark):

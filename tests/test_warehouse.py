@@ -47,7 +47,8 @@ def test_run_from_raw_files(spark):
     us = spark.table("us_totals").first()
     assert (us.begin_data, us.end_data) == (20200113, 20200115)
 
-    part = glob.glob(os.path.join(_local(extracts["state_totals"]), "part-*.csv"))
+    part = [p for p in glob.glob(os.path.join(_local(extracts["state_totals"]), "part-*"))
+            if not p.endswith(".crc")]
     assert len(part) == 1
     with open(part[0], newline="") as fh:
         rows = list(csv.reader(fh))
