@@ -3,6 +3,8 @@ a restarted query with the same checkpoint does not reload processed files."""
 
 import os
 
+from pyspark.sql import types as T
+
 from covid_fixture import make_feeds
 from starmart.plans import star
 from starmart.schemas import STATES_DAILY
@@ -52,6 +54,6 @@ def test_latest_file_wins_within_a_batch(spark):
         [_row(1.0, 20200113, "AL", 10.0) + ("file:/l/a.csv",),
          _row(1.0, 20200113, "AL", 12.0) + ("file:/l/b.csv",),
          _row(6.0, 20200113, "CA", 5.0) + ("file:/l/a.csv",)],
-        STATES_DAILY.add("__sm_source", "string"))
+        T.StructType(STATES_DAILY.fields + [T.StructField("__sm_source", T.StringType())]))
     got = {(r.fips, r.positive) for r in daily_load._latest_per_key(rows).collect()}
     assert got == {(1.0, 12.0), (6.0, 5.0)}
