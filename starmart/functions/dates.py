@@ -16,8 +16,10 @@ def parse_yyyymmdd(c: str | Column) -> Column:
 
 
 def date_id(c: str | Column) -> Column:
-    """DATE to its integer ``yyyymmdd`` key."""
-    return F.date_format(_col(c), "yyyyMMdd").cast("int")
+    """DATE (or timestamp) to its integer ``yyyymmdd`` key, by arithmetic on the parts
+    (no per-row string formatting)."""
+    d = _col(c)
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
 def calendar_columns(c: str | Column) -> dict[str, Column]:

@@ -3,21 +3,31 @@
 ``row_number() OVER (ORDER BY ...)`` without ``PARTITION BY`` plans an
 ``Exchange SinglePartition``: one task sorts every row. ``dense_key`` instead
 
-1. range-partitions the rows on the full sort order (Spark samples the key to pick
-   balanced ranges; ranges follow the whole key, so a hot leading column such as one
-   state holding a third of the rows is still split over many tasks),
-2. sorts inside each range and tags each row with ``monotonically_increasing_id``
-   (partition index in the high bits, position inside the partition in the low bits),
-3. writes the tagged rows once as a Parquet table below the shared checkpoint folder.
-   That fixes the tags (a recomputation could sample different range bounds) and cuts
-   the lineage, so a lost executor re-reads files instead of re-running the sort,
-4. counts rows per range partition from the tag column alone and collects those counts:
+1. collapses exact copies into one row with a multiplicity (a partial + final
+   aggregate, so even a group of copies holding a third of all rows shrinks map-side
+   before it is shuffled), writes that once, and splits each multiplicity into chunks
+   of at most ``ceil(rows / distinct rows)`` copies. Range partitioning balances items,
+   so items must weigh about the same: a copy group holding a third of the rows becomes
+   about a third of the items and is spread over that share of the partitions,
+2. range-partitions the rows on the requested order followed by every other column and
+   the chunk number. That order is total and deterministic, and because ranges follow the
+   whole key a hot leading value (one state holding a third of the rows), or the chunks
+   of one much-copied row, are split over many tasks,
+3. sorts inside each range, expands the chunks back into copies and tags each row with
+   ``monotonically_increasing_id`` (partition index in the high bits, position inside the
+   partition in the low bits),
+4. writes the tagged rows once as a Parquet table below the shared checkpoint folder:
+   that fixes the tags (a recomputation could sample different range bounds) and cuts the
+   lineage, so a lost executor re-reads files instead of re-running the sort,
+5. counts rows per range partition from the tag column alone and collects those counts:
    one number per partition, bounded by the partition count, never by the data,
-5. turns the counts into start offsets and applies them as a literal array lookup, so
+6. turns the counts into start offsets and applies them as a literal array lookup, so
    later plans over the keyed table are a plain scan + projection (no join, no window).
 
-The key of a row is ``start + offset(partition) + position``. Order by *all* columns
-that distinguish rows, NULLS LAST, or ties make the keys non-reproducible.
+The key of a row is ``start + offset(partition) + position``. Every step is
+deterministic (no random tie-breakers), so re-run tasks reproduce the same rows.
+Exact copies are interchangeable, so the keys equal ``row_number()`` under any
+tie-breaking of them.
 """
 
 from __future__ import annotations
@@ -30,6 +40,9 @@ from pyspark.sql import functions as F
 from starmart.session import scratch_path
 
 _TAG = "__sm_tag"
+_N = "__sm_copies"
+_CHUNK = "__sm_chunk"
+_WEIGHT = "__sm_weight"
 _LOW_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row position
 
 
@@ -39,28 +52,45 @@ def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
-              start: int = 1, num_partitions: int | None = None,
-              key_type: str = "int", spread_ties: bool = True) -> DataFrame:
+              start: int = 1, num_partitions: int | None = None, key_type: str = "int",
+              collapse_copies: bool = True, chunk_rows: int | None = None) -> DataFrame:
     """Add ``key_col`` = ``start``-based row number under the given order (``key_col`` first).
 
     ``key_type`` defaults to the warehouse's 32-bit INTEGER; an overflowing key fails
     (ANSI cast) instead of wrapping. Use ``bigint`` for tables beyond 2^31 rows.
-
-    ``spread_ties`` appends a random tie-breaker to the range key. Rows equal in every
-    ordered column are interchangeable (which of them gets which key cannot be told
-    apart), so the tie-breaker changes no result; it lets range partitioning split a
-    value repeated by a third of the rows instead of sending all of them to one task.
+    ``collapse_copies=False`` skips step 1 for inputs known to be duplicate-free (for
+    example the output of a DISTINCT), saving one aggregation. ``chunk_rows`` overrides
+    the chunk size derived from the data.
     """
     spark = df.sparkSession
-    order = sort_columns(order_cols)
-    if spread_ties:
-        order = order + [F.rand(seed=7).asc()]
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order))
+    cols = df.columns
+    named = {c for c in order_cols if isinstance(c, str)}
+    order = sort_columns(order_cols) + [F.col(c).asc_nulls_last() for c in cols if c not in named]
+    if collapse_copies:
+        copies_path = scratch_path(spark, f"dense-key-{key_col}-copies")
+        df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_N)).write.mode("overwrite").parquet(copies_path)
+        counted = spark.read.parquet(copies_path)
+        if chunk_rows is None:
+            st = counted.agg(F.sum(_N).alias("rows"), F.count(F.lit(1)).alias("items")).first()
+            total, distinct = int(st["rows"] or 0), int(st["items"] or 0)
+            chunk_rows = max(1, -(-total // max(distinct, 1)))
+        last_chunk = ((F.col(_N) - 1) / F.lit(chunk_rows)).cast("bigint")
+        items = counted.select(*cols, _N, F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk))
+                               .alias(_CHUNK))
+        items = items.withColumn(_WEIGHT, F.least(F.lit(chunk_rows).cast("bigint"),
+                                                  F.col(_N) - F.col(_CHUNK) * chunk_rows))
+        order = order + [F.col(_CHUNK).asc()]
+    else:
+        items = df
+    ranged = (items.repartitionByRange(num_partitions, *order) if num_partitions
+              else items.repartitionByRange(*order))
+    rows = ranged.sortWithinPartitions(*order)
+    if collapse_copies:
+        # expand each chunk back into its copies, in place (a narrow step after the sort)
+        rows = rows.select(*cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_WEIGHT)))
+                           .alias("__sm_copy")).drop("__sm_copy")
     path = scratch_path(spark, f"dense-key-{key_col}")
-    (ranged.sortWithinPartitions(*order)
-           .withColumn(_TAG, F.monotonically_increasing_id())
-           .write.mode("overwrite").parquet(path))
+    rows.withColumn(_TAG, F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
     tagged = spark.read.parquet(path)
 
     part = F.shiftright(F.col(_TAG), _LOW_BITS)
@@ -74,7 +104,7 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
                           (part + 1).cast("int"))
     position = F.col(_TAG).bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     key = (F.lit(start) + offset + position).cast(key_type)
-    return tagged.select(key.alias(key_col), *df.columns)
+    return tagged.select(key.alias(key_col), *cols)
 
 
 def append_with_keys(existing: DataFrame, new_rows: DataFrame, key_col: str,

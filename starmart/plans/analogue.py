@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.functions.dates import date_id
+
 ANALOGUE_EXCLUDED_PLACE = "MACHINERY"
 
 
@@ -97,7 +99,7 @@ def states_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     def nonzero(cnt):
         return F.when(cnt == 0, F.lit(None)).otherwise(cnt)
 
-    day = F.date_format("o_orderdate", "yyyyMMdd").cast("int")
+    day = date_id("o_orderdate")
     daily = rows.groupBy(F.col("c_nationkey"), day.alias("date")).agg(
         F.count(F.lit(1)).alias("n_all"),
         F.count_if(status == "O").alias("n_open"),

@@ -72,8 +72,10 @@ def region_dimension(case_feed: DataFrame, county_feed: DataFrame,
         "fips", "state_fips", "county_fips",
         F.col("province_state").alias("state"), "county",
         F.col("country_region").alias("country"), "latitude", "longitude")
+    # rows are distinct here (join of de-duplicated sides), so no copies to collapse
     keyed = dense_key(named, ["state_fips", "county_fips", "fips", "state", "county",
-                              "country", "latitude", "longitude"], "region_sk")
+                              "country", "latitude", "longitude"], "region_sk",
+                      collapse_copies=False)
     return keyed.select(*DIM_REGION.names)
 
 

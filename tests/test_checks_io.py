@@ -119,8 +119,8 @@ def test_catalog_and_positional_load(spark):
     many = [scratch_path(spark, "t_list") + "/us_county", scratch_path(spark, "t_list") + "/us-states"]
     for p in many:
         spark.range(2).write.parquet(p)
-    listed = catalog.register_tables(spark, db, {"nytimes": many}, prefix="nyt_")
-    assert listed == [f"{db}.nyt_us_county", f"{db}.nyt_us_states"]
+    listed = catalog.register_tables(spark, db, {"counties": many}, prefix="cty_")
+    assert listed == [f"{db}.cty_us_county", f"{db}.cty_us_states"]
 
     a = scratch_path(spark, "t_b1")
     b = scratch_path(spark, "t_b2")
