@@ -108,7 +108,7 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
 
 
 def append_with_keys(existing: DataFrame, new_rows: DataFrame, key_col: str,
-                     order_cols: Sequence[str | Column]) -> DataFrame:
+                     order_cols: Sequence[str | Column], collapse_copies: bool = True) -> DataFrame:
     """Give ``new_rows`` keys after the largest key already in ``existing``.
 
     Matches a load with explicit identity values: the existing keys are untouched and
@@ -116,4 +116,5 @@ def append_with_keys(existing: DataFrame, new_rows: DataFrame, key_col: str,
     rows only (union them with ``existing`` to get the full table).
     """
     current_max = existing.agg(F.max(key_col).alias("m")).first()["m"] or 0
-    return dense_key(new_rows, order_cols, key_col, start=int(current_max) + 1)
+    return dense_key(new_rows, order_cols, key_col, start=int(current_max) + 1,
+                     collapse_copies=collapse_copies)

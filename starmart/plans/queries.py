@@ -214,7 +214,9 @@ def q_first_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _T(spark, sf_dir, "customer")
-    return dense_key(c, ["c_nationkey", "c_mktsegment", "c_acctbal", "c_custkey"], "customer_sk")
+    # c_custkey is unique, so rows cannot be copies of each other
+    return dense_key(c, ["c_nationkey", "c_mktsegment", "c_acctbal", "c_custkey"], "customer_sk",
+                     collapse_copies=False)
 
 
 def q_surrogate_key_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,9 +227,9 @@ def q_surrogate_key_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _T(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("party_key"), F.col("c_name").alias("name"),
         F.col("c_nationkey").alias("nation"))
-    order = ["nation", "name", "party_key"]
-    existing = dense_key(s, order, "party_sk")
-    appended = append_with_keys(existing, c, "party_sk", order)
+    order = ["nation", "name", "party_key"]  # party_key is unique within each table
+    existing = dense_key(s, order, "party_sk", collapse_copies=False)
+    appended = append_with_keys(existing, c, "party_sk", order, collapse_copies=False)
     return existing.unionByName(appended)
 
 
@@ -236,7 +238,7 @@ def q_sort_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _T(spark, sf_dir, "orders")
     order = [F.col("o_orderdate").desc_nulls_last(), F.col("o_totalprice").asc_nulls_last(),
              F.col("o_orderkey").asc_nulls_last()]
-    return dense_key(o, order, "pos")
+    return dense_key(o, order, "pos", collapse_copies=False)  # o_orderkey is unique
 
 
 # ---------------------------------------------------------------------------
