@@ -66,12 +66,14 @@ def merge_batch(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame
     if batch.isEmpty():
         return
     new_rows = star.covid_fact(_latest_per_key(batch), dim_region, dim_hospital)
-    new_rows = new_rows.withColumn(_MONTH, _month_of("date"))
+    new_rows = new_rows.withColumn(_MONTH, _month_of("date")).persist()
+    # The months one batch touches: a short list (a backfill of decades is ~1,200), used as
+    # a literal filter so only those partitions of the table are read (static pruning).
+    months = sorted(r[0] for r in new_rows.select(_MONTH).distinct().collect())
     merged = new_rows
     existing = _read_existing(spark, target)
-    if existing is not None:
-        months = new_rows.select(_MONTH).distinct()  # the months one batch touches
-        kept = (existing.join(months, _MONTH, "left_semi")
+    if existing is not None and months:
+        kept = (existing.where(F.col(_MONTH).isin(months))
                         .join(new_rows.select(*_PK), _PK, "left_anti"))
         merged = kept.unionByName(new_rows)
     # Stage first: the target partitions cannot be read and overwritten by one job.
@@ -81,6 +83,7 @@ def merge_batch(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame
     (spark.read.parquet(staging).select(*FACT_COVID.names, _MONTH).repartition(_MONTH)
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(_MONTH).parquet(target))
+    new_rows.unpersist()
 
 
 def start(spark: SparkSession, landing_dir: str, dim_region: DataFrame, dim_hospital: DataFrame,
