@@ -253,12 +253,14 @@ def q_check_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     dup_natural = checks.duplicate_keys(s.dim_region, ["state_fips", "county_fips"])
     dup_sk = checks.duplicate_keys(s.dim_region, ["region_sk"])
     dup_fact = checks.duplicate_keys(s.fact_covid, list(FACT_COVID.primary_key))
-    part = lambda df, name, key: df.select(F.lit(name).alias("check_name"),
-                                           F.concat_ws("|", *[F.col(k).cast("string") for k in key])
-                                           .alias("key_value"), "n_rows")
-    return (part(dup_natural, "dim_region_natural", ["state_fips", "county_fips"])
-            .unionByName(part(dup_sk, "dim_region_pk", ["region_sk"]))
-            .unionByName(part(dup_fact, "fact_covid_pk", list(FACT_COVID.primary_key))))
+
+    def report(df: DataFrame, name: str, key: list[str]) -> DataFrame:
+        key_text = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
+        return df.select(F.lit(name).alias("check_name"), key_text.alias("key_value"), "n_rows")
+
+    return (report(dup_natural, "dim_region_natural", ["state_fips", "county_fips"])
+            .unionByName(report(dup_sk, "dim_region_pk", ["region_sk"]))
+            .unionByName(report(dup_fact, "fact_covid_pk", list(FACT_COVID.primary_key))))
 
 
 def q_check_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
