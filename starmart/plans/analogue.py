@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Driver table ``name``; the file listing and footer schema are resolved once per session
     (the inputs are read-only, and a DataFrame is an immutable, lazy plan)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (str(id(spark)) + spark.sparkContext.applicationId, path)
+    key = (f"{id(spark)}:{spark.conf.get('spark.app.id', '')}", path)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(path)

@@ -57,18 +57,28 @@ def build_session(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting one only where the cluster named none."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = _local_dirs.get(id(spark))
     if not configured:
         # Local runs and tests only: a fresh folder per session.
         configured = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("STARMART_TMP", "/tmp"))
+        _local_dirs[id(spark)] = configured
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+_local_dirs: dict[int, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     ck = ensure_checkpoint_dir(spark).rstrip("/")
