@@ -373,7 +373,7 @@ def q_schema_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily files land in date order and are loaded by the streaming merge, one file per
+    """Daily files land in date order and are loaded by the streaming merge, two files per
     micro-batch; the same files are then delivered again under new names and re-loaded,
     which must leave the table unchanged (the merge is keyed, not appended)."""
     from starmart.streaming import daily_load
@@ -388,7 +388,7 @@ def q_stream_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         (daily.repartitionByRange(4, "date").write.mode("overwrite")
               .option("header", True).csv(f"{landing}/{delivery}"))
         q = daily_load.start(spark, f"{landing}/*", dim_region, dim_hospital, target, checkpoint,
-                             available_now=True, max_files_per_trigger=1)
+                             available_now=True, max_files_per_trigger=2)
         q.awaitTermination()
     return daily_load.read_fact(spark, target)
 

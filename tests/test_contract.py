@@ -49,13 +49,20 @@ def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) == set(E.queries())
 
 
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+          "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     s_rows = [tuple(r) for r in sdf.collect()]
-    res = duck.execute(E.oracle_sql()[name])
+    sql = E.oracle_sql()[name]
+    res = duck.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     assert sorted(sdf.columns) == sorted(d_cols)
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {c: _TYPES.get(t, t) for c, t in sdf.dtypes} == duck_types
     assert len(s_rows) == len(d_rows)
     assert _bag(sdf.columns, s_rows) == _bag(d_cols, d_rows)
