@@ -67,6 +67,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = _local_dirs.get(id(spark))
     if not configured:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a folder on shared "
+                "storage (checkpoints and intermediate tables are written below it)")
         # Local runs and tests only: a fresh folder per session.
         configured = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("STARMART_TMP", "/tmp"))
         _local_dirs[id(spark)] = configured

@@ -46,3 +46,11 @@ def test_calendar_parts(spark):
 def test_round_is_half_away_from_zero(spark):
     df = spark.createDataFrame([(2.5,), (-2.5,), (0.5,)], "x double")
     assert [r[0] for r in df.select(F.round("x", 0)).collect()] == [3.0, -3.0, 1.0]
+
+
+def test_scratch_paths_live_below_the_checkpoint_folder(spark):
+    from starmart.session import ensure_checkpoint_dir, scratch_path
+
+    ck = ensure_checkpoint_dir(spark)
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a.startswith(ck) and b.startswith(ck) and a != b
