@@ -152,9 +152,9 @@ def constraint_report(spark: SparkSession, db: str = "covid_dw") -> DataFrame:
                                  F.col("n_null").alias("n_violations")))
         parts.append(cols.select(F.lit("max_length").alias("check"), "table_name", "column_name",
                                  F.col("n_too_long").alias("n_violations")))
-        for child_col, parent, parent_col in spec.foreign_keys:
+        if spec.foreign_keys:  # all foreign keys of a table in one pass over it
             fk = checks.orphan_counts(t[spec.name], spec.name,
-                                      [(child_col, t[parent], parent, parent_col)])
+                                      [(c, t[parent], parent, pc) for c, parent, pc in spec.foreign_keys])
             parts.append(fk.select(F.lit("foreign_key").alias("check"),
                                    F.col("child_table").alias("table_name"),
                                    F.col("fk_column").alias("column_name"),
