@@ -13,8 +13,8 @@ Plan shape (per builder):
 * ``calendar_dimension``: one bounds aggregate over the feed (partial per task, one row
   out), then one row per day of the span (bounded by the span, not by the data).
 * ``covid_fact``: the two per-state lookups are partial aggregates over the dimensions
-  (at most one row per state) and are broadcast after a size check; the large daily
-  feed is never shuffled for them.
+  (one row per state code, at most 121 by construction) and are broadcast under that
+  proven bound; the large daily feed is never shuffled for them.
 """
 
 from __future__ import annotations
