@@ -8,6 +8,7 @@ return what Spark reads back, so the round trip itself is what gets checked.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -346,11 +347,15 @@ def q_create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = _warehouse_db(spark)
     frames = {"dim_date": s.dim_date, "dim_hospital": s.dim_hospital,
               "dim_region": s.dim_region, "fact_covid": s.fact_covid}
-    names = []
-    for spec in WAREHOUSE:
-        name = writers.create_table(spark, spec, scratch_path(spark, f"wh_{spec.name}"), db=db)
+    names = [writers.create_table(spark, spec, scratch_path(spark, f"wh_{spec.name}"), db=db)
+             for spec in WAREHOUSE]
+
+    def load(item):
+        spec, name = item
         frames[spec.name].select(*spec.names).write.insertInto(name, overwrite=True)
-        names.append(name)
+
+    with ThreadPoolExecutor(max_workers=len(WAREHOUSE)) as pool:  # independent loads
+        list(pool.map(load, zip(WAREHOUSE, names)))
     return catalog.table_profile(spark, names)
 
 
