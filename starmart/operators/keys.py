@@ -3,19 +3,17 @@
 ``row_number() OVER (ORDER BY ...)`` without ``PARTITION BY`` plans an
 ``Exchange SinglePartition``: one task sorts every row. ``dense_key`` instead
 
-1. collapses exact copies into one row with a multiplicity (a partial + final
-   aggregate, so even a group of copies holding a third of all rows shrinks map-side
-   before it is shuffled), writes that once, and splits each multiplicity into chunks
-   of at most ``ceil(rows / distinct rows)`` copies. Range partitioning balances items,
-   so items must weigh about the same: a copy group holding a third of the rows becomes
-   about a third of the items and is spread over that share of the partitions,
-2. range-partitions the rows on the requested order followed by every other column and
-   the chunk number. That order is total and deterministic, and because ranges follow the
-   whole key a hot leading value (one state holding a third of the rows), or the chunks
-   of one much-copied row, are split over many tasks,
-3. sorts inside each range, expands the chunks back into copies and tags each row with
-   ``monotonically_increasing_id`` (partition index in the high bits, position inside the
-   partition in the low bits),
+1. (unless the caller knows the rows are distinct) collapses exact copies into one row
+   with a multiplicity: a partial + final aggregate, so even a group of copies holding a
+   third of all rows shrinks map-side before it is shuffled. Each row is then expanded
+   back into its copies, each carrying its ordinal. Rows with more than ``HEAVY_COPIES``
+   copies are first cut into chunks that a round-robin shuffle of just those chunk rows
+   spreads over tasks, so no single task emits a hot row's copies,
+2. range-partitions on the requested order followed by every other column and the copy
+   ordinal: a total, deterministic order, so neither a hot leading value (one state with
+   a third of the rows) nor a much-copied row lands in one task,
+3. sorts inside each range and tags each row with ``monotonically_increasing_id``
+   (partition index in the high bits, position inside the partition in the low bits),
 4. writes the tagged rows once as a Parquet table below the shared checkpoint folder:
    that fixes the tags (a recomputation could sample different range bounds) and cuts the
    lineage, so a lost executor re-reads files instead of re-running the sort,
@@ -25,15 +23,16 @@
    later plans over the keyed table are a plain scan + projection (no join, no window).
 
 The key of a row is ``start + offset(partition) + position``. Every step is
-deterministic (no random tie-breakers), so re-run tasks reproduce the same rows.
-Exact copies are interchangeable, so the keys equal ``row_number()`` under any
-tie-breaking of them.
+deterministic (no random tie-breakers; the round-robin shuffle sorts before it assigns),
+so re-run tasks reproduce the same rows. Exact copies are interchangeable, so the keys
+equal ``row_number()`` under any tie-breaking of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +41,9 @@ from starmart.session import scratch_path
 _TAG = "__sm_tag"
 _N = "__sm_copies"
 _CHUNK = "__sm_chunk"
-_WEIGHT = "__sm_weight"
+_ORD = "__sm_copy"
 _LOW_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row position
+HEAVY_COPIES = 10_000  # a row with more copies is expanded by several tasks
 
 
 def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
@@ -51,46 +51,55 @@ def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_cols]
 
 
+def _copies_with_ordinals(df: DataFrame, heavy: int) -> tuple[DataFrame, DataFrame]:
+    """Every row of ``df`` once per copy, with the copy's ordinal (1..n) in ``_ORD``.
+
+    Returns the rows and the persisted copy counts (unpersist them once consumed): the
+    counts feed two branches, and persisting them keeps the input from being scanned and
+    aggregated twice. A lost cached block is recomputed deterministically.
+    """
+    cols = df.columns
+    counted = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_N))
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+    n = F.col(_N)
+    light = counted.where(n <= heavy).select(
+        *cols, F.explode(F.sequence(F.lit(1).cast("bigint"), n)).alias(_ORD))
+    chunks = (counted.where(n > heavy)
+              .select(*cols, _N, F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                      ((n - 1) / heavy).cast("bigint"))).alias(_CHUNK))
+              # round robin over the chunk rows of hot copy groups only
+              .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    first = F.col(_CHUNK) * heavy + 1
+    last = F.least(F.col(_CHUNK) * heavy + heavy, n)
+    spread = chunks.select(*cols, F.explode(F.sequence(first, last)).alias(_ORD))
+    return light.unionByName(spread), counted
+
+
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
               start: int = 1, num_partitions: int | None = None, key_type: str = "int",
-              collapse_copies: bool = True, chunk_rows: int | None = None) -> DataFrame:
+              collapse_copies: bool = True, heavy_copies: int = HEAVY_COPIES) -> DataFrame:
     """Add ``key_col`` = ``start``-based row number under the given order (``key_col`` first).
 
     ``key_type`` defaults to the warehouse's 32-bit INTEGER; an overflowing key fails
     (ANSI cast) instead of wrapping. Use ``bigint`` for tables beyond 2^31 rows.
-    ``collapse_copies=False`` skips step 1 for inputs known to be duplicate-free (for
-    example the output of a DISTINCT), saving one aggregation. ``chunk_rows`` overrides
-    the chunk size derived from the data.
+    ``collapse_copies=False`` skips step 1 for inputs known to be duplicate-free (a
+    DISTINCT, or rows with a unique column), saving one aggregation.
     """
     spark = df.sparkSession
     cols = df.columns
     named = {c for c in order_cols if isinstance(c, str)}
     order = sort_columns(order_cols) + [F.col(c).asc_nulls_last() for c in cols if c not in named]
+    items, counted = df, None
     if collapse_copies:
-        copies_path = scratch_path(spark, f"dense-key-{key_col}-copies")
-        df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_N)).write.mode("overwrite").parquet(copies_path)
-        counted = spark.read.parquet(copies_path)
-        if chunk_rows is None:
-            st = counted.agg(F.sum(_N).alias("rows"), F.count(F.lit(1)).alias("items")).first()
-            total, distinct = int(st["rows"] or 0), int(st["items"] or 0)
-            chunk_rows = max(1, -(-total // max(distinct, 1)))
-        last_chunk = ((F.col(_N) - 1) / F.lit(chunk_rows)).cast("bigint")
-        items = counted.select(*cols, _N, F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk))
-                               .alias(_CHUNK))
-        items = items.withColumn(_WEIGHT, F.least(F.lit(chunk_rows).cast("bigint"),
-                                                  F.col(_N) - F.col(_CHUNK) * chunk_rows))
-        order = order + [F.col(_CHUNK).asc()]
-    else:
-        items = df
+        items, counted = _copies_with_ordinals(df, heavy_copies)
+        order = order + [F.col(_ORD).asc()]
     ranged = (items.repartitionByRange(num_partitions, *order) if num_partitions
               else items.repartitionByRange(*order))
-    rows = ranged.sortWithinPartitions(*order)
-    if collapse_copies:
-        # expand each chunk back into its copies, in place (a narrow step after the sort)
-        rows = rows.select(*cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_WEIGHT)))
-                           .alias("__sm_copy")).drop("__sm_copy")
+    rows = ranged.sortWithinPartitions(*order).select(*cols)
     path = scratch_path(spark, f"dense-key-{key_col}")
     rows.withColumn(_TAG, F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
+    if counted is not None:
+        counted.unpersist()
     tagged = spark.read.parquet(path)
 
     part = F.shiftright(F.col(_TAG), _LOW_BITS)

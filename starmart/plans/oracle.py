@@ -309,6 +309,12 @@ UNION ALL
 SELECT CAST((SELECT max(party_sk) FROM e) + row_number() OVER (ORDER BY nation, name, party_key)
             AS INTEGER) AS party_sk, party_key, name, nation
 FROM c""",
+    "line_key": """
+SELECT CAST(row_number() OVER (ORDER BY l_shipdate NULLS LAST, l_orderkey NULLS LAST,
+    l_linenumber NULLS LAST, l_partkey NULLS LAST, l_suppkey NULLS LAST, l_quantity NULLS LAST,
+    l_extendedprice NULLS LAST, l_discount NULLS LAST, l_tax NULLS LAST, l_returnflag NULLS LAST,
+    l_linestatus NULLS LAST) AS INTEGER) AS line_sk, *
+FROM lineitem""",
     "sort_multi": """
 SELECT CAST(row_number() OVER (ORDER BY o_orderdate DESC NULLS LAST, o_totalprice ASC NULLS LAST,
                                         o_orderkey ASC NULLS LAST) AS INTEGER) AS pos, *

@@ -79,10 +79,10 @@ def test_append_with_keys_continues_after_max(spark):
 
 
 def test_dense_key_spreads_copies(spark):
-    # a third of the rows are copies of one row: they are collapsed, split into chunks
-    # and the chunks land in several range partitions (one written file per partition)
+    # a third of the rows are copies of one row: collapsed, expanded with ordinals (the
+    # heavy row in chunks spread by a round-robin shuffle) and split over range partitions
     df = spark.range(3000).selectExpr("CASE WHEN id < 1000 THEN 'same' ELSE CAST(id AS STRING) END AS v")
-    got = dense_key(df, ["v"], "sk", num_partitions=8)
+    got = dense_key(df, ["v"], "sk", num_partitions=8, heavy_copies=64)
     keys = sorted(r.sk for r in got.collect())
     assert keys == list(range(1, 3001))
     exp = _reference_keys(df, ["v"], "sk")
