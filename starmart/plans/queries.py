@@ -106,6 +106,7 @@ def q_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_landing_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing folder and file name of every page URL (deep-path threshold 5)."""
     pages = _T(spark, sf_dir, "pages").select("page_id", "url")
     folder, file_name = files.landing_path("url", deep_parts=5)
     return pages.select("page_id", "url", folder.alias("folder"), file_name.alias("file_name"))
@@ -117,20 +118,24 @@ def q_landing_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_project_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column subset in a new order."""
     return clean.project(_T(spark, sf_dir, "customer"), ["c_nationkey", "c_custkey", "c_mktsegment"])
 
 
 def q_drop_copy_col(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copy the nation key to a new name and drop the source column."""
     c = _T(spark, sf_dir, "customer")
     return clean.copy_column(c, "c_nationkey", "state_key", drop_src=True)
 
 
 def q_rename_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rename one column by name, then all of them by position."""
     c = clean.rename(_T(spark, sf_dir, "customer"), {"c_mktsegment": "segment"})
     return clean.rename_positional(c, ["id", "name", "nation", "balance", "segment"])
 
 
 def q_preview_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First five orders by key (a distributed top-k)."""
     return clean.preview(_T(spark, sf_dir, "orders"), ["o_orderkey"], n=5)
 
 
@@ -151,15 +156,18 @@ def q_promote_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_filter_null_safe_ne(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop the excluded place, keep rows whose place is NULL."""
     feed = analogue.case_feed(spark, sf_dir)
     return clean.filter_not_equal_keep_null(feed, "province_state", analogue.ANALOGUE_EXCLUDED_PLACE)
 
 
 def q_dropna_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop feed rows with a NULL code or place."""
     return clean.drop_null_rows(analogue.case_feed(spark, sf_dir), ["fips", "province_state"])
 
 
 def q_recode_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Padded code and its state part with the 00 -> 72 recode."""
     feed = clean.drop_null_rows(analogue.case_feed(spark, sf_dir), ["fips"])
     padded = zfill_code("fips", 5)
     return feed.select(padded.alias("fips"),
@@ -167,6 +175,7 @@ def q_recode_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fill_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily feed with NULL measures turned into 0."""
     return clean.fill_numeric_zero(analogue.states_daily(spark, sf_dir))
 
 
@@ -176,6 +185,7 @@ def q_fill_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_code_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zero-padded keys, nation codes and signed balances."""
     c = _T(spark, sf_dir, "customer")
     return c.select("c_custkey",
                     zfill_code("c_custkey", 5).alias("key5"),
@@ -184,6 +194,7 @@ def q_code_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_code_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State / county parts of the padded code, and short-text slices."""
     feed = clean.drop_null_rows(analogue.case_feed(spark, sf_dir), ["fips"])
     padded = zfill_code("fips", 5)
     return feed.select(padded.alias("fips"),
@@ -199,6 +210,7 @@ def q_code_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (code, county) rows of the per-county feed."""
     return clean.distinct_rows(analogue.county_feed(spark, sf_dir))
 
 
@@ -210,10 +222,12 @@ def q_join_m2m_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_first_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lowest region key per state code."""
     return first_per_group(covid.region_dim(spark, sf_dir), "state_fips", "region_sk")
 
 
 def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense customer key by nation, segment, balance and key."""
     c = _T(spark, sf_dir, "customer")
     # c_custkey is unique, so rows cannot be copies of each other
     return dense_key(c, ["c_nationkey", "c_mktsegment", "c_acctbal", "c_custkey"], "customer_sk",
@@ -274,6 +288,7 @@ def q_check_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_check_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphan counts of the fact's three foreign keys and of the daily feed's state code."""
     s = covid.build_star(spark, sf_dir)
     fact_report = checks.orphan_counts(s.fact_covid, "fact_covid", [
         ("date", s.dim_date, "dim_date", "date_id"),
@@ -287,6 +302,7 @@ def q_check_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_check_not_null_len(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NOT NULL and length violations of every declared warehouse column."""
     s = covid.build_star(spark, sf_dir)
     out = None
     for spec, df in ((DIM_DATE, s.dim_date), (DIM_HOSPITAL, s.dim_hospital),
@@ -302,6 +318,7 @@ def q_check_not_null_len(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_write_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact written as headered CSV and read back with its declared types."""
     fact = covid.fact_covid(spark, sf_dir)
     path = writers.write_csv(fact, scratch_path(spark, "fact_csv"))
     return spark.read.option("header", True).schema(writers.spec_schema(FACT_COVID)).csv(path)
@@ -312,18 +329,18 @@ def q_load_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = covid.region_dim(spark, sf_dir)
     csv_path = writers.write_csv(dim, scratch_path(spark, "dim_region_csv"))
     table = writers.create_table(spark, DIM_REGION, scratch_path(spark, "wh_dim_region"),
-                                 db=_warehouse_db(spark))
+                                 db=_warehouse_db(spark, "starmart_load"))
     writers.load_positional(spark, table, csv_path, DIM_REGION)
     return writers.load_positional(spark, table, csv_path, DIM_REGION)  # re-run: no duplicates
 
 
-def _warehouse_db(spark: SparkSession) -> str:
-    db = "starmart_dw"
+def _warehouse_db(spark: SparkSession, db: str = "starmart_dw") -> str:
     catalog.create_database(spark, db, scratch_path(spark, "dw"))
     return db
 
 
 def q_write_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact written in sort-key order (range partitioned, sorted files) and read back."""
     fact = covid.fact_covid(spark, sf_dir)
     path = writers.write_sorted(fact, scratch_path(spark, "fact_sorted"), list(FACT_COVID.sort_key))
     return spark.read.parquet(path)
