@@ -3,12 +3,14 @@
 ``row_number() OVER (ORDER BY ...)`` without ``PARTITION BY`` plans an
 ``Exchange SinglePartition``: one task sorts every row. ``dense_key`` instead
 
-1. (unless the caller knows the rows are distinct) collapses exact copies into one row
-   with a multiplicity: a partial + final aggregate, so even a group of copies holding a
-   third of all rows shrinks map-side before it is shuffled. Each row is then expanded
-   back into its copies, each carrying its ordinal. Rows with more than ``HEAVY_COPIES``
-   copies are first cut into chunks that a round-robin shuffle of just those chunk rows
-   spreads over tasks, so no single task emits a hot row's copies,
+1. (unless the caller knows the rows are distinct) finds the copy groups that could
+   unbalance a range partition: one job counts rows per 64-bit row hash (a long column is
+   shuffled, not the rows) and keeps the largest ``4 * partitions`` groups; any other group
+   holds at most a quarter of an average partition. Usually none exceeds ``HEAVY_COPIES``
+   and nothing else happens. Otherwise only the rows of those groups are collapsed into
+   (row, multiplicity), cut into chunks that a round-robin shuffle of the chunk rows spreads
+   over tasks, and expanded back into copies carrying an ordinal, so no task emits a hot
+   row's copies alone,
 2. range-partitions on the requested order followed by every other column and the copy
    ordinal: a total, deterministic order, so neither a hot leading value (one state with
    a third of the rows) nor a much-copied row lands in one task,
@@ -32,7 +34,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,28 +52,37 @@ def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_cols]
 
 
-def _copies_with_ordinals(df: DataFrame, heavy: int) -> tuple[DataFrame, DataFrame]:
-    """Every row of ``df`` once per copy, with the copy's ordinal (1..n) in ``_ORD``.
+def _hot_copy_hashes(df: DataFrame, n_parts: int, heavy: int) -> list[int]:
+    """Row hashes of the copy groups that could unbalance a range partition.
 
-    Returns the rows and the persisted copy counts (unpersist them once consumed): the
-    counts feed two branches, and persisting them keeps the input from being scanned and
-    aggregated twice. A lost cached block is recomputed deterministically.
+    One job: count rows per 64-bit row hash (a single long column is shuffled, not the
+    rows) and keep the ``4 * n_parts`` largest groups (a distributed top-k; at most that
+    many numbers reach the driver). A group outside the top ``4 * n_parts`` holds at most
+    ``N / (4 * n_parts)`` rows, a quarter of an average partition, so it can stay whole.
+    Of the top groups only those above ``heavy`` copies are returned.
     """
+    top = (df.select(F.xxhash64(*df.columns).alias("h")).groupBy("h").count()
+             .orderBy(F.col("count").desc(), F.col("h")).limit(4 * n_parts).collect())
+    return [r["h"] for r in top if r["count"] > heavy]
+
+
+def _spread_copies(df: DataFrame, hot: list[int], heavy: int) -> DataFrame:
+    """Rows with a copy ordinal in ``_ORD``: rows of the hot copy groups are collapsed,
+    cut into chunks of ``heavy`` copies, spread by a round-robin shuffle of the chunk rows
+    and expanded again with ordinals 1..n; every other row passes through with ordinal 1."""
     cols = df.columns
-    counted = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_N))
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+    is_hot = F.xxhash64(*cols).isin(hot)
+    rest = df.where(~is_hot).withColumn(_ORD, F.lit(1).cast("bigint"))
+    counted = df.where(is_hot).groupBy(*cols).agg(F.count(F.lit(1)).alias(_N))
     n = F.col(_N)
-    light = counted.where(n <= heavy).select(
-        *cols, F.explode(F.sequence(F.lit(1).cast("bigint"), n)).alias(_ORD))
-    chunks = (counted.where(n > heavy)
-              .select(*cols, _N, F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                      ((n - 1) / heavy).cast("bigint"))).alias(_CHUNK))
-              # round robin over the chunk rows of hot copy groups only
+    chunks = (counted.select(*cols, _N, F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                             ((n - 1) / heavy).cast("bigint")))
+                             .alias(_CHUNK))
               .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     first = F.col(_CHUNK) * heavy + 1
     last = F.least(F.col(_CHUNK) * heavy + heavy, n)
     spread = chunks.select(*cols, F.explode(F.sequence(first, last)).alias(_ORD))
-    return light.unionByName(spread), counted
+    return rest.unionByName(spread)
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
@@ -83,23 +93,24 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     ``key_type`` defaults to the warehouse's 32-bit INTEGER; an overflowing key fails
     (ANSI cast) instead of wrapping. Use ``bigint`` for tables beyond 2^31 rows.
     ``collapse_copies=False`` skips step 1 for inputs known to be duplicate-free (a
-    DISTINCT, or rows with a unique column), saving one aggregation.
+    DISTINCT, or rows with a unique column), saving one job.
     """
     spark = df.sparkSession
     cols = df.columns
     named = {c for c in order_cols if isinstance(c, str)}
     order = sort_columns(order_cols) + [F.col(c).asc_nulls_last() for c in cols if c not in named]
-    items, counted = df, None
+    items = df
     if collapse_copies:
-        items, counted = _copies_with_ordinals(df, heavy_copies)
-        order = order + [F.col(_ORD).asc()]
+        n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        hot = _hot_copy_hashes(df, n_parts, heavy_copies)
+        if hot:
+            items = _spread_copies(df, hot, heavy_copies)
+            order = order + [F.col(_ORD).asc()]
     ranged = (items.repartitionByRange(num_partitions, *order) if num_partitions
               else items.repartitionByRange(*order))
     rows = ranged.sortWithinPartitions(*order).select(*cols)
     path = scratch_path(spark, f"dense-key-{key_col}")
     rows.withColumn(_TAG, F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
-    if counted is not None:
-        counted.unpersist()
     tagged = spark.read.parquet(path)
 
     part = F.shiftright(F.col(_TAG), _LOW_BITS)
