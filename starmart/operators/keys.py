@@ -6,7 +6,8 @@
 1. (unless the caller knows the rows are distinct) finds the copy groups that could
    unbalance a range partition: one job counts rows per 64-bit row hash (a long column is
    shuffled, not the rows) and keeps the largest ``4 * partitions`` groups; any other group
-   holds at most a quarter of an average partition. Usually none exceeds ``HEAVY_COPIES``
+   holds at most a quarter of an average partition. Usually none of them is large enough
+   to matter (more than a quarter of an average partition, capped at ``HEAVY_COPIES``)
    and nothing else happens. Otherwise only the rows of those groups are collapsed into
    (row, multiplicity), cut into chunks that a round-robin shuffle of the chunk rows spreads
    over tasks, and expanded back into copies carrying an ordinal, so no task emits a hot
@@ -44,7 +45,7 @@ _N = "__sm_copies"
 _CHUNK = "__sm_chunk"
 _ORD = "__sm_copy"
 _LOW_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row position
-HEAVY_COPIES = 10_000  # a row with more copies is expanded by several tasks
+HEAVY_COPIES = 10_000  # copy groups above this are always spread; also the chunk size
 
 
 def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
@@ -59,11 +60,14 @@ def _hot_copy_hashes(df: DataFrame, n_parts: int, heavy: int) -> list[int]:
     rows) and keep the ``4 * n_parts`` largest groups (a distributed top-k; at most that
     many numbers reach the driver). A group outside the top ``4 * n_parts`` holds at most
     ``N / (4 * n_parts)`` rows, a quarter of an average partition, so it can stay whole.
-    Of the top groups only those above ``heavy`` copies are returned.
+    Of the top groups those above ``min(heavy, sum(top counts) / (4 * n_parts))`` copies
+    are returned; the sum is a lower bound of ``N``, so the test errs towards spreading.
     """
+    k = 4 * n_parts
     top = (df.select(F.xxhash64(*df.columns).alias("h")).groupBy("h").count()
-             .orderBy(F.col("count").desc(), F.col("h")).limit(4 * n_parts).collect())
-    return [r["h"] for r in top if r["count"] > heavy]
+             .orderBy(F.col("count").desc(), F.col("h")).limit(k).collect())
+    threshold = min(heavy, max(1, sum(r["count"] for r in top) // k))
+    return [r["h"] for r in top if r["count"] > threshold]
 
 
 def _spread_copies(df: DataFrame, hot: list[int], heavy: int) -> DataFrame:
