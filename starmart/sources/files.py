@@ -18,13 +18,15 @@ from pyspark.sql import types as T
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
              header: bool = True, infer_schema: bool = False, null_value: str | None = None,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Headered CSV, gzip or plain (compression is detected from the file extension).
 
     With a ``schema`` the columns are taken by position and the header line is skipped,
-    which is how a typed bulk load reads a file.
+    which is how a typed bulk load reads a file. ``mode`` is Spark's parse mode:
+    ``FAILFAST`` (default: a malformed line fails the read), ``PERMISSIVE`` (bad fields
+    become NULL) or ``DROPMALFORMED``.
     """
-    reader = spark.read.option("header", header).option("mode", "FAILFAST")
+    reader = spark.read.option("header", header).option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:

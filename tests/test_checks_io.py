@@ -150,3 +150,20 @@ def test_write_sorted_files_are_ordered(spark):
     per_file = back.groupBy(F.input_file_name().alias("f")).agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
     ranges = sorted((r.lo, r.hi) for r in per_file.collect())
     assert all(prev[1] < nxt[0] for prev, nxt in zip(ranges, ranges[1:]))  # disjoint key ranges
+
+
+def test_read_csv_parse_modes(spark):
+    import pytest
+    from pyspark.sql import types as T
+
+    path = scratch_path(spark, "t_bad_csv").replace("file:", "")
+    os.makedirs(path)
+    with open(os.path.join(path, "f.csv"), "w") as fh:
+        fh.write("fips,county\n1001.0,Autauga\nnot-a-number,Bad\n1003.0,Baldwin\n")
+    schema = T.StructType([T.StructField("fips", T.DoubleType()), T.StructField("county", T.StringType())])
+    with pytest.raises(Exception):
+        files.read_csv(spark, path, schema=schema).collect()
+    # collect, not count(): a CSV count needs no column and so parses no field
+    assert len(files.read_csv(spark, path, schema=schema, mode="DROPMALFORMED").collect()) == 2
+    rows = files.read_csv(spark, path, schema=schema, mode="PERMISSIVE").collect()
+    assert sorted((r.fips is None, r.county) for r in rows)[-1] == (True, "Bad")
