@@ -141,6 +141,8 @@ def run(spark: SparkSession, paths: FeedPaths, out_dir: str, db: str = "covid_dw
     tables = build(feeds)
     publish(spark, tables, f"{out_dir}/warehouse", db)
     views = create_mart_views(spark, db)
+    if paths.state_abbreviations:  # lookup with its header catalogued as a data row
+        state_abbreviations(spark, paths.state_abbreviations).createOrReplaceTempView("state_abv")
     return extract(views, f"{out_dir}/extracts")
 
 

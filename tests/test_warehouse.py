@@ -36,12 +36,17 @@ def test_run_from_raw_files(spark):
     with open(os.path.join(hosp_dir, "beds.geojson"), "w") as fh:
         json.dump({"type": "FeatureCollection", "features": features}, fh)
 
+    abv_dir = _local(f"{base}/abv")
+    os.makedirs(abv_dir)
+    with open(os.path.join(abv_dir, "states_abv.csv"), "w") as fh:
+        fh.write("State,Abbreviation\nAlabama,AL\nCalifornia,CA\n")
     paths = warehouse.FeedPaths(case_feed=f"{base}/case", county_feed=f"{base}/county",
                                 states_daily=f"{base}/daily", hospitals=f"{base}/hosp",
-                                hospitals_multiline=True)
+                                state_abbreviations=f"{base}/abv", hospitals_multiline=True)
     out = scratch_path(spark, "t_out")
     extracts = warehouse.run(spark, paths, out, db="t_dw", partitions=4)
 
+    assert sorted(r.Abbreviation for r in spark.table("state_abv").collect()) == ["AL", "CA"]
     totals = {r.state_abv: r for r in spark.table("state_totals").collect()}
     assert totals["AL"].total_positive_cases == 25.0
     us = spark.table("us_totals").first()
