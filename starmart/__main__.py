@@ -13,7 +13,8 @@ from starmart.plans import warehouse
 from starmart.session import build_session
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, spark=None) -> int:
+    """Run the job; ``spark`` reuses an existing session (which is then left running)."""
     p = argparse.ArgumentParser(prog="starmart", description=__doc__.splitlines()[0])
     p.add_argument("--case", required=True, help="per-place case feed (CSV, gzip or plain)")
     p.add_argument("--county", required=True, help="per-county daily feed (CSV)")
@@ -26,14 +27,17 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--partitions", type=int, default=None,
                    help="spread unsplittable (gzip) inputs over this many partitions")
     args = p.parse_args(argv)
-    spark = build_session(app_name="starmart-warehouse")
+    own_session = spark is None
+    if own_session:
+        spark = build_session(app_name="starmart-warehouse")
     paths = warehouse.FeedPaths(args.case, args.county, args.daily, args.hospitals,
                                 hospitals_multiline=args.hospitals_multiline)
     extracts = warehouse.run(spark, paths, args.out, db=args.db, partitions=args.partitions)
     report = warehouse.constraint_report(spark, args.db).where("n_violations > 0")
     print(json.dumps({"extracts": extracts,
                       "violations": [r.asDict() for r in report.collect()]}))  # few rows: one per column
-    spark.stop()
+    if own_session:
+        spark.stop()
     return 0
 
 

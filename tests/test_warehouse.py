@@ -76,3 +76,23 @@ def test_state_abbreviations_header_row(spark):
     df = warehouse.state_abbreviations(spark, path)
     assert df.columns == ["State", "Abbreviation"]
     assert sorted(r.Abbreviation for r in df.collect()) == ["AK", "AL"]
+
+
+def test_command_line(spark, capsys):
+    from starmart.__main__ import main
+
+    feeds = make_feeds(spark)
+    base = scratch_path(spark, "t_cli")
+    writers.write_csv(feeds["case"], f"{base}/case")
+    writers.write_csv(feeds["county"], f"{base}/county")
+    writers.write_csv(feeds["daily"], f"{base}/daily")
+    from starmart.sources import files
+    files.to_geojson_lines(feeds["hospitals"], "longtitude", "latitude").write.text(f"{base}/hosp")
+    out = scratch_path(spark, "t_cli_out")
+    rc = main(["--case", f"{base}/case", "--county", f"{base}/county", "--daily", f"{base}/daily",
+               "--hospitals", f"{base}/hosp", "--out", out, "--db", "t_cli_dw"], spark=spark)
+    assert rc == 0
+    result = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(result["extracts"]) == {"state_totals", "us_totals", "state_daily"}
+    assert {"check": "not_null", "table_name": "dim_region", "column_name": "state",
+            "n_violations": 1} in result["violations"]
