@@ -98,3 +98,17 @@ def test_dense_key_without_collapse_on_distinct_input(spark):
     got = dense_key(df, ["a"], "sk", collapse_copies=False, num_partitions=4)
     exp = _reference_keys(df, ["a", "id"], "sk")
     assert got.exceptAll(exp.select(*got.columns)).count() == 0
+
+
+def test_hot_copy_detection_is_bounded(spark):
+    from starmart.operators.keys import _hot_copy_hashes
+
+    distinct = spark.range(5000).selectExpr("id")
+    assert _hot_copy_hashes(distinct, 4, 10_000) == []
+    doubled = spark.range(5000).selectExpr("id % 2500 AS id")  # every row twice: harmless
+    assert _hot_copy_hashes(doubled, 4, 10_000) == []
+    hot = spark.range(5000).selectExpr("CASE WHEN id < 2000 THEN -1 ELSE id END AS id")
+    found = _hot_copy_hashes(hot, 4, 10_000)
+    assert len(found) == 1
+    many = spark.range(20000).selectExpr("id % 100 AS id")  # 100 groups of 200 copies
+    assert len(_hot_copy_hashes(many, 4, 10_000)) <= 16  # never more than 4 * partitions
