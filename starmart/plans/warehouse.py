@@ -16,6 +16,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,8 +74,12 @@ def build(feeds: Mapping[str, DataFrame],
                                excluded_place)
         hosp_f = pool.submit(star.hospital_dimension, feeds["hospitals"])
         dim_region, dim_hospital = region_f.result(), hosp_f.result()
-    dim_date = star.calendar_dimension(feeds["daily"])
-    fact = star.covid_fact(feeds["daily"], dim_region, dim_hospital)
+    # The daily state feed has one row per state and day, so it stays small however long
+    # the history; the calendar and the fact both read it, and persisting it keeps its
+    # upstream (scans, joins, aggregation) from running once per consumer.
+    daily = feeds["daily"].persist(StorageLevel.MEMORY_AND_DISK)
+    dim_date = star.calendar_dimension(daily)
+    fact = star.covid_fact(daily, dim_region, dim_hospital)
     return {"dim_date": dim_date, "dim_hospital": dim_hospital, "dim_region": dim_region,
             "fact_covid": fact}
 
