@@ -73,3 +73,16 @@ def test_scans_read_only_needed_columns(spark):
     orders = [s for s in schemas if "o_orderdate" in s][0]
     assert "o_totalprice" not in orders and "o_orderkey" not in orders
     assert "PushedFilters: [IsNotNull(o_custkey)]" in plan
+
+
+def test_daily_feed_is_computed_once_for_calendar_and_fact(star):
+    from starmart.operators import checks
+    from starmart.schemas import DIM_DATE, FACT_COVID
+
+    both = checks.column_violations(star.dim_date, DIM_DATE).unionByName(
+        checks.column_violations(star.fact_covid, FACT_COVID))
+    tree = _plan(both).split("\n\n")[0]
+    assert tree.count("InMemoryTableScan") == 2  # both branches read the one cached feed
+    # distinct scan nodes: the feed's orders and customer scans (shown once per cache
+    # reference, same node ids) plus the two dimension tables
+    assert len(set(re.findall(r"Scan parquet\s+\((\d+)\)", tree))) <= 4
