@@ -8,6 +8,7 @@ is one aggregate or one anti join; nothing is collected to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,22 +35,20 @@ def orphan_counts(child: DataFrame, child_name: str,
     """One row per foreign key: (child_table, fk_column, parent_table, n_orphans).
 
     ``parents`` holds (child column, parent DataFrame, parent table name, parent column).
-    The child is read once: it is left-joined with each parent's distinct keys (unique, so
-    no row is multiplied; small parents are broadcast by the planner) and a single
-    aggregate counts, per foreign key, the non-NULL values that found no parent.
+    Each key column is counted by value first (a hot key leaves each task as one row); the
+    few distinct values meet the parent's keys in an anti join, and the counts of those
+    without a parent are summed.
     """
-    flagged = child.select(*dict.fromkeys(c for c, _, _, _ in parents))
-    for i, (child_col, parent_df, _, parent_col) in enumerate(parents):
-        keys = (parent_df.select(F.col(parent_col).alias(f"__sm_k{i}")).distinct()
-                .withColumn(f"__sm_hit{i}", F.lit(True)))
-        flagged = flagged.join(keys, F.col(child_col) == F.col(f"__sm_k{i}"), "left")
-    counts = flagged.agg(*[
-        F.count_if(F.col(child_col).isNotNull() & F.col(f"__sm_hit{i}").isNull()).alias(f"n{i}")
-        for i, (child_col, _, _, _) in enumerate(parents)])
-    rows = ", ".join(f"'{child_name}', '{c}', '{pn}', n{i}"
-                     for i, (c, _, pn, _) in enumerate(parents))
-    return counts.selectExpr(
-        f"stack({len(parents)}, {rows}) AS (child_table, fk_column, parent_table, n_orphans)")
+    reports = []
+    for child_col, parent_df, parent_name, parent_col in parents:
+        by_key = (child.where(F.col(child_col).isNotNull())
+                  .groupBy(F.col(child_col).alias("__sm_key")).agg(F.count(F.lit(1)).alias("n")))
+        keys = parent_df.select(F.col(parent_col).alias("__sm_key")).distinct()
+        lost = by_key.join(keys, "__sm_key", "left_anti")
+        reports.append(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_orphans")).select(
+            F.lit(child_name).alias("child_table"), F.lit(child_col).alias("fk_column"),
+            F.lit(parent_name).alias("parent_table"), "n_orphans"))
+    return reduce(DataFrame.unionByName, reports)
 
 
 def column_violations(df: DataFrame, spec: TableSpec) -> DataFrame:

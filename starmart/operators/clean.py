@@ -34,19 +34,13 @@ def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def promote_header(df: DataFrame, header: Sequence[str] | None = None) -> DataFrame:
+def promote_header(df: DataFrame, header: Sequence[str]) -> DataFrame:
     """Turn the data row holding the column names into the header.
 
     Rows carry no order in Spark, so the header row is identified by its values, not by
-    its position: every row equal to ``header`` is removed. When ``header`` is not given
-    it is taken from the first row of the scan, which is only well defined for a single
-    freshly read file; prefer re-reading with ``header=True``.
+    its position: every row equal to ``header`` is removed. For files whose first line is
+    the header, read them with ``header=True`` instead.
     """
-    if header is None:
-        first = df.first()
-        if first is None:
-            return df
-        header = [str(v) for v in first]
     if len(header) != len(df.columns):
         raise ValueError("header length does not match the column count")
     is_header = None

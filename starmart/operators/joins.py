@@ -4,9 +4,8 @@
   side, then join": the de-duplication runs as a partial + final hash aggregate, so a hot
   key collapses map-side before any row is shuffled, and the join never materialises
   the product of the duplicates. Catalyst does not perform this rewrite on its own.
-* ``lookup_join`` broadcasts the small side only after counting it against a bound;
-  beyond the bound the join stays a shuffle join (and AQE may still convert it from
-  measured sizes).
+* ``lookup_join`` hints a broadcast only for a lookup whose few rows are proven by
+  construction; otherwise the planner decides from measured bytes.
 """
 
 from __future__ import annotations
@@ -16,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup with more rows than this is never hinted for broadcast.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# Largest bound by construction that is hinted for broadcast.
+PROVEN_MAX_ROWS = 10_000
 
 
 def join_distinct(left: DataFrame, right: DataFrame, on: Sequence[str],
@@ -43,26 +42,15 @@ def first_per_group(df: DataFrame, group_col: str, value_col: str,
               .agg(F.min(value_col).alias(alias or value_col)))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    Runs one count over ``df``; call it on an already small, materialised input (an
-    aggregate of a dimension), not on a large scan.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str,
-                how: str = "inner", max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                proven_rows: int | None = None) -> DataFrame:
-    """Many-to-one join against a lookup whose size is checked before broadcasting.
+                how: str = "inner", proven_rows: int | None = None) -> DataFrame:
+    """Many-to-one join against a lookup.
 
-    ``proven_rows`` is an upper bound on the lookup's row count that holds by
-    construction (for example one row per two-character code); when it is within
-    ``max_rows`` no counting job is needed. Otherwise the lookup is counted.
+    ``proven_rows`` is an upper bound on the lookup's rows that holds by construction (for
+    example one row per two-character code); a lookup with such a bound of at most
+    ``PROVEN_MAX_ROWS`` is broadcast. Any other is left to the planner, which broadcasts by
+    measured bytes and splits skewed partitions at run time.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if proven_rows is not None and proven_rows <= max_rows:
-        return big.join(F.broadcast(small), on=keys, how=how)
-    return big.join(bounded_broadcast(small, max_rows), on=keys, how=how)
+    proven = proven_rows is not None and proven_rows <= PROVEN_MAX_ROWS
+    return big.join(F.broadcast(small) if proven else small, on=keys, how=how)

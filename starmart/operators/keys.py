@@ -4,14 +4,13 @@
 ``Exchange SinglePartition``: one task sorts every row. ``dense_key`` instead
 
 1. (unless the caller knows the rows are distinct) finds the copy groups that could
-   unbalance a range partition: one job counts rows per 64-bit row hash (a long column is
-   shuffled, not the rows) and keeps the largest ``4 * partitions`` groups; any other group
-   holds at most a quarter of an average partition. Usually none of them is large enough
-   to matter (more than a quarter of an average partition, capped at ``HEAVY_COPIES``)
-   and nothing else happens. Otherwise only the rows of those groups are collapsed into
-   (row, multiplicity), cut into chunks that a round-robin shuffle of the chunk rows spreads
-   over tasks, and expanded back into copies carrying an ordinal, so no task emits a hot
-   row's copies alone,
+   unbalance a range partition, those of more than a quarter of an average partition, with
+   a frequent-items sketch of the row hashes: one pass, a sketch of bounded size per task,
+   no shuffle of rows. Usually there is none and nothing else happens. Otherwise only the
+   rows of those groups are collapsed into (row, multiplicity), cut into chunks that a
+   round-robin shuffle of the chunk rows spreads over tasks, and expanded back into copies
+   carrying an ordinal, so no task emits a hot row's copies alone. The sketch only steers
+   the layout; the keys are the same with any set of groups,
 2. range-partitions on the requested order followed by every other column and the copy
    ordinal: a total, deterministic order, so neither a hot leading value (one state with
    a third of the rows) nor a much-copied row lands in one task,
@@ -22,8 +21,10 @@
    lineage, so a lost executor re-reads files instead of re-running the sort,
 5. counts rows per range partition from the tag column alone and collects those counts:
    one number per partition, bounded by the partition count, never by the data,
-6. turns the counts into start offsets and applies them as a literal array lookup, so
-   later plans over the keyed table are a plain scan + projection (no join, no window).
+6. turns the counts into start offsets and applies them as a lookup in one literal array,
+   so later plans over the keyed table are a plain scan + projection (no join, no window).
+   The written table is the result's source; a job that copies the result elsewhere frees
+   it with ``session.scratch_scope``.
 
 The key of a row is ``start + offset(partition) + position``. Every step is
 deterministic (no random tie-breakers; the round-robin shuffle sorts before it assigns),
@@ -33,6 +34,7 @@ equal ``row_number()`` under any tie-breaking of them.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +47,8 @@ _N = "__sm_copies"
 _CHUNK = "__sm_chunk"
 _ORD = "__sm_copy"
 _LOW_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row position
-HEAVY_COPIES = 10_000  # copy groups above this are always spread; also the chunk size
+CHUNK_COPIES = 10_000  # copies that one chunk row of a hot group expands to
+_MAX_GROUPS = 4_096    # no more than this many groups are looked for
 
 
 def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
@@ -53,26 +56,24 @@ def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_cols]
 
 
-def _hot_copy_hashes(df: DataFrame, n_parts: int, heavy: int) -> list[int]:
-    """Row hashes of the copy groups that could unbalance a range partition.
+def _hot_copy_hashes(df: DataFrame, n_parts: int) -> list[int]:
+    """Row hashes of the copy groups above a quarter of an average range partition.
 
-    One job: count rows per 64-bit row hash (a single long column is shuffled, not the
-    rows) and keep the ``4 * n_parts`` largest groups (a distributed top-k; at most that
-    many numbers reach the driver). A group outside the top ``4 * n_parts`` holds at most
-    ``N / (4 * n_parts)`` rows, a quarter of an average partition, so it can stay whole.
-    Of the top groups those above ``min(heavy, sum(top counts) / (4 * n_parts))`` copies
-    are returned; the sum is a lower bound of ``N``, so the test errs towards spreading.
+    At most ``4 * n_parts`` groups can be that large. The sketch tracks many times more
+    items, so its error is a small part of the size looked for.
     """
-    k = 4 * n_parts
-    top = (df.select(F.xxhash64(*df.columns).alias("h")).groupBy("h").count()
-             .orderBy(F.col("count").desc(), F.col("h")).limit(k).collect())
-    threshold = min(heavy, max(1, sum(r["count"] for r in top) // k))
-    return [r["h"] for r in top if r["count"] > threshold]
+    k = min(4 * n_parts, _MAX_GROUPS)
+    tracked = min(64 * k, 1_000_000)
+    got = (df.select(F.xxhash64(*df.columns).alias("h"))
+             .agg(F.count(F.lit(1)).alias("n"),
+                  F.expr(f"approx_top_k(h, {k}, {tracked})").alias("top")).first())
+    limit = max(1, got["n"] // (4 * n_parts))
+    return [t["item"] for t in got["top"] or [] if t["count"] > limit]
 
 
-def _spread_copies(df: DataFrame, hot: list[int], heavy: int) -> DataFrame:
+def _spread_copies(df: DataFrame, hot: list[int], chunk: int = CHUNK_COPIES) -> DataFrame:
     """Rows with a copy ordinal in ``_ORD``: rows of the hot copy groups are collapsed,
-    cut into chunks of ``heavy`` copies, spread by a round-robin shuffle of the chunk rows
+    cut into chunks of ``chunk`` copies, spread by a round-robin shuffle of the chunk rows
     and expanded again with ordinals 1..n; every other row passes through with ordinal 1."""
     cols = df.columns
     is_hot = F.xxhash64(*cols).isin(hot)
@@ -80,22 +81,22 @@ def _spread_copies(df: DataFrame, hot: list[int], heavy: int) -> DataFrame:
     counted = df.where(is_hot).groupBy(*cols).agg(F.count(F.lit(1)).alias(_N))
     n = F.col(_N)
     chunks = (counted.select(*cols, _N, F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                             ((n - 1) / heavy).cast("bigint")))
+                                                             ((n - 1) / chunk).cast("bigint")))
                              .alias(_CHUNK))
               .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    first = F.col(_CHUNK) * heavy + 1
-    last = F.least(F.col(_CHUNK) * heavy + heavy, n)
+    first = F.col(_CHUNK) * chunk + 1
+    last = F.least(F.col(_CHUNK) * chunk + chunk, n)
     spread = chunks.select(*cols, F.explode(F.sequence(first, last)).alias(_ORD))
     return rest.unionByName(spread)
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
-              start: int = 1, num_partitions: int | None = None, key_type: str = "int",
-              collapse_copies: bool = True, heavy_copies: int = HEAVY_COPIES) -> DataFrame:
+              start: int = 1, num_partitions: int | None = None, key_type: str = "bigint",
+              collapse_copies: bool = True) -> DataFrame:
     """Add ``key_col`` = ``start``-based row number under the given order (``key_col`` first).
 
-    ``key_type`` defaults to the warehouse's 32-bit INTEGER; an overflowing key fails
-    (ANSI cast) instead of wrapping. Use ``bigint`` for tables beyond 2^31 rows.
+    ``key_type="int"`` is for columns declared as a 32-bit INTEGER; there an overflowing key
+    fails (ANSI cast) instead of wrapping.
     ``collapse_copies=False`` skips step 1 for inputs known to be duplicate-free (a
     DISTINCT, or rows with a unique column), saving one job.
     """
@@ -106,9 +107,9 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     items = df
     if collapse_copies:
         n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        hot = _hot_copy_hashes(df, n_parts, heavy_copies)
+        hot = _hot_copy_hashes(df, n_parts)
         if hot:
-            items = _spread_copies(df, hot, heavy_copies)
+            items = _spread_copies(df, hot)
             order = order + [F.col(_ORD).asc()]
     ranged = (items.repartitionByRange(num_partitions, *order) if num_partitions
               else items.repartitionByRange(*order))
@@ -124,15 +125,17 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     for p in range(n_parts):
         offsets.append(running)
         running += counts.get(p, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]),
-                          (part + 1).cast("int"))
+    # folded into one array literal, whatever the number of partitions
+    starts = F.from_json(F.lit(json.dumps(offsets)), "array<bigint>")
+    offset = F.element_at(starts, (part + 1).cast("int"))
     position = F.col(_TAG).bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     key = (F.lit(start) + offset + position).cast(key_type)
     return tagged.select(key.alias(key_col), *cols)
 
 
 def append_with_keys(existing: DataFrame, new_rows: DataFrame, key_col: str,
-                     order_cols: Sequence[str | Column], collapse_copies: bool = True) -> DataFrame:
+                     order_cols: Sequence[str | Column], collapse_copies: bool = True,
+                     key_type: str = "bigint") -> DataFrame:
     """Give ``new_rows`` keys after the largest key already in ``existing``.
 
     Matches a load with explicit identity values: the existing keys are untouched and
@@ -141,4 +144,4 @@ def append_with_keys(existing: DataFrame, new_rows: DataFrame, key_col: str,
     """
     current_max = existing.agg(F.max(key_col).alias("m")).first()["m"] or 0
     return dense_key(new_rows, order_cols, key_col, start=int(current_max) + 1,
-                     collapse_copies=collapse_copies)
+                     collapse_copies=collapse_copies, key_type=key_type)

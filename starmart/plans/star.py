@@ -75,7 +75,7 @@ def region_dimension(case_feed: DataFrame, county_feed: DataFrame,
     # rows are distinct here (join of de-duplicated sides), so no copies to collapse
     keyed = dense_key(named, ["state_fips", "county_fips", "fips", "state", "county",
                               "country", "latitude", "longitude"], "region_sk",
-                      collapse_copies=False)
+                      collapse_copies=False, key_type="int")  # declared INTEGER
     return keyed.select(*DIM_REGION.names)
 
 
@@ -91,17 +91,18 @@ def hospital_dimension(hospitals: DataFrame) -> DataFrame:
     order = ["state_fips", "county_fips", "fips", "state_name", "county_name", "hospital_name",
              "hq_address", "hq_city", "hq_state", "hq_zip_code", "hospital_type",
              "latitude", "longtitude"]
-    keyed = dense_key(rows.select(*order), order, "hosp_sk")
+    keyed = dense_key(rows.select(*order), order, "hosp_sk", key_type="int")  # declared INTEGER
     return keyed.select(*DIM_HOSPITAL.names)
 
 
 def date_bounds(daily: DataFrame, date_col: str = "date") -> DataFrame:
     """Global first and last day of an integer ``yyyymmdd`` column, as DATEs.
 
-    Computed over the unfiltered feed, as the calendar must cover every reported day.
+    Computed over the unfiltered feed, as the calendar must cover every reported day. The
+    integers order like the days, so only the two results are parsed.
     """
-    d = parse_yyyymmdd(date_col)
-    return daily.agg(F.min(d).alias("first_date"), F.max(d).alias("last_date"))
+    ends = daily.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
+    return ends.select(parse_yyyymmdd("lo").alias("first_date"), parse_yyyymmdd("hi").alias("last_date"))
 
 
 def calendar(spark, first_date, n_days: int, num_partitions: int | None = None) -> DataFrame:

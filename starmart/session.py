@@ -11,9 +11,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SCRATCH_SUBDIR = "starmart-scratch"
 
@@ -87,4 +90,55 @@ _local_dirs: dict[int, str] = {}
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     ck = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{ck}/{_SCRATCH_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ck}/{_SCRATCH_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
+    with _scope_lock:
+        for paths in _scopes:
+            paths.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+_scope_lock = threading.Lock()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside the block when it ends.
+
+    For jobs whose results are written elsewhere; a DataFrame that still reads a scratch
+    table must not leave the block.
+    """
+    paths: list[str] = []
+    with _scope_lock:
+        _scopes.append(paths)
+    try:
+        yield
+    finally:
+        with _scope_lock:
+            _scopes[:] = [p for p in _scopes if p is not paths]
+        for path in paths:
+            delete_path(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system its path names."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a scratch table and read back: computed once for several readers,
+    with its lineage cut. Not a cache: a later run writes a table of its own."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
