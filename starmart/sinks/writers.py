@@ -4,12 +4,13 @@
 * ``create_table`` / ``load_positional``: a typed table declared from a ``TableSpec``;
   rows are inserted by position (as a bulk copy with a skipped header does) and the load
   overwrites, so a re-run does not duplicate rows.
-* ``write_sorted``: range partitioned on the sort key and sorted inside each file, so
-  Parquet row-group min/max statistics skip data for range predicates on the key.
-* ``extract_csv``: ordered extract in unload format (plain header, every value quoted,
-  NULL as ``""``). A single file is produced only when asked for; that funnels the rows
-  through one task and is meant for marts whose size is bounded (one row per state).
-  Otherwise the global order is kept across the part files of a range partitioned write.
+* ``write_sorted``: range partitioned on the sort key and a tie-breaking key, sorted inside
+  each file, so Parquet row-group min/max statistics skip data for range predicates on the
+  sort key and a hot sort value is cut over many tasks.
+* ``extract_csv``: ordered extract in unload format (every value quoted, NULL as ``""``).
+  A single file is produced only when asked for; that funnels the rows through one task
+  and is meant for marts whose size is bounded (one row per state). Otherwise the global
+  order is kept across the part files of a range partitioned write, each with its header.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ from pyspark.sql import types as T
 
 from starmart.operators.keys import sort_columns
 from starmart.schemas import TableSpec
+from starmart.sources.catalog import sql_text
+from starmart.sources.files import CSV_DIALECT, read_csv
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, compression: str | None = None) -> str:
-    writer = df.write.mode("overwrite").option("header", header)
+    writer = df.write.mode("overwrite").options(**CSV_DIALECT).option("header", header)
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)
@@ -42,21 +45,22 @@ def create_table(spark: SparkSession, spec: TableSpec, location: str, db: str |
     """``CREATE TABLE IF NOT EXISTS`` with the declared column types at ``location``."""
     name = f"`{db}`.`{spec.name}`" if db else f"`{spec.name}`"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({spec.ddl()}) USING {fmt} "
-              f"LOCATION '{location}'")
+              f"LOCATION {sql_text(location)}")
     return name.replace("`", "")
 
 
-def load_positional(spark: SparkSession, table: str, csv_path: str, spec: TableSpec) -> DataFrame:
+def load_positional(spark: SparkSession, table: str, csv_path: str, spec: TableSpec,
+                    multi_line: bool = False) -> DataFrame:
     """Load a headered CSV into ``table`` by column position, replacing its contents."""
-    rows = spark.read.option("header", True).option("mode", "FAILFAST") \
-        .schema(spec_schema(spec)).csv(csv_path)
+    rows = read_csv(spark, csv_path, schema=spec_schema(spec), multi_line=multi_line)
     rows.write.insertInto(table, overwrite=True)
     return spark.table(table)
 
 
 def write_sorted(df: DataFrame, path: str, sort_cols: Sequence[str | Column],
-                 partitions: int | None = None) -> str:
-    order = sort_columns(sort_cols)
+                 partitions: int | None = None, tie_cols: Sequence[str] = ()) -> str:
+    """Files in order of ``sort_cols``; ``tie_cols`` (the primary key) split equal sort values."""
+    order = sort_columns([*sort_cols, *[c for c in tie_cols if c not in sort_cols]])
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
     return path
@@ -80,15 +84,24 @@ def _quoted(text: Column) -> Column:
 
 
 def extract_csv(df: DataFrame, path: str, order_cols: Sequence[str],
-                single_file: bool = False) -> str:
-    """Ordered CSV extract in unload format: plain header line, every value quoted,
-    NULL as ``""``.
-
-    The lines are rendered with built-in string functions and the header row is placed
-    first in the global order, so it is the first line of the first part file; the part
-    files concatenated in name order are the extract. ``single_file`` funnels the rows
-    through one task and is meant for marts of bounded size.
+                single_file: bool = False, partitions: int | None = None) -> str:
+    """Ordered CSV extract in unload format: every value quoted, NULL as ``""``.
+
+    Several files (``partitions`` of them, or as many as the session shuffles to): each has
+    its header, so the folder reads back whole as headered CSV; the rows in order of file
+    name and line are in the requested order. ``single_file`` writes one file with a plain
+    header line through one task, for marts of bounded size.
     """
+    if not single_file:
+        text = [_extract_text(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
+        order = sort_columns(order_cols)
+        if order:
+            df = (df.repartitionByRange(partitions, *order) if partitions
+                  else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+        (df.select(*[F.coalesce(c, F.lit("")).alias(f.name) for c, f in zip(text, df.schema.fields)])
+           .write.mode("overwrite").options(**CSV_DIALECT).option("header", True)
+           .option("quoteAll", True).option("emptyValue", "").csv(path))
+        return path
     rank = "__sm_line"
     keys = list(order_cols)
     line = F.concat_ws(",", *[_quoted(_extract_text(F.col(f.name), f.dataType))
@@ -97,9 +110,8 @@ def extract_csv(df: DataFrame, path: str, order_cols: Sequence[str],
     header = df.sparkSession.range(1).select(
         F.lit(0).alias(rank), *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys],
         F.lit(",".join(df.columns)).alias("value"))
-    ordered = header.unionByName(body).orderBy(F.col(rank), *sort_columns(keys))
-    if single_file:
-        ordered = ordered.coalesce(1)  # order survives coalesce(1): partitions are concatenated
+    # one partition, sorted inside it: the header row comes first
+    ordered = header.unionByName(body).coalesce(1).sortWithinPartitions(F.col(rank), *sort_columns(keys))
     ordered.select("value").write.mode("overwrite").text(path)
     return path
 

@@ -14,9 +14,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.sources.files import CSV_DIALECT
+
 
 def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = f" LOCATION {sql_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{loc}")
 
 
@@ -35,9 +37,11 @@ def register_tables(spark: SparkSession, db: str, sources: Mapping[str, str | Se
     ``sources`` maps a name to one path, which becomes ``db.prefix+name``, or to a list of
     paths, each of which becomes its own table ``db.prefix+<folder name>`` (one table per
     crawled folder). Tables point at the files where they are; nothing is copied, and the
-    schema comes from the files (Parquet footers, or CSV inference when asked for).
+    schema comes from the files (Parquet footers, or CSV inference when asked for). CSV is
+    read in the library's dialect. A name that already belongs to a managed table is
+    refused: replacing that table would delete its rows.
     """
-    opts = dict(options or {})
+    opts = {**(CSV_DIALECT | {"header": "true"} if fmt == "csv" else {}), **(options or {})}
     targets: list[tuple[str, str]] = []
     for name, path in sources.items():
         if isinstance(path, str):
@@ -47,13 +51,43 @@ def register_tables(spark: SparkSession, db: str, sources: Mapping[str, str | Se
     names = []
     for table, path in targets:
         qualified = f"`{db}`.`{table}`"
-        opt_sql = "".join(f", '{k}' '{v}'" for k, v in opts.items())
-        spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-        spark.sql(f"CREATE TABLE {qualified} USING {fmt} OPTIONS (path '{path}'{opt_sql})")
+        opt_sql = "".join(f", {sql_text(k)} {sql_text(v)}" for k, v in opts.items())
+        _drop_external(spark, qualified)
+        spark.sql(f"CREATE TABLE {qualified} USING {fmt} OPTIONS (path {sql_text(path)}{opt_sql})")
         names.append(f"{db}.{table}")
     return names
 
 
+def sql_text(value: str) -> str:
+    """A string as a SQL literal."""
+    inner = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{inner}'"
+
+
+def _drop_external(spark: SparkSession, qualified: str) -> None:
+    """Forget an external table (its files stay); a managed one is refused."""
+    if not spark.catalog.tableExists(qualified):
+        return
+    if spark.catalog.getTable(qualified).tableType == "MANAGED":
+        raise ValueError(f"{qualified} is a managed table: dropping it would delete its rows")
+    spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+
+
+def point_table(spark: SparkSession, db: str, name: str, path: str, fmt: str = "parquet") -> str:
+    """Make ``db.name`` read the complete files at ``path``: created where it is missing,
+    else switched to the new location in one catalog change, so readers always find a
+    table and never a half-written one."""
+    qualified = f"`{db}`.`{name}`"
+    if not spark.catalog.tableExists(qualified):
+        spark.sql(f"CREATE TABLE {qualified} USING {fmt} LOCATION {sql_text(path)}")
+    else:
+        if spark.catalog.getTable(qualified).tableType == "MANAGED":
+            raise ValueError(f"{qualified} is a managed table and keeps its own location")
+        spark.sql(f"ALTER TABLE {qualified} SET LOCATION {sql_text(path)}")
+        spark.sql(f"REFRESH TABLE {qualified}")
+    return f"{db}.{name}"
+
+
 def list_tables(spark: SparkSession, db: str, pattern: str | None = None) -> list[str]:
     """Table names of ``db`` (optionally filtered by a ``*`` wildcard pattern)."""
     return sorted(t.name for t in spark.catalog.listTables(db, pattern))

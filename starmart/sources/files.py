@@ -11,22 +11,34 @@ Scale notes
 
 from __future__ import annotations
 
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# RFC 4180: a quote inside a quoted field is doubled (Spark's own default is a backslash).
+# Used by every CSV read and write of the library.
+CSV_DIALECT = {"quote": '"', "escape": '"'}
+
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
              header: bool = True, infer_schema: bool = False, null_value: str | None = None,
-             partitions: int | None = None, mode: str = "FAILFAST") -> DataFrame:
+             partitions: int | None = None, mode: str = "FAILFAST",
+             multi_line: bool = False, check_header: bool = False) -> DataFrame:
     """Headered CSV, gzip or plain (compression is detected from the file extension).
 
     With a ``schema`` the columns are taken by position and the header line is skipped,
-    which is how a typed bulk load reads a file. ``mode`` is Spark's parse mode:
-    ``FAILFAST`` (default: a malformed line fails the read), ``PERMISSIVE`` (bad fields
-    become NULL) or ``DROPMALFORMED``.
+    which is how a typed bulk load reads a file; with ``check_header`` a file whose header
+    names other columns, or in another order, fails the read. ``mode`` is Spark's parse
+    mode: ``FAILFAST`` (default: a malformed line fails the read), ``PERMISSIVE`` (bad
+    fields become NULL) or ``DROPMALFORMED``. ``multi_line`` allows line ends inside
+    quoted fields; such files cannot be split, so each is read by one task.
     """
-    reader = spark.read.option("header", header).option("mode", mode)
+    reader = (spark.read.options(**CSV_DIALECT).option("header", header).option("mode", mode)
+              .option("multiLine", multi_line).option("enforceSchema", not check_header))
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:
@@ -37,6 +49,46 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return df.repartition(partitions) if partitions else df
 
 
+def _csv_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files below a path: a listing (one name per file), no contents are read."""
+    rows = spark.read.format("binaryFile").load(path).select("path").collect()
+    return sorted(r[0] for r in rows)
+
+
+def read_csv_by_name(spark: SparkSession, path: str | list[str], wanted: T.StructType,
+                     partitions: int | None = None, multi_line: bool = False) -> DataFrame:
+    """The ``wanted`` columns of headered CSV files, matched by name in every file.
+
+    Files may order their columns differently, carry more of them, or (older ones) lack
+    some, which become NULL. The header line of each file is read on its own; files with the
+    same header form one scan, checked against it, and the scans are united by name.
+    Names match without regard to case.
+    """
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.options(**CSV_DIALECT).option("header", True)
+                     .option("multiLine", multi_line).csv(file).columns)
+
+    names = _csv_files(spark, path)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        headers = list(pool.map(header, names))
+    same: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for columns, file in zip(headers, names):
+        if columns:  # an empty file has no header and no rows
+            same[columns].append(file)
+    typed = {f.name.lower(): f for f in wanted.fields}
+    parts = []
+    for columns, files in same.items():
+        schema = T.StructType([T.StructField(c, typed[c.lower()].dataType if c.lower() in typed
+                                             else T.StringType()) for c in columns])
+        rows = read_csv(spark, files, schema=schema, check_header=True, multi_line=multi_line)
+        have = {c.lower(): c for c in columns}
+        parts.append(rows.select(*[
+            (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None).cast(f.dataType))
+            .alias(f.name) for f in wanted.fields]))
+    df = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], wanted)
+    return df.repartition(partitions) if partitions else df
+
+
 def _geometry_schema() -> T.StructType:
     return T.StructType([
         T.StructField("type", T.StringType()),
@@ -53,35 +105,53 @@ def feature_schema(properties: T.StructType) -> T.StructType:
 
 
 def read_geojson(spark: SparkSession, path: str | list[str], properties: T.StructType,
-                 multiline: bool = False) -> DataFrame:
+                 multiline: bool = False, mode: str = "FAILFAST") -> DataFrame:
     """GeoJSON point features flattened to ``properties.*`` plus ``lon`` / ``lat``.
 
     ``multiline=False`` reads one Feature per line; ``multiline=True`` reads
-    FeatureCollection documents and explodes their ``features`` array.
+    FeatureCollection documents and explodes their ``features`` array. A truncated feature
+    or a value of the wrong type fails the read unless ``mode`` says otherwise.
     """
     feature = feature_schema(properties)
     if multiline:
         coll = T.StructType([T.StructField("type", T.StringType()),
                              T.StructField("features", T.ArrayType(feature))])
-        raw = spark.read.schema(coll).option("multiLine", True).json(path)
+        raw = spark.read.schema(coll).option("multiLine", True).option("mode", mode).json(path)
         feats = raw.select(F.explode("features").alias("f")).select("f.*")
     else:
-        feats = spark.read.schema(feature).json(path)
+        feats = spark.read.schema(feature).option("mode", mode).json(path)
     coords = F.col("geometry.coordinates")
     return feats.select("properties.*",
                         F.try_element_at(coords, F.lit(1)).alias("lon"),
                         F.try_element_at(coords, F.lit(2)).alias("lat"))
 
 
-def to_geojson_lines(df: DataFrame, lon_col: str, lat_col: str) -> DataFrame:
-    """One GeoJSON Feature text per row (``value`` column), ready for ``write.text``."""
+def _feature(df: DataFrame, lon_col: str, lat_col: str) -> Column:
     props = F.struct(*[F.col(c) for c in df.columns])
     geometry = F.struct(F.lit("Point").alias("type"),
                         F.array(F.col(lon_col).cast("double"), F.col(lat_col).cast("double"))
                         .alias("coordinates"))
-    feature = F.struct(F.lit("Feature").alias("type"), props.alias("properties"),
-                       geometry.alias("geometry"))
-    return df.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("value"))
+    return F.struct(F.lit("Feature").alias("type"), props.alias("properties"),
+                    geometry.alias("geometry"))
+
+
+def to_geojson_lines(df: DataFrame, lon_col: str, lat_col: str) -> DataFrame:
+    """One GeoJSON Feature text per row (``value`` column), ready for ``write.text``."""
+    return df.select(F.to_json(_feature(df, lon_col, lat_col), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def write_feature_collections(df: DataFrame, path: str, lon_col: str, lat_col: str,
+                              part: Column) -> str:
+    """One FeatureCollection document per value of ``part``, each in a folder of its own.
+
+    ``part`` must keep a document small enough for one row (a few hundred features).
+    """
+    docs = (df.select(part.alias("part"), _feature(df, lon_col, lat_col).alias("f")).groupBy("part")
+            .agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
+                                    F.collect_list("f").alias("features")),
+                           {"ignoreNullFields": "false"}).alias("value")))
+    docs.write.mode("overwrite").partitionBy("part").text(path)
+    return path
 
 
 def landing_path(url: str | Column, deep_parts: int = 6) -> tuple[Column, Column]:
