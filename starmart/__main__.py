@@ -23,7 +23,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--hospitals-multiline", action="store_true",
                    help="hospitals file is one FeatureCollection document")
     p.add_argument("--out", required=True, help="output folder (tables and extracts)")
-    p.add_argument("--db", default="covid_dw")
+    p.add_argument("--state-abbreviations", default=None,
+                   help="state-abbreviation lookup (CSV), registered as the view state_abv")
+    p.add_argument("--db", default="warehouse", help="database of the published tables and views")
     p.add_argument("--partitions", type=int, default=None,
                    help="spread unsplittable (gzip) inputs over this many partitions")
     args = p.parse_args(argv)
@@ -31,6 +33,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if own_session:
         spark = build_session(app_name="starmart-warehouse")
     paths = warehouse.FeedPaths(args.case, args.county, args.daily, args.hospitals,
+                                state_abbreviations=args.state_abbreviations,
                                 hospitals_multiline=args.hospitals_multiline)
     extracts = warehouse.run(spark, paths, args.out, db=args.db, partitions=args.partitions)
     report = warehouse.constraint_report(spark, args.db).where("n_violations > 0")

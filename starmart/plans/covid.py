@@ -43,7 +43,7 @@ def build_star(spark: SparkSession, sf_dir: str, with_calendar: bool = True) ->
     f = feeds(spark, sf_dir)
     t = warehouse.build(f, excluded_place=analogue.ANALOGUE_EXCLUDED_PLACE)
     return Star(t["dim_region"], t["dim_hospital"], t["dim_date"] if with_calendar else None,
-                t["fact_covid"], f["daily"])  # same plan as the feed warehouse.build persisted
+                t["fact_covid"], t["daily"])
 
 
 def fact_covid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,6 @@ Spark implementation. Integer sums are cast back to BIGINT (DuckDB widens them).
 
 from __future__ import annotations
 
-from starmart.schemas import WAREHOUSE
-
 
 def _zfill(expr: str, width: int) -> str:
     text = f"CAST(CAST(trunc({expr}) AS BIGINT) AS VARCHAR)"
@@ -193,16 +191,39 @@ def _profile(pairs: list[tuple[str, str]]) -> str:
         for label, src in pairs)
 
 
+# The declared columns of each table: name, whether NULL is barred, longest text.
+_DECLARED = {
+    "dim_date": (
+        "date_id, date not_null, day_name not_null 9, day_of_week not_null, day not_null, "
+        "day_of_year not_null, month not_null, month_name not_null 10, week not_null, "
+        "quarter not_null, year not_null, year_half not_null, is_weekend not_null"),
+    "dim_hospital": (
+        "hosp_sk, fips not_null 6, state_fips not_null 2, county_fips not_null 3, "
+        "state_name not_null 30, county_name 120, hospital_name not_null, hq_address 150, "
+        "hq_city 150, hq_state 2, hq_zip_code 5, hospital_type 150, latitude, longtitude"),
+    "dim_region": (
+        "region_sk, fips not_null 6, state_fips not_null 2, county_fips not_null 3, "
+        "state not_null 30, county 120, country 20, latitude, longitude"),
+    "fact_covid": (
+        "date, state_fips not_null 3, state not_null 30, positive, positiveincrease, "
+        "negative, death, deathincrease, recovered, hospitalized, hospitalizedcurrently, "
+        "hospitalizeddischarged, hospitalizedcumulative, hospitalizedincrease, region_sk, "
+        "hosp_sk"),
+}
+
+
 def _column_checks() -> str:
     parts = []
-    for spec in WAREHOUSE:
-        for c in spec.columns:
-            n_null = (f"count(*) FILTER (WHERE \"{c.name}\" IS NULL)" if c.not_null
-                      else "count(*) FILTER (WHERE false)")
-            n_long = (f"count(*) FILTER (WHERE length(CAST(\"{c.name}\" AS VARCHAR)) > {c.max_len})"
-                      if c.max_len else "count(*) FILTER (WHERE false)")
-            parts.append(f"SELECT '{spec.name}' AS table_name, '{c.name}' AS column_name, "
-                         f"{n_null} AS n_null, {n_long} AS n_too_long FROM {spec.name}")
+    for table, columns in _DECLARED.items():
+        for words in (c.split() for c in columns.split(", ")):
+            name, bars_null = words[0], "not_null" in words
+            longest = words[-1] if words[-1].isdigit() else None
+            n_null = f'count(*) FILTER (WHERE "{name}" IS NULL)' if bars_null else "count(*) FILTER (WHERE false)"
+            n_long = (f'count(*) FILTER (WHERE length(CAST("{name}" AS VARCHAR)) > {longest})'
+                      if longest else "count(*) FILTER (WHERE false)")
+            parts.append(f"SELECT '{table}' AS table_name, '{name}' AS column_name, "
+                         f"CAST({n_null} AS BIGINT) AS n_null, CAST({n_long} AS BIGINT) AS n_too_long "
+                         f"FROM {table}")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -230,7 +251,20 @@ SQL.update({
     # sources
     "scan_csv": "SELECT * FROM orders",
     "scan_geojson": with_feeds("SELECT *, longtitude AS lon, latitude AS lat FROM hospital_feed"),
+    "scan_feature_collection": with_feeds(
+        "SELECT *, longtitude AS lon, latitude AS lat FROM hospital_feed"),
     "mart_views": SQL["state_totals"],
+    "mart_view_us_totals": SQL["us_totals"],
+    "mart_view_state_daily": SQL["state_daily"],
+    "register_csv": """
+SELECT 'csv_customer' AS table_name, 3 AS n_columns, count(*) AS n_rows,
+       'int,string,double' AS column_types FROM customer
+UNION ALL
+SELECT 'csv_supplier', 2, count(*), 'int,string' FROM supplier""",
+    "evolve_csv": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN year(o_orderdate) < 1994 THEN NULL ELSE o_orderpriority END AS o_orderpriority
+FROM orders""",
     "register_tables": _profile([("src_region", "region"), ("src_nation", "nation"),
                                  ("src_customer", "customer"), ("src_supplier", "supplier"),
                                  ("src_orders", "orders"), ("src_lineitem", "lineitem")]),
@@ -296,28 +330,32 @@ FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey""",
     "first_per_group": with_star("SELECT * FROM region_first"),
     "surrogate_key": """
 SELECT CAST(row_number() OVER (ORDER BY c_nationkey NULLS LAST, c_mktsegment NULLS LAST,
-                                        c_acctbal NULLS LAST, c_custkey NULLS LAST) AS INTEGER)
+                                        c_acctbal NULLS LAST, c_custkey NULLS LAST) AS BIGINT)
          AS customer_sk, *
 FROM customer""",
     "surrogate_key_append": """
 WITH s AS (SELECT s_suppkey AS party_key, s_name AS name, s_nationkey AS nation FROM supplier),
 c AS (SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nation FROM customer),
-e AS (SELECT CAST(row_number() OVER (ORDER BY nation, name, party_key) AS INTEGER) AS party_sk, *
+e AS (SELECT CAST(row_number() OVER (ORDER BY nation, name, party_key) AS BIGINT) AS party_sk, *
       FROM s)
 SELECT party_sk, party_key, name, nation FROM e
 UNION ALL
 SELECT CAST((SELECT max(party_sk) FROM e) + row_number() OVER (ORDER BY nation, name, party_key)
-            AS INTEGER) AS party_sk, party_key, name, nation
+            AS BIGINT) AS party_sk, party_key, name, nation
 FROM c""",
+    "copy_key": """
+SELECT CAST(row_number() OVER (ORDER BY v) AS BIGINT) AS copy_sk, v
+FROM (SELECT CASE WHEN l_quantity % 5 < 2 THEN 'copy'
+                  ELSE l_orderkey || '-' || l_linenumber || '-' || l_partkey END AS v FROM lineitem)""",
     "line_key": """
 SELECT CAST(row_number() OVER (ORDER BY l_shipdate NULLS LAST, l_orderkey NULLS LAST,
     l_linenumber NULLS LAST, l_partkey NULLS LAST, l_suppkey NULLS LAST, l_quantity NULLS LAST,
     l_extendedprice NULLS LAST, l_discount NULLS LAST, l_tax NULLS LAST, l_returnflag NULLS LAST,
-    l_linestatus NULLS LAST) AS INTEGER) AS line_sk, *
+    l_linestatus NULLS LAST) AS BIGINT) AS line_sk, *
 FROM lineitem""",
     "sort_multi": """
 SELECT CAST(row_number() OVER (ORDER BY o_orderdate DESC NULLS LAST, o_totalprice ASC NULLS LAST,
-                                        o_orderkey ASC NULLS LAST) AS INTEGER) AS pos, *
+                                        o_orderkey ASC NULLS LAST) AS BIGINT) AS pos, *
 FROM orders""",
     # constraint reports
     "check_pk": with_star("""
@@ -351,12 +389,16 @@ FROM daily y WHERE y.fips IS NOT NULL
     # sinks
     "write_csv": with_star("SELECT * FROM fact_covid"),
     "load_warehouse": with_star("SELECT * FROM dim_region"),
+    "load_hospital": with_star("SELECT * FROM dim_hospital"),
+    "write_sorted_dim": with_star("SELECT * FROM dim_region"),
+    "extract_state_daily": SQL["state_daily"],
+    "extract_us_totals": SQL["us_totals"],
     "write_sorted": with_star("SELECT * FROM fact_covid"),
     "stream_load_fact": with_star("SELECT * FROM fact_covid"),
     "extract_csv": SQL["state_totals"],
     "create_tables": with_star("\nUNION ALL\n".join(
-        f"SELECT '{spec.name}' AS table_name, {len(spec.columns)} AS n_columns, count(*) AS n_rows "
-        f"FROM {spec.name}" for spec in WAREHOUSE)),
+        f"SELECT '{name}' AS table_name, {len(columns.split(', '))} AS n_columns, count(*) AS n_rows "
+        f"FROM {name}" for name, columns in _DECLARED.items())),
     "schema_ddl": with_star("\nUNION ALL\n".join(
         f"SELECT '{name}' AS table_name, '{ddl}' AS ddl, count(*) AS n_rows FROM {name}"
         for name, ddl in _DDL.items())),

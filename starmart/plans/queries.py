@@ -21,6 +21,7 @@ from starmart.plans import analogue, covid, star, warehouse
 from starmart.schemas import (DIM_DATE, DIM_HOSPITAL, DIM_REGION, FACT_COVID, HOSPITALS,
                               STATE_TOTALS_COLS, WAREHOUSE)
 from starmart.session import scratch_path
+from starmart.sources.files import CSV_DIALECT
 from starmart.sinks import writers
 from starmart.sources import catalog, files
 
@@ -53,6 +54,14 @@ def q_scan_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_geojson(spark, path, HOSPITALS)
 
 
+def q_scan_feature_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hospital features -> FeatureCollection documents of some hundred features -> flat rows."""
+    feed = analogue.hospital_feed(spark, sf_dir)
+    path = files.write_feature_collections(feed, scratch_path(spark, "scan_collection"), "longtitude",
+                                           "latitude", F.floor(F.col("hq_zip_code") / 200).cast("int"))
+    return files.read_geojson(spark, f"{path}/part=*", HOSPITALS, multiline=True)
+
+
 def _register_driver_tables(spark: SparkSession, sf_dir: str, names: list[str], prefix: str):
     db = "starmart_raw"
     catalog.create_database(spark, db, scratch_path(spark, "db"))
@@ -105,6 +114,34 @@ def q_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.read_evolving(spark, [f"{base}/batch_1", f"{base}/batch_2"])
 
 
+def q_evolve_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV batches of three layouts (one without the priority, one in another column order),
+    read as one table by column name; the priority of the oldest is NULL."""
+    orders = _T(spark, sf_dir, "orders")
+    base = scratch_path(spark, "evolve_csv")
+    year = F.year("o_orderdate")
+    writers.write_csv(orders.where(year < 1994).drop("o_orderpriority"), f"{base}/batch_1")
+    writers.write_csv(orders.where((year >= 1994) & (year < 1996)), f"{base}/batch_2")
+    writers.write_csv(orders.where(year >= 1996).select(*reversed(orders.columns)), f"{base}/batch_3")
+    return files.read_csv_by_name(spark, [f"{base}/batch_{i}" for i in (1, 2, 3)], orders.schema)
+
+
+def q_register_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headered CSV folders catalogued as external tables with inferred types; one profiled
+    row per table, with its column types."""
+    db = "starmart_raw"
+    catalog.create_database(spark, db, scratch_path(spark, "db"))
+    base = scratch_path(spark, "register_csv")
+    feeds = {"customer": ["c_custkey", "c_name", "c_acctbal"], "supplier": ["s_suppkey", "s_name"]}
+    for name, columns in feeds.items():
+        writers.write_csv(_T(spark, sf_dir, name).select(*columns), f"{base}/{name}")
+    tables = catalog.register_tables(spark, db, {n: f"{base}/{n}" for n in feeds}, fmt="csv",
+                                     prefix="csv_", options={"inferSchema": "true"})
+    types = {t.split(".")[-1]: ",".join(k for _, k in spark.table(t).dtypes) for t in tables}
+    kinds = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
+    return catalog.table_profile(spark, tables).withColumn("column_types", kinds[F.col("table_name")])
+
+
 def q_landing_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing folder and file name of every page URL (deep-path threshold 5)."""
     pages = _T(spark, sf_dir, "pages").select("page_id", "url")
@@ -257,6 +294,14 @@ def q_line_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_key(li, ["l_shipdate", "l_orderkey", "l_linenumber"], "line_sk")
 
 
+def q_copy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense key over text rows of which two in five are copies of one row."""
+    li = _T(spark, sf_dir, "lineitem")
+    row = F.when(F.col("l_quantity") % 5 < 2, F.lit("copy")).otherwise(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"))
+    return dense_key(li.select(row.alias("v")), ["v"], "copy_sk")
+
+
 def q_sort_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of every order under (date DESC, price ASC, key ASC)."""
     o = _T(spark, sf_dir, "orders")
@@ -321,7 +366,7 @@ def q_write_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact written as headered CSV and read back with its declared types."""
     fact = covid.fact_covid(spark, sf_dir)
     path = writers.write_csv(fact, scratch_path(spark, "fact_csv"))
-    return spark.read.option("header", True).schema(writers.spec_schema(FACT_COVID)).csv(path)
+    return files.read_csv(spark, path, schema=writers.spec_schema(FACT_COVID), check_header=True)
 
 
 def q_load_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,6 +379,15 @@ def q_load_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.load_positional(spark, table, csv_path, DIM_REGION)  # re-run: no duplicates
 
 
+def q_load_hospital(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_hospital, whose addresses hold commas and quotes, through CSV into its typed table."""
+    dim = covid.hospital_dim(spark, sf_dir)
+    csv_path = writers.write_csv(dim, scratch_path(spark, "dim_hospital_csv"))
+    table = writers.create_table(spark, DIM_HOSPITAL, scratch_path(spark, "wh_dim_hospital"),
+                                 db=_warehouse_db(spark, "starmart_load"))
+    return writers.load_positional(spark, table, csv_path, DIM_HOSPITAL)
+
+
 def _warehouse_db(spark: SparkSession, db: str = "starmart_dw") -> str:
     catalog.create_database(spark, db, scratch_path(spark, "dw"))
     return db
@@ -346,6 +400,38 @@ def q_write_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def q_write_sorted_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_region, which has a handful of sort values, written in order of them to 64 files:
+    equal values are cut by the primary key."""
+    path = writers.write_sorted(covid.region_dim(spark, sf_dir), scratch_path(spark, "region_sorted"),
+                                list(DIM_REGION.sort_key), partitions=64,
+                                tie_cols=list(DIM_REGION.primary_key))
+    return spark.read.parquet(path)
+
+
+def _read_extract(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A headered extract; the empty text stands for NULL."""
+    return (spark.read.options(**CSV_DIALECT).option("header", True).option("emptyValue", "")
+            .option("nullValue", "").option("mode", "FAILFAST").schema(schema).csv(path))
+
+
+def q_extract_state_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """state_daily ordered by date and state into eight or more files, each with a header."""
+    mart = covid.state_daily(spark, sf_dir)
+    path = writers.extract_csv(mart, scratch_path(spark, "state_daily_extract"), ["date", "state_abv"],
+                               partitions=8)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mart.schema.fields)
+    return _read_extract(spark, path, schema)
+
+
+def q_extract_us_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-row national mart as a single file."""
+    mart = covid.us_totals(spark, sf_dir)
+    path = writers.extract_csv(mart, scratch_path(spark, "us_totals_extract"), [], single_file=True)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mart.schema.fields)
+    return _read_extract(spark, path, schema)
+
+
 def q_extract_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """state_totals ordered by state abbreviation into one quoted CSV file (bounded mart)."""
     mart = covid.state_totals(spark, sf_dir)
@@ -353,18 +439,21 @@ def q_extract_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
                                single_file=True)
     schema = "state STRING, state_abv STRING, total_positive_cases DOUBLE, " \
              "total_deaths DOUBLE, avg_hospitalized DOUBLE"
-    return spark.read.option("header", True).schema(schema).csv(path).toDF(*STATE_TOTALS_COLS)
+    return _read_extract(spark, path, schema).toDF(*STATE_TOTALS_COLS)
 
 
-def q_mart_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the star as typed tables written in sort-key order, define the mart views
-    over them and read ``state_totals`` back through its view."""
-    s = covid.build_star(spark, sf_dir)
-    tables = {"dim_date": s.dim_date, "dim_hospital": s.dim_hospital,
-              "dim_region": s.dim_region, "fact_covid": s.fact_covid}
-    warehouse.publish(spark, tables, scratch_path(spark, "published"), db="starmart_pub")
-    warehouse.create_mart_views(spark, db="starmart_pub")
-    return spark.table("state_totals")
+def _mart_view(view: str) -> QueryFn:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = covid.build_star(spark, sf_dir)
+        tables = {"dim_date": s.dim_date, "dim_hospital": s.dim_hospital,
+                  "dim_region": s.dim_region, "fact_covid": s.fact_covid}
+        warehouse.publish(spark, tables, scratch_path(spark, "published"), db="starmart_pub")
+        warehouse.create_mart_views(spark, db="starmart_pub")
+        return spark.table(f"starmart_pub.{view}")
+
+    query.__doc__ = f"""Publish the star as tables in sort-key order, define the mart views over
+    them in the same database and read ``{view}`` back through its catalog view."""
+    return query
 
 
 def q_create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -405,8 +494,8 @@ def q_schema_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily files land in date order and are loaded by the streaming merge, two files per
-    micro-batch; the same files are then delivered again under new names and re-loaded,
-    which must leave the table unchanged (the merge is keyed, not appended)."""
+    micro-batch; a first delivery with wrong measures is corrected by a second one, whose
+    files are newer although their paths sort first. The merge is keyed, not appended."""
     from starmart.streaming import daily_load
 
     daily = analogue.states_daily(spark, sf_dir)
@@ -415,9 +504,9 @@ def q_stream_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     target = scratch_path(spark, "fact_stream")
     checkpoint = scratch_path(spark, "fact_stream_ck")
-    for delivery in ("first", "again"):
-        (daily.repartitionByRange(4, "date").write.mode("overwrite")
-              .option("header", True).csv(f"{landing}/{delivery}"))
+    wrong = daily.withColumn("positive", F.col("positive") + 1000).withColumn("death", F.lit(-1.0))
+    for delivery, rows in (("first", wrong.select(*daily.columns)), ("again", daily)):
+        writers.write_csv(rows.repartitionByRange(4, "date"), f"{landing}/{delivery}")
         q = daily_load.start(spark, f"{landing}/*", dim_region, dim_hospital, target, checkpoint,
                              available_now=True, max_files_per_trigger=2)
         q.awaitTermination()
@@ -441,10 +530,13 @@ REGISTRY: dict[str, QueryFn] = {
     # sources
     "scan_csv": q_scan_csv,
     "scan_geojson": q_scan_geojson,
+    "scan_feature_collection": q_scan_feature_collection,
     "register_tables": q_register_tables,
     "list_tables": q_list_tables,
     "table_scan": q_table_scan,
     "schema_evolve": q_schema_evolve,
+    "evolve_csv": q_evolve_csv,
+    "register_csv": q_register_csv,
     "landing_path": q_landing_path,
     # projections
     "project_cols": q_project_cols,
@@ -468,6 +560,7 @@ REGISTRY: dict[str, QueryFn] = {
     "surrogate_key_append": q_surrogate_key_append,
     "sort_multi": q_sort_multi,
     "line_key": q_line_key,
+    "copy_key": q_copy_key,
     # constraint reports
     "check_pk": q_check_pk,
     "check_fk": q_check_fk,
@@ -475,10 +568,16 @@ REGISTRY: dict[str, QueryFn] = {
     # sinks
     "write_csv": q_write_csv,
     "load_warehouse": q_load_warehouse,
+    "load_hospital": q_load_hospital,
     "write_sorted": q_write_sorted,
+    "write_sorted_dim": q_write_sorted_dim,
     "extract_csv": q_extract_csv,
+    "extract_state_daily": q_extract_state_daily,
+    "extract_us_totals": q_extract_us_totals,
     "create_tables": q_create_tables,
-    "mart_views": q_mart_views,
+    "mart_views": _mart_view("state_totals"),
+    "mart_view_us_totals": _mart_view("us_totals"),
+    "mart_view_state_daily": _mart_view("state_daily"),
     "schema_ddl": q_schema_ddl,
     # streaming
     "stream_load_fact": q_stream_load_fact,

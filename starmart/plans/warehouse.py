@@ -4,26 +4,27 @@ This is the end-to-end job: raw CSV / GeoJSON feeds -> conformed star -> typed t
 written in sort-key order -> mart views -> CSV extracts.
 
 Every intermediate is a DataFrame; the only things that reach the driver are the
-per-partition row counts used by the surrogate keys. The dimensions are written once
-(below the shared checkpoint folder by ``dense_key``, then as warehouse tables) and the
-marts are computed from the written tables, so a lost executor never re-runs the
-dimension builds.
+per-partition row counts used by the surrogate keys, file names and file headers. The daily
+feed and the dimensions are written once per run (below the shared checkpoint folder, freed
+at the end of ``run``), then as warehouse tables, and the marts are computed from the
+written tables, so a lost executor never re-runs the dimension builds and a later run in
+the same session never sees an earlier run's feed.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from starmart.operators import checks, clean
+from starmart.operators import checks
 from starmart.plans import marts, star
 from starmart.schemas import CASE_FEED, COUNTY_FEED, HOSPITALS, STATES_DAILY, WAREHOUSE
+from starmart.session import scratch_scope, write_once
 from starmart.sinks import writers
 from starmart.sources import catalog, files
 
@@ -41,85 +42,75 @@ class FeedPaths:
 
 
 def read_feeds(spark: SparkSession, paths: FeedPaths, partitions: int | None = None) -> dict[str, DataFrame]:
-    """Typed raw feeds. ``partitions`` spreads single-partition gzip input before wide work."""
+    """Typed raw feeds, their columns matched by name in every file (raw files carry more
+    columns than the pipeline uses, in their own order, and older files lack some).
+    ``partitions`` spreads single-partition gzip input before wide work."""
     return {
-        "case": files.read_csv(spark, paths.case_feed, schema=_select_schema(spark, paths.case_feed, CASE_FEED),
-                               partitions=partitions),
-        "county": files.read_csv(spark, paths.county_feed,
-                                 schema=_select_schema(spark, paths.county_feed, COUNTY_FEED),
-                                 partitions=partitions),
-        "daily": files.read_csv(spark, paths.states_daily,
-                                schema=_select_schema(spark, paths.states_daily, STATES_DAILY),
-                                partitions=partitions),
+        "case": files.read_csv_by_name(spark, paths.case_feed, CASE_FEED, partitions),
+        "county": files.read_csv_by_name(spark, paths.county_feed, COUNTY_FEED, partitions),
+        "daily": files.read_csv_by_name(spark, paths.states_daily, STATES_DAILY, partitions),
         "hospitals": files.read_geojson(spark, paths.hospitals, HOSPITALS,
                                         multiline=paths.hospitals_multiline),
     }
 
 
-def _select_schema(spark: SparkSession, path: str, wanted: T.StructType) -> T.StructType:
-    """Raw files carry more columns than the pipeline uses, in their own order: read the
-    header line, type the used columns from ``wanted`` and every other column as text."""
-    header = spark.read.option("header", True).csv(path).columns
-    typed = {f.name: f for f in wanted.fields}
-    fields = [typed.get(name.lower(), T.StructField(name, T.StringType())) for name in header]
-    fields = [T.StructField(name.lower(), f.dataType) for name, f in zip(header, fields)]
-    return T.StructType(fields)
+def register_feeds(spark: SparkSession, paths: FeedPaths, db: str) -> list[str]:
+    """The raw CSV feeds as external tables of ``db`` (metadata only)."""
+    catalog.create_database(spark, db)
+    feeds = {"case_feed": paths.case_feed, "county_feed": paths.county_feed,
+             "states_daily": paths.states_daily}
+    if paths.state_abbreviations:
+        feeds["state_abbreviations"] = paths.state_abbreviations
+    return catalog.register_tables(spark, db, feeds, fmt="csv", prefix="raw_")
 
 
 def build(feeds: Mapping[str, DataFrame],
           excluded_place: str | None = star.EXCLUDED_PLACE) -> dict[str, DataFrame]:
-    """Dimensions (built concurrently: they are independent jobs) and the fact."""
+    """Dimensions (built concurrently: they are independent jobs), the fact, and the daily
+    feed they were built from."""
     with ThreadPoolExecutor(max_workers=2) as pool:
         region_f = pool.submit(star.region_dimension, feeds["case"], feeds["county"],
                                excluded_place)
         hosp_f = pool.submit(star.hospital_dimension, feeds["hospitals"])
         dim_region, dim_hospital = region_f.result(), hosp_f.result()
-    # The daily state feed has one row per state and day, so it stays small however long
-    # the history; the calendar and the fact both read it, and persisting it keeps its
-    # upstream (scans, joins, aggregation) from running once per consumer.
-    daily = feeds["daily"].persist(StorageLevel.MEMORY_AND_DISK)
+    # The calendar and the fact both read the daily feed: written once for this run.
+    daily = write_once(feeds["daily"], "daily-feed")
     dim_date = star.calendar_dimension(daily)
     fact = star.covid_fact(daily, dim_region, dim_hospital)
     return {"dim_date": dim_date, "dim_hospital": dim_hospital, "dim_region": dim_region,
-            "fact_covid": fact}
+            "fact_covid": fact, "daily": daily}
 
 
 def publish(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
-            db: str = "covid_dw") -> dict[str, str]:
-    """Write each table sorted by its sort key and register it as ``db.name``.
+            db: str) -> dict[str, str]:
+    """Write each table sorted by its sort key and make ``db.name`` read it.
 
-    The four writes are independent jobs and are submitted concurrently. Each write
-    overwrites, so re-running the job does not duplicate rows.
+    Every run writes a new folder per table; a table is switched to it once all four are
+    complete, so a failed write leaves the published tables as they were, and re-running
+    the job does not duplicate rows. The four writes are independent jobs and are submitted
+    concurrently. Folders of earlier runs are left for readers still on them.
     """
     catalog.create_database(spark, db, f"{out_dir}/_db")
+    version = uuid.uuid4().hex[:12]
 
     def write(spec) -> str:
-        path = f"{out_dir}/{spec.name}"
-        writers.write_sorted(tables[spec.name].select(*spec.names), path, list(spec.sort_key))
-        return path
+        path = f"{out_dir}/{spec.name}/v-{version}"
+        return writers.write_sorted(tables[spec.name].select(*spec.names), path, list(spec.sort_key),
+                                    tie_cols=list(spec.primary_key))
 
     with ThreadPoolExecutor(max_workers=len(WAREHOUSE)) as pool:
-        paths = dict(zip([spec.name for spec in WAREHOUSE], pool.map(write, WAREHOUSE)))
-    names = {}
-    for spec in WAREHOUSE:
-        catalog.register_tables(spark, db, {spec.name: paths[spec.name]})
-        names[spec.name] = f"{db}.{spec.name}"
-    return names
-
-
-def create_mart_views(spark: SparkSession, db: str = "covid_dw") -> dict[str, DataFrame]:
-    """``state_totals``, ``us_totals`` and ``state_daily`` as (temporary) views over the
-    published tables. Views are re-evaluated on every read, like warehouse views."""
-    fact = spark.table(f"{db}.fact_covid")
-    region = spark.table(f"{db}.dim_region")
-    dates = spark.table(f"{db}.dim_date")
-    views = {
-        "state_totals": marts.state_totals(fact, region),
-        "us_totals": marts.us_totals(fact),
-        "state_daily": marts.state_daily(fact, dates, region),
-    }
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
+        paths = list(pool.map(write, WAREHOUSE))
+    return {spec.name: catalog.point_table(spark, db, spec.name, path)
+            for spec, path in zip(WAREHOUSE, paths)}
+
+
+def create_mart_views(spark: SparkSession, db: str) -> dict[str, DataFrame]:
+    """Catalog views ``db.state_totals``, ``db.us_totals`` and ``db.state_daily`` over the
+    published tables, re-evaluated on every read; returns a DataFrame of each."""
+    views = {}
+    for name, (query, columns) in marts.view_sql(db).items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{name}` ({', '.join(columns)}) AS {query}")
+        views[name] = spark.table(f"{db}.{name}")
     return views
 
 
@@ -139,19 +130,20 @@ def extract(views: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:
     return paths
 
 
-def run(spark: SparkSession, paths: FeedPaths, out_dir: str, db: str = "covid_dw",
+def run(spark: SparkSession, paths: FeedPaths, out_dir: str, db: str,
         partitions: int | None = None) -> dict[str, str]:
     """Raw feeds -> published warehouse tables, mart views and CSV extracts."""
-    feeds = read_feeds(spark, paths, partitions)
-    tables = build(feeds)
-    publish(spark, tables, f"{out_dir}/warehouse", db)
+    register_feeds(spark, paths, db)
+    with scratch_scope(spark):
+        tables = build(read_feeds(spark, paths, partitions))
+        publish(spark, tables, f"{out_dir}/warehouse", db)
     views = create_mart_views(spark, db)
     if paths.state_abbreviations:  # lookup with its header catalogued as a data row
         state_abbreviations(spark, paths.state_abbreviations).createOrReplaceTempView("state_abv")
     return extract(views, f"{out_dir}/extracts")
 
 
-def constraint_report(spark: SparkSession, db: str = "covid_dw") -> DataFrame:
+def constraint_report(spark: SparkSession, db: str) -> DataFrame:
     """All declared constraints of the published tables as one violation report:
     (check, table_name, column_name, n_violations)."""
     t = {spec.name: spark.table(f"{db}.{spec.name}") for spec in WAREHOUSE}
@@ -180,11 +172,10 @@ def constraint_report(spark: SparkSession, db: str = "covid_dw") -> DataFrame:
 
 
 def state_abbreviations(spark: SparkSession, path: str) -> DataFrame:
-    """The state-abbreviation lookup whose header was catalogued as a data row: read it
-    without a header and promote the row holding the names."""
-    raw = files.read_csv(spark, path, header=False)
-    return clean.promote_header(raw)
+    """The state-abbreviation lookup, its first line read as the header (a catalogue that
+    took it for a data row is put right with ``clean.promote_header``)."""
+    return files.read_csv(spark, path)
 
 
 __all__ = ["FeedPaths", "build", "constraint_report", "create_mart_views", "extract", "publish",
-           "read_feeds", "run", "state_abbreviations"]
+           "read_feeds", "register_feeds", "run", "state_abbreviations"]

@@ -7,13 +7,17 @@ the same load runs as a Structured Streaming query over the landing folder:
   is loaded exactly once, and a restarted query resumes where it stopped;
 * each micro-batch is conformed with the same code as the batch build
   (``star.covid_fact`` against the current dimensions);
-* rows are merged by the fact's primary key (date, state_fips): a newer file replaces
-  the rows it repeats and leaves every other row alone. The table is partitioned by month
-  and the merge rewrites only the months present in the batch (dynamic partition
-  overwrite), so its cost follows the batch, not the table, and replaying a batch after
-  a failure gives the same table.
-
-No state is kept in memory across batches; the table itself is the state.
+* rows are merged by the fact's primary key (date, state_fips): a newer file (by its
+  modification time, then its path) replaces the rows it repeats and leaves every other row
+  alone. The table is partitioned by month and the merge rewrites only the months present
+  in the batch (dynamic partition overwrite), so its cost follows the batch, not the table;
+* the months a batch rewrites are staged whole under the batch's number beside the
+  checkpoint before the table is touched. A batch that is replayed after a failure uses a
+  complete staging as it stands, whatever the table's months look like by then, so the
+  table ends as if the batch had run once. The staging goes when the batch is done.
+
+The two per-state lookups are computed once per start, not per batch. No state is kept in
+memory across batches; the table itself is the state.
 """
 
 from __future__ import annotations
@@ -24,11 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions.codes import zfill_code
+from starmart.operators.joins import first_per_group
 from starmart.plans import star
 from starmart.schemas import FACT_COVID, STATES_DAILY
-from starmart.session import scratch_path
+from starmart.session import delete_path, path_exists, scratch_scope, write_once
+from starmart.sources.files import CSV_DIALECT
 
-_SOURCE = "__sm_source"
+_SOURCE, _LANDED = "__sm_source", "__sm_landed"
 _PK = list(FACT_COVID.primary_key)
 _MONTH = "load_month"  # yyyymm partition column: a batch of daily files touches few months
 
@@ -38,12 +44,12 @@ def _month_of(date_col: str):
 
 
 def _latest_per_key(raw: DataFrame) -> DataFrame:
-    """One raw row per fact key (date, state code): the one from the latest landed file
-    (file names sort by landing time), ties broken on every column so the choice is
+    """One raw row per fact key (date, state code): the one from the latest landed file (by
+    modification time, then path), ties broken on every column so the choice is
     deterministic. The window is partitioned by the fact key, one row per key and file."""
     key = zfill_code("fips", 2)
-    cols = [c for c in raw.columns if c != _SOURCE]
-    order = [F.col(_SOURCE).desc()] + [F.col(c).asc_nulls_last() for c in cols]
+    cols = [c for c in raw.columns if c not in (_SOURCE, _LANDED)]
+    order = [F.col(_LANDED).desc(), F.col(_SOURCE).desc()] + [F.col(c).asc_nulls_last() for c in cols]
     w = Window.partitionBy("date", "__sm_key").orderBy(*order)
     return (raw.where(F.col("fips").isNotNull() & F.col("state").isNotNull())
                .withColumn("__sm_key", key)
@@ -59,14 +65,12 @@ def _read_existing(spark: SparkSession, target: str) -> DataFrame | None:
         return None
 
 
-def merge_batch(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame,
-                target: str) -> None:
-    """Conform one batch of raw daily rows and merge it into the fact table at ``target``."""
+def _stage(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame, target: str,
+           staging: str) -> None:
+    """Write the whole new contents of the months that the batch touches."""
     spark = batch.sparkSession
-    if batch.isEmpty():
-        return
     new_rows = star.covid_fact(_latest_per_key(batch), dim_region, dim_hospital)
-    new_rows = new_rows.withColumn(_MONTH, _month_of("date")).persist()
+    new_rows = write_once(new_rows.withColumn(_MONTH, _month_of("date")), "daily-load-batch")
     # The months one batch touches: a short list (a backfill of decades is ~1,200), used as
     # a literal filter so only those partitions of the table are read (static pruning).
     months = sorted(r[0] for r in new_rows.select(_MONTH).distinct().collect())
@@ -76,14 +80,26 @@ def merge_batch(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame
         kept = (existing.where(F.col(_MONTH).isin(months))
                         .join(new_rows.select(*_PK), _PK, "left_anti"))
         merged = kept.unionByName(new_rows)
-    # Stage first: the target partitions cannot be read and overwritten by one job.
-    staging = scratch_path(spark, "daily-load-stage")
     merged.write.mode("overwrite").parquet(staging)
+
+
+def merge_batch(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame,
+                target: str, staging: str) -> None:
+    """Conform one batch of raw daily rows and merge it into the fact table at ``target``.
+
+    ``staging`` names the batch: a complete one left by a failed attempt is used as it is.
+    """
+    spark = batch.sparkSession
+    if not path_exists(spark, f"{staging}/_SUCCESS"):
+        if batch.isEmpty():
+            return
+        with scratch_scope(spark):
+            _stage(batch, dim_region, dim_hospital, target, staging)
     # One file per month partition (a month holds states x days rows of the daily grain).
     (spark.read.parquet(staging).select(*FACT_COVID.names, _MONTH).repartition(_MONTH)
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(_MONTH).parquet(target))
-    new_rows.unpersist()
+    delete_path(spark, staging)
 
 
 def start(spark: SparkSession, landing_dir: str, dim_region: DataFrame, dim_hospital: DataFrame,
@@ -95,12 +111,18 @@ def start(spark: SparkSession, landing_dir: str, dim_region: DataFrame, dim_hosp
     runs); otherwise the query keeps polling the landing folder.
     """
     schema = T.StructType(list(STATES_DAILY.fields))
-    reader = spark.readStream.schema(schema).option("header", True).option("mode", "FAILFAST")
+    region = write_once(first_per_group(dim_region, "state_fips", "region_sk"), "daily-load-region")
+    hospital = write_once(first_per_group(dim_hospital, "state_fips", "hosp_sk"), "daily-load-hospital")
+    reader = (spark.readStream.schema(schema).options(**CSV_DIALECT).option("header", True)
+              .option("enforceSchema", False).option("mode", "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(landing_dir).withColumn(_SOURCE, F.input_file_name())
+    stream = reader.csv(landing_dir).select(
+        "*", F.col("_metadata.file_path").alias(_SOURCE),
+        F.col("_metadata.file_modification_time").alias(_LANDED))
+    staged = checkpoint.rstrip("/") + "-staging"
     writer = (stream.writeStream
-              .foreachBatch(lambda df, _epoch: merge_batch(df, dim_region, dim_hospital, target))
+              .foreachBatch(lambda df, epoch: merge_batch(df, region, hospital, target, f"{staged}/{epoch}"))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

@@ -3,7 +3,9 @@ import glob
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.operators import checks
 from starmart.schemas import DIM_REGION, HOSPITALS
@@ -51,17 +53,92 @@ def test_extract_csv_unload_format(spark):
 
 def test_extract_keeps_order_across_files(spark):
     df = spark.range(500).selectExpr("CAST(499 - id AS INT) AS k", "id * 0.5 AS x")
-    path = writers.extract_csv(df.repartition(7), scratch_path(spark, "t_extract_multi"), ["k"])
-    text = spark.read.text(path)
-    files = sorted(p for p in glob.glob(os.path.join(path.replace("file:", ""), "part-*"))
+    path = writers.extract_csv(df.repartition(7), scratch_path(spark, "t_extract_multi"), ["k"],
+                               partitions=8)
+    parts = sorted(p for p in glob.glob(os.path.join(path.replace("file:", ""), "part-*"))
                    if not p.endswith(".crc"))
-    lines = []
-    for f in files:
-        with open(f) as fh:
-            lines += fh.read().splitlines()
-    assert lines[0] == "k,x" and len(lines) == 501 == text.count()
-    keys = [int(line.split(",")[0].strip('"')) for line in lines[1:]]
+    assert len(parts) == 8
+    keys = []
+    for f in parts:
+        with open(f, newline="") as fh:
+            rows = list(csv.reader(fh))
+        assert rows[0] == ["k", "x"]  # every file has its header
+        keys += [int(r[0]) for r in rows[1:]]
     assert keys == list(range(500))
+    assert spark.read.option("header", True).csv(path).count() == 500
+
+
+def test_csv_dialect_is_rfc_4180(spark):
+    value = 'St. "Mary" Hospital, East'
+    df = spark.createDataFrame([(1, value, "two\nlines", "back\\slash")], "k int, a string, b string, c string")
+    path = writers.write_csv(df, scratch_path(spark, "t_dialect"))
+    parts = [p for p in glob.glob(os.path.join(path.replace("file:", ""), "part-*"))
+             if not p.endswith(".crc") and os.path.getsize(p) > 10]
+    with open(parts[0], newline="") as fh:
+        raw = fh.read()
+    assert '"St. ""Mary"" Hospital, East"' in raw
+    assert list(csv.reader(raw.splitlines(True)))[1] == ["1", value, "two\nlines", "back\\slash"]
+    assert tuple(files.read_csv(spark, path, schema=df.schema, multi_line=True).first()) == \
+        (1, value, "two\nlines", "back\\slash")
+    other = scratch_path(spark, "t_dialect_in").replace("file:", "")
+    os.makedirs(other)
+    with open(os.path.join(other, "x.csv"), "w", newline="") as fh:
+        csv.writer(fh).writerows([["k", "a"], [1, value]])
+    assert files.read_csv(spark, other).first().a == value
+
+
+def test_columns_are_matched_by_name(spark):
+    base = scratch_path(spark, "t_names").replace("file:", "")
+    os.makedirs(base)
+    for name, rows in (("a.csv", [["fips", "county", "state"], [1, "Autauga", "AL"]]),
+                       ("b.csv", [["state", "County", "fips"], ["AL", "Baldwin", 3]]),
+                       ("c.csv", [["fips"], [5]])):
+        with open(os.path.join(base, name), "w", newline="") as fh:
+            csv.writer(fh).writerows(rows)
+    wanted = T.StructType([T.StructField("fips", T.DoubleType()), T.StructField("county", T.StringType())])
+    got = sorted(tuple(r) for r in files.read_csv_by_name(spark, base, wanted).collect())
+    assert got == [(1.0, "Autauga"), (3.0, "Baldwin"), (5.0, None)]
+    with pytest.raises(Exception):  # by position the header must agree
+        files.read_csv(spark, os.path.join(base, "b.csv"), check_header=True, schema=T.StructType([
+            T.StructField(c, T.StringType()) for c in ("fips", "county", "state")])).collect()
+
+
+def test_malformed_features_fail(spark):
+    good = spark.createDataFrame([(1001.0, "Alabama", "A", 1.0, 2.0, "H", None, None, "AL", 1, "T")], HOSPITALS)
+    lines = [r.value for r in files.to_geojson_lines(good, "longtitude", "latitude").collect()]
+    for bad in (lines[0][:40], lines[0].replace("1001.0", '"abc"')):
+        path = scratch_path(spark, "t_bad_geo")
+        spark.createDataFrame([(lines[0],), (bad,)], "value string").coalesce(1).write.text(path)
+        with pytest.raises(Exception):
+            files.read_geojson(spark, path, HOSPITALS).collect()
+        assert files.read_geojson(spark, path, HOSPITALS, mode="PERMISSIVE").count() == 2
+
+
+def test_hot_sort_value_is_split(spark):
+    df = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 'AL' ELSE 'CA' END AS state", "id")
+    path = writers.write_sorted(df, scratch_path(spark, "t_hot_sort"), ["state"], partitions=64, tie_cols=["id"])
+    parts = sorted(p for p in glob.glob(os.path.join(path.replace("file:", ""), "part-*.parquet")))
+    assert len(parts) >= 60
+    states = [r.state for p in parts for r in spark.read.parquet(p).select("state").collect()]
+    assert states == sorted(states)
+
+
+def test_managed_tables_are_never_dropped(spark):
+    db = "t_managed"
+    catalog.create_database(spark, db, scratch_path(spark, "t_managed_db"))
+    spark.range(3).write.mode("overwrite").saveAsTable(f"{db}.src_kept")
+    path = scratch_path(spark, "t_managed_src")
+    spark.range(5).write.parquet(path)
+    for act in (lambda: catalog.register_tables(spark, db, {"kept": path}, prefix="src_"),
+                lambda: catalog.point_table(spark, db, "src_kept", path)):
+        with pytest.raises(ValueError):
+            act()
+    assert spark.table(f"{db}.src_kept").count() == 3
+    odd = scratch_path(spark, "t_o'dd")  # a quote in a path is escaped
+    spark.range(2).write.parquet(odd)
+    assert spark.table(catalog.point_table(spark, db, "odd", odd)).count() == 2
+    spark.range(7).write.parquet(odd + "2")
+    assert spark.table(catalog.point_table(spark, db, "odd", odd + "2")).count() == 7
 
 
 def test_geojson_both_layouts(spark):

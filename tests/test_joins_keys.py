@@ -24,12 +24,15 @@ def test_first_per_group_drops_null_group(spark):
     assert got == {"01": 2, "02": 7}
 
 
-def test_lookup_join_without_broadcast_beyond_bound(spark):
+def test_lookup_join_hints_only_proven_bounds(spark):
     big = spark.range(50).selectExpr("id % 5 AS k", "id")
     small = spark.createDataFrame([(i, f"n{i}") for i in range(5)], "k long, name string")
-    a = lookup_join(big, small, "k", max_rows=100)
-    b = lookup_join(big, small, "k", max_rows=1)  # over the bound: plain join
-    assert a.count() == b.count() == 50
+    proven = lookup_join(big, small, "k", proven_rows=5)
+    plain = lookup_join(big, small, "k")
+    beyond = lookup_join(big, small, "k", proven_rows=10_000_000)
+    assert proven.count() == plain.count() == beyond.count() == 50
+    logical = [d._jdf.queryExecution().logical().toString() for d in (proven, plain, beyond)]
+    assert ["ResolvedHint" in t or "UnresolvedHint" in t for t in logical] == [True, False, False]
 
 
 def _reference_keys(df, order_cols, key):
@@ -104,11 +107,35 @@ def test_hot_copy_detection_is_bounded(spark):
     from starmart.operators.keys import _hot_copy_hashes
 
     distinct = spark.range(5000).selectExpr("id")
-    assert _hot_copy_hashes(distinct, 4, 10_000) == []
+    assert _hot_copy_hashes(distinct, 4) == []
     doubled = spark.range(5000).selectExpr("id % 2500 AS id")  # every row twice: harmless
-    assert _hot_copy_hashes(doubled, 4, 10_000) == []
+    assert _hot_copy_hashes(doubled, 4) == []
+    few = spark.range(100_000).selectExpr("CASE WHEN id < 3 THEN id + 10 ELSE id END AS id")
+    assert _hot_copy_hashes(few, 4) == []  # three doubled rows among distinct ones
     hot = spark.range(5000).selectExpr("CASE WHEN id < 2000 THEN -1 ELSE id END AS id")
-    found = _hot_copy_hashes(hot, 4, 10_000)
+    found = _hot_copy_hashes(hot, 4)
     assert len(found) == 1
     many = spark.range(20000).selectExpr("id % 100 AS id")  # 100 groups of 200 copies
-    assert len(_hot_copy_hashes(many, 4, 10_000)) <= 16  # never more than 4 * partitions
+    assert len(_hot_copy_hashes(many, 4)) <= 16  # never more than 4 * partitions
+
+
+def test_keys_beyond_32_bits(spark):
+    df = spark.range(5).selectExpr("id")
+    got = sorted(r.k for r in dense_key(df, ["id"], "k", start=2**31 + 7).collect())
+    assert got == [2**31 + 7 + i for i in range(5)]
+    old = spark.createDataFrame([(2**31 + 4, 1)], "k long, id long")
+    more = append_with_keys(old, df, "k", ["id"])
+    assert min(r.k for r in more.collect()) == 2**31 + 5
+
+
+def test_scratch_scope_frees_key_tables(spark):
+    from starmart.session import path_exists, scratch_scope, scratch_path
+
+    with scratch_scope(spark):
+        keyed = dense_key(spark.range(10).selectExpr("id"), ["id"], "k")
+        files = keyed.inputFiles()
+        assert keyed.count() == 10
+    outside = scratch_path(spark, "t_outside")
+    assert not path_exists(spark, files[0])
+    spark.range(1).write.parquet(outside)
+    assert path_exists(spark, outside)

@@ -82,7 +82,28 @@ def test_daily_feed_is_computed_once_for_calendar_and_fact(star):
     both = checks.column_violations(star.dim_date, DIM_DATE).unionByName(
         checks.column_violations(star.fact_covid, FACT_COVID))
     tree = _plan(both).split("\n\n")[0]
-    assert tree.count("InMemoryTableScan") == 2  # both branches read the one cached feed
-    # distinct scan nodes: the feed's orders and customer scans (shown once per cache
-    # reference, same node ids) plus the two dimension tables
+    # both branches read the feed's written table; neither runs its scans, joins and
+    # aggregation again, and nothing is cached
+    assert "InMemoryTableScan" not in tree and "SortMergeJoin" not in tree
     assert len(set(re.findall(r"Scan parquet\s+\((\d+)\)", tree))) <= 4
+
+
+def test_foreign_keys_are_counted_by_value_before_the_join(spark):
+    from starmart.operators import checks
+
+    child = spark.range(100).selectExpr("id % 3 AS k")
+    parent = spark.range(2).selectExpr("id AS k")
+    report = checks.orphan_counts(child, "c", [("k", parent, "p", "k")])
+    tree = _plan(report).split("\n\n")[0].splitlines()
+    join = next(i for i, line in enumerate(tree) if "LeftAnti" in line or "Join" in line)
+    assert any("HashAggregate" in line for line in tree[join:])
+    assert report.first().n_orphans == 33
+
+
+def test_bounds_read_the_integer_column(spark):
+    from starmart.plans import star as builders
+
+    daily = spark.createDataFrame([(20200113,), (20191231,), (None,)], "date int")
+    df = builders.date_bounds(daily)
+    assert [str(v) for v in df.first()] == ["2019-12-31", "2020-01-13"]
+    assert "min(date" in _plan(df)

@@ -3,12 +3,13 @@ a restarted query with the same checkpoint does not reload processed files."""
 
 import os
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from covid_fixture import make_feeds
 from starmart.plans import star
 from starmart.schemas import STATES_DAILY
-from starmart.session import scratch_path
+from starmart.session import delete_path, path_exists, scratch_path
 from starmart.streaming import daily_load
 
 
@@ -55,5 +56,34 @@ def test_latest_file_wins_within_a_batch(spark):
          _row(1.0, 20200113, "AL", 12.0) + ("file:/l/b.csv",),
          _row(6.0, 20200113, "CA", 5.0) + ("file:/l/a.csv",)],
         T.StructType(STATES_DAILY.fields + [T.StructField("__sm_source", T.StringType())]))
-    got = {(r.fips, r.positive) for r in daily_load._latest_per_key(rows).collect()}
+    same_time = rows.withColumn("__sm_landed", F.lit("2020-01-14").cast("timestamp"))
+    got = {(r.fips, r.positive) for r in daily_load._latest_per_key(same_time).collect()}
     assert got == {(1.0, 12.0), (6.0, 5.0)}
+    # a newer file wins even if its path sorts first
+    times = rows.withColumn("__sm_landed", F.when(F.col("__sm_source").endswith("a.csv"),
+                                                  F.lit("2020-01-15")).otherwise(F.lit("2020-01-14"))
+                            .cast("timestamp"))
+    got = {(r.fips, r.positive) for r in daily_load._latest_per_key(times).collect()}
+    assert got == {(1.0, 10.0), (6.0, 5.0)}
+
+
+def test_replay_uses_the_complete_staging(spark):
+    """A batch that failed after staging, in the middle of replacing a month, ends the same."""
+    feeds = make_feeds(spark)
+    region = star.region_dimension(feeds["case"], feeds["county"])
+    hosp = star.hospital_dimension(feeds["hospitals"])
+    target, staging = scratch_path(spark, "t_replay"), scratch_path(spark, "t_replay_stage")
+
+    def batch(*rows):
+        return (spark.createDataFrame(list(rows), STATES_DAILY)
+                .withColumn("__sm_source", F.lit("f")).withColumn("__sm_landed", F.current_timestamp()))
+
+    daily_load.merge_batch(batch(_row(1.0, 20200113, "AL", 10.0), _row(6.0, 20200114, "CA", 4.0)),
+                           region, hosp, target, f"{staging}/0")
+    second = batch(_row(1.0, 20200113, "AL", 11.0))
+    daily_load._stage(second, region, hosp, target, f"{staging}/1")
+    delete_path(spark, f"{target}/load_month=202001")  # the crash: the month is gone
+    daily_load.merge_batch(second, region, hosp, target, f"{staging}/1")
+    got = {(r.date, r.state_fips): r.positive for r in daily_load.read_fact(spark, target).collect()}
+    assert got == {(20200113, "01"): 11.0, (20200114, "06"): 4.0}
+    assert not path_exists(spark, f"{staging}/1")

@@ -47,9 +47,11 @@ def test_run_from_raw_files(spark):
     extracts = warehouse.run(spark, paths, out, db="t_dw", partitions=4)
 
     assert sorted(r.Abbreviation for r in spark.table("state_abv").collect()) == ["AL", "CA"]
-    totals = {r.state_abv: r for r in spark.table("state_totals").collect()}
+    totals = {r.state_abv: r for r in spark.table("t_dw.state_totals").collect()}
     assert totals["AL"].total_positive_cases == 25.0
-    us = spark.table("us_totals").first()
+    us = spark.table("t_dw.us_totals").first()
+    assert spark.table("t_dw.raw_case_feed").columns[0] == "last_update"  # the raw feeds are catalogued
+    assert spark.table("t_dw.state_daily").count() == 4
     assert (us.begin_data, us.end_data) == (20200113, 20200115)
 
     part = [p for p in glob.glob(os.path.join(_local(extracts["state_totals"]), "part-*"))
@@ -78,6 +80,26 @@ def test_state_abbreviations_header_row(spark):
     assert sorted(r.Abbreviation for r in df.collect()) == ["AK", "AL"]
 
 
+def test_second_run_reads_new_files(spark):
+    """A second run in the same session publishes the files that landed in between."""
+    feeds = make_feeds(spark)
+    base = scratch_path(spark, "t_again")
+    writers.write_csv(feeds["case"], f"{base}/case")
+    writers.write_csv(feeds["county"], f"{base}/county")
+    from starmart.sources import files
+    files.to_geojson_lines(feeds["hospitals"], "longtitude", "latitude").write.text(f"{base}/hosp")
+    paths = warehouse.FeedPaths(f"{base}/case", f"{base}/county", f"{base}/daily/*", f"{base}/hosp")
+    days = feeds["daily"].where("state = 'AL'")
+    writers.write_csv(days.where("date = 20200113"), f"{base}/daily/one")
+    out = scratch_path(spark, "t_again_out")
+    warehouse.run(spark, paths, out, db="t_again_dw")
+    assert tuple(spark.table("t_again_dw.us_totals").first()) == (10.0, 1.0, 20200113, 20200113)
+    writers.write_csv(days.where("date = 20200114"), f"{base}/daily/two")
+    warehouse.run(spark, paths, out, db="t_again_dw")
+    assert tuple(spark.table("t_again_dw.us_totals").first()) == (25.0, 3.0, 20200113, 20200114)
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
 def test_command_line(spark, capsys):
     from starmart.__main__ import main
 
@@ -88,10 +110,14 @@ def test_command_line(spark, capsys):
     writers.write_csv(feeds["daily"], f"{base}/daily")
     from starmart.sources import files
     files.to_geojson_lines(feeds["hospitals"], "longtitude", "latitude").write.text(f"{base}/hosp")
+    writers.write_csv(spark.createDataFrame([("Alabama", "AL")], "State string, Abbreviation string"),
+                      f"{base}/abv")
     out = scratch_path(spark, "t_cli_out")
     rc = main(["--case", f"{base}/case", "--county", f"{base}/county", "--daily", f"{base}/daily",
-               "--hospitals", f"{base}/hosp", "--out", out, "--db", "t_cli_dw"], spark=spark)
+               "--hospitals", f"{base}/hosp", "--state-abbreviations", f"{base}/abv",
+               "--out", out, "--db", "t_cli_dw"], spark=spark)
     assert rc == 0
+    assert spark.table("state_abv").first().Abbreviation == "AL"
     result = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert set(result["extracts"]) == {"state_totals", "us_totals", "state_daily"}
     assert {"check": "not_null", "table_name": "dim_region", "column_name": "state",
