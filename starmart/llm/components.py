@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.tables import written
+from starmart.llm.tables import map_in_arrow, written
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,8 +43,8 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(``id``, ``component``: least id reachable) of the ids in ``links`` (``a``, ``b`` long)."""
-    edges = written(links.select(F.col("a").cast("long"), F.col("b").cast("long"))
-                    .where("a <> b").mapInArrow(_forest, "a long, b long"), "links")
+    pairs = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
+    edges = written(map_in_arrow(pairs, _forest, "a long, b long"), "links")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = written(both.groupBy("a").agg(F.min("b").alias("m"))
                      .select(F.col("a").alias("id"), F.least("a", "m").alias("component")),

@@ -37,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.llm.tables import map_in_arrow
 from starmart.llm.text import slices
 
 WINDOW = 2048
@@ -197,4 +198,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     schema = SCHEMA if keep_ids else SCHEMA.rpartition(", ")[0]
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, schema)
+    return map_in_arrow(source, run, schema)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -30,6 +33,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers, once an application, where it is not
+    installed on the executors: the code goes with the job as a zip file."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="run-"), "starmart-code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
+def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                 schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` with a function of this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
               schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
@@ -38,7 +69,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
         for batch in batches:
             yield from fn(batch)
 
-    return df.mapInArrow(run, schema)
+    return map_in_arrow(df, run, schema)
 
 
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
