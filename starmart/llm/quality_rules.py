@@ -122,7 +122,7 @@ def limits(sketch: DataFrame, groups: list[str], min_group: int = MIN_GROUP) ->
             at = at.where(F.col("total") >= min_group)
         at = at.select(*level, "rule", F.struct("hi", "lo").alias(f"at{depth}"))
         if result is None:
-            result = keyed.crossJoin(F.broadcast(_rule_names(sketch)))
+            result = keyed.select(*groups, F.explode(F.array(*map(F.lit, RULES))).alias("rule"))
         same = [F.expr(f"a.{g} <=> b.{g}") for g in [*level, "rule"]]
         joined = result.alias("a").join(at.alias("b"), same, "left")
         result = joined.select("a.*", f"b.at{depth}")
@@ -130,11 +130,6 @@ def limits(sketch: DataFrame, groups: list[str], min_group: int = MIN_GROUP) ->
     return result.select(*groups, "rule", best["hi"].alias("hi"), best["lo"].alias("lo"))
 
 
-def _rule_names(sketch: DataFrame) -> DataFrame:
-    """One row per rule: a constant of the module."""
-    return sketch.sparkSession.createDataFrame([(r,) for r in RULES], "rule string")
-
-
 def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 groups: tuple[str, ...] = ("lang", "source"),
                 min_group: int = MIN_GROUP) -> DataFrame:
