@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from starmart.llm import classify, line_dedup, minhash, mixing, packing
 from starmart.llm.tables import documents, words_array, written
 
+WORD = "[^\\x20\\x09-\\x0D]"
 
-def _with_text(docs: DataFrame, text: Column) -> list[Column]:
-    """The columns of ``docs`` with another text (and its length, where there is a column)."""
+
+def _columns(docs: DataFrame, text: Column) -> list[Column]:
+    """The columns of ``docs``, held in the struct ``doc``, with another text (and its length,
+    where there is a column of it)."""
     length = F.char_length(text).cast("long")
-    return [text.alias(c) if c == "text" else length.alias(c) if c == "n_chars" else F.col(c)
-            for c in docs.columns]
+    return [text.alias(c) if c == "text" else length.alias(c) if c == "n_chars"
+            else F.col("doc").getField(c).alias(c) for c in docs.columns]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,10 +36,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated three-line windows; a document that loses all its words goes."""
     rows = line_dedup.dedup_lines(docs)
-    gone = (F.col("n_removed") > 0) & ~F.col("doc.text").rlike("[^\\x20\\x09-\\x0D]")
-    left = rows.where(~F.coalesce(gone, F.lit(False))).select("doc.*", "n_removed")
-    kept = left.select(*_with_text(docs, F.col("text")), "n_removed") if "n_chars" in docs.columns else left
-    return kept.select(*docs.columns)
+    text = F.col("doc").getField("text")
+    gone = (F.col("n_removed") > 0) & ~F.coalesce(text.rlike(WORD), F.lit(False))
+    return rows.where(~gone).select(*_columns(docs, text))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +48,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     groups = minhash.near_duplicates(docs)
     gone = groups.where(~F.col("kept")).select("doc_id").distinct()
-    return (docs.join(gone, "doc_id", "left_anti").withColumn("__key", F.xxhash64("text"))
-            .dropDuplicates(["doc_id", "__key"]).select(*docs.columns))
+    rows = docs.select(F.struct("*").alias("doc"), "doc_id", F.xxhash64("text").alias("text_key"))
+    kept = rows.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text_key"])
+    return kept.select("doc.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +59,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     key = ["doc_id", "source", "text_key"]
     takes = (mixing.mix(docs).where("taken > 0").groupBy(*key)
              .agg(F.collect_list(F.struct("passes", "from1", "to1", "from2", "to2", "size")).alias("takes")))
-    whole = docs.withColumn("text_key", F.xxhash64("text")).dropDuplicates(key)
+    whole = (docs.select(F.struct("*").alias("doc"), "doc_id", "source", F.xxhash64("text").alias("text_key"))
+             .dropDuplicates(key))
     same = F.expr(" and ".join(f"d.{k} <=> t.{k}" for k in key))
-    both = whole.alias("d").join(takes.alias("t"), same).select("d.*", "takes")
+    both = whole.alias("d").join(takes.alias("t"), same).select("doc", "takes")
 
     def spans(take: Column) -> Column:
         """Word ranges of one row's share; a whole pass is (0, size)."""
@@ -69,15 +73,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                          lambda s: s["b"] > s["a"])
         return F.concat(whole_passes, parts)
 
-    pieces = both.select("*", F.explode(F.flatten(F.transform("takes", lambda t: F.transform(
+    pieces = both.select("doc", F.explode(F.flatten(F.transform("takes", lambda t: F.transform(
         spans(t), lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b"), t["size"].alias("n")))))
     ).alias("piece"))
-    part = F.array_join(F.slice(words_array(F.col("text")), (F.col("piece.a") + 1).cast("int"),
+    text = F.col("doc").getField("text")
+    part = F.array_join(F.slice(words_array(text), (F.col("piece.a") + 1).cast("int"),
                                 (F.col("piece.b") - F.col("piece.a")).cast("int")), " ")
     complete = (F.col("piece.a") == 0) & (F.col("piece.b") == F.col("piece.n"))
-    text = F.when(complete, F.col("text")).otherwise(part)
-    chosen = pieces.withColumn("text", text)
-    return chosen.select(*_with_text(docs, F.col("text")))
+    return pieces.select(*_columns(docs, F.when(complete, text).otherwise(part)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
