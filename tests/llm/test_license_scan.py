@@ -1,0 +1,55 @@
+"""License scan against a search of every window."""
+
+import re
+
+import pytest
+
+from llm_cases import corpus, empty, fold, frame, sentence
+from starmart.llm import license_scan as L
+
+ALNUM = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+
+
+def brute(rows, templates=L.TEMPLATES):
+    found = set()
+    for name, text in templates.items():
+        w = ALNUM.findall(fold(text))
+        k = min(5, len(w))
+        own = {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+        m = len(w) - k + 1
+        step = max(1, m // 4)
+        for doc, body in rows:
+            v = ALNUM.findall(fold(body or ""))
+            s = [tuple(v[i:i + k]) for i in range(len(v) - k + 1)]
+            for at in range(0, max(1, len(s)), step):
+                if len(own & set(s[at:at + m + step - 1])) >= 0.8 * len(own):
+                    found.add((doc, name))
+    return found
+
+
+def test_matches_every_window_search(spark):
+    import random
+    rng = random.Random(8)
+    rows = corpus()
+    for i, (name, text) in enumerate(L.TEMPLATES.items()):
+        rows.append((2000 + i, f"{sentence(rng, 60)}\n{text.upper()},\n{sentence(rng, 90)}"))
+        w = text.split()
+        w[len(w) // 2] = "altered"
+        rows.append((3000 + i, f"{sentence(rng, 33)} {' '.join(w)} {sentence(rng, 7)}"))
+        rows.append((4000 + i, " ".join(text.split()[:len(text.split()) // 2])))
+    rows.append((5000, "\n".join([L.TEMPLATES["MIT"], sentence(rng, 40)] * 2)))
+    got = L.scan_licenses(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.license) for r in got} == brute(rows)
+    assert len([r for r in got if r.doc_id == 5000 and r.license == "MIT"]) == 2  # each place once
+    exact = next(r for r in got if (r.doc_id, r.license) == (2000, "Apache-2.0"))
+    assert (exact.start_word, exact.n_words, exact.containment) == (60, 8, 1.0)
+    assert {(r.doc_id, r.license) for r in L.scan_licenses(frame(spark, rows[-3:] * 2)).collect()} \
+        == brute(rows[-3:])
+
+
+def test_empty_and_bounds(spark):
+    assert L.scan_licenses(empty(spark)).count() == 0
+    with pytest.raises(ValueError):
+        L.Templates({str(i): "x" for i in range(L.MAX_TEMPLATES + 1)})
+    # a template of no words is left out
+    assert L.Templates({"none": "!!"}).groups == {}
