@@ -13,12 +13,16 @@ Verification is exact: 100 * |A & B| >= percent * |A | B| on the full shingle se
 shingle hashes). Documents with equal sets form a class first (one representative goes
 on, the least id), so exact copies are never compared, whatever their number.
 
-A bucket is not expanded into all its pairs. In each round every bucket that still spans
-several groups names one hub, the member that shares most bands with others, and every
-member of another group is checked against the hub alone; then links are grouped and the
-hub leaves the bucket. After ``hub_rounds`` rounds what is left (members of one bucket,
-different groups, sizes that allow the similarity) is checked pair by pair. So members of
-a group of near copies cost one check each, and no link between groups is lost.
+A bucket is not expanded into all its pairs. In each of ``hub_rounds`` rounds every bucket
+that still spans several groups names one hub, the member that shares most bands with
+others, and every member of another group is checked against the hub alone; then links are
+grouped and the hub leaves the bucket. So members of a group of near copies cost one check
+each. What is left (members of one bucket, different groups) mostly shares a common passage
+and no more. There two sets of the asked similarity must share one of the rarest shingles of
+each: with shingles ordered by how many of these documents hold them, one of the first
+``n - ceil(percent n / 100) + 1``. From the places i and j of the first one they share, they
+have at most min(n - i, m - j) shingles in common. Only documents of different groups that
+share such a shingle, at places that leave enough, are checked, which loses no link.
 
 Scale: one pass over the texts for signatures and one over the documents that share a
 bucket for their sets; everything else moves ids and 64-bit keys, partially aggregated.
@@ -144,7 +148,7 @@ def _sets(n: int):
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 5, percent: int = 80, places: int = PLACES,
-                    bands: int = BANDS, rows: int = ROWS, hub_rounds: int = 3) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, hub_rounds: int = 2) -> DataFrame:
     """(``doc_id``, ``n_shingles``, ``component_id``, ``kept``) for each row of ``docs``."""
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     base = written(arrow_map(source, _signatures(shingle, places, bands, rows),
@@ -188,39 +192,65 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
-def _fits(percent: int):
+def _fits(percent: int, n: str = "n", other: str = "other_n"):
     """Sizes that allow the similarity at all."""
-    return F.expr(f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
+    return F.expr(f"100 * least({n}, {other}) >= {percent} * greatest({n}, {other})")
+
+
+def _open_buckets(active: DataFrame) -> DataFrame:
+    """The members of buckets that span several groups, with the bucket's hub."""
+    hub = F.max(F.struct("score", (-F.col("id")).alias("id"), "grp", "n")).alias("hub")
+    spans = (active.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"), hub)
+             .where("lo < hi")
+             .select("key", (-F.col("hub.id")).alias("hub"), F.col("hub.grp").alias("hub_grp"),
+                     F.col("hub.n").alias("other_n")))
+    return written(active.join(spans, "key"), "open-buckets")
 
 
 def _link(crowd: DataFrame, sets: DataFrame, percent: int, hub_rounds: int) -> DataFrame:
+    """Verified links between documents of common buckets; enough to connect every group."""
     links = sets.sparkSession.createDataFrame([], "a long, b long")
     active = crowd.withColumn("grp", F.col("id"))
-    for step in range(hub_rounds + 1):
-        # buckets that still span several groups
-        spans = (active.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"),
-                                           F.max(F.struct("score", -F.col("id"), "grp", "n")).alias("hub"))
-                 .where("lo < hi")
-                 .select("key", (-F.col("hub.col2")).alias("hub"), F.col("hub.grp").alias("hub_grp"),
-                         F.col("hub.n").alias("other_n")))
-        rest = written(active.join(spans, "key"), "open-buckets")
-        if not rest.limit(1).count():
-            break
-        if step < hub_rounds:
-            pairs = rest.where("grp <> hub_grp").where(_fits(percent)).select(
-                F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-        else:
-            one = rest.select("key", "id", "n", "grp")
-            two = rest.select("key", F.col("id").alias("other"), F.col("n").alias("other_n"),
-                              F.col("grp").alias("other_grp"))
-            pairs = (one.join(two, "key").where("id < other and grp <> other_grp")
-                     .where(_fits(percent)).select(F.col("id").alias("a"), F.col("other").alias("b")))
-        found = written(_confirmed(pairs.distinct(), sets, percent), "links")
-        links = written(links.unionByName(found), "all-links")
-        if step < hub_rounds:
-            groups = components(links)
-            active = written(rest.where("id <> hub").select("key", "id", "n", "score")
-                             .join(groups, "id", "left")
-                             .select("key", "id", "n", "score",
-                                     F.coalesce("component", "id").alias("grp")), "active")
-    return links
+    for _ in range(hub_rounds):
+        rest = _open_buckets(active)
+        if rest.isEmpty():
+            return links
+        pairs = rest.where("grp <> hub_grp").where(_fits(percent)).select(
+            F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+        found = _confirmed(pairs.distinct(), sets, percent)
+        links = written(links.unionByName(found), "links-so-far")
+        active = (rest.where("id <> hub").select("key", "id", "n", "score")
+                  .join(components(links), "id", "left")
+                  .select("key", "id", "n", "score", F.coalesce("component", "id").alias("grp")))
+    rest = _open_buckets(active)
+    if rest.isEmpty():
+        return links
+    left = written(rest.groupBy("id").agg(F.max("n").alias("n"), F.max("grp").alias("grp")), "left-over")
+    found = _confirmed(_share_rare(left, sets, percent), sets, percent)
+    return written(links.unionByName(found), "links-so-far")
+
+
+def _share_rare(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of documents of different groups that share a rare shingle."""
+    items = written(sets.join(left, "id").select("id", "n", "grp", F.explode("items").alias("t")),
+                    "left-over-shingles")
+    often = items.groupBy("t").agg(F.count(F.lit(1)).alias("df"), F.min("grp").alias("lo"),
+                                   F.max("grp").alias("hi"))
+    order = F.array_sort(F.collect_list(F.struct("df", "t", "mixed")))
+    first = F.expr(f"int(n - (n * {percent} + 99) div 100 + 1)")
+    rare = written(items.join(often.select("t", "df", (F.col("lo") < F.col("hi")).alias("mixed")), "t")
+                   .groupBy("id", "n", "grp").agg(order.alias("o"))
+                   .select("id", "n", "grp", F.posexplode(F.slice("o", F.lit(1), first)).alias("at", "x"))
+                   .where("x.mixed").select("id", "n", "grp", "at", "x.t"), "left-over-rare")
+    # of each shingle's holders those outside its largest group meet all the others
+    by_group = rare.groupBy("t", "grp").agg(F.count(F.lit(1)).alias("held"))
+    largest = by_group.groupBy("t").agg(F.max(F.struct("held", "grp")).alias("top"), F.count(F.lit(1)).alias("g"))
+    largest = largest.where("g > 1").select("t", F.col("top.grp").alias("top"))
+    minor = (rare.join(largest, "t").where("grp <> top")
+             .select("t", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("at").alias("other_at"),
+                     F.col("grp").alias("other_grp"), "top"))
+    # two documents outside the largest group meet once, in order of id
+    meet = F.expr("grp <> other_grp and (grp = top or id < other)")
+    enough = F.expr(f"{100 + percent} * least(n - at, other_n - other_at) >= {percent} * (n + other_n)")
+    return (rare.join(minor, "t").where(meet & enough)
+            .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
