@@ -46,6 +46,9 @@ TOKENIZER = "byte_bpe_50k"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, sequence_tokens long, ids array<int>")
 _WIDE = re.compile("[^\x00-ȿ]")
+# a single space between two letters always starts a token, so a text may be cut before it
+_CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+PART = 1 << 19
 _PARTITION_BITS = 36
 
 
@@ -74,6 +77,16 @@ def encode(text: str | None, tokenizer: str = TOKENIZER) -> list[int]:
     return fast.encode_ordinary(text)
 
 
+def encoded(text: str | None, end_id: int = END_ID, tokenizer: str = TOKENIZER) -> np.ndarray:
+    """Token ids of a text and the end id; a very long text is encoded in parts."""
+    parts, at = [], 0
+    while text and len(text) - at > PART and (cut := _CUT.search(text, at + PART)):
+        parts.append(np.array(encode(text[at:cut.start()], tokenizer), dtype=np.int32))
+        at = cut.start()
+    parts.append(np.array([*encode(text[at:] if text else None, tokenizer), end_id], dtype=np.int32))
+    return np.concatenate(parts)
+
+
 class Packer:
     """Sum-of-squares packing of one stream; pieces are (doc, start, total ids, ids)."""
 
@@ -183,8 +196,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for whole in batches:
             for part in slices(whole):
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = np.array([*encode(text, tokenizer), end_id], dtype=np.int32)
-                    rows.extend(packer.add(doc, ids))
+                    rows.extend(packer.add(doc, encoded(text, end_id, tokenizer)))
                 if rows:
                     yield _batch(rows, keep_ids)
                     rows = []

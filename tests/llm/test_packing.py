@@ -24,6 +24,14 @@ def test_ids_equal_the_tokenizers_own():
     assert packing.encode(None) == packing.encode("") == []
 
 
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    text = " ".join(t for _, t in corpus() if t) + "  two  spaces\n and 'll don't 5 a 你好 b"
+    monkeypatch.setattr(packing, "PART", 50)
+    assert packing.encoded(text).tolist() == [*packing.encode(text), packing.END_ID]
+    assert packing.encoded("x" * 200).tolist() == [*packing.encode("x" * 200), packing.END_ID]
+    assert packing.encoded(None).tolist() == [packing.END_ID]
+
+
 def _check(rows, want):
     """rows: pieces; want: ids (with the end id) of every document row."""
     sequences, pieces = defaultdict(list), defaultdict(list)
