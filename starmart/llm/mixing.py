@@ -15,10 +15,11 @@ Its quota takes the whole shard as often as it fits, then a seeded run of blocks
 the end if need be. A document's ``taken`` is the words of it that fall into the blocks.
 
 DataFrame functions only. Scale: one pass over the texts writes (document, source, size).
-Sources are summed with partial aggregation. A source is cut into shards of about
-``shard_words`` words by a seeded hash, so a source with a third of the corpus has as many
-more shards and no window holds more than one shard. What is collected in one place is a
-row per source (targets) or per shard of a source (quotas).
+Sources are summed with partial aggregation. A source is cut into sqrt(words) /
+``shard_scale`` shards by a seeded hash, so both the number of its shards and the size of
+one grow with the square root of the source: a source with a third of the corpus is spread
+over many windows, none of which holds more than one shard. What is collected in one
+place is a row per source (targets) or per shard of a source (quotas).
 
 Null text has size 0; the null source is a source of its own and comes last. Repeated rows
 are separate documents. Documents of size 0 take 0 words. Ties of quotients go to the
@@ -36,7 +37,7 @@ from starmart.llm.tables import written
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK_WORDS = 16
-SHARD_WORDS = 2_000_000
+SHARD_SCALE = 50
 SEED = 9
 _WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -103,7 +104,7 @@ def sainte_lague(parties: DataFrame, group: list[str], order: str, votes: str,
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS,
-        block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
+        block_words: int = BLOCK_WORDS, shard_scale: int = SHARD_SCALE,
         seed: int = SEED) -> DataFrame:
     """``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``taken`` of each row, and where the
     mix takes its words: ``passes`` whole times, then words [``from1``, ``to1``) and [``from2``, ``to2``).
@@ -118,7 +119,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     goal = goal.withColumn("blocks", blocks)
     seats = sainte_lague(goal, [], "place", "target", "blocks").withColumnRenamed("won", "quota")
     plan = written(seats.select("source", "place", "source_size", "target", "quota", F.greatest(
-        F.ceil(F.col("source_size") / shard_words), F.lit(1)).cast("long").alias("shards")), "mix-plan")
+        F.ceil(F.sqrt("source_size") / shard_scale), F.lit(1)).cast("long").alias("shards")), "mix-plan")
 
     dealt = (base.alias("d").join(plan.alias("p"), F.expr("d.source <=> p.source"))
              .select("d.doc_id", "d.source", "d.size", "d.text_key", "p.place", "p.source_size",

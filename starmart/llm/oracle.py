@@ -179,7 +179,7 @@ shares AS (
 goals AS (
   SELECT source, source_size, place, least(CAST(top AS DOUBLE), unit * w) AS target,
          CAST(floor(sum(source_size) OVER () / 16 + 0.5) AS BIGINT) AS blocks,
-         CAST(greatest(ceil(source_size / 2000000), 1) AS BIGINT) AS shards
+         CAST(greatest(ceil(sqrt(source_size) / 50), 1) AS BIGINT) AS shards
   FROM weighted, shares),
 source_tries AS (
   SELECT place, blocks, row_number() OVER (ORDER BY target / (2 * s + 1) DESC, place, s) AS turn

@@ -53,7 +53,7 @@ def rows(seed=1, sizes=(400, 30, 900, 10, 0, 250)):
 
 def test_targets_and_taken(spark):
     data = rows()
-    got = mixing.mix(frame(spark, data), shard_words=500).collect()
+    got = mixing.mix(frame(spark, data), shard_scale=5).collect()
     assert len(got) == len(data)
     sizes, taken = defaultdict(int), defaultdict(int)
     for _, t, _, s in data:
@@ -66,7 +66,7 @@ def test_targets_and_taken(spark):
     for s in sizes:
         assert abs(taken[s] - want[s]) <= 2 * mixing.BLOCK_WORDS + 0.02 * want[s], s
     key = lambda r: (str(r.doc_id), r.size, r.taken)
-    again = mixing.mix(frame(spark, data).repartition(7), shard_words=500).collect()
+    again = mixing.mix(frame(spark, data).repartition(7), shard_scale=5).collect()
     assert sorted(map(key, got)) == sorted(map(key, again))  # reruns agree
     assert {r.size for r in got if r.doc_id is None} == {3}
 
