@@ -18,29 +18,34 @@ common shingles. Equal fingerprints have likeness 1, negative cosines count as 0
 ``edited_text`` replaces the last floor(n/2) code points of each text by the first as many
 (or all) of the next document's, by ascending id; after the last follows the first.
 
-DataFrame functions only. Scale: lanes are sums with partial aggregation on (document,
-chunk of shingles), so one row per document is shuffled; four 16-bit counters share a long,
-and a chunk is small enough that none can overflow. The order of documents comes from a
-range-partitioned numbering of ids; texts are shuffled once to meet their number and then
-by halves: a document sends its own first half and what its predecessor needs of it.
-
-Null text is empty. Ids order nulls last; equal ids are ordered by a hash of the text, and
-rows that repeat both count as one document and all get its result. Very long texts are
-taken line by line, in chunks. Empty tables give empty tables. Extra columns are ignored.
+DataFrame functions only. Scale: texts are shuffled once. The order of documents is cut
+into buckets at quantiles of the ids (one pass over the id column; the bounds are a short
+literal array), each text goes to its bucket, and the first document of a bucket also
+goes to the bucket before, as the next document of that one's last. Everything after that
+happens inside the bucket: the next text and the next fingerprint are ``lead`` windows, and
+lanes are sums by (document, chunk of shingles) without another shuffle. Four 16-bit
+counters share a long, and a chunk is small enough that none can overflow.
+
+Null text is empty. Null ids come last; equal ids are ordered by a hash of the text. Every
+row is a document: of rows that repeat, each is the next of the one before. Very long texts
+are taken line by line, in chunks. Empty tables give empty tables. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.tables import bind, words_array, written
-from starmart.operators.keys import dense_key
+from starmart.llm.tables import bind, words_array
 
 EXACT, LIKE, SHINGLE = 12, 64, 3
 _PACKED = LIKE // 4
 _MASK = 0x0001000100010001
-_SUMS = [f"e{i}" for i in range(EXACT)] + [f"p{i}" for i in range(_PACKED)] + ["n"]
+_PAIR = 0x0000FFFF0000FFFF
+MAX_BUCKETS = 100_000
 
 
 def _elements(paragraph: Column) -> Column:
@@ -62,31 +67,34 @@ def _elements(paragraph: Column) -> Column:
 
 
 def _vectors(rows: DataFrame, keys: list[str], text: Column) -> DataFrame:
-    """Lane sums of each key: ``keys`` + ``exact``, ``n``, ``like`` (not yet reduced)."""
+    """Fingerprint lanes ``v`` of each key: exact lanes, number of shingles, likeness lanes."""
     lines = rows.select(*keys, F.posexplode(F.split(text, "\n", -1)).alias("line", "p"))
     each = lines.select(*keys, "line", F.posexplode(_elements(F.col("p"))).alias("at", "x"))
+    # a chunk has at most 16 * 2048 shingles, so no 16-bit counter overflows in it
     chunk = each.select(*keys, F.expr("line div 16").alias("c1"), F.expr("at div 2048").alias("c2"),
                         "x.whole", "x.h1", "x.h2")
-    half = 0xFFFFFFFF
+    low = F.lit(0xFFFFFFFF)
     draws = [F.col("h1"), F.col("h2"),
              *[F.xxhash64("h1", "h2", F.lit(i)) for i in range(EXACT // 2 - 2)]]
     exact = [part for h in draws
-             for part in (h.bitwiseAND(F.lit(half)), F.shiftrightunsigned(h, 32))]
-    nought = F.lit(0).cast("long")
+             for part in (h.bitwiseAND(low), F.shiftrightunsigned(h, 32))]
+    nought, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     sums = [F.sum(F.when(F.col("whole"), lane).otherwise(nought)).alias(f"e{i}")
             for i, lane in enumerate(exact)]
     sums += [F.sum(F.when(F.col("whole"), nought).otherwise(
         F.shiftrightunsigned(F.col("h1"), i).bitwiseAND(F.lit(_MASK)))).alias(f"p{i}")
         for i in range(_PACKED)]
-    sums.append(F.sum(F.when(F.col("whole"), nought).otherwise(F.lit(1).cast("long"))).alias("n"))
+    sums.append(F.sum(F.when(F.col("whole"), nought).otherwise(one)).alias("m"))
     packed = chunk.groupBy(*keys, "c1", "c2").agg(*sums)
-    lanes = F.concat(*[F.array(*[
-        F.shiftrightunsigned(F.col(f"p{i}"), 16 * k).bitwiseAND(F.lit(0xFFFF)) for k in range(4)])
-        for i in range(_PACKED)])
-    part = packed.select(*keys, F.concat(F.array(*_SUMS[:EXACT], "n"), lanes).alias("v"))
-    total = F.aggregate("v", F.array_repeat(F.lit(0).cast("long"), EXACT + 1 + LIKE),
-                        lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
-    return part.groupBy(*keys).agg(F.collect_list("v").alias("v")).select(*keys, total.alias("v"))
+    # chunks add up in fields of 32 bits: counters 0 and 2 of a long, then 1 and 3
+    total = packed.groupBy(*keys).agg(
+        *[F.sum(f"e{i}").alias(f"e{i}") for i in range(EXACT)], F.sum("m").alias("m"),
+        *[F.sum(F.shiftrightunsigned(F.col(f"p{i}"), 16 * k).bitwiseAND(F.lit(_PAIR))).alias(f"p{i}_{k}")
+          for i in range(_PACKED) for k in (0, 1)])
+    lanes = [F.shiftrightunsigned(F.col(f"p{i}_{k}"), 32 * high).bitwiseAND(low)
+             for i in range(_PACKED) for high in (0, 1) for k in (0, 1)]
+    return total.select(*keys, reduced(F.array(*[F.col(f"e{i}") for i in range(EXACT)], F.col("m"), *lanes))
+                        .alias("v"))
 
 
 def reduced(v: Column) -> Column:
@@ -124,49 +132,69 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(cosine)
 
 
+def _bounds(docs: DataFrame, id_col: str) -> list[int]:
+    """Quantiles of the ids that cut them into buckets (the first bound is the least id)."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(16, min(4 * parts, MAX_BUCKETS))
+    at = [i / n for i in range(n)]
+    got = docs.agg(F.min(id_col).alias("least"),
+                   F.percentile_approx(F.col(id_col), at, 100 * n).alias("q")).first()
+    if got["least"] is None:
+        return []
+    return sorted({int(got["least"]), *map(int, got["q"])})
+
+
+def _bucket(value: Column, bounds: list[int], step: int = 256) -> Column:
+    """Number of bounds up to the value (0-based bucket), in two steps; nulls come last."""
+    if not bounds:
+        return F.lit(0)
+    every = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
+    coarse = F.from_json(F.lit(json.dumps(bounds[::step])), "array<bigint>")
+    block = F.size(F.filter(coarse, lambda b: b <= value)) - 1
+    inner = bind(F.greatest(block, F.lit(0)), lambda k: k * step + F.size(F.filter(
+        F.slice(every, k * step + 1, F.lit(step)), lambda b: b <= value)) - 1)
+    return F.when(value.isNull(), len(bounds) - 1).otherwise(inner)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited``, ``near_next`` and the fingerprint's lanes (``lanes``)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
-                       F.xxhash64(F.col(id_col), text).alias("k1"),
-                       F.xxhash64(F.lit("key"), F.col(id_col), text).alias("k2"))
-    keys = ["k1", "k2"]
-    ids = (rows.select("doc_id", *keys, F.char_length("text").cast("long").alias("n"))
-           .groupBy("doc_id", *keys, "n").agg(F.count(F.lit(1)).alias("copies")))
-    ranked = dense_key(ids, ["doc_id", *keys], "r", key_type="bigint", collapse_copies=False)
-    last = ranked.agg(F.max("r")).first()[0] or 0
-    after = F.when(F.col("r") == last, 1).otherwise(F.col("r") + 1).cast("long")
-    # what the predecessor needs of a text
-    needs = ranked.select(after.alias("r"), F.expr("n div 2").alias("need"), F.col("r").alias("before"))
-    order = written(ranked.join(needs, "r").select("r", "doc_id", *keys, "n", "copies", "need", "before"),
-                    "fingerprint-order")
-
-    # a repeated row adds its vector once a copy
-    own = written(_vectors(rows, keys, F.col("text"))
-                  .join(order.select("r", "doc_id", "n", "copies", *keys), keys)
-                  .withColumn("v", F.expr("transform(v, x -> x div copies)"))
-                  .select("r", "doc_id", "n", "copies", reduced(F.col("v")).alias("v")),
-                  "fingerprint-own")
-
-    halves = (rows.select(*keys, "text").join(order.select("r", *keys, "n", "need", "before"), keys)
-              .select(F.explode(F.array(
-                  F.struct(F.col("r"), F.expr("left(text, int(n - n div 2))").alias("head"),
-                           F.lit(None).cast("string").alias("tail")),
-                  F.struct(F.col("before").alias("r"), F.lit(None).cast("string").alias("head"),
-                           F.expr("left(text, int(need))").alias("tail")))).alias("x"))
-              .select("x.*"))
-    edited = (halves.groupBy("r").agg(F.max("head").alias("head"), F.max("tail").alias("tail"))
-              .select("r", F.concat("head", "tail").alias("text"))
-              .select("r", F.sha2("text", 256).alias("sha"), "text"))
-    changed = (_vectors(edited, ["r", "sha"], F.col("text"))
-               .select("r", "sha", reduced(F.col("v")).alias("ev")))
-
-    following = own.select(F.col("r").alias("next"), F.col("v").alias("nv"))
-    both = (own.join(changed, "r").withColumn("next", after).join(following, "next"))
-    return both.select(
-        "doc_id", F.col("n").alias("n_chars"), F.col("sha").alias("edited_sha256"),
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    bounds = _bounds(rows, "doc_id")
+    last = max(len(bounds) - 1, 0)
+    bucket = _bucket(F.col("doc_id"), bounds)
+    placed = rows.select("doc_id", "text", F.xxhash64("text").alias("th"), bucket.alias("bucket"))
+    # the first documents of a bucket are guests of the one before (of the first: of the last)
+    starts = (F.col("doc_id") == F.get(F.from_json(F.lit(json.dumps(bounds)), "array<bigint>"), F.col("bucket"))
+              if bounds else F.lit(True))
+    before = F.when(F.col("bucket") == 0, last).otherwise(F.col("bucket") - 1)
+    none = F.array().cast("array<struct<bucket:int,guest:boolean>>")
+    home = F.array(F.struct(F.col("bucket").cast("int").alias("bucket"), F.lit(False).alias("guest")))
+    away = F.when(starts, F.array(F.struct(before.cast("int").alias("bucket"), F.lit(True).alias("guest")))
+                  ).otherwise(none)
+    dealt = placed.select("doc_id", "text", "th", F.explode(F.concat(home, away)).alias("at"))
+    dealt = dealt.select("at.bucket", "at.guest", "doc_id", "th", "text")
+
+    order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").asc_nulls_last(), "th")
+    ordered = dealt.select("*", F.row_number().over(order).alias("rn"), F.lead("text").over(order).alias("next"),
+                           F.char_length("text").cast("long").alias("n"))
+    edited = F.expr("concat(left(text, int(n - n div 2)), left(next, int(n div 2)))")
+    texts = ordered.select("bucket", "rn", "doc_id", "n", "guest", F.explode(F.when(
+        F.col("guest"), F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")))).otherwise(
+        F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")),
+                F.struct(F.lit(1).alias("which"), edited.alias("t"))))).alias("x"))
+    each = texts.select("bucket", "rn", "doc_id", "n", "guest", "x.which", F.col("x.t").alias("t"),
+                        F.when(F.col("x.which") == 1, F.sha2("x.t", 256)).alias("sha"))
+    vectors = _vectors(each, ["bucket", "rn", "doc_id", "n", "guest", "which", "sha"], F.col("t"))
+
+    # a document's own row is followed by its edited one and then by the next document's own
+    line = Window.partitionBy("bucket").orderBy("rn", "which")
+    both = vectors.select("*", F.lead("v", 1).over(line).alias("ev"), F.lead("v", 2).over(line).alias("nv"),
+                          F.lead("sha", 1).over(line).alias("edited_sha256"))
+    own = both.where((F.col("which") == 0) & ~F.col("guest"))
+    return own.select(
+        "doc_id", F.col("n").alias("n_chars"), "edited_sha256",
         text_of(F.col("v")).alias("fingerprint"), text_of(F.col("ev")).alias("edited_fingerprint"),
         likeness(F.col("v"), F.col("ev")).alias("near_edited"),
-        likeness(F.col("v"), F.col("nv")).alias("near_next"), F.col("v").alias("lanes"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+        likeness(F.col("v"), F.col("nv")).alias("near_next"), F.col("v").alias("lanes"))

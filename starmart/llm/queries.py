@@ -19,6 +19,7 @@ from starmart.llm import (
     substring,
     suffix_dedup,
 )
+from starmart.llm.oracle import SQL
 from starmart.llm.tables import documents
 
 
@@ -58,7 +59,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiset fingerprints of every text and of its edited text."""
-    return fingerprints.fingerprints(documents(spark, sf_dir)).drop("lanes", "copy")
+    return fingerprints.fingerprints(documents(spark, sf_dir)).drop("lanes")
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,4 +84,4 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op6_quality_classifier, op7_fingerprints, op8_near_dedup, op9_mix,
                             op10_substring_dedup)}
 
-SQL: dict[str, str] = {}
+__all__ = ["REGISTRY", "SQL"]
