@@ -133,6 +133,7 @@ def extract(views: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:
 def run(spark: SparkSession, paths: FeedPaths, out_dir: str, db: str,
         partitions: int | None = None) -> dict[str, str]:
     """Raw feeds -> published warehouse tables, mart views and CSV extracts."""
+    catalog.create_database(spark, db, f"{out_dir}/warehouse/_db")
     register_feeds(spark, paths, db)
     with scratch_scope(spark):
         tables = build(read_feeds(spark, paths, partitions))
