@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.tables import arrow_map, written
-from starmart.llm.text import buffers, grams, mix, slices, word_hashes, words
+from starmart.llm.text import buffers, grams, slices, word_hashes, words
 
 BINS, PAIR_BINS, PAIRS = 48, 12, 6
 ROUNDS, PAIR_ROUNDS, RATE = 120, 60, 0.15
@@ -46,32 +46,27 @@ FEATURES = ["log_words", "word_bytes", "capitals", "exclaims", "pipes", "symbols
             "twin_words", "new_words", "repeat_windows", "lines", "repeat_lines", "long_words"]
 
 
-def _per_row(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(flags) + 1, dtype=np.int64)
-    np.cumsum(flags, out=total[1:])
-    return (total[off[1:]] - total[off[:-1]]).astype(float)
+def _per_row(at: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """How many of the ascending byte positions lie in each row."""
+    return np.diff(np.searchsorted(at, off)).astype(float)
 
 
 def _distinct(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    """Distinct values in each row."""
-    key = np.unique(mix(values ^ mix(row.astype(np.uint64) + np.uint64(1))))
-    if len(key) == len(values):
-        return np.bincount(row, minlength=rows).astype(float)
-    order = np.lexsort((values, row))
-    v, r = values[order], row[order]
-    new = np.ones(len(v), dtype=bool)
-    new[1:] = (v[1:] != v[:-1]) | (r[1:] != r[:-1])
-    return np.bincount(r[new], minlength=rows).astype(float)
+    """Distinct values in each row (by the hash bits that fit beside the row number)."""
+    if not len(values):
+        return np.zeros(rows)
+    shift = np.uint64(64 - max(1, int(rows).bit_length()))
+    key = np.sort((row.astype(np.uint64) << shift) | (values >> (np.uint64(64) - shift)))
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    return np.bincount((key[new] >> shift).astype(np.int64), minlength=rows).astype(float)
 
 
-def _class_table(chars: str) -> np.ndarray:
-    table = np.zeros(256, dtype=np.int64)
-    table[list(chars.encode())] = 1
-    return table
-
-
-_CLASSES = {"exclaims": _class_table("!"), "pipes": _class_table("|"), "symbols": _class_table("#*$%&<>"),
-            "digits": _class_table("0123456789"), "stops": _class_table(".,;:?")}
+# marks by class: 0 for none, else the place of the class in _CLASSES
+_CLASSES = {"exclaims": "!", "pipes": "|", "symbols": "#*$%&<>", "digits": "0123456789", "stops": ".,;:?"}
+_CLASS = np.zeros(256, dtype=np.uint8)
+for _k, _chars in enumerate(_CLASSES.values()):
+    _CLASS[list(_chars.encode())] = _k + 1
 
 
 def features(column: pa.Array) -> np.ndarray:
@@ -81,17 +76,19 @@ def features(column: pa.Array) -> np.ndarray:
     rows = len(off) - 1
     n = np.maximum(np.diff(w.first).astype(float), 1.0)
     size = (w.end - w.start).astype(np.int64)
-    total = np.zeros(rows)
-    np.add.at(total, w.row, size)
+    total = np.bincount(w.row, size, rows)
     chars = np.maximum(total, 1.0)
     # capitals: A-Z, and U+00C0-U+00DE as their second byte after 0xC3
     capital = (data >= 65) & (data <= 90)
-    if len(data):
-        capital[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)
+    lead = np.flatnonzero(data[:-1] == 0xC3) + 1
+    capital[lead[(data[lead] >= 0x80) & (data[lead] <= 0x9E)]] = True
     out = {"log_words": np.log1p(np.diff(w.first)), "word_bytes": total / n,
-           "capitals": _per_row(capital, off) / chars}
-    for name, table in _CLASSES.items():
-        out[name] = _per_row(table[data], off) / n
+           "capitals": _per_row(np.flatnonzero(capital), off) / chars}
+    kind = _CLASS[data]
+    marked = np.flatnonzero(kind)
+    kind = kind[marked]
+    for k, name in enumerate(_CLASSES):
+        out[name] = _per_row(marked[kind == k + 1], off) / n
     twin = np.zeros(len(w.hash), dtype=bool)
     if len(twin):
         twin[1:] = (w.hash[1:] == w.hash[:-1]) & (w.row[1:] == w.row[:-1])
