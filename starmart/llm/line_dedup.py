@@ -13,10 +13,11 @@ with the repeated ones alone (one row a window, a skewed side is split at run ti
 come back as one array of positions per document, bounded by its own lines. Texts are
 shuffled once, for that last join.
 
-Null text stays null, empty text stays empty, both without lines. Rows that repeat the
-same id are told apart by their order of text, and exactly repeated rows count as one
-document: each keeps what the first keeps. Empty tables give empty tables. Other columns
-are carried along whatever their names.
+Null text stays null, empty text stays empty, both without lines. A null id comes before
+all others. Rows that share an id follow each other by a hash of the text, and exactly
+repeated rows count as one document: each keeps what the first keeps. Very long texts are
+handled in their row. Empty tables give empty tables. Other columns are carried along
+whatever their names.
 """
 
 from __future__ import annotations
@@ -59,8 +60,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.xxhash64(*texts).alias("h1"), F.xxhash64(F.lit(WINDOW), *texts).alias("h2"),
         F.struct("id", "key", "p").alias("at"),
         F.array(*[F.col(f"w.l{i}.i") for i in range(window)]).alias("covers")), "line-windows")
-    firsts = (windows.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("at").alias("last"))
-              .where("first < last").select("h1", "h2", "first"))
+    # written: a join of two shuffled tables can split a hot window at run time
+    firsts = written(windows.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+                     .where("first < last").select("h1", "h2", "first"), "line-firsts")
     later = windows.join(firsts, ["h1", "h2"]).where(F.col("at") > F.col("first"))
     return (later.select("at.id", "at.key", F.explode("covers").alias("line"))
             .groupBy("id", "key").agg(F.collect_set("line").alias("gone")))
