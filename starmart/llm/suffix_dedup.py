@@ -11,11 +11,14 @@ key, so a passage that a third of the corpus holds is cut over many tasks. Of su
 with the same context on both sides (``window - q`` words each way) only the first
 document's is sorted; the others are copies of that one as far as the context reaches.
 
-*Comparing and extending.* Each suffix is compared with its neighbour and with the least
-document of its ``q``-gram: common words to the right and to the left are counted, and
-where together they reach ``window`` words, the later document (larger id) has a duplicate
-span that starts in the earlier one. Groups cut by a partition's edge are joined in a
-second pass over the edge rows, at most four per partition. Spans of a document merge.
+*Comparing and extending.* Each suffix is compared with the ``NEIGHBOURS`` before it and with
+the least document of its ``q``-gram so far: common words to the right and to the left are
+counted, and where together they reach ``window`` words, the later document (larger id) has
+a duplicate span that starts in the earlier one. So all pairs of up to ``NEIGHBOURS`` + 1
+different contexts are seen; a ``q``-gram with more of them is sorted once more by the
+words before it, where its neighbours are the longest matches to the left. Groups cut by a
+partition's edge are joined in a second pass over the edge rows, a fixed number per
+partition. Spans of a document merge.
 
 The compared words are equal by 64-bit (first ``q``-gram) and 32-bit hashes (every other
 word). Whole copies of a document's words are found beforehand and span it all.
@@ -35,12 +38,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.substring import _nested
-from starmart.llm.tables import arrow_map, written
+from starmart.llm.tables import arrow_map, map_in_arrow, written
 from starmart.llm.text import anchor_positions, grams, slices, span_hashes, stream, words
 
-WINDOW, Q = 50, 16
+WINDOW, Q, NEIGHBOURS = 50, 16, 16
 _SAMPLE = "v long, nexts binary, befores binary, id long, key long, pos int"
-_SPAN = "id long, key long, start int, end int, ref long"
+_SUFFIX = [part.split()[0] for part in _SAMPLE.split(", ")]
+# what a comparing pass returns: spans, and (``end`` null) the edge rows of its partition
+_FOUND = "id long, key long, start int, end int, ref long, v long, nexts binary, befores binary"
+_NAMES = [part.split()[0] for part in _FOUND.split(", ")]
 
 
 def _scan(window: int, q: int):
@@ -114,63 +120,120 @@ def _common(a: list[bytes], b: list[bytes], side: int) -> np.ndarray:
     return np.minimum(same, np.minimum(na, nb))
 
 
-def _compare(window: int, q: int, edges: bool):
-    """Spans of neighbouring suffixes in a sorted partition (``edges``: its edge rows)."""
-    side = window - q
+class _Rows:
+    """Suffix rows as arrays: contexts as grids of word hashes, cut off at their lengths."""
+
+    def __init__(self, v, right, n_right, left, n_left, ids, key, pos):
+        self.columns = (v, right, n_right, left, n_left, ids, key, pos)
+        self.v, self.right, self.n_right, self.left, self.n_left, self.id, self.key, self.pos = self.columns
+
+    @classmethod
+    def of(cls, part: pa.RecordBatch, side: int) -> _Rows:
+        def grid(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            texts = column.to_pylist()
+            flat = b"".join(t.ljust(4 * side, b"\0") for t in texts)
+            size = np.fromiter((len(t) // 4 for t in texts), np.int64, len(texts))
+            return np.frombuffer(flat, np.uint32).reshape(len(texts), side), size
+
+        named = {n: part.column(n) for n in ("v", "id", "key", "pos")}
+        v, ids, key, pos = (named[n].to_numpy().astype(np.int64) for n in ("v", "id", "key", "pos"))
+        return cls(v, *grid(part.column("nexts")), *grid(part.column("befores")), ids, key, pos)
+
+    def take(self, at: np.ndarray) -> _Rows:
+        return _Rows(*[c[at] for c in self.columns])
+
+    def plus(self, other: _Rows) -> _Rows:
+        return _Rows(*[np.concatenate(c) for c in zip(self.columns, other.columns)])
+
+    def __len__(self) -> int:
+        return len(self.v)
+
+
+def _common(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Leading equal words of two grids of contexts."""
+    differs = np.concatenate([a != b, np.ones((len(a), 1), bool)], axis=1)
+    return np.minimum(differs.argmax(axis=1), np.minimum(na, nb))
 
-    def spans(rows: list[tuple], pairs: list[tuple[int, int]]) -> list[tuple]:
-        if not pairs:
-            return []
-        a, b = [rows[i] for i, _ in pairs], [rows[j] for _, j in pairs]
-        right = _common([x[1] for x in a], [x[1] for x in b], side)
-        left = _common([x[2] for x in a], [x[2] for x in b], side)
-        out = []
-        for x, y, r, k in zip(a, b, right.tolist(), left.tolist()):
-            if r + k + q >= window:
-                late, early = (x, y) if x[3] > y[3] else (y, x)
-                out.append((late[3], late[4], late[5] - k, late[5] + q + r, early[3]))
-        return out
+
+def _spans(rows: _Rows, i: np.ndarray, j: np.ndarray, window: int, q: int) -> list[np.ndarray]:
+    """(id, key, start, end, ref) of the pairs of rows that have a window in common."""
+    some = (rows.v[i] == rows.v[j]) & (rows.id[i] != rows.id[j])
+    i, j = i[some], j[some]
+    right = _common(rows.right[i], rows.right[j], rows.n_right[i], rows.n_right[j])
+    left = _common(rows.left[i], rows.left[j], rows.n_left[i], rows.n_left[j])
+    match = right + left + q >= window
+    i, j, right, left = i[match], j[match], right[match], left[match]
+    late = np.where(rows.id[i] > rows.id[j], i, j)
+    early = i + j - late
+    return [rows.id[late], rows.key[late], rows.pos[late] - left, rows.pos[late] + q + right, rows.id[early]]
+
+
+def _least_so_far(rows: _Rows) -> np.ndarray:
+    """For each row the row of least id before it in its group (itself where it is first)."""
+    out = np.empty(len(rows), dtype=np.int64)
+    low = 0
+    v, ids = rows.v.tolist(), rows.id.tolist()
+    for i in range(len(v)):
+        if v[i] != v[low]:
+            low = i
+        out[i] = low
+        if ids[i] < ids[low]:
+            low = i
+    return out
+
+
+def _compare(window: int, q: int):
+    """Spans of neighbouring suffixes in a sorted partition, and its edge rows."""
+    side = window - q
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+
+    def spans(found: list[np.ndarray]) -> pa.RecordBatch:
+        n = len(found[0])
+        none = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())]
+        return pa.RecordBatch.from_arrays(
+            [*[pa.array(c, k) for c, k in zip(found, kinds)], *none], _NAMES)
+
+    def edge(rows: _Rows) -> pa.RecordBatch:
+        nexts = [r[:k].tobytes() for r, k in zip(rows.right, rows.n_right)]
+        befores = [r[:k].tobytes() for r, k in zip(rows.left, rows.n_left)]
+        n = len(rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows.id), pa.array(rows.key), pa.array(rows.pos, pa.int32()), pa.nulls(n, pa.int32()),
+             pa.nulls(n, pa.int64()), pa.array(rows.v), pa.array(nexts, pa.binary()),
+             pa.array(befores, pa.binary())], _NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = least = first_group = None
-        opening: list[tuple] = []
+        held = first = None          # the rows before: the group's least, then the last ones
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                rows = list(zip(*[part.column(i).to_pylist() for i in range(6)]))
-                if last is not None:
-                    rows = [least, last, *rows]
-                    low, begin = 0, 2
-                else:
-                    low, begin = 0, 1
-                    first_group, opening = rows[0][0], [rows[0], rows[0]]
-                pairs = []
-                for i in range(begin, len(rows)):
-                    if rows[i][0] != rows[i - 1][0]:
-                        low = i
-                        continue
-                    if rows[i][3] != rows[i - 1][3]:
-                        pairs.append((i - 1, i))
-                    if low != i - 1 and rows[i][3] != rows[low][3]:
-                        pairs.append((low, i))
-                    if rows[i][3] < rows[low][3]:
-                        low = i
-                    if rows[i][0] == first_group and rows[i][3] < opening[1][3]:
-                        opening[1] = rows[i]
-                least, last = rows[low], rows[-1]
-                if not edges:
-                    found = spans(rows, pairs)
-                    if found:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, t) for c, t in zip(zip(*found), (
-                                pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))],
-                            ["id", "key", "start", "end", "ref"])
-        if edges and last is not None:
-            kept = list(dict.fromkeys([*opening, least, last]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*kept), (
-                    pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32()))],
-                ["v", "nexts", "befores", "id", "key", "pos"])
+                new = _Rows.of(batch.slice(at, 4096), side)
+                if first is None:
+                    first = new.take(np.flatnonzero(new.v == new.v[0])[:NEIGHBOURS])
+                rows = new if held is None else held.plus(new)
+                begin = len(rows) - len(new)
+                here = np.arange(begin, len(rows))
+                least = _least_so_far(rows)
+                found = [_spans(rows, here, least[here], window, q)]
+                for step in range(1, NEIGHBOURS + 1):
+                    i = here[here >= step]
+                    found.append(_spans(rows, i, i - step, window, q))
+                merged = [np.concatenate(c) for c in zip(*found)]
+                if len(merged[0]):
+                    yield spans(merged)
+                # the least row of the open group stands first, then the last neighbours
+                group = np.flatnonzero(rows.v == rows.v[-1])
+                low = group[np.argmin(rows.id[group])]
+                tail = np.arange(max(0, len(rows) - NEIGHBOURS), len(rows))
+                held = rows.take(np.concatenate([[low], tail]))
+                in_first = np.flatnonzero(new.v == first.v[0])
+                if len(in_first):
+                    low_first = new.take(in_first[[np.argmin(new.id[in_first])]])
+                    first = first.plus(low_first)
+                    keep = np.arange(min(len(first), NEIGHBOURS))
+                    first = first.take(np.unique(np.append(keep, np.argmin(first.id))))
+        if first is not None:
+            yield edge(first)
+            yield edge(held.take(np.flatnonzero(held.v == held.v[-1])))
 
     return run
 
@@ -187,21 +250,21 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     row, doc = ["id", "key"], ["s1", "s2", "n"]
     base = written(arrow_map(source, _scan(window, q), "id long, key long, n long, s1 long, s2 long, "
                              "found array<struct<v:bigint,c:bigint,pos:int>>"), "suffix-scan")
+    # tables of one row a key are written before a join: two shuffled tables, of which the
+    # join can split a hot key's rows at run time
     firsts = written(base.where(F.col("n") >= window).groupBy(*doc).agg(F.min("id").alias("first")),
                      "suffix-first")
     copies = (base.select(*row, *doc).join(firsts, doc).where("id > first")
               .select(*row, F.lit(0).alias("start"), F.col("n").cast("int").alias("end"),
                       F.col("first").alias("ref")))
 
-    found = written(base.where(F.size("found") > 0)
-                    .join(firsts.withColumnRenamed("first", "id"), [*doc, "id"])
-                    .select(*row, "n", F.explode("found").alias("f")).select(*row, "n", "f.*"),
-                    "suffix-found")
+    found = base.select(*row, "n", F.explode("found").alias("f")).select(*row, "n", "f.*")
     same = found.groupBy("v", "c").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     starts = (same.groupBy("v").agg(F.count(F.lit(1)).alias("contexts"), F.min("lo").alias("vlo"),
                                     F.max("hi").alias("vhi")).where("vlo < vhi"))
-    shared = (same.join(starts, "v").select("v", "c", "lo", "hi", (F.col("contexts") > 1).alias("many"))
-              .where("lo < hi or many"))
+    shared = written(same.join(starts, "v")
+                     .select("v", "c", "lo", "hi", (F.col("contexts") > 1).alias("many"))
+                     .where("lo < hi or many").select("v", "c", "lo", "many"), "suffix-shared")
     marked = written(found.join(shared, ["v", "c"]).where("id > lo or many")
                      .select(*row, "n", "pos", "lo"), "suffix-marked")
     whole = marked.where("id > lo").select(
@@ -211,12 +274,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     kept = marked.where("id = lo").groupBy(*row).agg(F.collect_set("pos").alias("marks"))
     sample = written(arrow_map(source.join(kept, row), _samples(window, q), _SAMPLE), "suffix-samples")
-    order = ["v", "nexts", "id", "pos"]
-    suffixes = sample.repartitionByRange(*order).sortWithinPartitions(*order)
-    inner = suffixes.mapInArrow(_compare(window, q, False), _SPAN)
-    cut = (suffixes.mapInArrow(_compare(window, q, True), _SAMPLE)
-           .coalesce(1).sortWithinPartitions(*order).mapInArrow(_compare(window, q, False), _SPAN))
-    spans = inner.unionByName(cut).unionByName(whole).unionByName(copies)
+    span = [*row, "start", "end", "ref"]
+    crowded = sample.join(sample.groupBy("v").count().where(F.col("count") > NEIGHBOURS).select("v"), "v")
+    spans = whole.unionByName(copies)
+    for rows, order in ((sample, ["v", "nexts", "id", "pos"]), (crowded, ["v", "befores", "id", "pos"])):
+        suffixes = rows.select(*_SUFFIX).repartitionByRange(*order).sortWithinPartitions(*order)
+        compared = written(map_in_arrow(suffixes, _compare(window, q), _FOUND), "suffix-spans")
+        # the edge rows, a fixed number a partition, meet in one task
+        edges = (compared.where("end is null").select(*_SUFFIX[:3], *row, F.col("start").alias("pos"))
+                 .distinct().coalesce(1).sortWithinPartitions(*order))
+        again = map_in_arrow(edges, _compare(window, q), _FOUND)
+        spans = (spans.unionByName(compared.where("end is not null").select(*span))
+                 .unionByName(again.where("end is not null").select(*span)))
 
     # spans of a document merge where they meet: a new one starts beyond all ends so far
     so_far = Window.partitionBy(*row).orderBy("start", "end", "ref")
