@@ -182,32 +182,35 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                              "id long, key long, n long, s1 long, s2 long, sha string, "
                              "runs array<struct<v:bigint,rk:bigint,pos:int,len:int>>"), "rlz-scan")
     doc, row = ["s1", "s2", "n"], ["id", "key"]
+    # tables of one row a key are written before a join: two shuffled tables, of which the
+    # join can split a hot key's rows at run time
     firsts = written(base.groupBy(*doc).agg(F.min("id").alias("first")), "rlz-first")
+    holders = written(base.select(*row, *doc, "sha").join(firsts, doc).select(*row, "n", "sha", "first"),
+                      "rlz-holders")
 
-    # runs of the first holder of each word sequence
-    runs = written(base.where(F.size("runs") > 0)
-                   .join(firsts.withColumnRenamed("first", "id"), [*doc, "id"])
-                   .select(*row, F.explode("runs").alias("r")).select(*row, "r.*"), "rlz-runs")
+    runs = base.select(*row, F.explode("runs").alias("r")).select(*row, "r.*")
     same = runs.groupBy("v", "rk").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     anchors = (same.groupBy("v").agg(F.count(F.lit(1)).alias("texts"), F.min("lo").alias("vlo"),
                                      F.max("hi").alias("vhi")).where("vlo < vhi"))
-    shared = (same.join(anchors, "v").select("v", "rk", "lo", "hi", (F.col("texts") > 1).alias("many"))
-              .where("lo < hi or many"))
+    shared = written(same.join(anchors, "v")
+                     .select("v", "rk", "lo", "hi", (F.col("texts") > 1).alias("many"))
+                     .where("lo < hi or many").select("v", "rk", "lo", "many"), "rlz-shared")
     mark = F.struct("pos", "len", "lo", (F.col("id") > F.col("lo")).alias("whole"))
     marks = (runs.join(shared, ["v", "rk"]).where("id > lo or many")
-             .groupBy(*row).agg(F.collect_set(mark).cast(f"array<{_MARK}>").alias("marks")))
+             .groupBy(*row).agg(F.collect_set(mark).cast(f"array<{_MARK}>").alias("marks"))
+             .join(holders.where("id = first").select(*row).distinct(), row))  # copies need no parse
     touched = written(source.join(marks, row), "rlz-touched")
 
     windows = written(arrow_map(touched, _expand(window),
                                 "h long, id long, key long, pos int"), "rlz-windows")
-    known = (windows.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-             .where("lo < hi").select("h", "lo"))
+    known = written(windows.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+                    .where("lo < hi").select("h", "lo"), "rlz-index")
     hits = (windows.join(known, "h").where("id > lo").groupBy(*row)
             .agg(F.collect_set(F.struct("pos", "lo")).alias("hits")))
     parsed = written(arrow_map(touched.join(hits, row, "left"), _parse(window),
                                f"id long, key long, removed long, kept string, "
                                f"factors array<{FACTOR}>").dropDuplicates(row), "rlz-parsed")
-    result = (base.select(*row, *doc, "sha").join(firsts, doc).join(parsed, row, "left"))
+    result = holders.join(parsed, row, "left")
     copy = F.col("id") > F.col("first")
     gone = copy & (F.col("n") >= window)
     return result.select(
