@@ -13,7 +13,7 @@ from starmart.plans import analogue, marts, star, warehouse
 class Star:
     dim_region: DataFrame
     dim_hospital: DataFrame
-    dim_date: DataFrame
+    dim_date: DataFrame | None
     fact_covid: DataFrame
     daily: DataFrame
 
@@ -41,9 +41,8 @@ def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def build_star(spark: SparkSession, sf_dir: str, with_calendar: bool = True) -> Star:
     f = feeds(spark, sf_dir)
-    t = warehouse.build(f, excluded_place=analogue.ANALOGUE_EXCLUDED_PLACE)
-    return Star(t["dim_region"], t["dim_hospital"], t["dim_date"] if with_calendar else None,
-                t["fact_covid"], t["daily"])
+    t = warehouse.build(f, analogue.ANALOGUE_EXCLUDED_PLACE, with_calendar)
+    return Star(t["dim_region"], t["dim_hospital"], t.get("dim_date"), t["fact_covid"], t["daily"])
 
 
 def fact_covid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,21 +64,26 @@ def register_feeds(spark: SparkSession, paths: FeedPaths, db: str) -> list[str]:
     return catalog.register_tables(spark, db, feeds, fmt="csv", prefix="raw_")
 
 
-def build(feeds: Mapping[str, DataFrame],
-          excluded_place: str | None = star.EXCLUDED_PLACE) -> dict[str, DataFrame]:
-    """Dimensions (built concurrently: they are independent jobs), the fact, and the daily
-    feed they were built from."""
-    with ThreadPoolExecutor(max_workers=2) as pool:
+def build(feeds: Mapping[str, DataFrame], excluded_place: str | None = star.EXCLUDED_PLACE,
+          with_calendar: bool = True) -> dict[str, DataFrame]:
+    """Dimensions, the fact, and the daily feed they were built from.
+
+    The dimensions and the feed's table are independent jobs and run concurrently. Without
+    the calendar only the fact reads the feed, so it is not written.
+    """
+    with ThreadPoolExecutor(max_workers=3) as pool:
         region_f = pool.submit(star.region_dimension, feeds["case"], feeds["county"],
                                excluded_place)
         hosp_f = pool.submit(star.hospital_dimension, feeds["hospitals"])
+        # The calendar and the fact both read the daily feed: written once for this run.
+        daily_f = pool.submit(write_once, feeds["daily"], "daily-feed") if with_calendar else None
         dim_region, dim_hospital = region_f.result(), hosp_f.result()
-    # The calendar and the fact both read the daily feed: written once for this run.
-    daily = write_once(feeds["daily"], "daily-feed")
-    dim_date = star.calendar_dimension(daily)
-    fact = star.covid_fact(daily, dim_region, dim_hospital)
-    return {"dim_date": dim_date, "dim_hospital": dim_hospital, "dim_region": dim_region,
-            "fact_covid": fact, "daily": daily}
+        daily = daily_f.result() if daily_f else feeds["daily"]
+    tables = {"dim_hospital": dim_hospital, "dim_region": dim_region, "daily": daily,
+              "fact_covid": star.covid_fact(daily, dim_region, dim_hospital)}
+    if with_calendar:
+        tables["dim_date"] = star.calendar_dimension(daily)
+    return tables
 
 
 def publish(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
