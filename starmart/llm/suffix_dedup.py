@@ -11,17 +11,24 @@ key, so a passage that a third of the corpus holds is cut over many tasks. Of su
 with the same context on both sides (``window - q`` words each way) only the first
 document's is sorted; the others are copies of that one as far as the context reaches.
 
-*Comparing and extending.* Each suffix is compared with the ``NEIGHBOURS`` before it and with
-the least document of its ``q``-gram so far: common words to the right and to the left are
-counted, and where together they reach ``window`` words, the later document (larger id) has
-a duplicate span that starts in the earlier one. So all pairs of up to ``NEIGHBOURS`` + 1
-different contexts are seen; a ``q``-gram with more of them is sorted once more by the
-words before it, where its neighbours are the longest matches to the left. Groups cut by a
-partition's edge are joined in a second pass over the edge rows, a fixed number per
+*Comparing and extending.* Each suffix is compared with the ``NEIGHBOURS`` before it: common
+words to the right and to the left are counted, and where together they reach ``window``
+words, the later document (larger id) has a duplicate span that starts in the earlier one.
+So all pairs of a ``q``-gram's suffixes are seen where it has at most ``NEIGHBOURS``. Groups cut
+by a partition's edge are joined in a second pass over the edge rows, a fixed number per
 partition. Spans of a document merge.
 
+*Crowded starts.* Of a ``q``-gram with more suffixes than ``NEIGHBOURS`` no order puts all that
+share words on both sides next to each other. Its suffixes are not sorted: every window
+around it (up to ``window - q`` + 1 a suffix) is hashed, the least document of each window is
+found by partial aggregation, and a window that a smaller document holds is a duplicate
+span. So every pair counts, whatever the number of contexts and partitions. A window has
+at least half of the words around the ``q``-gram on one side; only those windows are hashed
+whose longer side another document shares.
+
 The compared words are equal by 64-bit (first ``q``-gram) and 32-bit hashes (every other
-word). Whole copies of a document's words are found beforehand and span it all.
+word; around crowded starts by a 64-bit hash of these). Whole copies of a document's words
+are found beforehand and span it all.
 
 Repeats inside one document do not count. Null or empty texts and texts of fewer words
 than a window have no spans. Rows without an id are left out (a span needs its document);
@@ -39,7 +46,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm.substring import _nested
 from starmart.llm.tables import arrow_map, map_in_arrow, written
-from starmart.llm.text import anchor_positions, grams, slices, span_hashes, stream, words
+from starmart.llm.text import anchor_positions, grams, mix, running_hash, slices, span_hashes, stream, words
 
 WINDOW, Q, NEIGHBOURS = 50, 16, 16
 _SAMPLE = "v long, nexts binary, befores binary, id long, key long, pos int"
@@ -168,20 +175,6 @@ def _spans(rows: _Rows, i: np.ndarray, j: np.ndarray, window: int, q: int) -> li
     return [rows.id[late], rows.key[late], rows.pos[late] - left, rows.pos[late] + q + right, rows.id[early]]
 
 
-def _least_so_far(rows: _Rows) -> np.ndarray:
-    """For each row the row of least id before it in its group (itself where it is first)."""
-    out = np.empty(len(rows), dtype=np.int64)
-    low = 0
-    v, ids = rows.v.tolist(), rows.id.tolist()
-    for i in range(len(v)):
-        if v[i] != v[low]:
-            low = i
-        out[i] = low
-        if ids[i] < ids[low]:
-            low = i
-    return out
-
-
 def _compare(window: int, q: int):
     """Spans of neighbouring suffixes in a sorted partition, and its edge rows."""
     side = window - q
@@ -203,34 +196,22 @@ def _compare(window: int, q: int):
              pa.array(befores, pa.binary())], _NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = first = None          # the rows before: the group's least, then the last ones
+        held = first = None          # the last rows before; the first rows of the first group
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 new = _Rows.of(batch.slice(at, 4096), side)
-                if first is None:
-                    first = new.take(np.flatnonzero(new.v == new.v[0])[:NEIGHBOURS])
+                first = new if first is None else first.plus(new)
+                first = first.take(np.flatnonzero(first.v == first.v[0])[:NEIGHBOURS])
                 rows = new if held is None else held.plus(new)
-                begin = len(rows) - len(new)
-                here = np.arange(begin, len(rows))
-                least = _least_so_far(rows)
-                found = [_spans(rows, here, least[here], window, q)]
+                here = np.arange(len(rows) - len(new), len(rows))
+                found = []
                 for step in range(1, NEIGHBOURS + 1):
                     i = here[here >= step]
                     found.append(_spans(rows, i, i - step, window, q))
                 merged = [np.concatenate(c) for c in zip(*found)]
                 if len(merged[0]):
                     yield spans(merged)
-                # the least row of the open group stands first, then the last neighbours
-                group = np.flatnonzero(rows.v == rows.v[-1])
-                low = group[np.argmin(rows.id[group])]
-                tail = np.arange(max(0, len(rows) - NEIGHBOURS), len(rows))
-                held = rows.take(np.concatenate([[low], tail]))
-                in_first = np.flatnonzero(new.v == first.v[0])
-                if len(in_first):
-                    low_first = new.take(in_first[[np.argmin(new.id[in_first])]])
-                    first = first.plus(low_first)
-                    keep = np.arange(min(len(first), NEIGHBOURS))
-                    first = first.take(np.unique(np.append(keep, np.argmin(first.id))))
+                held = rows.take(np.arange(max(0, len(rows) - NEIGHBOURS), len(rows)))
         if first is not None:
             yield edge(first)
             yield edge(held.take(np.flatnonzero(held.v == held.v[-1])))
@@ -238,6 +219,63 @@ def _compare(window: int, q: int):
     return run
 
 
+def _window_hashes(rows: _Rows, side: int, width: int) -> np.ndarray:
+    """Hashes of the ``width`` words (the ``q``-gram counts as one) from each place around it."""
+    around = np.concatenate([rows.left[:, ::-1], rows.right], axis=1).astype(np.uint64) + np.uint64(1)
+    values = np.concatenate([mix(around[:, :side]), mix(rows.v.view(np.uint64))[:, None],
+                             mix(around[:, side:])], axis=1)
+    first = np.arange(len(rows))[:, None] * (2 * side + 1) + np.arange(2 * side + 2 - width)
+    return mix(running_hash(values.ravel(), first, first + width))
+
+
+def _halves(window: int, q: int):
+    """Hashes of the longer side that a window around a suffix may have: before and after."""
+    side = window - q
+    half = (side + 1) // 2
+
+    def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in (batch.slice(at, 4096) for at in range(0, batch.num_rows, 4096)):
+            rows = _Rows.of(part, side)
+            h = _window_hashes(rows, side, half + 1).view(np.int64)
+            # the half before ends with the q-gram, the half after starts with it
+            for after, (column, n) in enumerate(((side - half, rows.n_left), (side, rows.n_right))):
+                at = np.flatnonzero(n >= half)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows.v[at]), pa.array(h[at, column]), pa.array(rows.id[at]), pa.array(rows.key[at]),
+                     pa.array(rows.pos[at], pa.int32()), pa.array(np.full(len(at), after == 1))],
+                    ["v", "h", "id", "key", "pos", "after"])
+
+    return of
+
+
+def _around(window: int, q: int):
+    """Every window around a suffix whose longer side (``before``, ``after``) is shared."""
+    side = window - q
+    half = (side + 1) // 2
+
+    def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for part in (batch.slice(at, 4096) for at in range(0, batch.num_rows, 4096)):
+            rows = _Rows.of(part, side)
+            before, after = (part.column(n).to_numpy(zero_copy_only=False) for n in ("before", "after"))
+            h = _window_hashes(rows, side, side + 1).view(np.int64)
+            lead = side - np.arange(side + 1)              # words before the q-gram
+            fits = (lead <= rows.n_left[:, None]) & (side - lead <= rows.n_right[:, None])
+            fits &= (before[:, None] & (lead >= half)) | (after[:, None] & (side - lead >= half))
+            at, column = np.nonzero(fits)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows.v[at]), pa.array(h[at, column]), pa.array(rows.id[at]), pa.array(rows.key[at]),
+                 pa.array(rows.pos[at], pa.int32()), pa.array(rows.pos[at] - lead[column], pa.int32())],
+                ["v", "h", "id", "key", "pos", "start"])
+
+    return of
+
+
+def _held(rows: DataFrame, name: str) -> DataFrame:
+    """Least document (``lo``) of every (``v``, ``h``) that several documents hold."""
+    return written(rows.groupBy("v", "h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+                   .where("lo < hi").select("v", "h", "lo"), name)
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       window: int = WINDOW, q: int = Q) -> DataFrame:
     """(``doc_id``, ``start``, ``length``, ``first_doc_id``): merged duplicate spans in words.
@@ -275,17 +313,32 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kept = marked.where("id = lo").groupBy(*row).agg(F.collect_set("pos").alias("marks"))
     sample = written(arrow_map(source.join(kept, row), _samples(window, q), _SAMPLE), "suffix-samples")
     span = [*row, "start", "end", "ref"]
-    crowded = sample.join(sample.groupBy("v").count().where(F.col("count") > NEIGHBOURS).select("v"), "v")
-    spans = whole.unionByName(copies)
-    for rows, order in ((sample, ["v", "nexts", "id", "pos"]), (crowded, ["v", "befores", "id", "pos"])):
-        suffixes = rows.select(*_SUFFIX).repartitionByRange(*order).sortWithinPartitions(*order)
-        compared = written(map_in_arrow(suffixes, _compare(window, q), _FOUND), "suffix-spans")
-        # the edge rows, a fixed number a partition, meet in one task
-        edges = (compared.where("end is null").select(*_SUFFIX[:3], *row, F.col("start").alias("pos"))
-                 .distinct().coalesce(1).sortWithinPartitions(*order))
-        again = map_in_arrow(edges, _compare(window, q), _FOUND)
-        spans = (spans.unionByName(compared.where("end is not null").select(*span))
-                 .unionByName(again.where("end is not null").select(*span)))
+    place = [*row, "pos"]
+    crowds = written(sample.groupBy("v").count().where(F.col("count") > NEIGHBOURS).select("v"), "suffix-crowds")
+    few = sample.join(crowds, "v", "left_anti")
+    crowded = written(sample.join(crowds, "v"), "suffix-crowded")
+
+    order = ["v", "nexts", "id", "pos"]
+    suffixes = few.select(*_SUFFIX).repartitionByRange(*order).sortWithinPartitions(*order)
+    compared = written(map_in_arrow(suffixes, _compare(window, q), _FOUND), "suffix-spans")
+    # the edge rows, a fixed number a partition, meet in one task
+    edges = (compared.where("end is null").select(*_SUFFIX[:3], *row, F.col("start").alias("pos"))
+             .distinct().coalesce(1).sortWithinPartitions(*order))
+    again = map_in_arrow(edges, _compare(window, q), _FOUND)
+    spans = (whole.unionByName(copies).unionByName(compared.where("end is not null").select(*span))
+             .unionByName(again.where("end is not null").select(*span)))
+
+    halves = written(arrow_map(crowded.select(*_SUFFIX), _halves(window, q),
+                               "v long, h long, id long, key long, pos int, after boolean"), "suffix-halves")
+    sides = (halves.join(_held(halves, "suffix-sides"), ["v", "h"]).groupBy(*place)
+             .agg(F.max(~F.col("after")).alias("before"), F.max("after").alias("after")))
+    windows = written(arrow_map(crowded.join(sides, place).select(*_SUFFIX, "before", "after"), _around(window, q),
+                                "v long, h long, id long, key long, pos int, start int"), "suffix-windows")
+    # the windows around one place all hold its q-gram, so their union is one span
+    spans = spans.unionByName(
+        windows.join(_held(windows, "suffix-index"), ["v", "h"]).where("id > lo").groupBy(*place)
+        .agg(F.min("start").alias("start"), (F.max("start") + window).alias("end"), F.min("lo").alias("ref"))
+        .select(*span))
 
     # spans of a document merge where they meet: a new one starts beyond all ends so far
     so_far = Window.partitionBy(*row).orderBy("start", "end", "ref")

@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 
 from llm_cases import corpus, empty, frame, sentence, words
 from starmart.llm import substring, suffix_dedup
@@ -113,3 +114,36 @@ def test_suffix_groups_cut_over_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert {(r.doc_id, r.start, r.length) for r in got} == {(i, 20, 60) for i in range(1, 60)}
+
+
+def test_suffix_crowded_starts(spark):
+    """Passages around one 16-word start that stands in many contexts on both sides."""
+    import random
+    rng = random.Random(9)
+    from starmart.llm.text import grams, words as parsed
+    tries = [sentence(rng, 16, 90_000) for _ in range(3000)]  # one that windows select
+    w = parsed(pa.array(tries))
+    start = tries[int(np.argmin(grams(w.hash, w.row, 16)[0][::16]))]
+    left, right = ([sentence(rng, 17, 90_000) for _ in range(24)] for _ in range(2))
+    rows, pairs = [], [(i, j) for i in range(24) for j in range(24)]
+    rng.shuffle(pairs)
+    for n, (i, j) in enumerate(pairs + rng.sample(pairs, 60)):
+        # the later ones repeat an earlier passage of exactly 50 words, elsewhere nothing does
+        rows.append((n, f"{sentence(rng, 20, 900_000)} {left[i]} {start} {right[j]} {sentence(rng, 20, 900_000)}"))
+    for n in range(60):  # longer and shorter sides
+        i, j, cut = rng.randrange(24), rng.randrange(24), rng.randrange(0, 17)
+        rows.append((2000 + n, f"{' '.join(left[i].split()[cut:])} {start} {right[j]} " + left[n % 3]))
+    want = {d: gone for (d, _), gone in zip(rows, covered(rows))}
+    assert sum(map(any, want.values())) >= 60
+    for partitions in ("8", "40"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            got = suffix_dedup.repeated_passages(frame(spark, rows)).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        found = {d: [False] * len(words(t)) for d, t in rows}
+        for r in got:
+            assert r.first_doc_id < r.doc_id
+            found[r.doc_id][r.start:r.start + r.length] = [True] * r.length
+        assert found == want
