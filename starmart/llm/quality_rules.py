@@ -8,10 +8,13 @@ bucket spans two per cent. The counts per bucket of a language and source are a
 sketch of bounded size; sketches merge by adding counts, in any order, with equal results
 on every run.
 
-*Thresholds.* A rule's limit is ``factor`` times the sketch's 70 % quantile (plus one, so
-that a rate that is usually nought leaves room): junk may make up 30 % of a source without
-moving the limit to itself, and what is usual for a source passes there. Word length also
-has a lower limit, from the 30 % quantile. Groups of fewer than ``MIN_GROUP`` documents
+*Thresholds.* A rule's limit lies above the sketch's 70 % quantile: junk may make up 30 % of a
+source without moving the limit to itself, and what is usual for a source passes there.
+The room above the quantile is ``SPREAD`` times the distance from the 30 % to the 70 % quantile,
+with a least room for a rate that is usually nought or always the same; of capitals and
+word length, which are never usually nought, it is a multiple of the quantile. Of a rate with a greatest value the room is at most ``REACH`` of
+what is left up to it, so a rule can fire in every source. Word length also has a lower
+limit, from the 30 % quantile. Groups of fewer than ``MIN_GROUP`` documents
 merge their sketches up to their language, then to the whole corpus.
 
 *Filtering.* Documents are joined with the limits of their group. Fixed base rules come
@@ -27,6 +30,8 @@ of their own. Rows that repeat get equal verdicts. Empty tables give empty table
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,14 +40,16 @@ from starmart.llm.tables import bind, words_array, written
 MIN_GROUP = 300
 SCALE = 50
 HIGH, LOW = 0.7, 0.3
-# rule -> (numerator, denominator, factor over the high quantile, factor under the low one)
+SPREAD, REACH = 5.0, 0.51
+# rule -> (numerator, denominator, least room over the high quantile in least buckets, or room as
+# a multiple of that quantile, greatest rate, factor under the low quantile)
 RULES = {
-    "symbols": ("1000 * n_symbols", "n_words", 100.0, None),
-    "dup_lines": ("1000 * n_dup_lines", "n_lines", 500.0, None),
-    "repeats": ("1000 * n_repeat_words", "n_words", 60.0, None),
-    "capitals": ("1000 * n_capitals", "word_chars", 8.0, None),
-    "shouts": ("1000 * n_shouts", "n_words", 300.0, None),
-    "word_length": ("1000 * word_chars", "n_words", 2.5, 2.5),
+    "symbols": ("1000 * n_symbols", "n_words", 99.0, 0.0, None, None),
+    "dup_lines": ("1000 * n_dup_lines", "n_lines", 499.0, 0.0, 1000, None),
+    "repeats": ("1000 * n_repeat_words", "n_words", 59.0, 0.0, 1000, None),
+    "capitals": ("1000 * n_capitals", "word_chars", 0.0, 7.0, 1000, None),
+    "shouts": ("1000 * n_shouts", "n_words", 299.0, 0.0, None, None),
+    "word_length": ("1000 * word_chars", "n_words", 0.0, 1.5, None, 2.5),
 }
 
 
@@ -152,9 +159,13 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _fails(rule: str) -> Column:
-    over, under = RULES[rule][2:]
+    fixed, part, most, under = RULES[rule][2:]
     value = _rate(rule) + 1
-    bad = value > F.exp((F.col(f"{rule}_hi") + 1) / SCALE) * over
+    high, low = F.exp((F.col(f"{rule}_hi") + 1) / SCALE), F.exp(F.col(f"{rule}_lo") / SCALE)
+    room = part * high if part else F.greatest(F.lit(fixed * math.exp(1 / SCALE)), SPREAD * (high - low))
+    if most:
+        room = F.least(room, REACH * (most + 1 - high))
+    bad = value > high + room
     if under:
-        bad = bad | (value < F.exp(F.col(f"{rule}_lo") / SCALE) / under)
+        bad = bad | (value < low / under)
     return bad

@@ -66,3 +66,31 @@ def test_sketches_merge_and_bound_their_error(spark):
     # a group below the least size takes the limits of its language, then of all
     small = {(r.g0, r.g1, r.rule): (r.hi, r.lo) for r in Q.limits(Q.sketches(m, ["g0", "g1"]), ["g0", "g1"], 40).collect()}
     assert small[("en", "s0", "word_length")] == small[("en", "s1", "word_length")]
+
+
+def test_rules_fire_where_a_rate_is_usually_not_nought(spark):
+    """Sources whose usual rate is 1-50 per mille (or more): usual documents pass, junk does not."""
+    rng = random.Random(7)
+
+    def text(lines, n=10):
+        return "\n".join(sentence(rng, n, 90_000) for _ in range(lines))
+
+    def repeated(k):                                   # k of 300 words stand in copied windows
+        return text(30) + (" " + " ".join(["aa bb cc"] * k) if k else "")
+
+    # source -> (rule, usual text, junk text)
+    sources = {
+        "lines": ("dup_lines", lambda: (t := text(39)) + "\n" + t.split("\n")[0], lambda: "\n".join([text(1, 60)] * 50)),
+        "often": ("dup_lines", lambda: "\n".join([text(1)] * 3 + [text(17)]), lambda: "\n".join([text(1, 60)] * 50)),
+        "repeats": ("repeats", lambda: repeated(rng.choice((2, 3))), lambda: repeated(60)),
+        "symbols": ("symbols", lambda: text(20) + " #" * rng.randrange(4, 9), lambda: text(20) + " #" * 120),
+        "shouts": ("shouts", lambda: text(20) + "!" * rng.randrange(1, 4), lambda: text(20) + "!" * 160),
+        "capitals": ("capitals", lambda: " ".join("W" + w[1:] for w in text(10).split()), lambda: "ABCDE " * 100),
+    }
+    rows, want = [], {}
+    for s, (name, (rule, usual, junk)) in enumerate(sources.items()):
+        for i in range(80):
+            want[1000 * s + i] = (rule, i >= 60)
+            rows.append((1000 * s + i, (junk if i >= 60 else usual)(), "en", name))
+    got = Q.apply_rules(frame(spark, rows), min_group=30).collect()
+    assert {r.doc_id: (want[r.doc_id][0], want[r.doc_id][0] in r.failed_rules) for r in got} == want
