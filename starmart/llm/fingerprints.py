@@ -3,17 +3,19 @@
 A paragraph is a line. Each is hashed to a wide vector of two parts:
 
 * ``EXACT`` lanes of 32 bits, drawn from two 64-bit hashes of the whole paragraph;
-* ``LIKE`` lanes of 16 bits, each the number of the paragraph's three-word shingles (its
+* ``LIKE`` lanes, each the number of the paragraph's three-word shingles (its
   whole word sequence where it is shorter) whose hash has that lane's bit set, with the
   number of shingles as one more lane.
 
-A fingerprint is the sum of the vectors, modulo 2^32 and 2^16. So the order of paragraphs
-does not matter, equal texts have equal fingerprints, and a paragraph is inserted or
-deleted by adding or subtracting its vector (``combine``).
+A fingerprint is the sum of the vectors, every lane modulo 2^32 (column ``wide``). So the order
+of paragraphs does not matter, equal texts have equal fingerprints, and a paragraph is
+inserted or deleted by adding or subtracting its vector (``combine``). The column ``lanes``
+has the likeness lanes and the number of shingles modulo 2^16, for texts of few equal
+shingles; the functions take the number of bits of these lanes.
 
 *Likeness* of two fingerprints is the cosine of their signed lanes (2 x count - shingles):
 every shingle adds a random sign to every lane, so the expected product is the number of
-common shingles. Equal fingerprints have likeness 1, negative cosines count as 0.
+common shingles. It is taken from the wide lanes: no text holds 2^31 shingles. Equal fingerprints have likeness 1, negative cosines count as 0.
 
 ``edited_text`` replaces the last floor(n/2) code points of each text by the first as many
 (or all) of the next document's, by ascending id; after the last follows the first.
@@ -42,6 +44,7 @@ from pyspark.sql import functions as F
 from starmart.llm.tables import bind, words_array
 
 EXACT, LIKE, SHINGLE = 12, 64, 3
+WIDE, NARROW = 32, 16
 _PACKED = LIKE // 4
 _MASK = 0x0001000100010001
 _PAIR = 0x0000FFFF0000FFFF
@@ -93,32 +96,34 @@ def _vectors(rows: DataFrame, keys: list[str], text: Column) -> DataFrame:
           for i in range(_PACKED) for k in (0, 1)])
     lanes = [F.shiftrightunsigned(F.col(f"p{i}_{k}"), 32 * high).bitwiseAND(low)
              for i in range(_PACKED) for high in (0, 1) for k in (0, 1)]
-    return total.select(*keys, reduced(F.array(*[F.col(f"e{i}") for i in range(EXACT)], F.col("m"), *lanes))
-                        .alias("v"))
+    return total.select(*keys, reduced(F.array(*[F.col(f"e{i}") for i in range(EXACT)], F.col("m"), *lanes),
+                                       WIDE).alias("v"))
 
 
-def reduced(v: Column) -> Column:
-    """Lanes modulo their powers: exact lanes 2^32, the others 2^16."""
+def reduced(v: Column, bits: int = NARROW) -> Column:
+    """Lanes modulo their powers: exact lanes 2^32, the others 2^``bits``."""
     return F.transform(v, lambda x, i: F.when(i < EXACT, F.pmod(x, F.lit(1 << 32)))
-                       .otherwise(F.pmod(x, F.lit(1 << 16))))
+                       .otherwise(F.pmod(x, F.lit(1 << bits))))
 
 
-def combine(a: Column, b: Column, sign: int = 1) -> Column:
+def combine(a: Column, b: Column, sign: int = 1, bits: int = NARROW) -> Column:
     """Fingerprint lanes of ``a`` with the paragraphs of ``b`` inserted (or deleted: -1)."""
-    return reduced(F.zip_with(a, b, lambda x, y: x + sign * y))
+    return reduced(F.zip_with(a, b, lambda x, y: x + sign * y), bits)
 
 
-def text_of(v: Column) -> Column:
+def text_of(v: Column, bits: int = NARROW) -> Column:
     """Lanes as one lower-case hexadecimal string."""
     return F.array_join(F.transform(v, lambda x, i: F.lower(F.lpad(
-        F.hex(x), F.when(i < EXACT, 8).otherwise(4), "0"))), "")
+        F.hex(x), F.when(i < EXACT, 8).otherwise(bits // 4), "0"))), "")
 
 
-def likeness(a: Column, b: Column) -> Column:
+def likeness(a: Column, b: Column, bits: int = NARROW) -> Column:
+    half = 1 << (bits - 1)
+
     def signed(v: Column) -> Column:
         n = F.get(v, F.lit(EXACT))
         return F.transform(F.slice(v, EXACT + 2, LIKE), lambda x: (
-            F.pmod(2 * x - n + 32768, F.lit(65536)) - 32768).cast("double"))
+            F.pmod(2 * x - n + F.lit(half), F.lit(2 * half)) - F.lit(half)).cast("double"))
 
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, z: s + z)
@@ -158,7 +163,7 @@ def _bucket(value: Column, bounds: list[int], step: int = 256) -> Column:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
-    ``near_edited``, ``near_next`` and the fingerprint's lanes (``lanes``)."""
+    ``near_edited``, ``near_next`` and the fingerprint's lanes (``wide``, and narrow ``lanes``)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     bounds = _bounds(rows, "doc_id")
@@ -195,6 +200,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own = both.where((F.col("which") == 0) & ~F.col("guest"))
     return own.select(
         "doc_id", F.col("n").alias("n_chars"), "edited_sha256",
-        text_of(F.col("v")).alias("fingerprint"), text_of(F.col("ev")).alias("edited_fingerprint"),
-        likeness(F.col("v"), F.col("ev")).alias("near_edited"),
-        likeness(F.col("v"), F.col("nv")).alias("near_next"), F.col("v").alias("lanes"))
+        text_of(F.col("v"), WIDE).alias("fingerprint"), text_of(F.col("ev"), WIDE).alias("edited_fingerprint"),
+        likeness(F.col("v"), F.col("ev"), WIDE).alias("near_edited"),
+        likeness(F.col("v"), F.col("nv"), WIDE).alias("near_next"), F.col("v").alias("wide"),
+        reduced(F.col("v")).alias("lanes"))

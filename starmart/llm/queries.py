@@ -59,7 +59,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiset fingerprints of every text and of its edited text."""
-    return fingerprints.fingerprints(documents(spark, sf_dir)).drop("lanes")
+    return fingerprints.fingerprints(documents(spark, sf_dir)).drop("wide", "lanes")
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

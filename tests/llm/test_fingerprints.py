@@ -72,3 +72,13 @@ def test_long_lines_and_many_lines_do_not_overflow(spark):
     one = got[2].lanes
     for i, lane in enumerate(got[1].lanes):
         assert lane == (one[i] * 70_000) % (2**32 if i < P.EXACT else 2**16)
+
+
+def test_likeness_of_texts_with_many_equal_shingles(spark):
+    many = "\n".join(["a b c"] * 40_000)
+    rows = P.fingerprints(frame(spark, [(0, many), (1, "x y"), (2, many + "\nq r s"), (3, many)]))
+    got = {r.doc_id: r for r in rows.withColumn("more", P.combine(F.col("wide"), F.col("wide"), 1, P.WIDE)).collect()}
+    assert got[0].near_edited > 0.99 and got[2].near_next > 0.99
+    assert got[0].wide[P.EXACT] == 40_000 and got[0].more[P.EXACT] == 80_000
+    assert set(got[0].wide[P.EXACT + 1:]) == {0, 40_000} and set(got[0].more[P.EXACT + 1:]) == {0, 80_000}
+    assert len(got[0].fingerprint) == 8 * len(got[0].wide)
