@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm import (
     classify,
+    conversations,
     fingerprints,
     license_scan,
     line_dedup,
@@ -18,6 +19,7 @@ from starmart.llm import (
     quality_rules,
     substring,
     suffix_dedup,
+    toxicity,
 )
 from starmart.llm.oracle import SQL
 from starmart.llm.tables import documents
@@ -79,9 +81,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation after seeded damage."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repair(conversations.damage(rows)).withColumnRenamed("conv", "conv_id")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text."""
+    rows = toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rows.drop("text_key")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pack, op2_licenses, op3_quality_rules, op4_line_dedup, op5_suffix_dedup,
                             op6_quality_classifier, op7_fingerprints, op8_near_dedup, op9_mix,
-                            op10_substring_dedup)}
+                            op10_substring_dedup, op12_conversation_repair, op13_toxicity)}
 
 __all__ = ["REGISTRY", "SQL"]
