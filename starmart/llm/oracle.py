@@ -211,10 +211,41 @@ SELECT doc_id, source, size, source_size, target,
             + greatest(0, least(stop, first + rest - shard_size) - greatest(stop - size, 0)) AS BIGINT) AS taken
 FROM laid"""
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(column: str) -> str:
+    return (f"regexp_extract_all(translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            f"'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')")
+
+
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT doc_id, {_terms("text")} AS t FROM documents),
+corpus AS (SELECT CAST(count(*) FILTER (WHERE len(t) > 0) AS BIGINT) AS n_docs,
+                  CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d),
+asked AS (SELECT DISTINCT item_id, unnest({_terms("text")}) AS term FROM benchmark),
+tf AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), corpus),
+parts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS part
+  FROM tf JOIN weights USING (term), corpus),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM asked JOIN parts USING (term)
+  GROUP BY item_id, doc_id HAVING sum(part) > 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scores)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <= 10"""
+
 SQL: dict[str, str] = {
     "op3_quality_rules": QUALITY_RULES,
     "op4_line_dedup": LINE_DEDUP,
     "op8_near_dedup": NEAR_DEDUP,
     "op9_mix": MIXING,
     "op10_substring_dedup": SUBSTRING_DEDUP,
+    "op11_lexical_search": LEXICAL_SEARCH,
 }

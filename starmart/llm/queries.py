@@ -11,6 +11,7 @@ from starmart.llm import (
     classify,
     conversations,
     fingerprints,
+    lexical,
     license_scan,
     line_dedup,
     minhash,
@@ -81,6 +82,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents of highest score for each benchmark item."""
+    return lexical.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and repaired text of every conversation after seeded damage."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
@@ -96,6 +102,7 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pack, op2_licenses, op3_quality_rules, op4_line_dedup, op5_suffix_dedup,
                             op6_quality_classifier, op7_fingerprints, op8_near_dedup, op9_mix,
-                            op10_substring_dedup, op12_conversation_repair, op13_toxicity)}
+                            op10_substring_dedup, op11_lexical_search, op12_conversation_repair,
+                            op13_toxicity)}
 
 __all__ = ["REGISTRY", "SQL"]
