@@ -41,7 +41,7 @@ from starmart.llm.text import mix, separators, slices, stream, words
 
 BITS = 20
 SKIPS = (1, 2, 3)          # distance of the second word of a pair: neighbour, one and two between
-MAX_TRAIN, TRAIN_BYTES = 20_000, 96 << 20
+MAX_TRAIN, TRAIN_BYTES = 20_000, 48 << 20
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.1
 EPOCHS = 3
 HELD_OUT, CUT = 2, 0.3
