@@ -6,7 +6,9 @@
 1. (unless the caller knows the rows are distinct) finds the copy groups that could
    unbalance a range partition, those of more than a quarter of an average partition, with
    a frequent-items sketch of the row hashes: one pass, a sketch of bounded size per task,
-   no shuffle of rows. Usually there is none and nothing else happens. Otherwise only the
+   no shuffle of rows. Sketches are merged as a tree, ``FAN_IN`` at a time, so that no task
+   reads more of them however many tasks scan. Up to four groups for each partition are
+   looked for (at most ``_TRACKED``). Usually there is none and nothing else happens. Otherwise only the
    rows of those groups are collapsed into (row, multiplicity), cut into chunks that a
    round-robin shuffle of the chunk rows spreads over tasks, and expanded back into copies
    carrying an ordinal, so no task emits a hot row's copies alone. The sketch only steers
@@ -35,12 +37,12 @@ equal ``row_number()`` under any tie-breaking of them.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.session import scratch_path
+from starmart.session import create_text, list_names, make_folder, read_text, scratch_path
 
 _TAG = "__sm_tag"
 _N = "__sm_copies"
@@ -48,7 +50,8 @@ _CHUNK = "__sm_chunk"
 _ORD = "__sm_copy"
 _LOW_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row position
 CHUNK_COPIES = 10_000  # copies that one chunk row of a hot group expands to
-_MAX_GROUPS = 4_096    # no more than this many groups are looked for
+_TRACKED = 1_000_000   # items that one sketch can track at most
+FAN_IN = 16            # sketches merged by one task of the tree
 
 
 def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
@@ -56,17 +59,40 @@ def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_cols]
 
 
+def _merged_sketch(df: DataFrame, tracked: int) -> DataFrame | None:
+    """One row: ``n`` rows in all and the frequent-items sketch ``s`` of the row hashes; ``None``
+    where there are no rows.
+
+    Every scan task leaves one sketch; each level of the tree merges ``FAN_IN`` of them.
+    """
+    spark = df.sparkSession
+    hashed = df.select(F.xxhash64(*df.columns).alias("h"), F.spark_partition_id().alias("p"))
+    path = scratch_path(spark, "copy-sketches")
+    (hashed.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("s"))
+           .write.mode("overwrite").parquet(path))
+    level = spark.read.parquet(path)
+    last = level.agg(F.max("p")).first()[0]
+    if last is None:
+        return None
+    combine = [F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(s, {tracked})").alias("s")]
+    while last >= FAN_IN:
+        level = level.groupBy(F.expr(f"p div {FAN_IN}").alias("p")).agg(*combine)
+        last //= FAN_IN
+    return level.agg(*combine)
+
+
 def _hot_copy_hashes(df: DataFrame, n_parts: int) -> list[int]:
     """Row hashes of the copy groups above a quarter of an average range partition.
 
     At most ``4 * n_parts`` groups can be that large. The sketch tracks many times more
     items, so its error is a small part of the size looked for.
     """
-    k = min(4 * n_parts, _MAX_GROUPS)
-    tracked = min(64 * k, 1_000_000)
-    got = (df.select(F.xxhash64(*df.columns).alias("h"))
-             .agg(F.count(F.lit(1)).alias("n"),
-                  F.expr(f"approx_top_k(h, {k}, {tracked})").alias("top")).first())
+    k = min(4 * n_parts, _TRACKED)
+    tracked = min(64 * k, _TRACKED)
+    sketch = _merged_sketch(df, tracked)
+    if sketch is None:
+        return []
+    got = sketch.select("n", F.expr(f"approx_top_k_estimate(s, {k})").alias("top")).first()
     limit = max(1, got["n"] // (4 * n_parts))
     return [t["item"] for t in got["top"] or [] if t["count"] > limit]
 
@@ -91,10 +117,13 @@ def _spread_copies(df: DataFrame, hot: list[int], chunk: int = CHUNK_COPIES) ->
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
-              start: int = 1, num_partitions: int | None = None, key_type: str = "bigint",
+              start: int | Callable[[int], int] = 1, num_partitions: int | None = None, key_type: str = "bigint",
               collapse_copies: bool = True) -> DataFrame:
     """Add ``key_col`` = ``start``-based row number under the given order (``key_col`` first).
 
+    ``start`` may be a function of the number of rows, called once when that is known (a
+    reservation of as many keys).
+
     ``key_type="int"`` is for columns declared as a 32-bit INTEGER; there an overflowing key
     fails (ANSI cast) instead of wrapping.
     ``collapse_copies=False`` skips step 1 for inputs known to be duplicate-free (a
@@ -129,19 +158,55 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_col: str,
     starts = F.from_json(F.lit(json.dumps(offsets)), "array<bigint>")
     offset = F.element_at(starts, (part + 1).cast("int"))
     position = F.col(_TAG).bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
-    key = (F.lit(start) + offset + position).cast(key_type)
+    first = start(running) if callable(start) else start
+    key = (F.lit(first) + offset + position).cast(key_type)
     return tagged.select(key.alias(key_col), *cols)
 
 
+class KeyLedger:
+    """Key ranges of one table, reserved in a folder that all writers share.
+
+    A reservation is one small file, named by its number and holding its first and last key.
+    It becomes visible by one rename (or link) that fails where the number is taken, so of
+    writers that go for the same number one wins and the others go on to the next: ranges
+    never overlap, whoever writes the rows first. Keys of a load that fails stay unused.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _read(self, name: str) -> dict:
+        return json.loads(read_text(self.spark, f"{self.folder}/{name}"))
+
+    def ranges(self) -> list[tuple[int, int]]:
+        """Reserved (first, last) keys, in order."""
+        return [(r["first"], r["last"]) for r in map(self._read, list_names(self.spark, self.folder))]
+
+    def reserve(self, count: int, floor: int = 0, tries: int = 1_000) -> int:
+        """First of ``count`` keys that nobody else gets, above ``floor`` and all reserved ones."""
+        make_folder(self.spark, self.folder)
+        for _ in range(tries):
+            names = list_names(self.spark, self.folder)
+            last = max(self._read(names[-1])["last"], floor) if names else floor
+            number = int(names[-1]) + 1 if names else 0
+            record = {"first": last + 1, "last": last + max(count, 0)}
+            if create_text(self.spark, f"{self.folder}/{number:012d}", json.dumps(record)):
+                return last + 1
+        raise RuntimeError(f"no key range reserved below {self.folder} after {tries} tries")
+
+
 def append_with_keys(existing: DataFrame, new_rows: DataFrame, key_col: str,
                      order_cols: Sequence[str | Column], collapse_copies: bool = True,
-                     key_type: str = "bigint") -> DataFrame:
+                     key_type: str = "bigint", ledger: KeyLedger | None = None) -> DataFrame:
     """Give ``new_rows`` keys after the largest key already in ``existing``.
 
     Matches a load with explicit identity values: the existing keys are untouched and
     the appended rows are numbered ``max + 1 ...`` in the given order. Returns the new
-    rows only (union them with ``existing`` to get the full table).
+    rows only (union them with ``existing`` to get the full table). Appends that may run at
+    the same time share a ``ledger``: each reserves its range once it has counted its rows, so
+    their keys never meet, though neither sees the other's rows yet.
     """
-    current_max = existing.agg(F.max(key_col).alias("m")).first()["m"] or 0
-    return dense_key(new_rows, order_cols, key_col, start=int(current_max) + 1,
+    largest = int(existing.agg(F.max(key_col).alias("m")).first()["m"] or 0)
+    start = largest + 1 if ledger is None else lambda count: ledger.reserve(count, floor=largest)
+    return dense_key(new_rows, order_cols, key_col, start=start,
                      collapse_copies=collapse_copies, key_type=key_type)

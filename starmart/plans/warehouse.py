@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from starmart.operators import checks
 from starmart.plans import marts, star
 from starmart.schemas import CASE_FEED, COUNTY_FEED, HOSPITALS, STATES_DAILY, WAREHOUSE
-from starmart.session import scratch_scope, write_once
+from starmart.session import in_scope, scratch_scope, write_once
 from starmart.sinks import writers
 from starmart.sources import catalog, files
 
@@ -72,11 +72,11 @@ def build(feeds: Mapping[str, DataFrame], excluded_place: str | None = star.EXCL
     the calendar only the fact reads the feed, so it is not written.
     """
     with ThreadPoolExecutor(max_workers=3) as pool:
-        region_f = pool.submit(star.region_dimension, feeds["case"], feeds["county"],
+        region_f = pool.submit(in_scope(star.region_dimension), feeds["case"], feeds["county"],
                                excluded_place)
-        hosp_f = pool.submit(star.hospital_dimension, feeds["hospitals"])
+        hosp_f = pool.submit(in_scope(star.hospital_dimension), feeds["hospitals"])
         # The calendar and the fact both read the daily feed: written once for this run.
-        daily_f = pool.submit(write_once, feeds["daily"], "daily-feed") if with_calendar else None
+        daily_f = pool.submit(in_scope(write_once), feeds["daily"], "daily-feed") if with_calendar else None
         dim_region, dim_hospital = region_f.result(), hosp_f.result()
         daily = daily_f.result() if daily_f else feeds["daily"]
     tables = {"dim_hospital": dim_hospital, "dim_region": dim_region, "daily": daily,
