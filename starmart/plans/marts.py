@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.sources.catalog import POINTER, current_version_sql
 from starmart.schemas import STATE_DAILY_COLS, STATE_TOTALS_COLS, US_TOTALS_COLS
 
 
@@ -58,15 +59,18 @@ def state_daily(fact: DataFrame, dim_date: DataFrame, dim_region: DataFrame) ->
 def view_sql(db: str) -> dict[str, tuple[str, list[str]]]:
     """The marts as view queries over the published tables of ``db``: name -> (query, columns).
 
-    The same rows as the functions above; a catalog view needs its text.
+    The same rows as the functions above; a catalog view needs its text. A query looks the
+    version in force up once, so its tables are of one version even where the pointer is
+    replaced while the query is being analysed.
     """
-    fact, region, dates = (f"`{db}`.`{t}`" for t in ("fact_covid", "dim_region", "dim_date"))
+    once = f"WITH pointer AS (SELECT version FROM `{db}`.`{POINTER}`)"
+    fact, region, dates = (current_version_sql(db, t, "pointer") for t in ("fact_covid", "dim_region", "dim_date"))
     keys = ["d.`date`", "r.state", "f.state", *[f"f.{c}" for c in (
         "positive", "positiveincrease", "negative", "death", "deathincrease", "recovered",
         "hospitalized", "hospitalizedcurrently", "hospitalizedincrease")]]
     grouped = ", ".join(keys)
     return {
-        "state_totals": (f"""
+        "state_totals": (f"""{once}
             SELECT r.state AS c1, p.state AS c2, sum(p.pos) AS c3, sum(p.dead) AS c4,
                    round(try_divide(sum(p.hosp), sum(p.days)), 0) AS c5
             FROM (SELECT region_sk, state, sum(positive) AS pos, sum(death) AS dead,
@@ -74,10 +78,10 @@ def view_sql(db: str) -> dict[str, tuple[str, list[str]]]:
                   FROM {fact} GROUP BY region_sk, state) p
             JOIN {region} r ON p.region_sk = r.region_sk
             GROUP BY r.state, p.state""", STATE_TOTALS_COLS),
-        "us_totals": (f"SELECT sum(positive) AS c1, sum(death) AS c2, min(`date`) AS c3, max(`date`) AS c4 "
+        "us_totals": (f"{once} SELECT sum(positive) AS c1, sum(death) AS c2, min(`date`) AS c3, max(`date`) AS c4 "
                       f"FROM {fact}",
                       US_TOTALS_COLS),
-        "state_daily": (f"""
+        "state_daily": (f"""{once}
             SELECT {grouped}, min(r.latitude) AS lat, min(r.longitude) AS lon
             FROM {fact} f JOIN {dates} d ON f.`date` = d.date_id
             JOIN {region} r ON f.region_sk = r.region_sk

@@ -17,6 +17,7 @@ import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from starmart.operators import checks
 from starmart.plans import marts, star
 from starmart.schemas import CASE_FEED, COUNTY_FEED, HOSPITALS, STATES_DAILY, WAREHOUSE
-from starmart.session import in_scope, scratch_scope, write_once
+from starmart.session import delete_path, in_scope, scratch_scope, write_once
 from starmart.sinks import writers
 from starmart.sources import catalog, files
 
@@ -88,30 +89,48 @@ def build(feeds: Mapping[str, DataFrame], excluded_place: str | None = star.EXCL
 
 def publish(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
             db: str) -> dict[str, str]:
-    """Write each table sorted by its sort key and make ``db.name`` read it.
-
-    Every run writes a new folder per table; a table is switched to it once all four are
-    complete, so a failed write leaves the published tables as they were, and re-running
-    the job does not duplicate rows. The four writes are independent jobs and are submitted
-    concurrently. Folders of earlier runs are left for readers still on them.
+    """Write each table sorted by its sort key as a new version and put that in force.
+
+    Surrogate keys are numbered anew by every run, so a fact of one version must never meet
+    a dimension of another. The four versions are written first (independent jobs, submitted
+    concurrently) and added to the catalog, where no view reads them yet; replacing the
+    pointer ``db.published`` then switches all tables and marts in one catalog change. A
+    failed run leaves the version in force as it was, and re-running the job does not
+    duplicate rows. Earlier versions stay for readers still on them (``retire_versions``) and
+    can be put back in force (``catalog.switch_version``).
     """
     catalog.create_database(spark, db, f"{out_dir}/_db")
-    version = uuid.uuid4().hex[:12]
+    version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
     def write(spec) -> str:
-        path = f"{out_dir}/{spec.name}/v-{version}"
+        path = f"{out_dir}/{spec.name}/version={version}"
         return writers.write_sorted(tables[spec.name].select(*spec.names), path, list(spec.sort_key),
                                     tie_cols=list(spec.primary_key))
 
     with ThreadPoolExecutor(max_workers=len(WAREHOUSE)) as pool:
-        paths = list(pool.map(write, WAREHOUSE))
-    return {spec.name: catalog.point_table(spark, db, spec.name, path)
-            for spec, path in zip(WAREHOUSE, paths)}
+        paths = list(pool.map(in_scope(write), WAREHOUSE))
+    for spec, path in zip(WAREHOUSE, paths):
+        kinds = dict(tables[spec.name].dtypes)
+        ddl = ", ".join(f"`{c}` {kinds[c]}" for c in spec.names)
+        catalog.add_version(spark, db, spec.name, path, version, ddl, f"{out_dir}/{spec.name}")
+    catalog.switch_version(spark, db, version)
+    return {spec.name: catalog.version_view(spark, db, spec.name, spec.names) for spec in WAREHOUSE}
+
+
+def retire_versions(spark: SparkSession, db: str, keep: int = 2) -> list[str]:
+    """Forget and delete all but the newest ``keep`` versions (never the one in force)."""
+    gone: set[str] = set()
+    for spec in WAREHOUSE:
+        for version in catalog.list_versions(spark, db, spec.name)[:-keep or None]:
+            if version != catalog.published_version(spark, db):
+                delete_path(spark, catalog.drop_version(spark, db, spec.name, version))
+                gone.add(version)
+    return sorted(gone)
 
 
 def create_mart_views(spark: SparkSession, db: str) -> dict[str, DataFrame]:
     """Catalog views ``db.state_totals``, ``db.us_totals`` and ``db.state_daily`` over the
-    published tables, re-evaluated on every read; returns a DataFrame of each."""
+    version in force, re-evaluated on every read; returns a DataFrame of each."""
     views = {}
     for name, (query, columns) in marts.view_sql(db).items():
         spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{name}` ({', '.join(columns)}) AS {query}")
@@ -129,9 +148,11 @@ EXTRACTS = {
 
 
 def extract(views: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:
+    """A new version of each mart's extract, put in force by its manifest; the version's folders."""
     paths = {}
     for name, (order, single) in EXTRACTS.items():
-        paths[name] = writers.extract_csv(views[name], f"{out_dir}/{name}", order, single_file=single)
+        manifest = writers.publish_extract(views[name], f"{out_dir}/{name}", order, single_file=single)
+        paths[name] = f"{out_dir}/{name}/{manifest['version']}"
     return paths
 
 
@@ -184,4 +205,4 @@ def state_abbreviations(spark: SparkSession, path: str) -> DataFrame:
 
 
 __all__ = ["FeedPaths", "build", "constraint_report", "create_mart_views", "extract", "publish",
-           "read_feeds", "register_feeds", "run", "state_abbreviations"]
+           "read_feeds", "register_feeds", "retire_versions", "run", "state_abbreviations"]

@@ -217,6 +217,13 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n for n in names if not n.startswith((".", "_")))
 
 
+def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """(name, bytes) of the visible files of a folder, by name."""
+    fs, target = _file_system(spark, folder)
+    found = ((s.getPath().getName(), s.getLen()) for s in fs.listStatus(target) if s.isFile())
+    return sorted((n, size) for n, size in found if not n.startswith((".", "_")))
+
+
 def make_folder(spark: SparkSession, folder: str) -> None:
     fs, target = _file_system(spark, folder)
     fs.mkdirs(target)

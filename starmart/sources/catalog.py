@@ -88,6 +88,79 @@ def point_table(spark: SparkSession, db: str, name: str, path: str, fmt: str = "
     return f"{db}.{name}"
 
 
+# Versions. Each published table has one external table of all its versions,
+# ``<name>__versions``, partitioned by version; a partition is added when its files are
+# complete. One view, ``published``, names the version in force. Every public name is a view
+# that reads the partition the pointer names, so replacing the pointer, a single catalog
+# change, switches all of them at once. The version is a constant to the optimizer: a read
+# lists and scans that one partition's files only.
+
+POINTER = "published"
+
+
+def versions_table(name: str) -> str:
+    return f"{name}__versions"
+
+
+def add_version(spark: SparkSession, db: str, name: str, path: str, version: str, ddl: str,
+                location: str) -> None:
+    """Make the complete Parquet files at ``path`` the partition ``version`` of ``db.name``'s
+    versions. No reader sees it until ``switch_version`` names it. ``ddl``: the columns;
+    ``location``: the folder of the versions table."""
+    table = f"`{db}`.`{versions_table(name)}`"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}, version STRING) USING parquet "
+              f"PARTITIONED BY (version) LOCATION {sql_text(location)}")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (version = {sql_text(version)}) "
+              f"LOCATION {sql_text(path)}")
+
+
+def switch_version(spark: SparkSession, db: str, version: str) -> None:
+    """Make ``version`` the one that all views of ``db`` read, in one catalog change."""
+    spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{POINTER}` AS SELECT {sql_text(version)} AS version")
+
+
+def published_version(spark: SparkSession, db: str) -> str | None:
+    """The version in force, or ``None`` before the first publish."""
+    pointer = f"`{db}`.`{POINTER}`"
+    return spark.table(pointer).first()["version"] if spark.catalog.tableExists(pointer) else None
+
+
+def current_version_sql(db: str, name: str, pointer: str) -> str:
+    """A table expression of the version that the one-row relation ``pointer`` names."""
+    return f"(SELECT * FROM `{db}`.`{versions_table(name)}` WHERE version = (SELECT version FROM {pointer}))"
+
+
+def version_view(spark: SparkSession, db: str, name: str, columns: Sequence[str]) -> str:
+    """``db.name``: a view of the version in force. Defined once; an external table of that name
+    (metadata only) makes way for it."""
+    qualified = f"`{db}`.`{name}`"
+    if spark.catalog.tableExists(qualified):
+        if spark.catalog.getTable(qualified).tableType == "VIEW":
+            return f"{db}.{name}"
+        _drop_external(spark, qualified)
+    listed = ", ".join(f"`{c}`" for c in columns)
+    source = current_version_sql(db, name, f"`{db}`.`{POINTER}`")
+    spark.sql(f"CREATE OR REPLACE VIEW {qualified} AS SELECT {listed} FROM {source}")
+    return f"{db}.{name}"
+
+
+def list_versions(spark: SparkSession, db: str, name: str) -> list[str]:
+    """Versions of a published table, oldest first (their names begin with the time)."""
+    rows = spark.sql(f"SHOW PARTITIONS `{db}`.`{versions_table(name)}`").collect()
+    return sorted(r[0].split("=", 1)[1] for r in rows)
+
+
+def drop_version(spark: SparkSession, db: str, name: str, version: str) -> str:
+    """Forget one version; returns where its files are. The one in force is refused."""
+    if version == published_version(spark, db):
+        raise ValueError(f"version {version} of {db} is in force")
+    table = f"`{db}`.`{versions_table(name)}`"
+    where = spark.sql(f"DESCRIBE EXTENDED {table} PARTITION (version = {sql_text(version)})").collect()
+    path = next(r["data_type"] for r in where if r["col_name"] == "Location")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (version = {sql_text(version)})")
+    return path
+
+
 def list_tables(spark: SparkSession, db: str, pattern: str | None = None) -> list[str]:
     """Table names of ``db`` (optionally filtered by a ``*`` wildcard pattern)."""
     return sorted(t.name for t in spark.catalog.listTables(db, pattern))
