@@ -129,20 +129,19 @@ def _sample_features(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Weights from the sample's features, in the order they come in; the bias as place -1."""
-    texts: list[np.ndarray] = []
-    labels: list[float] = []
+    """Weights from the sample's features, in order of their turns; the bias as place -1."""
+    texts: list[tuple[int, float, np.ndarray]] = []
     for batch in batches:
         x = batch.column("x")
-        ends = x.offsets.to_numpy()
-        flat = x.values.to_numpy()
-        texts += [flat[a:b].copy() for a, b in zip(ends[:-1], ends[1:])]
-        labels += [float(y) for y in batch.column("y").to_pylist()]
+        ends, flat = x.offsets.to_numpy(), x.values.to_numpy()
+        texts += [(turn, float(y), flat[a:b].copy()) for turn, y, a, b in zip(
+            batch.column("turn").to_pylist(), batch.column("y").to_pylist(), ends[:-1], ends[1:])]
     if not texts:
         return
+    texts.sort(key=lambda t: t[0])
     model = Ftrl()
     for _ in range(EPOCHS):
-        for place, label in zip(texts, labels):
+        for _turn, label, place in texts:
             model.learn(place, label)
     found = model.weights()
     yield pa.RecordBatch.from_arrays(
@@ -194,8 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
                     "toxicity-turns")
     sample = one.join(F.broadcast(turns), "k").select("turn", "y", "text")
     features = written(arrow_map(sample, _sample_features, "turn int, y int, x array<int>"), "toxicity-sample")
-    model = map_in_arrow(features.repartition(1).sortWithinPartitions("turn"), _learn,
-                         "place int, weight double")
+    model = map_in_arrow(features.repartition(1), _learn, "place int, weight double")
     found = written(model, "toxicity-weights").toArrow()
     place, weight = found.column("place").to_numpy(), found.column("weight").to_numpy()
     bias = float(weight[place < 0].sum())
