@@ -5,20 +5,27 @@ Scale notes
   ``partitions`` to spread the rows before any wide work. Plain CSV splits by
   ``spark.sql.files.maxPartitionBytes``.
 * Line-delimited GeoJSON (one Feature per line) splits like any JSON-lines file. A
-  single ``FeatureCollection`` document needs ``multiLine`` parsing, which reads each
-  file whole in one task: accepted for small lookup files only.
+  ``FeatureCollection`` document is cut into byte ranges at the borders of its features. Only
+  one whose features do not open with their type needs ``multiLine`` parsing, which reads
+  each file whole in one task.
+* What the beginnings of files tell (header lines, feature borders) is found by one job over
+  all files, each read up to its first records; the driver sees the distinct answers.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+import csv
+import io
+import re
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.session import scratch_path
+
 # RFC 4180: a quote inside a quoted field is doubled (Spark's own default is a backslash).
 # Used by every CSV read and write of the library.
 CSV_DIALECT = {"quote": '"', "escape": '"'}
@@ -49,10 +56,52 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return df.repartition(partitions) if partitions else df
 
 
-def _csv_files(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """The files below a path: a listing (one name per file), no contents are read."""
-    rows = spark.read.format("binaryFile").load(path).select("path").collect()
-    return sorted(r[0] for r in rows)
+def _by_file(spark: SparkSession, path: str | list[str], line_sep: str | None = None) -> DataFrame:
+    """(``path``, ``value``): the records of text files, each file a partition of its own.
+
+    For functions that stop after a file's first records: what they leave is not read. The
+    session beside the caller's has the layout; the caller's settings stay as they are.
+    """
+    beside = spark.newSession()
+    one_file = str(1 << 40)   # no two files together, none in parts
+    for key, value in {"spark.sql.files.maxPartitionBytes": one_file,
+                       "spark.sql.files.openCostInBytes": one_file,
+                       "spark.sql.execution.arrow.maxRecordsPerBatch": "8"}.items():
+        beside.conf.set(key, value)
+    reader = beside.read.option("lineSep", line_sep) if line_sep else beside.read
+    return (reader.text(path).where("_metadata.file_block_start = 0")
+            .select(F.col("_metadata.file_path").alias("path"), "value"))
+
+
+def _found_once(found: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """What was found about each file, written once and read by the caller's session."""
+    where = scratch_path(spark, name)
+    found.write.mode("overwrite").parquet(where)
+    return spark.read.schema(found.schema).parquet(where)
+
+
+def csv_headers(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """(``path``, ``header``: array of names) of every CSV file with a header line, from one job
+    that reads the beginning of each file on the executors."""
+
+    def header(batches):
+        lines: list[str] = []
+        for batch in batches:
+            for file, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                line = line if lines else line.removeprefix("\ufeff")
+                if not lines and not line.strip():
+                    continue
+                lines.append(line)
+                record = "\n".join(lines)
+                if multi_line and record.count('"') % 2:   # a name with a line end
+                    continue
+                names = next(csv.reader([record] if not multi_line else io.StringIO(record, newline="")))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([file]), pa.array([names], pa.list_(pa.string()))], ["path", "header"])
+                return
+
+    found = _by_file(spark, path).mapInArrow(header, "path string, header array<string>")
+    return _found_once(found, spark, "csv-headers")
 
 
 def read_csv_by_name(spark: SparkSession, path: str | list[str], wanted: T.StructType,
@@ -60,35 +109,75 @@ def read_csv_by_name(spark: SparkSession, path: str | list[str], wanted: T.Struc
     """The ``wanted`` columns of headered CSV files, matched by name in every file.
 
     Files may order their columns differently, carry more of them, or (older ones) lack
-    some, which become NULL. The header line of each file is read on its own; files with the
-    same header form one scan, checked against it, and the scans are united by name.
-    Names match without regard to case.
+    some, which become NULL. Names match without regard to case; of names that repeat in a
+    header the first counts. A line with more or fewer fields than its file's header fails the
+    read.
+
+    One job catalogues the headers (``csv_headers``); the driver sees the distinct ones only.
+    Then all files are read by one scan, whatever the number of headers: fields are taken by
+    position and named by a join with the file's header, a table of one row a file that the
+    planner broadcasts where it is small. Files that agree on their header need no join.
     """
-    def header(file: str) -> tuple[str, ...]:
-        return tuple(spark.read.options(**CSV_DIALECT).option("header", True)
-                     .option("multiLine", multi_line).csv(file).columns)
-
-    names = _csv_files(spark, path)
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        headers = list(pool.map(header, names))
-    same: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for columns, file in zip(headers, names):
-        if columns:  # an empty file has no header and no rows
-            same[columns].append(file)
-    typed = {f.name.lower(): f for f in wanted.fields}
-    parts = []
-    for columns, files in same.items():
-        schema = T.StructType([T.StructField(c, typed[c.lower()].dataType if c.lower() in typed
-                                             else T.StringType()) for c in columns])
-        rows = read_csv(spark, files, schema=schema, check_header=True, multi_line=multi_line)
-        have = {c.lower(): c for c in columns}
-        parts.append(rows.select(*[
-            (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None).cast(f.dataType))
-            .alias(f.name) for f in wanted.fields]))
-    df = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], wanted)
+    heads = csv_headers(spark, path, multi_line)
+    headers = sorted(list(r[0]) for r in heads.select("header").distinct().collect())
+    if not headers:
+        df = spark.createDataFrame([], wanted)
+    elif len(headers) == 1:
+        df = _of_one_header(spark, path, headers[0], wanted, multi_line)
+    else:
+        df = _of_headers(spark, path, heads, headers, wanted, multi_line)
     return df.repartition(partitions) if partitions else df
 
 
+def _places(header: list[str]) -> dict[str, int]:
+    """Place of each name, in lower case; the first of equal ones."""
+    return {c.lower(): i for i, c in reversed(list(enumerate(header)))}
+
+
+def _of_one_header(spark: SparkSession, path: str | list[str], header: list[str], wanted: T.StructType,
+                   multi_line: bool) -> DataFrame:
+    """Files of one header: typed by the scan itself."""
+    at = _places(header)
+    kinds = {at[f.name.lower()]: f.dataType for f in wanted.fields if f.name.lower() in at}
+    schema = T.StructType([T.StructField(f"c{i}", kinds.get(i, T.StringType())) for i in range(len(header))])
+    rows = read_csv(spark, path, schema=schema, multi_line=multi_line)
+    return rows.select(*[(F.col(f"c{at[f.name.lower()]}") if f.name.lower() in at else F.lit(None).cast(f.dataType))
+                         .alias(f.name) for f in wanted.fields])
+
+
+def _of_headers(spark: SparkSession, path: str | list[str], heads: DataFrame, headers: list[list[str]],
+                wanted: T.StructType, multi_line: bool) -> DataFrame:
+    """Files of several headers, by one scan of text fields."""
+    width, raw = max(map(len, headers)), "__sm_record"
+    fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)]
+                          + [T.StructField(raw, T.StringType())])
+    rows = (spark.read.options(**CSV_DIALECT).option("header", True).option("multiLine", multi_line)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", raw)
+            .option("columnPruning", "false")   # every line's fields are counted, whatever is asked for
+            .schema(fields).csv(path)
+            .withColumn("__sm_file", F.col("_metadata.file_path")))
+    which = F.array_position(F.array(*[F.array(*map(F.lit, h)) for h in headers]), F.col("header")).cast("int")
+    known = heads.select(F.col("path").alias("__sm_file"), which.alias("__sm_header"))
+    rows = rows.join(known, "__sm_file")
+    # the record itself is there where it has not ``width`` fields; quoted parts hold no separators
+    bare = F.regexp_replace(raw, '"[^"]*"', "")
+    have = F.when(F.col(raw).isNull(), F.lit(width)).otherwise(F.regexp_count(bare, F.lit(",")) + 1)
+    should = F.element_at(F.array(*[F.lit(len(h)) for h in headers]), F.col("__sm_header"))
+    # (no scan may be asked for the record alone: the first field goes with it)
+    rows = rows.where(F.when((have == should) & (F.length(F.coalesce("c0", F.lit(""))) >= 0), F.lit(True)).otherwise(F.raise_error(F.concat(
+        F.lit("line with another number of fields than the header of "), F.col("__sm_file"))).cast("boolean")))
+
+    def value(name: str) -> Column:
+        out = F.when(F.lit(False), F.lit(None))
+        for k, header in enumerate(headers, start=1):
+            at = _places(header).get(name.lower())
+            if at is not None:
+                out = out.when(F.col("__sm_header") == k, F.col(f"c{at}"))
+        return out
+
+    return rows.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
+
+
 def _geometry_schema() -> T.StructType:
     return T.StructType([
         T.StructField("type", T.StringType()),
@@ -109,15 +198,13 @@ def read_geojson(spark: SparkSession, path: str | list[str], properties: T.Struc
     """GeoJSON point features flattened to ``properties.*`` plus ``lon`` / ``lat``.
 
     ``multiline=False`` reads one Feature per line; ``multiline=True`` reads
-    FeatureCollection documents and explodes their ``features`` array. A truncated feature
-    or a value of the wrong type fails the read unless ``mode`` says otherwise.
+    FeatureCollection documents, in byte ranges where the features can be told apart without
+    parsing (see ``feature_borders``), else each file whole. A truncated feature or a value of
+    the wrong type fails the read unless ``mode`` says otherwise.
     """
     feature = feature_schema(properties)
     if multiline:
-        coll = T.StructType([T.StructField("type", T.StringType()),
-                             T.StructField("features", T.ArrayType(feature))])
-        raw = spark.read.schema(coll).option("multiLine", True).option("mode", mode).json(path)
-        feats = raw.select(F.explode("features").alias("f")).select("f.*")
+        feats = _collection_features(spark, path, feature, mode)
     else:
         feats = spark.read.schema(feature).option("mode", mode).json(path)
     coords = F.col("geometry.coordinates")
@@ -126,6 +213,65 @@ def read_geojson(spark: SparkSession, path: str | list[str], properties: T.Struc
                         F.try_element_at(coords, F.lit(2)).alias("lat"))
 
 
+_FEATURE = '"Feature"'
+_OPENING = r'\{\s*"type"\s*:\s*$'
+
+
+def feature_borders(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(``path``, ``border``) of FeatureCollection files: the text that opens every feature of a
+    file, ``{"type":"Feature"`` with that file's own spaces; empty for a file without features,
+    NULL where the type is not a feature's first member. One job, reading the beginnings."""
+
+    def border(batches):
+        head = None
+        for batch in batches:
+            for file, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if head is None:
+                    head = (file, record)
+                    continue
+                opening = re.search(_OPENING, head[1])
+                found = opening.group() + _FEATURE if opening else None
+                yield pa.RecordBatch.from_arrays([pa.array([head[0]]), pa.array([found], pa.string())],
+                                                 ["path", "border"])
+                return
+        if head is not None:   # no feature in the file
+            yield pa.RecordBatch.from_arrays([pa.array([head[0]]), pa.array([""])], ["path", "border"])
+
+    found = _by_file(spark, path, line_sep=_FEATURE).mapInArrow(border, "path string, border string")
+    return _found_once(found, spark, "feature-borders")
+
+
+def _collection_features(spark: SparkSession, path: str | list[str], feature: T.StructType,
+                         mode: str) -> DataFrame:
+    """Features of FeatureCollection documents.
+
+    The border of a file's features serves as its record separator, so a large document is
+    read by as many tasks as it has splits: each starts at the first border in its range and
+    ends with the record that crosses its end. A border cannot stand inside a JSON text, where
+    its quotes are escaped. A record that holds another feature's opening, in other spaces,
+    fails the read: nothing is passed over.
+    """
+    borders = feature_borders(spark, path)
+    kinds = [r[0] for r in borders.select("border").distinct().collect()]
+    if None in kinds:
+        coll = T.StructType([T.StructField("type", T.StringType()),
+                             T.StructField("features", T.ArrayType(feature))])
+        raw = spark.read.schema(coll).option("multiLine", True).option("mode", mode).json(path)
+        return raw.select(F.explode("features").alias("f")).select("f.*")
+    parts = []
+    for kind in sorted(k for k in kinds if k):
+        records = spark.read.option("lineSep", kind).text(path).withColumn("path", F.col("_metadata.file_path"))
+        if len(kinds) > 1:
+            records = records.join(borders.where(F.col("border") == kind).select("path"), "path", "left_semi")
+        # what precedes a file's first feature opens the document; a feature goes on with a comma or ends
+        body = records.where(~F.col("value").rlike("^(\\uFEFF)?\\s*\\{"))
+        other = F.col("value").rlike(r'\{\s*"type"\s*:\s*"Feature"')
+        text = F.when(other, F.raise_error(F.concat(F.lit("features in several spellings in "), F.col("path"))
+                                           ).cast("string")).otherwise(F.concat(F.lit(kind), "value"))
+        parts.append(body.select(F.from_json(text, feature, {"mode": mode}).alias("f")).select("f.*"))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], feature)
+
+
 def _feature(df: DataFrame, lon_col: str, lat_col: str) -> Column:
     props = F.struct(*[F.col(c) for c in df.columns])
     geometry = F.struct(F.lit("Point").alias("type"),
@@ -154,6 +300,23 @@ def write_feature_collections(df: DataFrame, path: str, lon_col: str, lat_col: s
     return path
 
 
+def write_feature_collection(df: DataFrame, path: str, lon_col: str, lat_col: str) -> str:
+    """All features as one FeatureCollection document, in one file: a stream through one task."""
+    line, place = to_geojson_lines(df, lon_col, lat_col), "__sm_place"
+    spark = df.sparkSession
+    ends = spark.range(2).select(
+        F.when(F.col("id") == 0, F.lit('{"type":"FeatureCollection","features":[')).otherwise(F.lit("]}"))
+        .alias("value"), (F.col("id") * 2).cast("int").alias(place))
+    body = line.withColumn(place, F.lit(1))
+    ordered = body.unionByName(ends).coalesce(1).sortWithinPartitions(place, "value")
+    # one partition: the opening is row 0, the first feature row 1; the others bring a comma
+    row = ordered.withColumn("__sm_row", F.monotonically_increasing_id())
+    text = F.when((F.col(place) == 1) & (F.col("__sm_row") > 1), F.concat(F.lit(","), "value")).otherwise(
+        F.col("value"))
+    row.select(text.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
 def landing_path(url: str | Column, deep_parts: int = 6) -> tuple[Column, Column]:
     """Folder and file name under which a downloaded URL is landed.
 
