@@ -54,19 +54,25 @@ def orphan_counts(child: DataFrame, child_name: str,
 def column_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     """NULLs in NOT NULL columns and over-long text, one output row per column.
 
-    A single pass computes every counter (one partial + final aggregate), then the
-    one-row result is unpivoted into (table_name, column_name, n_null, n_too_long).
+    A declared length counts bytes (of UTF-8), as the warehouse's VARCHAR does, so a text
+    with letters beyond ASCII may be too long (``n_too_long``) though its characters are not too
+    many (``n_too_many_chars``). A single pass computes every counter (one partial + final
+    aggregate), then the one-row result is unpivoted into (table_name, column_name, n_null,
+    n_too_long, n_too_many_chars).
     """
     aggs = []
     for c in spec.columns:
         n_null = (F.count_if(F.col(c.name).isNull()) if c.not_null
                   else F.lit(0).cast("bigint"))
-        n_long = (F.count_if(F.length(F.col(c.name).cast("string")) > c.max_len)
-                  if c.max_len else F.lit(0).cast("bigint"))
-        aggs += [n_null.alias(f"{c.name}__null"), n_long.alias(f"{c.name}__long")]
+        text = F.col(c.name).cast("string")
+        none = F.lit(0).cast("bigint")
+        n_long = F.count_if(F.octet_length(text) > c.max_len) if c.max_len else none
+        n_chars = F.count_if(F.length(text) > c.max_len) if c.max_len else none
+        aggs += [n_null.alias(f"{c.name}__null"), n_long.alias(f"{c.name}__long"),
+                 n_chars.alias(f"{c.name}__chars")]
     wide = df.agg(*aggs)
     stack_args = ", ".join(
-        f"'{c.name}', `{c.name}__null`, `{c.name}__long`" for c in spec.columns)
+        f"'{c.name}', `{c.name}__null`, `{c.name}__long`, `{c.name}__chars`" for c in spec.columns)
     return wide.selectExpr(
         f"'{spec.name}' AS table_name",
-        f"stack({len(spec.columns)}, {stack_args}) AS (column_name, n_null, n_too_long)")
+        f"stack({len(spec.columns)}, {stack_args}) AS (column_name, n_null, n_too_long, n_too_many_chars)")

@@ -219,10 +219,11 @@ def _column_checks() -> str:
             name, bars_null = words[0], "not_null" in words
             longest = words[-1] if words[-1].isdigit() else None
             n_null = f'count(*) FILTER (WHERE "{name}" IS NULL)' if bars_null else "count(*) FILTER (WHERE false)"
-            n_long = (f'count(*) FILTER (WHERE length(CAST("{name}" AS VARCHAR)) > {longest})'
-                      if longest else "count(*) FILTER (WHERE false)")
+            too = lambda size: (f'count(*) FILTER (WHERE {size}(CAST("{name}" AS VARCHAR)) > {longest})'
+                                if longest else "count(*) FILTER (WHERE false)")
             parts.append(f"SELECT '{table}' AS table_name, '{name}' AS column_name, "
-                         f"CAST({n_null} AS BIGINT) AS n_null, CAST({n_long} AS BIGINT) AS n_too_long "
+                         f"CAST({n_null} AS BIGINT) AS n_null, CAST({too('strlen')} AS BIGINT) AS n_too_long, "
+                         f"CAST({too('length')} AS BIGINT) AS n_too_many_chars "
                          f"FROM {table}")
     return "\nUNION ALL\n".join(parts)
 
@@ -247,6 +248,14 @@ _DDL = {
                   "county STRING, country STRING, latitude DOUBLE, longitude DOUBLE",
 }
 
+# The published columns of each mart.
+_MARTS = {
+    "state_totals": "state,state_abv,total_positive_cases,total_deaths,avg_hospitalized",
+    "us_totals": "postive_cases,deaths,begin_data,end_data",
+    "state_daily": "date,state,state_abv,positive,pos_increase,negative,deaths,death_increase,recovered,"
+                   "hospitalized,hosp_currently,hosp_increase,lattitude,longitude",
+}
+
 SQL.update({
     # sources
     "scan_csv": "SELECT * FROM orders",
@@ -402,4 +411,37 @@ FROM daily y WHERE y.fips IS NOT NULL
     "schema_ddl": with_star("\nUNION ALL\n".join(
         f"SELECT '{name}' AS table_name, '{ddl}' AS ddl, count(*) AS n_rows FROM {name}"
         for name, ddl in _DDL.items())),
+    "evolve_csv_files": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS o_orderpriority
+FROM orders""",
+    "scan_feature_ranges": with_feeds("SELECT *, longtitude AS lon, latitude AS lat FROM hospital_feed"),
+    "register_geojson": with_feeds(
+        "SELECT * REPLACE (CAST(hq_zip_code AS BIGINT) AS hq_zip_code), longtitude AS lon, latitude AS lat "
+        "FROM hospital_feed"),
+    "recrawl": """
+WITH o AS (SELECT count(*) AS n FROM orders), c AS (SELECT count(*) AS n FROM customer)
+SELECT 'orders' AS table_name, x.column_name, x.status, o.n AS n_rows
+FROM o, (VALUES ('', 'updated'), ('o_orderkey', 'unchanged'), ('o_custkey', 'unchanged'),
+                ('o_orderstatus', 'deprecated'), ('o_totalprice', 'unchanged'),
+                ('o_orderdate', 'unchanged'), ('o_orderpriority', 'added')) x(column_name, status)
+UNION ALL
+SELECT 'customer', x.column_name, 'unchanged', c.n
+FROM c, (VALUES (''), ('c_custkey'), ('c_name'), ('c_nationkey'), ('c_acctbal'), ('c_mktsegment')) x(column_name)
+UNION ALL SELECT 'supplier', '', 'deprecated', NULL""",
+    "surrogate_key_reserved": """
+WITH s AS (SELECT s_suppkey AS party_key, s_name AS name, s_nationkey AS nation FROM supplier),
+c AS (SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nation FROM customer),
+e AS (SELECT CAST(row_number() OVER (ORDER BY nation, name, party_key) AS BIGINT) AS party_sk, * FROM s)
+SELECT party_sk, party_key, name, nation FROM e
+UNION ALL
+SELECT CAST((SELECT count(*) FROM s) + row_number() OVER (ORDER BY nation >= 12, nation, name, party_key) AS BIGINT),
+       party_key, name, nation
+FROM c""",
+    "extract_manifest": "\nUNION ALL\n".join(
+        f"SELECT '{mart}' AS mart, '{columns}' AS columns, count(*) AS n_rows, count(*) AS n_file_rows FROM ({SQL[mart]})"
+        for mart, columns in _MARTS.items()),
+    "delta_state_totals": SQL["state_totals"],
+    "delta_us_totals": SQL["us_totals"],
+    "delta_state_daily": SQL["state_daily"],
 })

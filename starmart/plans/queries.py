@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 from starmart.functions.codes import left_chars, recode, right_chars, zfill_code
 from starmart.operators import checks, clean
 from starmart.operators.joins import first_per_group, join_distinct
-from starmart.operators.keys import append_with_keys, dense_key
-from starmart.plans import analogue, covid, star, warehouse
-from starmart.schemas import (DIM_DATE, DIM_HOSPITAL, DIM_REGION, FACT_COVID, HOSPITALS,
-                              STATE_TOTALS_COLS, WAREHOUSE)
-from starmart.session import scratch_path
+from starmart.operators.keys import KeyLedger, append_with_keys, dense_key
+from starmart.plans import analogue, covid, marts, star, warehouse
+from starmart.schemas import (DIM_DATE, DIM_HOSPITAL, DIM_REGION, FACT_COVID, HOSPITALS, WAREHOUSE)
+from starmart.session import delete_path, scratch_path
 from starmart.sources.files import CSV_DIALECT
 from starmart.sinks import writers
 from starmart.sources import catalog, files
@@ -142,6 +141,60 @@ def q_register_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.table_profile(spark, tables).withColumn("column_types", kinds[F.col("table_name")])
 
 
+def q_evolve_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV file per order day and status, in three layouts by status, read by column name: some
+    thousand files with the same number of jobs as a few."""
+    orders = _T(spark, sf_dir, "orders")
+    base = scratch_path(spark, "evolve_csv_files")
+    month = F.date_format("o_orderdate", "yyyyMM")
+    layouts = {"F": orders.columns, "O": orders.columns[::-1],
+               "P": [c for c in orders.columns if c != "o_orderpriority"]}
+    for status, columns in layouts.items():
+        (orders.where(F.col("o_orderstatus") == status).select(*columns, month.alias("month")).repartition("month")
+               .write.options(**CSV_DIALECT).option("header", True).partitionBy("month").csv(f"{base}/{status}"))
+    return files.read_csv_by_name(spark, [f"{base}/{s}/month=*" for s in layouts], orders.schema)
+
+
+def q_scan_feature_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hospital features -> one FeatureCollection document -> read by byte ranges."""
+    feed = analogue.hospital_feed(spark, sf_dir)
+    path = files.write_feature_collection(feed, scratch_path(spark, "scan_ranges"), "longtitude", "latitude")
+    return files.read_geojson(spark, path, HOSPITALS, multiline=True)
+
+
+def q_register_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hospital feed catalogued as a GeoJSON table with a flat view, its schema inferred; read
+    through the catalog."""
+    feed = analogue.hospital_feed(spark, sf_dir)
+    path = files.write_feature_collection(feed, scratch_path(spark, "register_geojson"), "longtitude", "latitude")
+    db = "starmart_raw"
+    catalog.create_database(spark, db, scratch_path(spark, "db"))
+    return spark.table(catalog.register_geojson(spark, db, "hospital_beds", path, multiline=True))
+
+
+def q_recrawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second crawl of three tables: one whose new batch has a column more and lacks one, one that
+    is as it was, one whose files are gone; with the rows that the catalog reads now."""
+    db, base = "starmart_crawl", scratch_path(spark, "recrawl")
+    catalog.create_database(spark, db, scratch_path(spark, "db"))
+    orders, customer = _T(spark, sf_dir, "orders"), _T(spark, sf_dir, "customer")
+    orders.drop("o_orderpriority").write.parquet(f"{base}/orders/batch_1")
+    customer.write.parquet(f"{base}/customer")
+    _T(spark, sf_dir, "supplier").write.parquet(f"{base}/supplier")
+    tag = scratch_path(spark, "crawl").rsplit("-", 1)[1]
+    sources = {"orders": f"{base}/orders/*", "customer": f"{base}/customer", "supplier": f"{base}/supplier"}
+    catalog.crawl(spark, db, sources, prefix=f"t{tag}_", crawler=tag)
+    orders.drop("o_orderstatus").write.parquet(f"{base}/orders/batch_2")
+    delete_path(spark, f"{base}/orders/batch_1")
+    delete_path(spark, f"{base}/supplier")
+    report = catalog.crawl(spark, db, sources, prefix=f"t{tag}_", crawler=tag)
+    rows = catalog.table_profile(spark, [f"{db}.t{tag}_{n}" for n in ("orders", "customer")])
+    named = lambda c: F.regexp_replace(c, "^t[^_]*_", "")
+    counted = rows.select(named("table_name").alias("table_name"), "n_rows")
+    return (report.withColumn("table_name", named("table_name")).join(counted, "table_name", "left")
+            .select("table_name", F.coalesce("column_name", F.lit("")).alias("column_name"), "status", "n_rows"))
+
+
 def q_landing_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing folder and file name of every page URL (deep-path threshold 5)."""
     pages = _T(spark, sf_dir, "pages").select("page_id", "url")
@@ -285,6 +338,21 @@ def q_surrogate_key_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return existing.unionByName(appended)
 
 
+def q_surrogate_key_reserved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends that see the same existing table, neither the other's rows: each reserves its
+    keys in the table's ledger, so they do not meet."""
+    s = _T(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("party_key"), F.col("s_name").alias("name"),
+                                             F.col("s_nationkey").alias("nation"))
+    c = _T(spark, sf_dir, "customer").select(F.col("c_custkey").alias("party_key"), F.col("c_name").alias("name"),
+                                             F.col("c_nationkey").alias("nation"))
+    order = ["nation", "name", "party_key"]
+    existing = dense_key(s, order, "party_sk", collapse_copies=False)
+    ledger = KeyLedger(spark, scratch_path(spark, "party-keys"))
+    parts = [append_with_keys(existing, c.where(half), "party_sk", order, collapse_copies=False, ledger=ledger)
+             for half in ("nation < 12", "nation >= 12")]
+    return existing.unionByName(parts[0]).unionByName(parts[1])
+
+
 def q_line_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense key over every line item in ship order: the largest key build (600,000 rows
     at sf0.1), comparable with the survey's single-partition window measurement."""
@@ -409,37 +477,42 @@ def q_write_sorted_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _read_extract(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A headered extract; the empty text stands for NULL."""
-    return (spark.read.options(**CSV_DIALECT).option("header", True).option("emptyValue", "")
-            .option("nullValue", "").option("mode", "FAILFAST").schema(schema).csv(path))
+def _extract(spark: SparkSession, mart: DataFrame, name: str, order: list[str], **layout) -> DataFrame:
+    """``mart`` put in force as an extract and read back through its manifest."""
+    path = scratch_path(spark, name)
+    writers.publish_extract(mart, path, order, **layout)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mart.schema.fields)
+    return writers.read_extract(spark, path, schema)
 
 
 def q_extract_state_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """state_daily ordered by date and state into eight or more files, each with a header."""
-    mart = covid.state_daily(spark, sf_dir)
-    path = writers.extract_csv(mart, scratch_path(spark, "state_daily_extract"), ["date", "state_abv"],
-                               partitions=8)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mart.schema.fields)
-    return _read_extract(spark, path, schema)
+    return _extract(spark, covid.state_daily(spark, sf_dir), "state_daily_extract", ["date", "state_abv"],
+                    partitions=8)
 
 
 def q_extract_us_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-row national mart as a single file."""
-    mart = covid.us_totals(spark, sf_dir)
-    path = writers.extract_csv(mart, scratch_path(spark, "us_totals_extract"), [], single_file=True)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mart.schema.fields)
-    return _read_extract(spark, path, schema)
+    return _extract(spark, covid.us_totals(spark, sf_dir), "us_totals_extract", [], single_file=True)
 
 
 def q_extract_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """state_totals ordered by state abbreviation into one quoted CSV file (bounded mart)."""
-    mart = covid.state_totals(spark, sf_dir)
-    path = writers.extract_csv(mart, scratch_path(spark, "state_totals_extract"), ["state_abv"],
-                               single_file=True)
-    schema = "state STRING, state_abv STRING, total_positive_cases DOUBLE, " \
-             "total_deaths DOUBLE, avg_hospitalized DOUBLE"
-    return _read_extract(spark, path, schema).toDF(*STATE_TOTALS_COLS)
+    return _extract(spark, covid.state_totals(spark, sf_dir), "state_totals_extract", ["state_abv"],
+                    single_file=True)
+
+
+def q_extract_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and columns of the three extracts as their manifests record them."""
+    s = covid.build_star(spark, sf_dir)
+    views = {"state_totals": marts.state_totals(s.fact_covid, s.dim_region), "us_totals": marts.us_totals(s.fact_covid),
+             "state_daily": marts.state_daily(s.fact_covid, s.dim_date, s.dim_region)}
+    base = scratch_path(spark, "extract_manifest")
+    warehouse.extract(views, base)
+    found = {name: writers.extract_manifest(spark, f"{base}/{name}") for name in views}
+    return spark.createDataFrame(
+        [(name, ",".join(m["columns"]), m["rows"], sum(f["rows"] for f in m["files"])) for name, m in found.items()],
+        "mart STRING, columns STRING, n_rows LONG, n_file_rows LONG")
 
 
 def _mart_view(view: str) -> QueryFn:
@@ -492,10 +565,11 @@ def q_schema_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def q_stream_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str, with_store: bool = False) -> tuple[str, str | None, DataFrame]:
     """Daily files land in date order and are loaded by the streaming merge, two files per
     micro-batch; a first delivery with wrong measures is corrected by a second one, whose
-    files are newer although their paths sort first. The merge is keyed, not appended."""
+    files are newer although their paths sort first. The merge is keyed, not appended.
+    Returns where the fact and the stored marts are, and the region dimension."""
     from starmart.streaming import daily_load
 
     daily = analogue.states_daily(spark, sf_dir)
@@ -504,13 +578,43 @@ def q_stream_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     target = scratch_path(spark, "fact_stream")
     checkpoint = scratch_path(spark, "fact_stream_ck")
+    store = scratch_path(spark, "mart_store") if with_store else None
     wrong = daily.withColumn("positive", F.col("positive") + 1000).withColumn("death", F.lit(-1.0))
     for delivery, rows in (("first", wrong.select(*daily.columns)), ("again", daily)):
         writers.write_csv(rows.repartitionByRange(4, "date"), f"{landing}/{delivery}")
         q = daily_load.start(spark, f"{landing}/*", dim_region, dim_hospital, target, checkpoint,
-                             available_now=True, max_files_per_trigger=2)
+                             available_now=True, max_files_per_trigger=2, store=store)
         q.awaitTermination()
-    return daily_load.read_fact(spark, target)
+    return target, store, dim_region
+
+
+def q_stream_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after both deliveries."""
+    from starmart.streaming import daily_load
+
+    return daily_load.read_fact(spark, _streamed(spark, sf_dir)[0])
+
+
+def q_delta_state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-state mart from the partials that every batch of the stream kept up to date."""
+    from starmart.streaming import mart_store
+
+    _, store, dim_region = _streamed(spark, sf_dir, with_store=True)
+    return mart_store.state_totals(spark, store, dim_region)
+
+
+def q_delta_us_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The national mart from the same partials."""
+    from starmart.streaming import mart_store
+
+    return mart_store.us_totals(spark, _streamed(spark, sf_dir, with_store=True)[1])
+
+
+def q_delta_state_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart as the batches left it."""
+    from starmart.streaming import mart_store
+
+    return mart_store.state_daily(spark, _streamed(spark, sf_dir, with_store=True)[1])
 
 
 def _date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -536,6 +640,10 @@ REGISTRY: dict[str, QueryFn] = {
     "table_scan": q_table_scan,
     "schema_evolve": q_schema_evolve,
     "evolve_csv": q_evolve_csv,
+    "evolve_csv_files": q_evolve_csv_files,
+    "scan_feature_ranges": q_scan_feature_ranges,
+    "register_geojson": q_register_geojson,
+    "recrawl": q_recrawl,
     "register_csv": q_register_csv,
     "landing_path": q_landing_path,
     # projections
@@ -558,6 +666,7 @@ REGISTRY: dict[str, QueryFn] = {
     "first_per_group": q_first_per_group,
     "surrogate_key": q_surrogate_key,
     "surrogate_key_append": q_surrogate_key_append,
+    "surrogate_key_reserved": q_surrogate_key_reserved,
     "sort_multi": q_sort_multi,
     "line_key": q_line_key,
     "copy_key": q_copy_key,
@@ -574,6 +683,7 @@ REGISTRY: dict[str, QueryFn] = {
     "extract_csv": q_extract_csv,
     "extract_state_daily": q_extract_state_daily,
     "extract_us_totals": q_extract_us_totals,
+    "extract_manifest": q_extract_manifest,
     "create_tables": q_create_tables,
     "mart_views": _mart_view("state_totals"),
     "mart_view_us_totals": _mart_view("us_totals"),
@@ -581,4 +691,7 @@ REGISTRY: dict[str, QueryFn] = {
     "schema_ddl": q_schema_ddl,
     # streaming
     "stream_load_fact": q_stream_load_fact,
+    "delta_state_totals": q_delta_state_totals,
+    "delta_us_totals": q_delta_us_totals,
+    "delta_state_daily": q_delta_state_daily,
 }

@@ -56,13 +56,16 @@ def read_feeds(spark: SparkSession, paths: FeedPaths, partitions: int | None = N
 
 
 def register_feeds(spark: SparkSession, paths: FeedPaths, db: str) -> list[str]:
-    """The raw CSV feeds as external tables of ``db`` (metadata only)."""
+    """The raw feeds as external tables of ``db`` (metadata only); the hospital feed, which is
+    GeoJSON, also as the flat view ``raw_hospitals`` over its table."""
     catalog.create_database(spark, db)
     feeds = {"case_feed": paths.case_feed, "county_feed": paths.county_feed,
              "states_daily": paths.states_daily}
     if paths.state_abbreviations:
         feeds["state_abbreviations"] = paths.state_abbreviations
-    return catalog.register_tables(spark, db, feeds, fmt="csv", prefix="raw_")
+    names = catalog.register_tables(spark, db, feeds, fmt="csv", prefix="raw_")
+    return [*names, catalog.register_geojson(spark, db, "raw_hospitals", paths.hospitals,
+                                             multiline=paths.hospitals_multiline)]
 
 
 def build(feeds: Mapping[str, DataFrame], excluded_place: str | None = star.EXCLUDED_PLACE,

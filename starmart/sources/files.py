@@ -17,9 +17,12 @@ from __future__ import annotations
 import csv
 import io
 import re
+from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,52 +59,93 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return df.repartition(partitions) if partitions else df
 
 
-def _by_file(spark: SparkSession, path: str | list[str], line_sep: str | None = None) -> DataFrame:
-    """(``path``, ``value``): the records of text files, each file a partition of its own.
+_SMALL_FILE = 4 << 20
 
-    For functions that stop after a file's first records: what they leave is not read. The
-    session beside the caller's has the layout; the caller's settings stay as they are.
-    """
-    beside = spark.newSession()
-    one_file = str(1 << 40)   # no two files together, none in parts
-    for key, value in {"spark.sql.files.maxPartitionBytes": one_file,
-                       "spark.sql.files.openCostInBytes": one_file,
-                       "spark.sql.execution.arrow.maxRecordsPerBatch": "8"}.items():
-        beside.conf.set(key, value)
-    reader = beside.read.option("lineSep", line_sep) if line_sep else beside.read
-    return (reader.text(path).where("_metadata.file_block_start = 0")
-            .select(F.col("_metadata.file_path").alias("path"), "value"))
 
+def _beginnings(spark: SparkSession, path: str | list[str], answer: Callable, kind: str, name: str,
+                line_sep: str | None = None) -> DataFrame:
+    """(``path``, ``found``) of every text file: what ``answer(records, ended)`` makes of its first
+    records, as a tuple of one value, or ``None`` while it needs more of them.
 
-def _found_once(found: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """What was found about each file, written once and read by the caller's session."""
-    where = scratch_path(spark, name)
-    found.write.mode("overwrite").parquet(where)
-    return spark.read.schema(found.schema).parquet(where)
+    Files of under ``_SMALL_FILE`` bytes are read together, some megabytes to a task. Larger ones
+    are a task each, which stops with the answer: what it leaves is not read. Sessions beside the
+    caller's have these layouts; the caller's settings stay as they are. The answers are
+    written once and read back by the caller's session.
+    """
+    whole, where = str(1 << 40), scratch_path(spark, name)
+    layouts = [(f"_metadata.file_size < {_SMALL_FILE}", str(_SMALL_FILE), str(_SMALL_FILE // 64), "10000"),
+               (f"_metadata.file_size >= {_SMALL_FILE}", whole, whole, "8")]
+
+    def of(alone: bool):
+        def run(batches):
+            file, records = None, None          # records: None once the file's answer is there
+            out: list[tuple] = []
+
+            def result():
+                rows, out[:] = out[:], []
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], value_type)],
+                    ["path", "found"])
+
+            for batch in batches:
+                files, values = batch.column(0), batch.column(1)
+                n = batch.num_rows
+                turns = [0] if n else []
+                if n > 1:
+                    other = pc.not_equal(files.slice(1), files.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+                    turns += (np.flatnonzero(other) + 1).tolist()
+                for begin, end in zip(turns, [*turns[1:], n]):
+                    here = files[begin].as_py()
+                    if here != file:
+                        if records:
+                            out.append((file, *(answer(records, True) or (None,))))
+                        file, records = here, []
+                    for i in range(begin, end if records is not None else begin):
+                        records.append(values[i].as_py())
+                        known = answer(records, False)
+                        if known is not None:
+                            out.append((file, *known))
+                            records = None
+                            if alone:
+                                yield result()
+                                return
+                            break
+                if out:
+                    yield result()
+            if records:
+                last = answer(records, True)
+                if last is not None:
+                    out.append((file, *last))
+                    yield result()
+        return run
+
+    value_type = pa.list_(pa.string()) if kind.startswith("array") else pa.string()
+    for condition, part, cost, rows in layouts:
+        beside = spark.newSession()
+        for key, value in {"spark.sql.files.maxPartitionBytes": part, "spark.sql.files.openCostInBytes": cost,
+                           "spark.sql.files.minPartitionNum": "1",       # no file in parts
+                           "spark.sql.execution.arrow.maxRecordsPerBatch": rows}.items():
+            beside.conf.set(key, value)
+        reader = beside.read.option("lineSep", line_sep) if line_sep else beside.read
+        lines = (reader.text(path).where(condition)
+                 .select(F.col("_metadata.file_path").alias("path"), "value"))
+        (lines.mapInArrow(of(alone=part == whole), f"path string, found {kind}")
+              .where("path is not null").write.mode("append").parquet(where))
+    return spark.read.schema(f"path string, found {kind}").parquet(where)
 
 
 def csv_headers(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
-    """(``path``, ``header``: array of names) of every CSV file with a header line, from one job
-    that reads the beginning of each file on the executors."""
-
-    def header(batches):
-        lines: list[str] = []
-        for batch in batches:
-            for file, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                line = line if lines else line.removeprefix("\ufeff")
-                if not lines and not line.strip():
-                    continue
-                lines.append(line)
-                record = "\n".join(lines)
-                if multi_line and record.count('"') % 2:   # a name with a line end
-                    continue
-                names = next(csv.reader([record] if not multi_line else io.StringIO(record, newline="")))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([file]), pa.array([names], pa.list_(pa.string()))], ["path", "header"])
-                return
-
-    found = _by_file(spark, path).mapInArrow(header, "path string, header array<string>")
-    return _found_once(found, spark, "csv-headers")
+    """(``path``, ``header``: array of names) of every CSV file with a header line, found on the
+    executors from the beginnings of the files."""
+
+    def header(lines: list[str], ended: bool):
+        record = "\n".join(lines).removeprefix("\ufeff").lstrip("\n")
+        if not record.strip() or (multi_line and record.count('"') % 2 and not ended):
+            return None                          # an empty line, or a name with a line end
+        return (next(csv.reader(io.StringIO(record, newline="") if multi_line else [record])),)
+
+    found = _beginnings(spark, path, header, "array<string>", "csv-headers")
+    return found.where("found is not null").withColumnRenamed("found", "header")
 
 
 def read_csv_by_name(spark: SparkSession, path: str | list[str], wanted: T.StructType,
@@ -222,23 +266,14 @@ def feature_borders(spark: SparkSession, path: str | list[str]) -> DataFrame:
     file, ``{"type":"Feature"`` with that file's own spaces; empty for a file without features,
     NULL where the type is not a feature's first member. One job, reading the beginnings."""
 
-    def border(batches):
-        head = None
-        for batch in batches:
-            for file, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if head is None:
-                    head = (file, record)
-                    continue
-                opening = re.search(_OPENING, head[1])
-                found = opening.group() + _FEATURE if opening else None
-                yield pa.RecordBatch.from_arrays([pa.array([head[0]]), pa.array([found], pa.string())],
-                                                 ["path", "border"])
-                return
-        if head is not None:   # no feature in the file
-            yield pa.RecordBatch.from_arrays([pa.array([head[0]]), pa.array([""])], ["path", "border"])
-
-    found = _by_file(spark, path, line_sep=_FEATURE).mapInArrow(border, "path string, border string")
-    return _found_once(found, spark, "feature-borders")
+    def border(records: list[str], ended: bool):
+        if len(records) == 1:
+            return ("",) if ended else None      # the file holds one feature's opening, or none
+        opening = re.search(_OPENING, records[0])
+        return (opening.group() + _FEATURE if opening else None,)
+
+    found = _beginnings(spark, path, border, "string", "feature-borders", line_sep=_FEATURE)
+    return found.withColumnRenamed("found", "border")
 
 
 def _collection_features(spark: SparkSession, path: str | list[str], feature: T.StructType,
@@ -263,12 +298,16 @@ def _collection_features(spark: SparkSession, path: str | list[str], feature: T.
         records = spark.read.option("lineSep", kind).text(path).withColumn("path", F.col("_metadata.file_path"))
         if len(kinds) > 1:
             records = records.join(borders.where(F.col("border") == kind).select("path"), "path", "left_semi")
-        # what precedes a file's first feature opens the document; a feature goes on with a comma or ends
-        body = records.where(~F.col("value").rlike("^(\\uFEFF)?\\s*\\{"))
+        # What precedes a file's first feature opens the document; a feature goes on with a comma
+        # or ends. The opening has no text to parse: filters may be evaluated in any order.
+        opening = F.col("value").rlike("^(\\uFEFF)?\\s*\\{")
         other = F.col("value").rlike(r'\{\s*"type"\s*:\s*"Feature"')
-        text = F.when(other, F.raise_error(F.concat(F.lit("features in several spellings in "), F.col("path"))
-                                           ).cast("string")).otherwise(F.concat(F.lit(kind), "value"))
-        parts.append(body.select(F.from_json(text, feature, {"mode": mode}).alias("f")).select("f.*"))
+        text = (F.when(opening, F.lit(None).cast("string"))
+                .when(other, F.raise_error(F.concat(F.lit("features in several spellings in "), F.col("path")))
+                      .cast("string"))
+                .otherwise(F.concat(F.lit(kind), "value")))
+        parts.append(records.where(~opening).select(F.from_json(text, feature, {"mode": mode}).alias("f"))
+                     .select("f.*"))
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], feature)
 
 

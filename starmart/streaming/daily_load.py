@@ -22,7 +22,6 @@ memory across batches; the table itself is the state.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,14 +32,11 @@ from starmart.plans import star
 from starmart.schemas import FACT_COVID, STATES_DAILY
 from starmart.session import delete_path, path_exists, scratch_scope, write_once
 from starmart.sources.files import CSV_DIALECT
+from starmart.streaming import mart_store
 
 _SOURCE, _LANDED = "__sm_source", "__sm_landed"
 _PK = list(FACT_COVID.primary_key)
-_MONTH = "load_month"  # yyyymm partition column: a batch of daily files touches few months
-
-
-def _month_of(date_col: str):
-    return (F.col(date_col) / 100).cast("int")
+_MONTH = mart_store.MONTH  # partition column: a batch of daily files touches few months
 
 
 def _latest_per_key(raw: DataFrame) -> DataFrame:
@@ -59,10 +55,7 @@ def _latest_per_key(raw: DataFrame) -> DataFrame:
 
 
 def _read_existing(spark: SparkSession, target: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(target)
-    except AnalysisException:  # nothing loaded yet
-        return None
+    return spark.read.parquet(target) if path_exists(spark, target) else None  # else nothing is loaded yet
 
 
 def _stage(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame, target: str,
@@ -70,7 +63,7 @@ def _stage(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame, tar
     """Write the whole new contents of the months that the batch touches."""
     spark = batch.sparkSession
     new_rows = star.covid_fact(_latest_per_key(batch), dim_region, dim_hospital)
-    new_rows = write_once(new_rows.withColumn(_MONTH, _month_of("date")), "daily-load-batch")
+    new_rows = write_once(new_rows.withColumn(_MONTH, mart_store.month_of("date")), "daily-load-batch")
     # The months one batch touches: a short list (a backfill of decades is ~1,200), used as
     # a literal filter so only those partitions of the table are read (static pruning).
     months = sorted(r[0] for r in new_rows.select(_MONTH).distinct().collect())
@@ -84,10 +77,13 @@ def _stage(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame, tar
 
 
 def merge_batch(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame,
-                target: str, staging: str) -> None:
+                target: str, staging: str, store: str | None = None,
+                regions: DataFrame | None = None) -> None:
     """Conform one batch of raw daily rows and merge it into the fact table at ``target``.
 
     ``staging`` names the batch: a complete one left by a failed attempt is used as it is.
+    With a ``store`` the marts kept there (``mart_store``) follow, for the batch's months; they
+    need the whole region dimension, ``regions``, where ``dim_region`` is only its first keys.
     """
     spark = batch.sparkSession
     if not path_exists(spark, f"{staging}/_SUCCESS"):
@@ -96,16 +92,19 @@ def merge_batch(batch: DataFrame, dim_region: DataFrame, dim_hospital: DataFrame
         with scratch_scope(spark):
             _stage(batch, dim_region, dim_hospital, target, staging)
     # One file per month partition (a month holds states x days rows of the daily grain).
-    (spark.read.parquet(staging).select(*FACT_COVID.names, _MONTH).repartition(_MONTH)
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(_MONTH).parquet(target))
+    months = spark.read.parquet(staging).select(*FACT_COVID.names, _MONTH)
+    (months.repartition(_MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(_MONTH).parquet(target))
+    if store is not None:  # from the staging still: a replayed batch refreshes the same months
+        mart_store.refresh(months, dim_region if regions is None else regions, store)
     delete_path(spark, staging)
 
 
 def start(spark: SparkSession, landing_dir: str, dim_region: DataFrame, dim_hospital: DataFrame,
           target: str, checkpoint: str, available_now: bool = True,
-          max_files_per_trigger: int | None = None):
-    """Start the load; returns the ``StreamingQuery``.
+          max_files_per_trigger: int | None = None, store: str | None = None):
+    """Start the load; returns the ``StreamingQuery``. With a ``store`` the marts kept there are
+    brought up to date by every batch.
 
     ``available_now=True`` processes everything landed so far and stops (scheduled
     runs); otherwise the query keeps polling the landing folder.
@@ -113,6 +112,8 @@ def start(spark: SparkSession, landing_dir: str, dim_region: DataFrame, dim_hosp
     schema = T.StructType(list(STATES_DAILY.fields))
     region = write_once(first_per_group(dim_region, "state_fips", "region_sk"), "daily-load-region")
     hospital = write_once(first_per_group(dim_hospital, "state_fips", "hosp_sk"), "daily-load-hospital")
+    regions = (write_once(dim_region.select("region_sk", "state", "latitude", "longitude"), "daily-load-regions")
+               if store is not None else None)
     reader = (spark.readStream.schema(schema).options(**CSV_DIALECT).option("header", True)
               .option("enforceSchema", False).option("mode", "FAILFAST"))
     if max_files_per_trigger:
@@ -122,7 +123,8 @@ def start(spark: SparkSession, landing_dir: str, dim_region: DataFrame, dim_hosp
         F.col("_metadata.file_modification_time").alias(_LANDED))
     staged = checkpoint.rstrip("/") + "-staging"
     writer = (stream.writeStream
-              .foreachBatch(lambda df, epoch: merge_batch(df, region, hospital, target, f"{staged}/{epoch}"))
+              .foreachBatch(lambda df, epoch: merge_batch(df, region, hospital, target, f"{staged}/{epoch}",
+                                                          store, regions))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

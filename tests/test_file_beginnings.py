@@ -99,6 +99,17 @@ def test_jobs_do_not_grow_with_the_files(spark):
     assert counts[0] == counts[1]
 
 
+def test_large_files_are_left_after_their_answer(spark, monkeypatch):
+    """Small and large files alike; of a large one the first records only."""
+    monkeypatch.setattr(files, "_SMALL_FILE", 2000)
+    path = _folder(spark, "t_sizes")
+    for i in range(9):
+        _put(f"{path}/{i}.csv", ("a,b\n" if i % 3 else "b,a\n") + "1,2\n" * (10 if i < 6 else 200_000))
+    heads = {r.path[-5:]: r.header for r in files.csv_headers(spark, path).collect()}
+    assert heads == {f"{i}.csv": ["a", "b"] if i % 3 else ["b", "a"] for i in range(9)}
+    assert files.read_csv_by_name(spark, path, WANTED).count() == 600_060
+
+
 PROPS = T.StructType([T.StructField("n", T.LongType()), T.StructField("s", T.StringType())])
 
 
