@@ -1,10 +1,14 @@
 """Union-find grouping of links, spread over the cluster.
 
-Each round first runs union-find inside every partition of the links, which leaves a
-forest of at most one link per document and partition, then hooks every document to the
-least label among its neighbours and follows labels of labels. A third of all documents in
-one group is harmless: its links collapse to one per document, and a label update is a
-minimum with partial aggregation. Rounds grow with the logarithm of the longest chain.
+Union-find runs inside every partition of the links first, which leaves a forest of at most
+one link per document and partition. Then, round by round, each document's label falls to the
+least label among its neighbours, to its label's own label, and to the least label that any
+document of the same label has next to it: that hooks whole trees at their root, not single
+documents, so trees double as they meet, whatever the order of the ids along a chain. Labels
+only fall, so it ends; a round that moves no label has found the least id of every group.
+
+A third of all documents in one group is harmless: its links collapse to one per document, and
+a label update is a minimum with partial aggregation.
 """
 
 from __future__ import annotations
@@ -41,7 +45,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], ["a", "b"])
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(``id``, ``component``: least id reachable) of the ids in ``links`` (``a``, ``b`` long)."""
     pairs = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
     edges = written(map_in_arrow(pairs, _forest, "a long, b long"), "links")
@@ -49,16 +53,16 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     labels = written(both.groupBy("a").agg(F.min("b").alias("m"))
                      .select(F.col("a").alias("id"), F.least("a", "m").alias("component")),
                      "labels")
-    for _ in range(max_rounds):
-        # least label among the neighbours, and of the own label's holder
+    while True:
         near = (both.join(labels.select(F.col("id").alias("b"), "component"), "b")
                 .groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near")))
+        seen = written(labels.join(near, "id"), "labels-near")
+        # what a label's documents see, for the label itself
+        hook = seen.groupBy(F.col("component").alias("id")).agg(F.min("near").alias("hook"))
         hop = labels.select(F.col("id").alias("component"), F.col("component").alias("up"))
-        step = written(labels.join(near, "id", "left").join(hop, "component", "left")
-                       .select("id", F.least("component", "near", "up").alias("component"),
+        step = written(seen.join(hook, "id", "left").join(hop, "component", "left")
+                       .select("id", F.least("component", "near", "hook", "up").alias("component"),
                                F.col("component").alias("was")), "labels")
-        moved = step.where("component <> was").limit(1).count()
         labels = step.select("id", "component")
-        if not moved:
+        if step.where("component <> was").isEmpty():
             return labels
-    raise RuntimeError("grouping did not settle")
