@@ -30,8 +30,9 @@ Each round's tables are written to the shared folder.
 
 Null or empty texts have no shingles, no links and are their own group. A text of fewer
 words than a shingle has its whole word sequence as its only shingle. Rows that repeat an
-id count as several documents of that id (they get the group of the id). Rows without
-an id come back ungrouped and kept. Extra columns are ignored.
+id count as several documents of that id: sets are searched and compared one by one, under a
+number of their own, and only links are told by id (all rows get the group of the id). Rows
+without an id come back ungrouped and kept. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -112,7 +113,7 @@ def _signatures(n: int, places: int, bands: int, rows: int):
 
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in slices(batch):
-            sets = shingle_sets(part.column(1), n)
+            sets = shingle_sets(part.column("text"), n)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             salt = stream(31, 1)[0]
             k1 = np.array([np.bitwise_xor.reduce(mix(s)) if len(s) else 0 for s in sets], np.uint64)
@@ -131,8 +132,8 @@ def _signatures(n: int, places: int, bands: int, rows: int):
                         keys[i] = key
                 at = to
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes), pa.array(k1.view(np.int64)),
-                 pa.array(k2.view(np.int64)), _lists(keys)], ["id", "n", "k1", "k2", "bands"])
+                [part.column("doc"), part.column("key"), pa.array(sizes), pa.array(k1.view(np.int64)),
+                 pa.array(k2.view(np.int64)), _lists(keys)], ["doc", "key", "n", "k1", "k2", "bands"])
 
     return of
 
@@ -141,7 +142,7 @@ def _sets(n: int):
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in slices(batch):
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), _lists(shingle_sets(part.column(1), n))], ["id", "items"])
+                [part.column("id"), _lists(shingle_sets(part.column("text"), n))], ["id", "items"])
 
     return of
 
@@ -150,31 +151,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     shingle: int = 5, percent: int = 80, places: int = PLACES,
                     bands: int = BANDS, rows: int = ROWS, hub_rounds: int = 2) -> DataFrame:
     """(``doc_id``, ``n_shingles``, ``component_id``, ``kept``) for each row of ``docs``."""
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"),
+                         F.xxhash64(F.col(text_col)).alias("key"))
     base = written(arrow_map(source, _signatures(shingle, places, bands, rows),
-                             "id long, n long, k1 long, k2 long, bands array<long>"), "signatures")
-
-    # classes of equal sets; the least id of each goes on
-    classes = (base.where("n > 0 and id is not null").groupBy("k1", "k2", "n")
-               .agg(F.min("id").alias("class")))
-    member = written(base.select("id", "n", "k1", "k2").join(classes, ["k1", "k2", "n"], "left")
-                     .select("id", "n", F.coalesce("class", "id").alias("class"))
-                     .distinct(), "classes")
-    reps = member.where("n > 0 and id = class").select("id", "n").dropDuplicates(["id", "n"])
-    keys = (base.select("id", "n", "bands").join(reps, ["id", "n"])
-            .select("id", "n", F.explode("bands").alias("key")))
+                             "doc long, key long, n long, k1 long, k2 long, bands array<long>"), "signatures")
+
+    # Classes of equal sets. A class goes on as one set, under a number made of the set itself and
+    # with the text of one of its documents of least id.
+    number = F.shiftrightunsigned(F.xxhash64("k1", "k2", "n"), 1)
+    classes = written(base.where("n > 0 and doc is not null").groupBy("k1", "k2", "n")
+                      .agg(F.min("doc").alias("doc")).withColumn("id", number), "classes")
+    members = (base.select("doc", "n", "k1", "k2")
+               .join(classes.select("k1", "k2", "n", F.col("doc").alias("class")), ["k1", "k2", "n"]))
+    copies = members.where("doc <> class").select(F.col("doc").alias("a"), F.col("class").alias("b")).distinct()
+    chosen = written(base.select("doc", "key", "n", "k1", "k2", "bands").join(classes, ["k1", "k2", "n", "doc"])
+                     .dropDuplicates(["id"]).select("id", "doc", "key", "n", "bands"), "chosen")
+    keys = chosen.select("id", "n", F.explode("bands").alias("key"))
     shared = (keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
-    crowd = written(keys.join(shared, "key").select("key", "id", "n", "size").distinct(), "buckets")
+    crowd = written(keys.join(shared, "key").select("key", "id", "n", "size"), "buckets")
     score = crowd.groupBy("id").agg(F.sum("size").alias("score"))
     crowd = written(crowd.join(score, "id").select("key", "id", "n", "score"), "buckets-scored")
 
-    wanted = crowd.select("id").distinct()
-    sets = written(arrow_map(source.join(wanted, "id"), _sets(shingle),
-                             "id long, items array<long>"), "shingle-sets")
+    wanted = chosen.select("id", "doc", "key").join(crowd.select("id").distinct(), "id", "left_semi")
+    texts = source.join(wanted, ["doc", "key"]).dropDuplicates(["doc", "key"])
+    sets = written(arrow_map(texts.select("id", "text"), _sets(shingle), "id long, items array<long>"),
+                   "shingle-sets")
     linked = _link(crowd, sets, percent, hub_rounds)
-    copies = member.where("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b"))
-    groups = components(linked.select("a", "b").unionByName(copies))
-    grouped = base.select("id", "n").join(groups, "id", "left")
+    named = classes.select("id", F.col("doc").alias("class"))
+    links = (linked.join(named.withColumnRenamed("id", "a").withColumnRenamed("class", "da"), "a")
+             .join(named.withColumnRenamed("id", "b").withColumnRenamed("class", "db"), "b")
+             .select(F.col("da").alias("a"), F.col("db").alias("b")))
+    groups = components(links.unionByName(copies))
+    grouped = base.select(F.col("doc").alias("id"), "n").join(groups, "id", "left")
     return grouped.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                           F.coalesce("component", "id").alias("component_id"),
                           F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True))
@@ -234,8 +242,9 @@ def _share_rare(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (``a``, ``b``) of documents of different groups that share a rare shingle."""
     items = written(sets.join(left, "id").select("id", "n", "grp", F.explode("items").alias("t")),
                     "left-over-shingles")
-    often = items.groupBy("t").agg(F.count(F.lit(1)).alias("df"), F.min("grp").alias("lo"),
-                                   F.max("grp").alias("hi"))
+    # one row a shingle, written: the join that follows can split a common shingle's rows
+    often = written(items.groupBy("t").agg(F.count(F.lit(1)).alias("df"), F.min("grp").alias("lo"),
+                                           F.max("grp").alias("hi")), "left-over-often")
     order = F.array_sort(F.collect_list(F.struct("df", "t", "mixed")))
     first = F.expr(f"int(n - (n * {percent} + 99) div 100 + 1)")
     rare = written(items.join(often.select("t", "df", (F.col("lo") < F.col("hi")).alias("mixed")), "t")
@@ -245,10 +254,11 @@ def _share_rare(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # of each shingle's holders those outside its largest group meet all the others
     by_group = rare.groupBy("t", "grp").agg(F.count(F.lit(1)).alias("held"))
     largest = by_group.groupBy("t").agg(F.max(F.struct("held", "grp")).alias("top"), F.count(F.lit(1)).alias("g"))
-    largest = largest.where("g > 1").select("t", F.col("top.grp").alias("top"))
-    minor = (rare.join(largest, "t").where("grp <> top")
-             .select("t", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("at").alias("other_at"),
-                     F.col("grp").alias("other_grp"), "top"))
+    largest = written(largest.where("g > 1").select("t", F.col("top.grp").alias("top")), "left-over-largest")
+    minor = written(rare.join(largest, "t").where("grp <> top")
+                    .select("t", F.col("id").alias("other"), F.col("n").alias("other_n"),
+                            F.col("at").alias("other_at"), F.col("grp").alias("other_grp"), "top"),
+                    "left-over-minor")
     # two documents outside the largest group meet once, in order of id
     meet = F.expr("grp <> other_grp and (grp = top or id < other)")
     enough = F.expr(f"{100 + percent} * least(n - at, other_n - other_at) >= {percent} * (n + other_n)")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from llm_cases import corpus, empty, fold, frame, sentence, words
+from starmart.llm import components as components_module
 from starmart.llm import minhash
 from starmart.llm.components import components
 
@@ -112,3 +113,65 @@ def test_components_of_long_chains(spark):
            components(spark.createDataFrame(links, "a long, b long").repartition(8)).collect()}
     assert got == {**{i: 0 for i in ids}, 1000: 1000, 1001: 1000, 1002: 1000}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def _chain(order, spark, partitions=200):
+    """Components of the path through ``order``, one or a few links a partition; (labels, rounds)."""
+    links = list(zip(order, order[1:]))
+    df = spark.createDataFrame(links, "a long, b long").repartition(partitions)
+    rounds = []
+    plain = components_module.written
+
+    def counted(frame, name):
+        rounds.append(name)
+        return plain(frame, name)
+
+    components_module.written = counted
+    try:
+        got = {r.id: r.component for r in components(df).collect()}
+    finally:
+        components_module.written = plain
+    return got, rounds.count("labels") - 1
+
+
+def _two_ended(n):
+    """1, n, n-1, ..., 2: labels that fall along the chain one step at a time."""
+    return [1, *range(n, 1, -1)]
+
+
+def _zigzag(n):
+    low, high = list(range(n // 2)), list(range(n // 2, n))
+    return [x for pair in zip(low, high[::-1]) for x in pair]
+
+
+@pytest.mark.parametrize("order", ["two_ended", "sorted", "zigzag", "random"])
+def test_components_of_long_chains_in_any_order(spark, order):
+    n = 1000
+    ids = {"two_ended": _two_ended(n), "sorted": list(range(1, n + 1)), "zigzag": [x + 1 for x in _zigzag(n)],
+           "random": random.Random(3).sample(range(1, n + 1), n)}[order]
+    got, rounds = _chain(ids, spark)
+    assert got == {i: 1 for i in range(1, n + 1)}
+    assert rounds <= 2 * 10 + 2                              # 2 log2 n, and the round that moves nothing
+
+
+@pytest.mark.parametrize("hub_rounds", [0, 2])
+def test_repeated_ids_with_different_texts(spark, hub_rounds):
+    """Rows that repeat an id are documents of their own; links are told by id."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(28):
+        base = sentence(rng, 60, 500).split()
+        for _ in range(4):
+            w = list(base)
+            for _ in range(rng.randrange(0, 8)):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(9000)}"
+            rows.append((rng.randrange(40), " ".join(w)))
+    rows += [rows[0], rows[5], (None, rows[3][1])]
+    got = minhash.near_duplicates(frame(spark, rows), shingle=2, hub_rounds=hub_rounds).collect()
+    want = brute(rows, 2)
+    # the rows of one id are one group
+    parent = {}
+    for d, c in want.items():
+        parent[d] = c
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == parent
