@@ -83,20 +83,42 @@ _RULES = {
     "shouts": "1000 * n_shouts // greatest(n_words, 1)",
     "word_length": "1000 * word_chars // greatest(n_words, 1)",
 }
-_FACTORS = {"symbols": 100, "dup_lines": 500, "repeats": 60, "capitals": 8, "shouts": 300, "word_length": 2.5}
+# rule -> (least room over the high quantile, room as a multiple of it, greatest rate)
+_ROOMS = {"symbols": (99, None, None), "dup_lines": (499, None, 1000), "repeats": (59, None, 1000),
+          "capitals": (None, 7, 1000), "shouts": (299, None, None), "word_length": (None, 1.5, None)}
 
 
-def _level(name: str, keys: str, least: str) -> str:
+def _blend(name: str, keys: str, above: str, parent: str) -> str:
+    """Sketch ``name`` of the groups ``keys``: their own counts, and their parent's as 100 documents."""
     group = f"{keys}, rule" if keys else "rule"
+    own = f"SELECT {group}, bucket, CAST(count(*) AS DOUBLE) AS w FROM rates WHERE n_words > 0 GROUP BY {group}, bucket"
+    if parent:
+        same = " AND ".join(f"c.{k} IS NOT DISTINCT FROM p.{k}" for k in [*filter(None, above.split(", ")), "rule"])
+        listed = ", ".join(f"c.{k}" for k in group.split(", "))
+        own = f"""SELECT {group}, bucket, sum(w) AS w FROM (
+    {own}
+    UNION ALL
+    SELECT {listed}, p.bucket, 100.0 * p.w / p.total
+    FROM (SELECT DISTINCT {group} FROM rates WHERE n_words > 0) c JOIN {parent} p ON {same})
+  GROUP BY {group}, bucket"""
     return f"""
-{name}_counts AS (SELECT {group}, bucket, count(*) AS n FROM rates WHERE n_words > 0 GROUP BY {group}, bucket),
-{name}_run AS (
-  SELECT *, sum(n) OVER (PARTITION BY {group} ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {group}) AS total
-  FROM {name}_counts),
+{name}_w AS ({own}),
 {name} AS (
-  SELECT {group}, min(bucket) FILTER (WHERE upto >= 0.7 * total) AS hi,
-         min(bucket) FILTER (WHERE upto >= 0.3 * total) AS lo
-  FROM {name}_run GROUP BY {group} HAVING max(total) >= {least})"""
+  SELECT *, max(upto) OVER (PARTITION BY {group}) AS total,
+         coalesce(max(w) FILTER (WHERE bucket = 0) OVER (PARTITION BY {group}), 0) AS zero
+  FROM (SELECT *, sum(w) OVER (PARTITION BY {group} ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS upto
+        FROM {name}_w))"""
+
+
+def _bad(rule: str) -> str:
+    fixed, part, most = _ROOMS[rule]
+    high = "exp((hi + 1) / 50.0)"
+    room = (f"{part} * {high}" if part else
+            f"greatest({fixed} * exp(0.02), 5 * ({high} - exp(lo / 50.0)), coalesce(0.5 * exp(nz / 50.0) - {high}, 0))")
+    if most:
+        room = f"least({room}, 0.51 * ({most + 1} - {high}))"
+    low = " OR rate + 1 < exp(lo / 50.0) / 2.5" if rule == "word_length" else ""
+    return f"WHEN '{rule}' THEN rate + 1 > {high} + {room}{low}"
 
 
 QUALITY_RULES = f"""
@@ -126,23 +148,19 @@ rates AS (
   SELECT *, CAST(floor(ln(rate + 1) * 50) AS BIGINT) AS bucket FROM (
     {" UNION ALL ".join(f"SELECT doc_id, lang, source, n_words, '{r}' AS rule, {e} AS rate FROM measures"
                         for r, e in _RULES.items())})),
-{_level("by_source", "lang, source", "300")},
-{_level("by_lang", "lang", "300")},
-{_level("by_all", "", "0")},
+{_blend("by_all", "", "", "")},
+{_blend("by_lang", "lang", "", "by_all")},
+{_blend("by_source", "lang, source", "lang", "by_lang")},
 limits AS (
-  SELECT r.doc_id, r.rule, r.rate,
-         CASE WHEN s.rule IS NOT NULL THEN s.hi WHEN l.rule IS NOT NULL THEN l.hi ELSE a.hi END AS hi,
-         CASE WHEN s.rule IS NOT NULL THEN s.lo WHEN l.rule IS NOT NULL THEN l.lo ELSE a.lo END AS lo
-  FROM rates r
-  LEFT JOIN by_source s ON r.lang IS NOT DISTINCT FROM s.lang AND r.source IS NOT DISTINCT FROM s.source
-       AND r.rule = s.rule
-  LEFT JOIN by_lang l ON r.lang IS NOT DISTINCT FROM l.lang AND r.rule = l.rule
-  LEFT JOIN by_all a ON r.rule = a.rule),
+  SELECT lang, source, rule, min(bucket) FILTER (WHERE upto >= 0.7 * total - 1e-9 * total) AS hi,
+         min(bucket) FILTER (WHERE upto >= 0.3 * total - 1e-9 * total) AS lo,
+         min(bucket) FILTER (WHERE bucket > 0 AND total - zero > 1e-9 * total
+                             AND upto - zero >= 0.1 * (total - zero) - 1e-9 * total) AS nz
+  FROM by_source GROUP BY lang, source, rule),
 failed AS (
-  SELECT doc_id, rule, (rate + 1 > exp((hi + 1) / 50.0) * CASE rule
-           {" ".join(f"WHEN '{r}' THEN {f}" for r, f in _FACTORS.items())} END)
-         OR (rule = 'word_length' AND rate + 1 < exp(lo / 50.0) / 2.5) AS bad
-  FROM limits),
+  SELECT doc_id, r.rule, CASE r.rule {" ".join(_bad(r) for r in _RULES)} END AS bad
+  FROM rates r LEFT JOIN limits s ON r.lang IS NOT DISTINCT FROM s.lang AND r.source IS NOT DISTINCT FROM s.source
+       AND r.rule = s.rule),
 verdicts AS (
   SELECT doc_id, {", ".join(f"max(CAST(rule = '{r}' AND bad AS INTEGER)) AS f_{r}" for r in _RULES)}
   FROM failed GROUP BY doc_id),

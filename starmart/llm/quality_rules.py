@@ -12,10 +12,16 @@ on every run.
 source without moving the limit to itself, and what is usual for a source passes there.
 The room above the quantile is ``SPREAD`` times the distance from the 30 % to the 70 % quantile,
 with a least room for a rate that is usually nought or always the same; of capitals and
-word length, which are never usually nought, it is a multiple of the quantile. Of a rate with a greatest value the room is at most ``REACH`` of
-what is left up to it, so a rule can fire in every source. Word length also has a lower
-limit, from the 30 % quantile. Groups of fewer than ``MIN_GROUP`` documents
-merge their sketches up to their language, then to the whole corpus.
+word length, which are never usually nought, it is a multiple of the quantile. A rate that is
+usually nought says nothing by its quantiles; there the limit is at least half the 10 % quantile
+of the rates that are not nought: what the source has of it at all, it has in that measure. Of a
+rate with a greatest value the room is at most ``REACH`` of what is left up to it, so a rule can
+fire in every source. Word length also has a lower limit, from the 30 % quantile.
+
+*Small groups.* A group's sketch has its language's added to it, with the weight of ``PRIOR``
+documents, and a language's the whole corpus's in the same way. A group of few documents so takes
+its language's limits, one of many its own, and in between they move with every document:
+there is no size at which they switch.
 
 *Filtering.* Documents are joined with the limits of their group. Fixed base rules come
 first: fewer than 50 words, or over half the words in repeated windows.
@@ -37,9 +43,10 @@ from pyspark.sql import functions as F
 
 from starmart.llm.tables import bind, words_array, written
 
-MIN_GROUP = 300
+PRIOR = 100.0
 SCALE = 50
-HIGH, LOW = 0.7, 0.3
+HIGH, LOW, RARE = 0.7, 0.3, 0.1
+_NEAR = 1e-9   # sums of weights may differ by rounding
 SPREAD, REACH = 5.0, 0.51
 # rule -> (numerator, denominator, least room over the high quantile in least buckets, or room as
 # a multiple of that quantile, greatest rate, factor under the low quantile)
@@ -111,44 +118,57 @@ def sketches(measured: DataFrame, groups: list[str]) -> DataFrame:
             .groupBy(*groups, "r.rule", "r.bucket").agg(F.count(F.lit(1)).alias("n")))
 
 
-def limits(sketch: DataFrame, groups: list[str], min_group: int = MIN_GROUP) -> DataFrame:
-    """Bucket limits (``hi``, ``lo``) of every group and rule, merged upwards where small."""
-    result = None
-    keyed = sketch.select(*groups).distinct()
-    for depth in range(len(groups), -1, -1):
-        level = groups[:depth]
-        merged = sketch.groupBy(*level, "rule", "bucket").agg(F.sum("n").alias("n"))
-        run = Window.partitionBy(*level, "rule").orderBy("bucket")
-        ranked = merged.select("*", F.sum("n").over(run).alias("upto"),
-                               F.sum("n").over(Window.partitionBy(*level, "rule")).alias("total"))
-        at = ranked.groupBy(*level, "rule").agg(
-            F.min(F.when(F.col("upto") >= HIGH * F.col("total"), F.col("bucket"))).alias("hi"),
-            F.min(F.when(F.col("upto") >= LOW * F.col("total"), F.col("bucket"))).alias("lo"),
-            F.max("total").alias("total"))
-        if depth and min_group:
-            at = at.where(F.col("total") >= min_group)
-        at = at.select(*level, "rule", F.struct("hi", "lo").alias(f"at{depth}"))
-        if result is None:
-            result = keyed.select(*groups, F.explode(F.array(*map(F.lit, RULES))).alias("rule"))
-        same = [F.expr(f"a.{g} <=> b.{g}") for g in [*level, "rule"]]
-        joined = result.alias("a").join(at.alias("b"), same, "left")
-        result = joined.select("a.*", f"b.at{depth}")
-    best = F.coalesce(*[f"at{d}" for d in range(len(groups), -1, -1)])
-    return result.select(*groups, "rule", best["hi"].alias("hi"), best["lo"].alias("lo"))
+def _running(weighted: DataFrame, level: list[str]) -> DataFrame:
+    """Weights up to each bucket and in all, for each group and rule."""
+    run = Window.partitionBy(*level, "rule").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    upto = weighted.select(*level, "rule", "bucket", "w", F.sum("w").over(run).alias("upto"))
+    return upto.withColumn("total", F.max("upto").over(Window.partitionBy(*level, "rule")))
+
+
+def blended(sketch: DataFrame, groups: list[str], prior: float = PRIOR) -> DataFrame:
+    """The sketch of every group with its parents' added, as running weights."""
+    counts = sketch.groupBy("rule", "bucket").agg(F.sum("n").cast("double").alias("w"))
+    ranked = _running(counts, [])
+    for depth in range(1, len(groups) + 1):
+        level, above = groups[:depth], groups[:depth - 1]
+        own = sketch.groupBy(*level, "rule", "bucket").agg(F.sum("n").cast("double").alias("w"))
+        same = [F.expr(f"c.{k} <=> p.{k}") for k in [*above, "rule"]]
+        given = (own.select(*level, "rule").distinct().alias("c").join(ranked.alias("p"), same)
+                 .select("c.*", "p.bucket", (F.lit(prior) * F.col("p.w") / F.col("p.total")).alias("w")))
+        ranked = _running(own.unionByName(given).groupBy(*level, "rule", "bucket").agg(F.sum("w").alias("w")), level)
+    return ranked
+
+
+def limits(sketch: DataFrame, groups: list[str], prior: float = PRIOR) -> DataFrame:
+    """Bucket limits of every group and rule: ``hi``, ``lo``, and ``nz`` of the rates above nought."""
+    ranked = blended(sketch, groups, prior)
+    nought = F.max(F.when(F.col("bucket") == 0, F.col("w"))).over(Window.partitionBy(*groups, "rule"))
+    ranked = ranked.withColumn("zero", F.coalesce(nought, F.lit(0.0)))
+    room = _NEAR * F.col("total")
+
+    def first(part: float, upto: Column, total: Column, where: Column) -> Column:
+        return F.min(F.when(where & (upto >= part * total - room), F.col("bucket")))
+
+    upto, total = F.col("upto"), F.col("total")
+    above, above_total = upto - F.col("zero"), total - F.col("zero")
+    some = (F.col("bucket") > 0) & (above_total > room)
+    return ranked.groupBy(*groups, "rule").agg(
+        first(HIGH, upto, total, F.lit(True)).alias("hi"), first(LOW, upto, total, F.lit(True)).alias("lo"),
+        first(RARE, above, above_total, some).alias("nz"))
 
 
 def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 groups: tuple[str, ...] = ("lang", "source"),
-                min_group: int = MIN_GROUP) -> DataFrame:
+                prior: float = PRIOR) -> DataFrame:
     """Id, measures, ``base_failed``, ``failed_rules`` and ``kept`` of every row."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                         *[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)])
     keys = [f"g{i}" for i in range(len(groups))]
     base = written(measures(named, keep=("doc_id", *keys)), "quality-measures")
-    cut = limits(written(sketches(base, keys), "quality-sketches"), keys, min_group)
+    cut = limits(written(sketches(base, keys), "quality-sketches"), keys, prior)
     wide = cut.groupBy(*keys).agg(*[
         F.max(F.when(F.col("rule") == r, F.col(side))).alias(f"{r}_{side}")
-        for r in RULES for side in ("hi", "lo")])
+        for r in RULES for side in ("hi", "lo", "nz")])
     same = [F.expr(f"d.{k} <=> t.{k}") for k in keys]
     both = base.alias("d").join(wide.alias("t"), same, "left")
     failed = F.array_compact(F.array(*[F.when(_fails(r), F.lit(r)) for r in RULES]))
@@ -162,7 +182,8 @@ def _fails(rule: str) -> Column:
     fixed, part, most, under = RULES[rule][2:]
     value = _rate(rule) + 1
     high, low = F.exp((F.col(f"{rule}_hi") + 1) / SCALE), F.exp(F.col(f"{rule}_lo") / SCALE)
-    room = part * high if part else F.greatest(F.lit(fixed * math.exp(1 / SCALE)), SPREAD * (high - low))
+    seldom = F.coalesce(0.5 * F.exp(F.col(f"{rule}_nz") / SCALE) - high, F.lit(0.0))
+    room = part * high if part else F.greatest(F.lit(fixed * math.exp(1 / SCALE)), SPREAD * (high - low), seldom)
     if most:
         room = F.least(room, REACH * (most + 1 - high))
     bad = value > high + room

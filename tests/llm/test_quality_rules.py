@@ -45,7 +45,7 @@ def test_limits_adapt_to_the_group(spark):
         rows.append((200 + i, sentence(rng, 80), None, None))
     for i in range(20):
         rows.append((300 + i, sentence(rng, 80) + " # * $ % &" * 12, "en", "plain"))
-    got = {r.doc_id: r for r in Q.apply_rules(frame(spark, rows), min_group=30).collect()}
+    got = {r.doc_id: r for r in Q.apply_rules(frame(spark, rows), prior=5).collect()}
     assert all(got[i].kept for i in range(60)) and all(got[200 + i].kept for i in range(60))
     assert all(got[100 + i].kept for i in range(60))
     assert all("symbols" in got[300 + i].failed_rules and not got[300 + i].kept for i in range(20))
@@ -63,9 +63,57 @@ def test_sketches_merge_and_bound_their_error(spark):
     whole = Q.sketches(m, ["g0"])
     parts = Q.sketches(m, ["g0", "g1"]).groupBy("g0", "rule", "bucket").agg(F.sum("n").alias("n"))
     assert whole.exceptAll(parts).isEmpty() and parts.exceptAll(whole).isEmpty()
-    # a group below the least size takes the limits of its language, then of all
-    small = {(r.g0, r.g1, r.rule): (r.hi, r.lo) for r in Q.limits(Q.sketches(m, ["g0", "g1"]), ["g0", "g1"], 40).collect()}
-    assert small[("en", "s0", "word_length")] == small[("en", "s1", "word_length")]
+
+
+def test_small_groups_lean_on_their_language(spark):
+    """Limits move from the language's to the group's own with its documents, without a switch."""
+    rng = random.Random(6)
+    rows = [(i, sentence(rng, 60) + " #" * 3, "en", "big") for i in range(400)]
+    rows += [(1000 + i, sentence(rng, 60) + " #" * 30, "en", "small") for i in range(6)]
+    keys = ["g0", "g1"]
+
+    def found(prior, some=rows):
+        m = Q.measures(frame(spark, some).select("text", F.col("lang").alias("g0"), F.col("source").alias("g1")),
+                       keep=("g0", "g1"))
+        return {(r.g1, r.rule): (r.hi, r.lo, r.nz) for r in Q.limits(Q.sketches(m, keys), keys, prior).collect()}
+
+    own, leaning, parents = found(0.0), found(100.0), found(1e12)
+    assert parents["small", "symbols"] == parents["big", "symbols"] == leaning["small", "symbols"]
+    assert own["small", "symbols"][0] > own["big", "symbols"][0] + 50
+    # the language's high quantile counts for the group until its own documents outweigh it
+    steps = []
+    for n in (6, 100, 200, 240, 400):
+        more = rows[:400] + [(1000 + i, sentence(rng, 60) + " #" * 30, "en", "small") for i in range(n)]
+        steps.append(found(100.0, more)["small", "symbols"][0])
+    assert steps == sorted(steps) and steps[0] == parents["small", "symbols"][0] and steps[-1] == own["small", "symbols"][0]
+
+
+def _sql_verdicts(rows):
+    import duckdb
+    import pyarrow as pa
+
+    from starmart.llm.oracle import QUALITY_RULES
+
+    documents = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows]),
+                          "lang": pa.array([r[2] for r in rows]), "source": pa.array([r[3] for r in rows])})
+    con = duckdb.connect()
+    con.register("documents", documents)
+    return {r[0]: r[1:] for r in con.execute(
+        f"SELECT doc_id, failed_rules, kept FROM ({QUALITY_RULES})").fetchall()}
+
+
+def test_sql_is_the_codes_rule_where_rates_are_not_nought(spark):
+    """400 documents of a usual symbol rate of 25 to 50 per mille, 20 of junk: SQL and code agree."""
+    rng = random.Random(13)
+    rows = [(i, sentence(rng, 200, 50_000) + " #" * rng.randrange(5, 11), "en", "symbols") for i in range(400)]
+    rows += [(1000 + i, sentence(rng, 200, 50_000) + " #" * rng.randrange(60, 200), "en", "symbols") for i in range(20)]
+    rows += [(2000 + i, sentence(rng, 90, 50_000).replace(" ", "! ") if i % 9 == 0 else sentence(rng, 90, 50_000),
+              "de" if i % 2 else None, f"s{i % 5}" if i % 7 else None) for i in range(200)]
+    rows += [(3000, "", "en", "symbols"), (3001, None, "en", None), (3002, "x " * 60, "fr", "alone")]
+    got = {r.doc_id: (",".join(r.failed_rules), r.kept) for r in Q.apply_rules(frame(spark, rows)).collect()}
+    assert got == _sql_verdicts(rows)
+    assert all(got[i][1] for i in range(400)) and not any(got[1000 + i][1] for i in range(20))
+    assert not any(got[2000 + i][1] for i in range(0, 200, 9))
 
 
 def test_rules_fire_where_a_rate_is_usually_not_nought(spark):
@@ -92,5 +140,5 @@ def test_rules_fire_where_a_rate_is_usually_not_nought(spark):
         for i in range(80):
             want[1000 * s + i] = (rule, i >= 60)
             rows.append((1000 * s + i, (junk if i >= 60 else usual)(), "en", name))
-    got = Q.apply_rules(frame(spark, rows), min_group=30).collect()
+    got = Q.apply_rules(frame(spark, rows), prior=5).collect()
     assert {r.doc_id: (want[r.doc_id][0], want[r.doc_id][0] in r.failed_rules) for r in got} == want
