@@ -9,16 +9,20 @@ for every document: each window carries a content-selected anchor, the least has
 ``q``-grams, and the blocks of the index are dealt by anchor, so a document meets exactly
 the blocks that can hold its windows. Consecutive windows with one anchor form a run.
 
-*Index.* Runs are compared first: of the runs of an anchor with the same words only the
-first holder (least id) needs its windows indexed, the others are copies of it as a whole.
-Where an anchor has several different runs, the windows of each first holder are indexed
-one by one with the least id that holds them.
-
-*Parsing.* A document is factored greedily from left to right: a factor starts at the
-first window that the index knows from a smaller id and extends word by word as long as the
-next window is known from the same reference document. Where it ends, the windows across
-the boundary are looked up on their own and start the next factor, which may overlap. As
-every window is looked up, the factors cover exactly the removable words.
+*Index.* An entry is a window's hash with the place where the reference has it first: the
+least id that holds it and its least position there. Runs are compared first: of the runs of
+an anchor with the same words the first holder's stands for all, and its windows' places follow
+from the run's. Where an anchor has several different runs, the windows of each first holder
+are indexed one by one.
+
+*Parsing.* A document is factored from left to right against the index. A factor (start, length,
+reference document, position there) starts at the first window that the reference holds under a
+smaller id and extends word by word as long as the next window's entry is the next place of the
+same reference document: so the whole factor stands there, word for word, from that position on.
+Where it ends, the windows across the boundary are looked up like any others and start the next
+factor, which may overlap. The reference is the first holder of each window, so a factor also
+ends where an earlier document takes over; what is removed does not depend on it, as every
+window is looked up and the factors together cover exactly the removable words.
 
 Word sequences are compared by 64-bit hashes of the words' bytes.
 
@@ -49,8 +53,8 @@ from starmart.llm.text import grams, slices, span_hashes, stream, window_minima,
 WINDOW, Q = 50, 16
 _LAST = (1 << 63) - 1
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
-_MARK = "struct<pos:int,len:int,lo:bigint,whole:boolean>"
-FACTOR = "struct<start:int,length:int,ref_doc:bigint>"
+_MARK = "struct<pos:int,len:int,lo:bigint,at:int,whole:boolean>"
+FACTOR = "struct<start:int,length:int,ref_doc:bigint,ref_start:int>"
 
 
 def _nested(first: np.ndarray, *columns: pa.Array, names: list[str]) -> pa.Array:
@@ -119,20 +123,24 @@ def _expand(window: int):
     return of
 
 
-def factor(pos: np.ndarray, ref: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """Greedy factors (start, length, reference document) of the known windows of a document.
+def factor(pos: np.ndarray, ref: np.ndarray, at: np.ndarray, window: int) -> list[tuple[int, int, int, int]]:
+    """Factors (start, length, reference document, position there) of a document's known windows.
 
-    ``pos`` ascending starts of the windows held by a smaller id, ``ref`` that id.
+    ``pos``: ascending starts of the windows held by a smaller id; ``ref``, ``at``: that id and the
+    window's position in it. A factor ends where the next window is not the reference's next.
     """
     if not len(pos):
         return []
-    breaks = np.flatnonzero((np.diff(pos) != 1) | (np.diff(ref) != 0)) + 1
+    breaks = np.flatnonzero((np.diff(pos) != 1) | (np.diff(ref) != 0) | (np.diff(at) != 1)) + 1
     begin = np.concatenate([[0], breaks])
     end = np.concatenate([breaks, [len(pos)]]) - 1
-    return [(int(pos[b]), int(pos[e] - pos[b]) + window, int(ref[b])) for b, e in zip(begin, end)]
+    return [(int(pos[b]), int(pos[e] - pos[b]) + window, int(ref[b]), int(at[b])) for b, e in zip(begin, end)]
 
 
 def _parse(window: int):
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ref_doc", pa.int64()),
+                               ("ref_start", pa.int32())]))
+
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in slices(batch):
             shas, removed, factors = [], [], []
@@ -141,25 +149,31 @@ def _parse(window: int):
                                          part.column("hits").to_pylist()):
                 tokens = (text or "").encode().split()
                 known = np.full(len(tokens), _LAST, dtype=np.int64)
+                place = np.zeros(len(tokens), dtype=np.int64)
+
+                def enter(first: int, size: int, doc: int, at: int) -> None:
+                    """Windows first.. stand in ``doc`` from ``at`` on, where nothing earlier holds them."""
+                    some, there = slice(first, first + size), at + np.arange(size)
+                    better = (doc < known[some]) | ((doc == known[some]) & (there < place[some]))
+                    known[some] = np.where(better, doc, known[some])
+                    place[some] = np.where(better, there, place[some])
+
                 for m in marks:
                     if m["whole"]:
-                        some = slice(m["pos"], m["pos"] + m["len"])
-                        known[some] = np.minimum(known[some], m["lo"])
+                        enter(m["pos"], m["len"], m["lo"], m["at"])
                 for x in hits or ():
-                    known[x["pos"]] = min(known[x["pos"]], x["lo"])
+                    enter(x["pos"], 1, x["lo"], x["at"])
                 pos = np.flatnonzero(known < _LAST)
-                found = factor(pos, known[pos], window)
+                found = factor(pos, known[pos], place[pos], window)
                 gone = np.zeros(len(tokens) + 1, dtype=np.int64)
-                for start, length, _ in found:
+                for start, length, _, _ in found:
                     gone[start] += 1
                     gone[start + length] -= 1
                 out = np.cumsum(gone[:-1]) > 0
                 kept = b" ".join(t for t, drop in zip(tokens, out) if not drop)
                 shas.append(hashlib.sha256(kept).hexdigest())
                 removed.append(int(out.sum()))
-                factors.append([{"start": a, "length": b, "ref_doc": c} for a, b, c in found])
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()),
-                                       ("ref_doc", pa.int64())]))
+                factors.append([{"start": a, "length": b, "ref_doc": c, "ref_start": d} for a, b, c, d in found])
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), part.column("key"), pa.array(removed, pa.int64()),
                  pa.array(shas), pa.array(factors, kind)],
@@ -172,7 +186,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    window: int = WINDOW, q: int = Q) -> DataFrame:
     """(``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256``, ``factors``, ``copy_of``) a row.
 
-    ``factors`` are the duplicate spans in words with the reference document of each;
+    ``factors`` are the duplicate spans in words with the reference document of each and the
+    word where the span starts there;
     ``copy_of`` is the least id with the same word sequence, where that is another one.
     """
     text = F.col(text_col)
@@ -189,13 +204,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                       "rlz-holders")
 
     runs = base.select(*row, F.explode("runs").alias("r")).select(*row, "r.*")
-    same = runs.groupBy("v", "rk").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    anchors = (same.groupBy("v").agg(F.count(F.lit(1)).alias("texts"), F.min("lo").alias("vlo"),
-                                     F.max("hi").alias("vhi")).where("vlo < vhi"))
+    # the first holder of each run's words and the run's least position in it
+    least = F.min(F.struct("id", "pos")).alias("least")
+    same = runs.groupBy("v", "rk").agg(least, F.max("id").alias("hi"))
+    same = same.select("v", "rk", F.col("least.id").alias("lo"), F.col("least.pos").alias("at"), "hi")
+    anchors = written(same.groupBy("v").agg(F.count(F.lit(1)).alias("texts"), F.min("lo").alias("vlo"),
+                                            F.max("hi").alias("vhi")).where("vlo < vhi"), "rlz-anchors")
     shared = written(same.join(anchors, "v")
-                     .select("v", "rk", "lo", "hi", (F.col("texts") > 1).alias("many"))
-                     .where("lo < hi or many").select("v", "rk", "lo", "many"), "rlz-shared")
-    mark = F.struct("pos", "len", "lo", (F.col("id") > F.col("lo")).alias("whole"))
+                     .select("v", "rk", "lo", "at", "hi", (F.col("texts") > 1).alias("many"))
+                     .where("lo < hi or many").select("v", "rk", "lo", "at", "many"), "rlz-shared")
+    mark = F.struct("pos", "len", "lo", "at", (F.col("id") > F.col("lo")).alias("whole"))
     marks = (runs.join(shared, ["v", "rk"]).where("id > lo or many")
              .groupBy(*row).agg(F.collect_set(mark).cast(f"array<{_MARK}>").alias("marks"))
              .join(holders.where("id = first").select(*row).distinct(), row))  # copies need no parse
@@ -203,10 +221,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     windows = written(arrow_map(touched, _expand(window),
                                 "h long, id long, key long, pos int"), "rlz-windows")
-    known = written(windows.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-                    .where("lo < hi").select("h", "lo"), "rlz-index")
+    known = written(windows.groupBy("h").agg(least, F.max("id").alias("hi")).where("least.id < hi")
+                    .select("h", F.col("least.id").alias("lo"), F.col("least.pos").alias("at")), "rlz-index")
     hits = (windows.join(known, "h").where("id > lo").groupBy(*row)
-            .agg(F.collect_set(F.struct("pos", "lo")).alias("hits")))
+            .agg(F.collect_set(F.struct("pos", "lo", "at")).alias("hits")))
     parsed = written(arrow_map(touched.join(hits, row, "left"), _parse(window),
                                f"id long, key long, removed long, kept string, "
                                f"factors array<{FACTOR}>").dropDuplicates(row), "rlz-parsed")
