@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.tables import arrow_map, written
+from starmart.llm.tables import arrow_map, first_by_hash, written
 from starmart.llm.text import buffers, grams, slices, word_hashes, words
 
 BINS, PAIR_BINS, PAIRS = 48, 12, 6
@@ -242,7 +242,7 @@ def train(rows: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
              .agg(F.round(F.avg(label_col)).cast("int").alias("y")))
     known = (rows.where(remainder(F.col("doc_id")) != 1)
              .select(F.col("doc_id").cast("string").alias("id"), "x").join(label, "id"))
-    sample = (known.orderBy(F.md5("id"), "id", "x").limit(max_train).select("x", "y").toArrow())
+    sample = first_by_hash(known, "id", max_train).select("x", "y").toArrow()
     if not sample.num_rows:
         return Model()
     x = np.array(sample.column("x").combine_chunks().flatten()).reshape(sample.num_rows, -1)

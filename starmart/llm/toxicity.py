@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.tables import arrow_map, map_in_arrow, written
+from starmart.llm.tables import arrow_map, first_by_hash, map_in_arrow, written
 from starmart.llm.text import mix, separators, slices, stream, words
 
 BITS = 20
@@ -154,19 +154,6 @@ def remainder(id_column: Column) -> Column:
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % 4
 
 
-def first_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """At most ``most`` rows, the first by a hash of ``key`` (a string column).
-
-    A threshold taken from the number of rows comes before the sort, with room for the spread
-    of a binomial, so the last task of the sort gets little more than ``most`` rows in all.
-    """
-    n = rows.count()
-    place = F.conv(F.substring(F.md5(F.col(key)), 1, 8), 16, 10).cast("long")
-    room = most + 10 * int(most ** 0.5) + 100
-    near = rows.where(place < int(2 ** 32 * room / n)) if n > room else rows
-    return near.orderBy(F.md5(F.col(key)), key).limit(most)
-
-
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
           text_col: str = "text", max_train: int = MAX_TRAIN, max_bytes: int = TRAIN_BYTES) -> Weights:
     """Weights from the labelled texts outside the held-out remainder."""

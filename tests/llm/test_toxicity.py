@@ -10,6 +10,7 @@ import pyarrow as pa
 from llm_cases import corpus, empty, frame, sentence
 
 from starmart.llm import toxicity as X
+from starmart.llm.tables import first_by_hash
 
 KIND = "doc_id long, quality int, toxic int"
 BAD = ["grobian", "vollpfosten", "lump", "schuft"]
@@ -95,7 +96,7 @@ def test_sample_bounds(spark):
     rows, labels = labelled(300)
     lab, docs = spark.createDataFrame(labels, KIND), frame(spark, rows + rows[:40] * 3)
     ids = lab.selectExpr("cast(doc_id as string) id", "toxic y")
-    first = [r.id for r in X.first_by_hash(ids, "id", 20).collect()]
+    first = [r.id for r in first_by_hash(ids, "id", 20).collect()]
     want = sorted((str(d) for d, _, _ in labels), key=lambda i: hashlib.md5(i.encode()).hexdigest())[:20]
     assert sorted(first) == sorted(want)
     some = X.train(docs, lab, max_train=20)
