@@ -49,6 +49,7 @@ _PACKED = LIKE // 4
 _MASK = 0x0001000100010001
 _PAIR = 0x0000FFFF0000FFFF
 MAX_BUCKETS = 100_000
+STRETCHES, SAMPLE = 256, 64     # buckets bounded in one step; sampled ids for each bucket
 
 
 def _elements(paragraph: Column) -> Column:
@@ -138,15 +139,34 @@ def likeness(a: Column, b: Column, bits: int = NARROW) -> Column:
 
 
 def _bounds(docs: DataFrame, id_col: str) -> list[int]:
-    """Quantiles of the ids that cut them into buckets (the first bound is the least id)."""
+    """Quantiles of the ids that cut them into buckets (the first bound is the least id).
+
+    From samples by a hash of the id, in two steps: some bounds from one small sample, then
+    between each two of them more bounds from a larger one, each such stretch in a group of its
+    own. So a task holds a few thousand ids however many there are, and however many buckets.
+    """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(16, min(4 * parts, MAX_BUCKETS))
-    at = [i / n for i in range(n)]
-    got = docs.agg(F.min(id_col).alias("least"),
-                   F.percentile_approx(F.col(id_col), at, 100 * n).alias("q")).first()
-    if got["least"] is None:
+    value = F.col(id_col)
+    ends = docs.agg(F.min(id_col).alias("least"), F.count(id_col).alias("n")).first()
+    if ends["least"] is None:
         return []
-    return sorted({int(got["least"]), *map(int, got["q"])})
+
+    def sample(most: int) -> DataFrame:
+        share = min(1.0, most / ends["n"])
+        return docs.where(value.isNotNull() & (F.pmod(F.xxhash64(value), F.lit(1 << 31)) < int(share * (1 << 31))))
+
+    def quantiles(k: int) -> Column:
+        return F.percentile_approx(value, [i / k for i in range(k)], 100 * k).alias("q")
+
+    coarse = min(n, STRETCHES)
+    first = sample(SAMPLE * coarse).agg(quantiles(coarse)).first()["q"] or []
+    bounds = {int(ends["least"]), *map(int, first)}
+    if n > coarse:
+        stretch = _bucket(value, sorted(bounds)).alias("stretch")
+        inner = sample(SAMPLE * n).select(id_col, stretch).groupBy("stretch").agg(quantiles(-(-n // coarse)))
+        bounds |= {int(b) for r in inner.collect() for b in r["q"]}
+    return sorted(bounds)
 
 
 def _bucket(value: Column, bounds: list[int], step: int = 256) -> Column:

@@ -1,10 +1,13 @@
 """Fingerprints: edited texts, order independence, insertion and deletion, likeness."""
 
 import hashlib
+import math
+import struct
 
+import xxhash
 from pyspark.sql import functions as F
 
-from llm_cases import corpus, empty, frame
+from llm_cases import corpus, empty, frame, words
 from starmart.llm import fingerprints as P
 
 
@@ -82,3 +85,71 @@ def test_likeness_of_texts_with_many_equal_shingles(spark):
     assert got[0].wide[P.EXACT] == 40_000 and got[0].more[P.EXACT] == 80_000
     assert set(got[0].wide[P.EXACT + 1:]) == {0, 40_000} and set(got[0].more[P.EXACT + 1:]) == {0, 80_000}
     assert len(got[0].fingerprint) == 8 * len(got[0].wide)
+
+
+def _hash(*parts, seed=42):
+    """Chained 64-bit hashes of texts, longs and ints, as the library's native hash makes them."""
+    for kind, value in parts:
+        data = value.encode() if kind == "s" else struct.pack("<q" if kind == "l" else "<i", value)
+        seed = xxhash.xxh64(data, seed=seed).intdigest()
+    return seed
+
+
+def _signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _plain(text):
+    """The lanes by one loop over paragraphs and shingles."""
+    exact, count, like = [0] * P.EXACT, 0, [0] * P.LIKE
+    for line in text.split("\n"):
+        h1, h2 = _hash(("s", line)), _hash(("s", "paragraph"), ("s", line))
+        draws = [h1, h2] + [_hash(("l", _signed(h1)), ("l", _signed(h2)), ("i", i)) for i in range(P.EXACT // 2 - 2)]
+        for i, h in enumerate(draws):
+            exact[2 * i] += h & 0xFFFFFFFF
+            exact[2 * i + 1] += h >> 32
+        w = words(line)
+        shingles = [w[i:i + 3] for i in range(len(w) - 2)] if len(w) >= 3 else [w] if w else []
+        for s in shingles:
+            h = _hash(*[("s", x) for x in s])
+            count += 1
+            for lane in range(P.LIKE):
+                i, rest = divmod(lane, 4)
+                like[lane] += h >> (i + 16 * rest) & 1
+    return [x % (1 << 32) for x in [*exact, count, *like]]
+
+
+def _cosine(a, b):
+    x, y = ([2 * v - lanes[P.EXACT] for v in lanes[P.EXACT + 1:]] for lanes in (a, b))
+    scale = math.sqrt(sum(v * v for v in x) * sum(v * v for v in y))
+    return 1.0 if a == b else 0.0 if not scale else max(0.0, min(1.0, sum(p * q for p, q in zip(x, y)) / scale))
+
+
+def test_against_a_plain_loop(spark):
+    rows = {d: t for d, t in corpus(groups=8) if d is not None and t is not None and len(t) < 20_000}
+    rows = sorted(rows.items())
+    got = {r.doc_id: r for r in P.fingerprints(frame(spark, rows)).collect()}
+    for i, (d, t) in enumerate(rows):
+        after = rows[(i + 1) % len(rows)][1]
+        half = len(t) // 2
+        own, edited, following = _plain(t), _plain(t[:len(t) - half] + after[:half]), _plain(after)
+        text = lambda lanes: "".join(f"{v:08x}" for v in lanes)
+        assert got[d].fingerprint == text(own) and got[d].edited_fingerprint == text(edited)
+        assert abs(got[d].near_edited - _cosine(own, edited)) < 1e-9
+        assert abs(got[d].near_next - _cosine(own, following)) < 1e-9
+
+
+def test_bounds_in_two_steps(spark):
+    ids = spark.range(0, 600_000, 1, 16).selectExpr("id * 7 - 1000 AS doc_id").union(
+        spark.range(3000).selectExpr("CAST(NULL AS BIGINT)")).union(spark.range(50_000).selectExpr("5000000L"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")          # 2,000 buckets: two steps
+    try:
+        bounds = P._bounds(ids, "doc_id")
+        assert P._bounds(ids.where("doc_id is null"), "doc_id") == []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert bounds == sorted(set(bounds)) and bounds[0] == -1000 and 1200 < len(bounds) < 2600
+    placed = ids.where("doc_id is not null and doc_id < 5000000").select(P._bucket(F.col("doc_id"), bounds).alias("b"))
+    sizes = [r["count"] for r in placed.groupBy("b").count().collect()]
+    assert max(sizes) < 8 * 600_000 / len(bounds)
