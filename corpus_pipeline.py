@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import classify, line_dedup, minhash, mixing, packing
-from starmart.llm.tables import documents, words_array, written
+from starmart.llm.tables import documents, words_array
+from starmart.session import delete_path, scratch_path, scratch_scope
 
 WORD = "[^\\x20\\x09-\\x0D]"
 
@@ -95,7 +96,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """The packed corpus; a stage's own intermediate tables go when its rows are written, its rows
+    when the next stage's are."""
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch_scope(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.mode("overwrite").parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        before = path
     return docs

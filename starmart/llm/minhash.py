@@ -167,7 +167,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = written(base.select("doc", "key", "n", "k1", "k2", "bands").join(classes, ["k1", "k2", "n", "doc"])
                      .dropDuplicates(["id"]).select("id", "doc", "key", "n", "bands"), "chosen")
     keys = chosen.select("id", "n", F.explode("bands").alias("key"))
-    shared = (keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    # written, so that the join is planned from its size: without a shuffle where it is small, else
+    # with two shuffled tables, of which a crowded bucket's rows can be split
+    shared = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "bucket-sizes")
     crowd = written(keys.join(shared, "key").select("key", "id", "n", "size"), "buckets")
     score = crowd.groupBy("id").agg(F.sum("size").alias("score"))
     crowd = written(crowd.join(score, "id").select("key", "id", "n", "score"), "buckets-scored")
