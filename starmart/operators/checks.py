@@ -35,20 +35,27 @@ def orphan_counts(child: DataFrame, child_name: str,
     """One row per foreign key: (child_table, fk_column, parent_table, n_orphans).
 
     ``parents`` holds (child column, parent DataFrame, parent table name, parent column).
-    Each key column is counted by value first (a hot key leaves each task as one row); the
-    few distinct values meet the parent's keys in an anti join, and the counts of those
+    The child is evaluated once, whatever the number of its keys: its key columns become rows of
+    (key name, value), which are counted first (a hot key leaves each task as one row); the
+    few distinct values meet the parents' keys in one anti join, and the counts of those
     without a parent are summed.
     """
-    reports = []
-    for child_col, parent_df, parent_name, parent_col in parents:
-        by_key = (child.where(F.col(child_col).isNotNull())
-                  .groupBy(F.col(child_col).alias("__sm_key")).agg(F.count(F.lit(1)).alias("n")))
-        keys = parent_df.select(F.col(parent_col).alias("__sm_key")).distinct()
-        lost = by_key.join(keys, "__sm_key", "left_anti")
-        reports.append(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_orphans")).select(
-            F.lit(child_name).alias("child_table"), F.lit(child_col).alias("fk_column"),
-            F.lit(parent_name).alias("parent_table"), "n_orphans"))
-    return reduce(DataFrame.unionByName, reports)
+    kinds = dict(child.dtypes)
+    columns = list(dict.fromkeys(c for c, *_ in parents))
+    listed = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
+    by_key = (child.selectExpr(f"stack({len(columns)}, {listed}) AS (fk, value)").where("value IS NOT NULL")
+              .groupBy("fk", "value").agg(F.count(F.lit(1)).alias("n")))
+    keys = [parent.select(F.lit(i).alias("i"), F.lit(c).alias("fk"), F.col(pc).cast(kinds[c]).cast("string").alias("value"))
+            for i, (c, parent, _, pc) in enumerate(parents)]
+    known = reduce(DataFrame.unionByName, keys).distinct()
+    wanted = child.sparkSession.createDataFrame(
+        [(i, child_name, c, name) for i, (c, _, name, _) in enumerate(parents)],
+        "i INT, child_table STRING, fk_column STRING, parent_table STRING")
+    # each key of a foreign key: a column may refer to several parents
+    asked = by_key.join(wanted.select("i", F.col("fk_column").alias("fk")), "fk")
+    lost = asked.join(known, ["i", "fk", "value"], "left_anti").groupBy("i").agg(F.sum("n").alias("n"))
+    return wanted.join(lost, "i", "left").select(
+        "child_table", "fk_column", "parent_table", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_orphans"))
 
 
 def column_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
