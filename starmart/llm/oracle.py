@@ -1,8 +1,7 @@
 """DuckDB SQL for the operators that SQL can express, written from their contracts.
 
-Packing, the license scan, the suffix array, the classifier and the fingerprints have no
-SQL form (token ids, signatures, trained tables, hashed vectors); they are tested against
-brute force instead.
+Packing, the license scan, the two classifiers and the fingerprints have no SQL form (token
+ids, templates, trained tables, hashed vectors); they are tested against brute force instead.
 """
 
 from __future__ import annotations
@@ -50,6 +49,19 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id"""
 
+# Every word of a window that a smaller document holds; spans are the runs of such words.
+REPEATED_PASSAGES = f"""
+WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS t FROM starts),
+firsts AS (SELECT *, min(doc_id) OVER (PARTITION BY t) AS lo FROM windows),
+covered AS (
+  SELECT doc_id, k, min(lo) AS lo FROM (SELECT doc_id, unnest(range(i, i + 50)) AS k, lo FROM firsts WHERE lo < doc_id)
+  GROUP BY doc_id, k),
+runs AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS run FROM covered)
+SELECT doc_id, CAST(min(k) - 1 AS INTEGER) AS start, CAST(count(*) AS INTEGER) AS length, min(lo) AS first_doc_id
+FROM runs GROUP BY doc_id, run"""
+
 NEAR_DEDUP = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -259,11 +271,89 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scores)
 SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <= 10"""
 
+# The damage needs a CRC-32, made here from its table. The search goes row by row through each
+# conversation and keeps, for every state, the cheapest edits so far, of equal ones the least in
+# ASCII: two prefixes that reach one state at one cost differ before either ends.
+CONVERSATION_REPAIR = r"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+named AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name,
+         coalesce(role, ' ') AS r, coalesce(text, ' ') AS x FROM conversations),
+kinds AS (
+  SELECT conv_id, turn, r, x,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(name, ''),
+                                      lambda c: CAST(ord(c) AS BIGINT))),
+                         lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM named, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE r END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(x, '[.!?]', '', 'g') ELSE x END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank
+  FROM damaged),
+rows AS (
+  SELECT *, left(role, 1) AS ini, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS pair,
+         NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS duplicate,
+         NOT blank AND regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') AS open
+  FROM placed),
+faults AS (
+  SELECT conv_id, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+         count(*) FILTER (WHERE open AND NOT duplicate) AS truncated,
+         count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, max(n) AS size
+  FROM rows GROUP BY conv_id),
+inserts(state, reached, price, letters, lines) AS (
+  VALUES ('', '', 0, '', CAST([] AS VARCHAR[])), ('', 'u', 5, 'I', ['user:']), ('', 'a', 10, 'II', ['user:', 'assistant:']),
+         ('s', 's', 0, '', []), ('s', 'u', 5, 'I', ['user:']), ('s', 'a', 10, 'II', ['user:', 'assistant:']),
+         ('u', 'u', 0, '', []), ('u', 'a', 5, 'I', ['assistant:']),
+         ('a', 'a', 0, '', []), ('a', 'u', 5, 'I', ['user:'])),
+next_role(state, ini, name) AS (VALUES ('', 'u', 'user'), ('s', 'u', 'user'), ('u', 'a', 'assistant'), ('a', 'u', 'user')),
+legal(state, ini) AS (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')),
+best(conv_id, n, state, cost, audit, lines) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), '', CAST(0 AS BIGINT), '', CAST([] AS VARCHAR[]) FROM faults
+  UNION ALL
+  SELECT conv_id, n, state, cost, audit, lines FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) AS place FROM (
+      SELECT b.conv_id, r.n, e.state, CAST(b.cost + i.price + e.price AS BIGINT) AS cost,
+             b.audit || i.letters || e.letter AS audit, list_concat(list_concat(b.lines, i.lines), e.lines) AS lines
+      FROM best b JOIN inserts i ON i.state = b.state
+      JOIN rows r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.n = b.n + 1
+      CROSS JOIN LATERAL (
+        SELECT i.reached AS state, 2 AS price, 'D' AS letter, CAST([] AS VARCHAR[]) AS lines
+        UNION ALL
+        SELECT r.ini, CASE WHEN r.open THEN 5 ELSE 0 END, 'K', [r.role || ':' || r.text]
+        FROM legal l WHERE l.state = i.reached AND l.ini = r.ini AND NOT r.blank AND NOT r.duplicate
+        UNION ALL
+        SELECT m.ini, 1 + CASE WHEN r.open THEN 5 ELSE 0 END, 'R', [m.name || ':' || r.text]
+        FROM next_role m WHERE m.state = i.reached AND NOT r.blank AND NOT r.duplicate) e))
+  WHERE place = 1),
+ended AS (
+  SELECT b.conv_id, b.cost + i.price AS cost, b.audit || i.letters AS audit, list_concat(b.lines, i.lines) AS lines,
+         row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + i.price, b.audit || i.letters) AS place
+  FROM best b JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.size = b.n
+  JOIN inserts i ON i.state = b.state WHERE i.reached IN ('', 'a'))
+SELECT c.conv_id, CAST(coalesce(f.gaps, 0) AS BIGINT) AS gaps, coalesce(f.blank, 0) AS blank,
+       coalesce(f.duplicate, 0) AS duplicate, coalesce(f.truncated, 0) AS truncated, coalesce(f.illegal, 0) AS illegal,
+       CAST(coalesce(e.cost, 0) AS BIGINT) AS cost, coalesce(e.audit, '') AS audit,
+       sha256(coalesce(array_to_string(e.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id AND e.place = 1"""
+
 SQL: dict[str, str] = {
     "op3_quality_rules": QUALITY_RULES,
     "op4_line_dedup": LINE_DEDUP,
+    "op5_suffix_dedup": REPEATED_PASSAGES,
     "op8_near_dedup": NEAR_DEDUP,
     "op9_mix": MIXING,
     "op10_substring_dedup": SUBSTRING_DEDUP,
     "op11_lexical_search": LEXICAL_SEARCH,
+    "op12_conversation_repair": CONVERSATION_REPAIR,
 }

@@ -115,18 +115,6 @@ def _samples(window: int, q: int):
     return of
 
 
-def _common(a: list[bytes], b: list[bytes], side: int) -> np.ndarray:
-    """Leading equal words of two lists of contexts."""
-    def grid(x: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        size = np.fromiter((len(y) // 4 for y in x), dtype=np.int64, count=len(x))
-        flat = np.frombuffer(b"".join(y.ljust(4 * side, b"\0") for y in x), dtype=np.uint32)
-        return flat.reshape(len(x), side), size
-
-    (ga, na), (gb, nb) = grid(a), grid(b)
-    same = np.cumprod(ga == gb, axis=1).sum(axis=1)
-    return np.minimum(same, np.minimum(na, nb))
-
-
 class _Rows:
     """Suffix rows as arrays: contexts as grids of word hashes, cut off at their lengths."""
 
@@ -280,7 +268,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       window: int = WINDOW, q: int = Q) -> DataFrame:
     """(``doc_id``, ``start``, ``length``, ``first_doc_id``): merged duplicate spans in words.
 
-    Every span also stands in ``first_doc_id``, a smaller id (of merged spans: the least).
+    Every ``window`` words of a span stand in some document of a smaller id; ``first_doc_id`` is the
+    least of these documents (a merged span as a whole need not stand in one of them).
     """
     text = F.col(text_col)
     source = (docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"),
@@ -298,8 +287,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     found = base.select(*row, "n", F.explode("found").alias("f")).select(*row, "n", "f.*")
     same = found.groupBy("v", "c").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    starts = (same.groupBy("v").agg(F.count(F.lit(1)).alias("contexts"), F.min("lo").alias("vlo"),
-                                    F.max("hi").alias("vhi")).where("vlo < vhi"))
+    starts = written(same.groupBy("v").agg(F.count(F.lit(1)).alias("contexts"), F.min("lo").alias("vlo"),
+                                           F.max("hi").alias("vhi")).where("vlo < vhi"), "suffix-starts")
     shared = written(same.join(starts, "v")
                      .select("v", "c", "lo", "hi", (F.col("contexts") > 1).alias("many"))
                      .where("lo < hi or many").select("v", "c", "lo", "many"), "suffix-shared")

@@ -30,7 +30,7 @@ def test_query(spark, name):
     df = REGISTRY[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     n = con.execute("SELECT count(*) FROM documents").fetchone()[0]
     if name not in ("op1_pack", "op2_licenses", "op5_suffix_dedup", "op11_lexical_search", "op12_conversation_repair"):
