@@ -42,7 +42,9 @@ def register_tables(spark: SparkSession, db: str, sources: Mapping[str, str | Se
     crawled folder). Tables point at the files where they are; nothing is copied, and the
     schema comes from the files (Parquet footers, or CSV inference when asked for). CSV is
     read in the library's dialect. A name that already belongs to a managed table is
-    refused: replacing that table would delete its rows.
+    refused: replacing that table would delete its rows. A known table whose files have the
+    catalogued schema is switched to ``path`` in one catalog change; another schema is
+    declared anew (``crawl`` changes it in place).
     """
     opts = {**(CSV_DIALECT | {"header": "true"} if fmt == "csv" else {}), **(options or {})}
     targets: list[tuple[str, str]] = []
@@ -55,8 +57,9 @@ def register_tables(spark: SparkSession, db: str, sources: Mapping[str, str | Se
     for table, path in targets:
         qualified = f"`{db}`.`{table}`"
         opt_sql = "".join(f", {sql_text(k)} {sql_text(v)}" for k, v in opts.items())
-        _drop_external(spark, qualified)
-        spark.sql(f"CREATE TABLE {qualified} USING {fmt} OPTIONS (path {sql_text(path)}{opt_sql})")
+        if not _switched(spark, qualified, path, fmt, opts):
+            _drop_external(spark, qualified)
+            spark.sql(f"CREATE TABLE {qualified} USING {fmt} OPTIONS (path {sql_text(path)}{opt_sql})")
         names.append(f"{db}.{table}")
     return names
 
@@ -67,6 +70,20 @@ def sql_text(value: str) -> str:
     return f"'{inner}'"
 
 
+def _switched(spark: SparkSession, qualified: str, path: str, fmt: str, options: Mapping[str, str]) -> bool:
+    """Point a known external table of the same format and schema at ``path``; whether that was so."""
+    if not spark.catalog.tableExists(qualified) or spark.catalog.getTable(qualified).tableType != "EXTERNAL":
+        return False
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {qualified}").collect()}
+    found = spark.read.format(fmt).options(**options).load(path).schema
+    same = [(f.name, f.dataType) for f in found.fields] == [(f.name, f.dataType) for f in spark.table(qualified).schema]
+    if described.get("Provider", "").lower() != fmt or not same:
+        return False
+    spark.sql(f"ALTER TABLE {qualified} SET LOCATION {sql_text(path)}")
+    spark.sql(f"REFRESH TABLE {qualified}")
+    return True
+
+
 def _drop_external(spark: SparkSession, qualified: str) -> None:
     """Forget an external table (its files stay); a managed one is refused."""
     if not spark.catalog.tableExists(qualified):

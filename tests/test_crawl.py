@@ -131,3 +131,19 @@ def test_lengths_are_bytes(spark):
     got = {r.column_name: tuple(r)[2:] for r in checks.column_violations(df, spec).collect()}
     assert got == {"name": (0, 2, 1), "code": (1, 0, 0)}      # 9 characters, 10 bytes: too long
     assert df.where(F.octet_length("name") == 10).count() == 2
+
+
+def test_registering_again_switches_in_place(spark, monkeypatch):
+    db, base = _db(spark, "t_register"), scratch_path(spark, "t_register_files")
+    spark.range(3).selectExpr("id AS a").write.parquet(f"{base}/1")
+    spark.range(5).selectExpr("id AS a").write.parquet(f"{base}/2")
+    spark.range(7).selectExpr("id AS a", "'x' AS b").write.parquet(f"{base}/3")
+    (name,) = catalog.register_tables(spark, db, {"t": f"{base}/1"})
+    assert spark.table(name).count() == 3
+    statements, plain = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: statements.append(q) or plain(self, q, *a, **k))
+    catalog.register_tables(spark, db, {"t": f"{base}/2"})
+    monkeypatch.undo()
+    assert spark.table(name).count() == 5 and not any(q.startswith(("DROP", "CREATE")) for q in statements)
+    catalog.register_tables(spark, db, {"t": f"{base}/3"})
+    assert spark.table(name).count() == 7 and spark.table(name).columns == ["a", "b"]
