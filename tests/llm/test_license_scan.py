@@ -51,5 +51,46 @@ def test_empty_and_bounds(spark):
     assert L.scan_licenses(empty(spark)).count() == 0
     with pytest.raises(ValueError):
         L.Templates({str(i): "x" for i in range(L.MAX_TEMPLATES + 1)})
+    with pytest.raises(ValueError):
+        L.Templates({"long": "x" * (L.MAX_BYTES + 1)})
     # a template of no words is left out
-    assert L.Templates({"none": "!!"}).groups == {}
+    assert L.Templates({"none": "!!"}).groups == []
+
+
+def anywhere(rows, templates):
+    """Every window of a template's length, at every place: no steps."""
+    found = set()
+    for name, text in templates:
+        w = ALNUM.findall(fold(text))
+        k = min(5, len(w))
+        own = {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+        m = len(w) - k + 1
+        for doc, body in rows:
+            v = ALNUM.findall(fold(body or ""))
+            s = [tuple(v[i:i + k]) for i in range(len(v) - k + 1)]
+            if any(len(own & set(s[at:at + m])) >= 0.8 * len(own) for at in range(max(1, len(s) - m + 1))):
+                found.add((doc, name))
+    return found
+
+
+def test_table_of_templates_of_many_lengths(spark):
+    """Hundreds of templates, several of one name and some alike, planted at every offset."""
+    import random
+    rng = random.Random(17)
+    texts = [(f"L{i % 150}", sentence(rng, rng.choice([1, 3, 4, 5, 6, 9, 30, 31, 32, 120, 400]), 50_000))
+             for i in range(300)]
+    texts += [(f"twin{i}", texts[i][1] + " one more word here") for i in range(20)]
+    rows = []
+    for i, (_, text) in enumerate(texts[::4]):
+        w = text.split()
+        if len(w) > 20 and i % 2:
+            w[len(w) // 2] = "altered"
+        rows.append((i, f"{sentence(rng, i % 37)} {' '.join(w)} {sentence(rng, rng.randrange(9))}"))
+    table = spark.createDataFrame([(*t, "x") for t in texts] + [(None, "a b c d e", "x"), ("none", None, "x")],
+                                  "license string, body string, doc_id string")
+    got = {(r.doc_id, r.license) for r in
+           L.scan_licenses(frame(spark, rows), templates=table, template_col="body").collect()}
+    least = anywhere(rows, texts)
+    most = set().union(*[brute(rows, {n: t}) for n, t in texts])
+    assert least <= got <= most and len(got) >= len(rows)
+    assert L.scan_licenses(frame(spark, rows), templates=table.where("false"), template_col="body").count() == 0
