@@ -301,7 +301,7 @@ def _search_block(source: DataFrame, block: pa.Table, k: int) -> DataFrame:
 
     # any k documents bound an item's k-th score from below; a hash picks some thousand
     share = min(1.0, SEED_DOCS / max(corpus.documents, 1))
-    seeds = profiles.where((F.abs(F.xxhash64("text_key", "doc_id") % 1_000_000) < int(share * 1_000_000)))
+    seeds = profiles.where(F.pmod(F.xxhash64("text_key", "doc_id"), F.lit(1 << 31)) < int(share * (1 << 31)))
     known = search(seeds, none).where(F.col("rank") == k).select("item", "score").toArrow()
     least = none.least.copy()
     least[known.column("item").to_numpy()] = known.column("score").to_numpy()
