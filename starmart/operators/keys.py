@@ -51,7 +51,7 @@ _ORD = "__sm_copy"
 _LOW_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row position
 CHUNK_COPIES = 10_000  # copies that one chunk row of a hot group expands to
 _TRACKED = 1_000_000   # items that one sketch can track at most
-FAN_IN = 16            # sketches merged by one task of the tree
+FAN_IN, LEVELS = 32, 4  # sketches merged by one task of the tree; 32 ** 4 scan tasks
 
 
 def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
@@ -59,26 +59,21 @@ def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_cols]
 
 
-def _merged_sketch(df: DataFrame, tracked: int) -> DataFrame | None:
-    """One row: ``n`` rows in all and the frequent-items sketch ``s`` of the row hashes; ``None``
-    where there are no rows.
+def _merged_sketch(df: DataFrame, tracked: int) -> DataFrame:
+    """One row: ``n`` rows in all and the frequent-items sketch ``s`` of the row hashes.
 
-    Every scan task leaves one sketch; each level of the tree merges ``FAN_IN`` of them.
+    Every scan task leaves one sketch; each level of the tree merges ``FAN_IN`` of them, in one
+    job. ``LEVELS`` levels are enough for a million scan tasks; unused ones pass one row on.
     """
-    spark = df.sparkSession
     hashed = df.select(F.xxhash64(*df.columns).alias("h"), F.spark_partition_id().alias("p"))
-    path = scratch_path(spark, "copy-sketches")
-    (hashed.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("s"))
-           .write.mode("overwrite").parquet(path))
-    level = spark.read.parquet(path)
-    last = level.agg(F.max("p")).first()[0]
-    if last is None:
-        return None
-    combine = [F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(s, {tracked})").alias("s")]
-    while last >= FAN_IN:
-        level = level.groupBy(F.expr(f"p div {FAN_IN}").alias("p")).agg(*combine)
-        last //= FAN_IN
-    return level.agg(*combine)
+    # an input without rows still leaves a sketch, of nothing
+    nothing = df.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("h"), F.lit(0).alias("p"))
+    level = hashed.unionByName(nothing).groupBy("p").agg(
+        F.count("h").alias("n"), F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("s"))
+    merged = [F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(s, {tracked})").alias("s")]
+    for _ in range(LEVELS - 1):
+        level = level.groupBy(F.expr(f"p div {FAN_IN}").alias("p")).agg(*merged)
+    return level.agg(*merged)
 
 
 def _hot_copy_hashes(df: DataFrame, n_parts: int) -> list[int]:
@@ -89,10 +84,7 @@ def _hot_copy_hashes(df: DataFrame, n_parts: int) -> list[int]:
     """
     k = min(4 * n_parts, _TRACKED)
     tracked = min(64 * k, _TRACKED)
-    sketch = _merged_sketch(df, tracked)
-    if sketch is None:
-        return []
-    got = sketch.select("n", F.expr(f"approx_top_k_estimate(s, {k})").alias("top")).first()
+    got = _merged_sketch(df, tracked).select("n", F.expr(f"approx_top_k_estimate(s, {k})").alias("top")).first()
     limit = max(1, got["n"] // (4 * n_parts))
     return [t["item"] for t in got["top"] or [] if t["count"] > limit]
 
