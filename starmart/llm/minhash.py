@@ -214,7 +214,7 @@ def _open_buckets(active: DataFrame) -> DataFrame:
              .where("lo < hi")
              .select("key", (-F.col("hub.id")).alias("hub"), F.col("hub.grp").alias("hub_grp"),
                      F.col("hub.n").alias("other_n")))
-    return written(active.join(spans, "key"), "open-buckets")
+    return written(active.join(written(spans, "hubs"), "key"), "open-buckets")
 
 
 def _link(crowd: DataFrame, sets: DataFrame, percent: int, hub_rounds: int) -> DataFrame:
