@@ -83,3 +83,77 @@ def test_run_on_the_driver_table(spark):
     for r in found:
         by_sequence[r.sequence_id] = by_sequence.get(r.sequence_id, 0) + r.length
     assert all(n <= 2048 and (n == 2048 or n & (n - 1) == 0) for n in by_sequence.values())
+
+
+def _table(rng):
+    """(doc_id, text, lang, source) with near copies, repeated lines and junk; unique ids."""
+    from test_classify import labelled
+    from test_line_dedup import rows_with_lines
+    from test_minhash import crowd
+
+    good, labels = labelled(120)
+    seen, rows = set(), []
+    for shift, part in ((0, good), (10_000, rows_with_lines()), (30_000, crowd()), (50_000, corpus(groups=6))):
+        for d, t in part:
+            if d is not None and shift + d not in seen:
+                seen.add(shift + d)
+                rows.append((shift + d, t, "en", f"s{rng.randrange(4)}" if rng.random() < 0.9 else None))
+    fine = [t for i, t in good if i % 6 > 2]
+    for i in range(24):
+        copy = fine[i].replace("\n", " ").split()
+        copy[len(copy) // 2] = "changed."
+        source = f"s{i % 3}"
+        rows += [(70_000 + i, f"{fine[i]}\n{fine[i + 1]}", "en", source),         # lines that repeat
+                 (80_000 + i, " ".join(copy), "en", source), (90_000 + i, fine[i].replace("\n", " "), "en", None)]
+    return rows, labels
+
+
+def test_each_stage_against_a_plain_version(spark, tmp_path):
+    """Every stage's rows, on all that its predecessor kept, by plain Python or by SQL."""
+    import random
+
+    import duckdb
+    import pyarrow as pa
+    from test_line_dedup import brute as plain_lines
+    from test_minhash import brute as plain_groups
+    from test_packing import _check
+
+    from starmart.llm import classify, packing
+    from starmart.llm.oracle import MIXING
+
+    rows, labels = _table(random.Random(7))
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    lab.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = written(frame(spark, rows), "t-plain-docs")
+    texts = lambda df: {r.doc_id: (r.text, r.source) for r in df.select("doc_id", "text", "source").collect()}
+    tables = [docs]
+    for name, stage in P.STAGES:
+        tables.append(written(stage(spark, tables[-1], str(tmp_path)), f"t-plain-{name}"))
+    start, quality, lines, near = map(texts, tables[:4])
+
+    scores = {r.doc_id: r.score for r in classify.classify(tables[0], lab).collect()}
+    assert quality == {d: v for d, v in start.items() if scores[d] >= 0.5} and 0 < len(quality) < len(start)
+
+    left = plain_lines([(d, t) for d, (t, _) in quality.items()])
+    assert lines == {d: (t, quality[d][1]) for (d, _), (t, gone) in left.items() if not gone or words(t)}
+    assert any(gone for _, gone in left.values())
+
+    groups = plain_groups([(d, t) for d, (t, _) in lines.items()], 5)
+    assert near == {d: v for d, v in lines.items() if groups[d] == d} and len(near) < len(lines)
+
+    documents = pa.table({"doc_id": list(near), "text": [t for t, _ in near.values()],
+                          "source": [s for _, s in near.values()]})
+    con = duckdb.connect()
+    con.register("documents", documents)
+    taken = {d: n for d, n in con.execute(f"SELECT doc_id, taken FROM ({MIXING})").fetchall() if n}
+    mixed, total = tables[4].select("doc_id", "text").collect(), {}
+    for r in mixed:
+        total[r.doc_id] = total.get(r.doc_id, 0) + len(words(r.text))
+        whole = near[r.doc_id][0]
+        assert r.text == whole or f" {r.text} " in " " + " ".join(words(whole)) + " "
+    assert total == taken
+
+    want = {}
+    for r in mixed:
+        want.setdefault(r.doc_id, []).append(packing.encoded(r.text).tolist())
+    _check([r.asDict() for r in tables[5].collect()], want)
