@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--db", default="warehouse", help="database of the published tables and views")
     p.add_argument("--partitions", type=int, default=None,
                    help="spread unsplittable (gzip) inputs over this many partitions")
+    p.add_argument("--keep-versions", type=int, default=None,
+                   help="delete all but this many of the newest published versions")
     args = p.parse_args(argv)
     own_session = spark is None
     if own_session:
@@ -35,7 +37,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     paths = warehouse.FeedPaths(args.case, args.county, args.daily, args.hospitals,
                                 state_abbreviations=args.state_abbreviations,
                                 hospitals_multiline=args.hospitals_multiline)
-    extracts = warehouse.run(spark, paths, args.out, db=args.db, partitions=args.partitions)
+    extracts = warehouse.run(spark, paths, args.out, db=args.db, partitions=args.partitions,
+                             keep_versions=args.keep_versions)
     report = warehouse.constraint_report(spark, args.db).where("n_violations > 0")
     print(json.dumps({"extracts": extracts,
                       "violations": [r.asDict() for r in report.collect()]}))  # few rows: one per column

@@ -160,8 +160,11 @@ def extract(views: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:
 
 
 def run(spark: SparkSession, paths: FeedPaths, out_dir: str, db: str,
-        partitions: int | None = None) -> dict[str, str]:
-    """Raw feeds -> published warehouse tables, mart views and CSV extracts."""
+        partitions: int | None = None, keep_versions: int | None = None) -> dict[str, str]:
+    """Raw feeds -> published warehouse tables, mart views and CSV extracts.
+
+    ``keep_versions``: delete all but that many of the newest versions at the end.
+    """
     catalog.create_database(spark, db, f"{out_dir}/warehouse/_db")
     register_feeds(spark, paths, db)
     with scratch_scope(spark):
@@ -170,7 +173,10 @@ def run(spark: SparkSession, paths: FeedPaths, out_dir: str, db: str,
     views = create_mart_views(spark, db)
     if paths.state_abbreviations:  # lookup with its header catalogued as a data row
         state_abbreviations(spark, paths.state_abbreviations).createOrReplaceTempView("state_abv")
-    return extract(views, f"{out_dir}/extracts")
+    extracts = extract(views, f"{out_dir}/extracts")
+    if keep_versions is not None:
+        retire_versions(spark, db, keep_versions)
+    return extracts
 
 
 def constraint_report(spark: SparkSession, db: str) -> DataFrame:

@@ -12,6 +12,7 @@ from covid_fixture import make_feeds
 from starmart.plans import warehouse
 from starmart.session import scratch_path
 from starmart.sinks import writers
+from starmart.sources import catalog
 
 
 def _local(p):
@@ -95,8 +96,9 @@ def test_second_run_reads_new_files(spark):
     warehouse.run(spark, paths, out, db="t_again_dw")
     assert tuple(spark.table("t_again_dw.us_totals").first()) == (10.0, 1.0, 20200113, 20200113)
     writers.write_csv(days.where("date = 20200114"), f"{base}/daily/two")
-    warehouse.run(spark, paths, out, db="t_again_dw")
+    warehouse.run(spark, paths, out, db="t_again_dw", keep_versions=1)
     assert tuple(spark.table("t_again_dw.us_totals").first()) == (25.0, 3.0, 20200113, 20200114)
+    assert len(catalog.list_versions(spark, "t_again_dw", "fact_covid")) == 1
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
@@ -115,7 +117,7 @@ def test_command_line(spark, capsys):
     out = scratch_path(spark, "t_cli_out")
     rc = main(["--case", f"{base}/case", "--county", f"{base}/county", "--daily", f"{base}/daily",
                "--hospitals", f"{base}/hosp", "--state-abbreviations", f"{base}/abv",
-               "--out", out, "--db", "t_cli_dw"], spark=spark)
+               "--out", out, "--db", "t_cli_dw", "--keep-versions", "2"], spark=spark)
     assert rc == 0
     assert spark.table("state_abv").first().Abbreviation == "AL"
     result = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
