@@ -9,6 +9,7 @@ same pruning and pushdown as a direct file scan.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.session import scratch_path
+from starmart.session import in_scope, scratch_path
 from starmart.sources.files import CSV_DIALECT, csv_headers, feature_borders, feature_schema
 
 
@@ -181,11 +182,14 @@ def crawl(spark: SparkSession, db: str, sources: Mapping[str, str], fmt: str = "
     opts = {**(CSV_DIALECT | {"header": "true"} if fmt == "csv" else {}), **(options or {})}
     report: list[tuple[str, str | None, str]] = []
     seen = set()
+    with ThreadPoolExecutor(max_workers=8) as pool:   # schemas are read side by side
+        look = in_scope(lambda path: _found_schema(spark, path, fmt, opts))
+        schemas = dict(zip(sources, pool.map(look, sources.values())))
     for name, path in sources.items():
         table = f"{prefix}{name}"
         seen.add(table)
         qualified = f"`{db}`.`{table}`"
-        found = _found_schema(spark, path, fmt, opts)
+        found = schemas[name]
         known = spark.catalog.tableExists(qualified)
         if known and spark.catalog.getTable(qualified).tableType == "MANAGED":
             raise ValueError(f"{qualified} is a managed table: it is not described by files elsewhere")
