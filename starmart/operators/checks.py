@@ -48,14 +48,17 @@ def orphan_counts(child: DataFrame, child_name: str,
     keys = [parent.select(F.lit(i).alias("i"), F.lit(c).alias("fk"), F.col(pc).cast(kinds[c]).cast("string").alias("value"))
             for i, (c, parent, _, pc) in enumerate(parents)]
     known = reduce(DataFrame.unionByName, keys).distinct()
-    wanted = child.sparkSession.createDataFrame(
-        [(i, child_name, c, name) for i, (c, _, name, _) in enumerate(parents)],
-        "i INT, child_table STRING, fk_column STRING, parent_table STRING")
-    # each key of a foreign key: a column may refer to several parents
-    asked = by_key.join(wanted.select("i", F.col("fk_column").alias("fk")), "fk")
-    lost = asked.join(known, ["i", "fk", "value"], "left_anti").groupBy("i").agg(F.sum("n").alias("n"))
-    return wanted.join(lost, "i", "left").select(
-        "child_table", "fk_column", "parent_table", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_orphans"))
+    # the foreign keys of a column (it may refer to several parents), by their numbers
+    numbers = {c: [i for i, (other, *_) in enumerate(parents) if other == c] for c in columns}
+    of = F.create_map(*[x for c, n in numbers.items() for x in (F.lit(c), F.array(*map(F.lit, n)))])
+    asked = by_key.select(F.explode(of[F.col("fk")]).alias("i"), "fk", "value", "n")
+    lost = asked.join(known, ["i", "fk", "value"], "left_anti").select("i", "n")
+    every = child.sparkSession.range(len(parents), numPartitions=1).select(
+        F.col("id").cast("int").alias("i"), F.lit(0).cast("bigint").alias("n"))
+    text = lambda values: F.get(F.array(*map(F.lit, values)), F.col("i"))
+    return lost.unionByName(every).groupBy("i").agg(F.sum("n").alias("n_orphans")).select(
+        F.lit(child_name).alias("child_table"), text([c for c, *_ in parents]).alias("fk_column"),
+        text([name for _, _, name, _ in parents]).alias("parent_table"), "n_orphans")
 
 
 def column_violations(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -51,7 +51,7 @@ _ORD = "__sm_copy"
 _LOW_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row position
 CHUNK_COPIES = 10_000  # copies that one chunk row of a hot group expands to
 _TRACKED = 1_000_000   # items that one sketch can track at most
-FAN_IN, LEVELS = 32, 4  # sketches merged by one task of the tree; 32 ** 4 scan tasks
+FAN_IN, LEVELS = 64, 3  # sketches merged by one task of the tree; 64 ** 3 scan tasks
 
 
 def sort_columns(order_cols: Sequence[str | Column]) -> list[Column]:
@@ -63,7 +63,7 @@ def _merged_sketch(df: DataFrame, tracked: int) -> DataFrame:
     """One row: ``n`` rows in all and the frequent-items sketch ``s`` of the row hashes.
 
     Every scan task leaves one sketch; each level of the tree merges ``FAN_IN`` of them, in one
-    job. ``LEVELS`` levels are enough for a million scan tasks; unused ones pass one row on.
+    job. ``LEVELS`` levels are enough for 262,144 scan tasks; unused ones pass one row on.
     """
     hashed = df.select(F.xxhash64(*df.columns).alias("h"), F.spark_partition_id().alias("p"))
     # an input without rows still leaves a sketch, of nothing
